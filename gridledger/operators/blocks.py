@@ -1,0 +1,58 @@
+"""Bring two sides together block by block.
+
+Comparing every row of one side with every row of the other is what exact scoring costs. The
+rows themselves are not paired: each side is cut into blocks of bounded size, blocks meet in
+one task, and only what the task finds leaves it.
+"""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gridledger.runtime import row_bound
+
+
+def _block_counts(df: DataFrame, keys: list[str], rows: int, name: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.ceil(F.count("*") / rows).alias(name))
+
+
+def _attach(df: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
+    if not keys:
+        row = sizes.first()
+        return df.withColumns({name: F.lit(row[name]) for name in sizes.columns})
+    return df.join(F.broadcast(sizes) if row_bound(sizes) else sizes, keys)
+
+
+def pair_blocks(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    left_id: list[str],
+    right_id: list[str],
+    left_rows: int,
+    right_rows: int,
+):
+    """Cogroup of the blocks of both sides, by ``keys`` and block numbers.
+
+    A key with many rows gets many blocks, so no key is one task's work.
+    """
+    lefts = _block_counts(left, keys, left_rows, "_lefts")
+    rights = _block_counts(right, keys, right_rows, "_rights")
+    if keys:
+        sizes = lefts.join(rights, keys)
+        left, right = _attach(left, sizes, keys), _attach(right, sizes, keys)
+    else:
+        left, right = [_attach(_attach(df, lefts, []), rights, []) for df in (left, right)]
+
+    def number(ids, count):
+        return F.pmod(F.xxhash64(*ids), F.col(count))
+
+    def every(count):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    left = left.withColumn("_left", number(left_id, "_lefts")).withColumn("_right", every("_rights"))
+    right = right.withColumn("_right", number(right_id, "_rights")).withColumn("_left", every("_lefts"))
+    by = [*keys, "_left", "_right"]
+    left, right = left.drop("_lefts", "_rights"), right.drop("_lefts", "_rights")
+    # New names for the columns of one side: both may come from the same table.
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
+    return left.groupBy(*by).cogroup(right.groupBy(*by))
