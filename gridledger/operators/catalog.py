@@ -10,12 +10,13 @@ from gridledger.runtime import row_bound
 from gridledger.schemas import (
     CLASSIFICATION,
     DATASET_MAPPING,
+    KEYS,
     RETRIEVAL,
     SECTION_OF_CLASSIFICATION,
     SECTION_OF_RETRIEVAL,
 )
 
-# Benchmarks kept together in one array when a catalog is too large to send whole.
+# Benchmarks kept together when a catalog is too large to send whole.
 CATALOG_BLOCK = 1_000
 
 
@@ -62,26 +63,23 @@ def benchmark_catalog(base: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
-def pair_grid(models: DataFrame, benchmarks: DataFrame, block: int = CATALOG_BLOCK) -> DataFrame:
+def pair_grid(models: DataFrame, benchmarks: DataFrame) -> DataFrame:
     """Every (model, pretrained) with every (task_type, benchmark).
 
-    The result is as large as it must be; how the catalog reaches the models is what costs. A
-    catalog of checked size is one array that each model row unfolds, with no join at all. A
-    larger one is cut into blocks, and models meet them by block number.
+    The result is as large as it must be; what costs is how the catalog reaches the models. A
+    catalog of checked size is one block, sent whole, and models are not moved. A larger one is
+    cut into blocks, and each model meets every block by its number.
     """
-    entry = F.struct("task_type", "benchmark")
-    if row_bound(benchmarks):
-        catalog = benchmarks.agg(F.collect_list(entry)).scalar()
-        return models.select("model", "pretrained", F.inline(catalog))
-    blocks = math.ceil(benchmarks.count() / block)
+    benchmarks = benchmarks.select("task_type", "benchmark")
+    small = row_bound(benchmarks)
+    blocks = 1 if small else math.ceil(benchmarks.count() / CATALOG_BLOCK)
     number = F.pmod(F.xxhash64("task_type", "benchmark"), F.lit(blocks))
-    packed = benchmarks.groupBy(number.alias("block")).agg(F.collect_list(entry).alias("entries"))
-    wanted = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    return (
-        models.select("model", "pretrained", wanted.alias("block"))
-        .join(packed, "block")
-        .select("model", "pretrained", F.inline("entries"))
+    numbered = benchmarks.withColumn("block", number)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    met = models.select("model", "pretrained", every.alias("block")).join(
+        F.broadcast(numbered) if small else numbered, "block"
     )
+    return met.select(KEYS)
 
 
 def with_dataset_config(df: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -6,15 +6,10 @@ A listing has the columns result_file (path), file_name and mtime.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.functions.names import expected_name, parse_name
+from gridledger.functions.names import expected_name, with_parsed_name
 from gridledger.schemas import KEYS
 
 
-def with_parsed_name(listing: DataFrame) -> DataFrame:
-    """Add ``key``: the struct read from the file name, or null."""
-    return listing.withColumn("key", parse_name("file_name"))
-
-
 def match_by_parsing(listing: DataFrame) -> DataFrame:
     """Results whose names can be read, with the key as it was read."""
     parsed = with_parsed_name(listing).where("key IS NOT NULL")

@@ -1,12 +1,12 @@
 """Metric tables of completed runs.
 
-Documents have the columns result_file, error_class and metrics (see `parse_documents`).
+Documents have the columns result_file, error_class and metrics. They come from
+`functions.documents.with_metrics`, before any join, so that texts are never shuffled.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.functions.documents import error_class, metrics_struct, metrics_text
 from gridledger.operators.ledger import completed_rows
 from gridledger.schemas import (
     CLASSIFICATION,
@@ -19,18 +19,6 @@ from gridledger.schemas import (
 )
 
 
-def parse_documents(docs: DataFrame, doc: str = "doc", error=None) -> DataFrame:
-    """Replace the text of each document by its error class and its metrics.
-
-    Done before any join, so that texts are never shuffled.
-    """
-    error = error_class(doc) if error is None else error
-    others = [c for c in docs.columns if c != doc]
-    checked = docs.select(*others, error.alias("error_class"), metrics_text(doc).alias("metrics"))
-    metrics = F.when(F.col("error_class").isNull(), metrics_struct("metrics"))
-    return checked.withColumn("metrics", metrics)
-
-
 def completed_documents(ledger: DataFrame, documents: DataFrame) -> DataFrame:
     """Completed ledger rows that name a file, with its metrics or the reason for none.
 

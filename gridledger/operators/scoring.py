@@ -97,20 +97,29 @@ def _hit(k: int | None = None):
     return F.coalesce(F.array_contains(labels, F.col("label")), F.lit(False))
 
 
-def accuracy(matches: DataFrame, keys=(), k: int = 5) -> DataFrame:
-    """Share of items whose class is the best match, and among the k best."""
-    return matches.groupBy(*keys).agg(
+def class_hits(matches: DataFrame, keys=(), k: int = 5) -> DataFrame:
+    """Items of each class, and how many find it as the best match and among the k best."""
+    return matches.groupBy(*keys, "label").agg(
         F.count("*").alias("items"),
-        F.avg(_hit(1).cast("int")).alias("acc1"),
-        F.avg(_hit(k).cast("int")).alias(f"acc{k}"),
+        F.count_if(_hit(1)).alias("top1_hits"),
+        F.count_if(_hit(k)).alias(f"top{k}_hits"),
     )
 
 
-def mean_per_class_recall(matches: DataFrame, keys=()) -> DataFrame:
-    """Share of items whose class is the best match, by class, then averaged over classes."""
-    recall = matches.groupBy(*keys, "label").agg(F.avg(_hit(1).cast("int")).alias("recall"))
-    return recall.groupBy(*keys).agg(
-        F.count("*").alias("classes"), F.avg("recall").alias("mean_per_class_recall")
+def accuracy(hits: DataFrame, keys=(), k: int = 5) -> DataFrame:
+    """Share of items whose class is the best match, and among the k best; from `class_hits`."""
+    return hits.groupBy(*keys).agg(
+        F.sum("items").alias("items"),
+        (F.sum("top1_hits") / F.sum("items")).alias("acc1"),
+        (F.sum(f"top{k}_hits") / F.sum("items")).alias(f"acc{k}"),
+    )
+
+
+def mean_per_class_recall(hits: DataFrame, keys=()) -> DataFrame:
+    """Share of a class's items with it as best match, averaged over classes; from `class_hits`."""
+    return hits.groupBy(*keys).agg(
+        F.count("*").alias("classes"),
+        F.avg(F.col("top1_hits") / F.col("items")).alias("mean_per_class_recall"),
     )
 
 
@@ -203,9 +212,12 @@ def evaluate(items: DataFrame, classes: DataFrame, images: DataFrame, texts: Dat
     """Result documents of every evaluation: columns of ``keys``, task_type, metrics, doc."""
     keys = list(keys)
     prototypes = classes.withColumn("id", F.col("label"))
-    matches = nearest(items, prototypes, 5, keys)
-    # Both tables of one evaluation are a row per key.
-    classified = accuracy(matches, keys).join(mean_per_class_recall(matches, keys), keys)
+    hits = class_hits(nearest(items, prototypes, 5, keys), keys)
+    classified = hits.groupBy(*keys).agg(
+        (F.sum("top1_hits") / F.sum("items")).alias("acc1"),
+        (F.sum("top5_hits") / F.sum("items")).alias("acc5"),
+        F.avg(F.col("top1_hits") / F.col("items")).alias("mean_per_class_recall"),
+    )
     of_images = recall_at_k(nearest(texts, images, 5, keys), keys)
     of_texts = recall_at_k(nearest(images, texts, 5, keys), keys)
     retrieved = (

@@ -3,6 +3,7 @@
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,3 +31,17 @@ def row_bound(df: DataFrame, bound: int = BROADCAST_ROWS) -> bool:
     Takes rows without columns, one partition after another, and stops at the bound.
     """
     return len(df.select(F.lit(1)).take(bound + 1)) <= bound
+
+
+@contextmanager
+def session_setting(spark: SparkSession, name: str, value):
+    """A session setting for the length of a block, then the old one again."""
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, old)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gridledger.operators.ledger import upsert
 from gridledger.operators.matching import match_by_name
+from gridledger.runtime import session_setting
 from gridledger.schemas import FACTS_SCHEMA
 from gridledger.sources.results import GLOB, parse_files
 
@@ -39,16 +40,18 @@ def ingest_new_files(
     reader = spark.readStream.format("binaryFile").schema(FILES_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    query = (
+    writer = (
         reader.option("pathGlobFilter", GLOB)
         .load(folder)
         .writeStream.queryName(name)
         .foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
+    # Each batch looks up its files in a job with a task per file, unless told otherwise.
+    lookups = 4 * spark.sparkContext.defaultParallelism
+    with session_setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", lookups):
+        writer.start().awaitTermination()
 
 
 def read_facts(spark: SparkSession, facts: str) -> DataFrame:

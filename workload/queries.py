@@ -4,12 +4,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridledger.functions import models as model_functions
+from gridledger.functions.documents import with_metrics
 from gridledger.functions.names import expected_name, file_name, group_label
 from gridledger.functions.times import iso_timestamp
 from gridledger.operators import catalog, matching, metrics, planning, scoring
 from gridledger.operators import ledger as L
 from gridledger.runtime import shared_folder
-from gridledger.schemas import CLASSIFICATION, KEYS
+from gridledger.schemas import CLASSIFICATION, KEYS, RETRIEVAL
 from gridledger.sinks.documents import write_documents
 from gridledger.sinks.ledger import write_ledger, write_ledger_csv
 from gridledger.sinks.metrics import write_metrics
@@ -56,12 +57,15 @@ def dataset_mapping(c):
 def _result_store(c) -> str:
     """A folder of result files: the latest document of each cell, by its expected name."""
     folder = shared_folder(c.spark, "results")
+    write_documents(_latest_documents(c), folder)
+    return folder
+
+
+def _latest_documents(c) -> DataFrame:
     latest = c.documents().groupBy(KEYS).agg(
         F.max(F.struct("mtime", "result_file", "doc")).alias("latest")
     )
-    docs = latest.select(expected_name().alias("file_name"), F.col("latest.doc").alias("doc"))
-    write_documents(docs, folder)
-    return folder
+    return latest.select("task_type", expected_name().alias("file_name"), "latest.doc")
 
 
 @query
@@ -82,7 +86,7 @@ def result_file_status(c):
 
 @query
 def json_load_status(c):
-    parsed = metrics.parse_documents(c.documents())
+    parsed = with_metrics(c.documents())
     return parsed.select(
         "result_file",
         F.coalesce("error_class", F.lit("ok")).alias("status"),
@@ -205,7 +209,7 @@ def unexpected_files(c):
 def _completed(c) -> DataFrame:
     documents = c.documents()
     ledger = L.upsert(L.new_ledger(c.grid()), documents)
-    parsed = metrics.parse_documents(documents.select("result_file", "doc"))
+    parsed = with_metrics(documents.select("result_file", "doc"))
     return metrics.completed_documents(ledger, parsed)
 
 
@@ -312,9 +316,12 @@ def cost_estimate(c):
 
 @query
 def incremental_ingest(c):
-    """The ledger after result files were ingested in several batches of a stream."""
-    store, work = _result_store(c), shared_folder(c.spark, "ingest")
-    ingest_new_files(c.spark, store, f"{work}/facts", f"{work}/checkpoint", max_files=2_000)
+    """The ledger after the files of one task arrived and were read, then those of the other."""
+    work = shared_folder(c.spark, "ingest")
+    for task_type in (CLASSIFICATION, RETRIEVAL):
+        arrived = _latest_documents(c).where(F.col("task_type") == task_type)
+        write_documents(arrived, f"{work}/store")
+        ingest_new_files(c.spark, f"{work}/store", f"{work}/facts", f"{work}/checkpoint")
     facts = read_facts(c.spark, f"{work}/facts")
     name = file_name("result_file").alias("file_name")
     return ledger_from_facts(L.new_ledger(c.grid()), facts).select(*KEYS, name, "status")
@@ -329,19 +336,19 @@ def _rounded(df: DataFrame) -> DataFrame:
     )
 
 
-def _matches(c):
+def _class_hits(c):
     classes = c.prototypes().withColumn("id", F.col("label"))
-    return scoring.nearest(c.vectors(), classes)
+    return scoring.class_hits(scoring.nearest(c.vectors(), classes))
 
 
 @query
 def zeroshot_accuracy(c):
-    return _rounded(scoring.accuracy(_matches(c)))
+    return _rounded(scoring.accuracy(_class_hits(c)))
 
 
 @query
 def mean_per_class_recall(c):
-    return _rounded(scoring.mean_per_class_recall(_matches(c)))
+    return _rounded(scoring.mean_per_class_recall(_class_hits(c)))
 
 
 @query
@@ -375,5 +382,5 @@ def grouped_evaluation(c):
     docs = scoring.evaluate(
         c.vectors(True), c.prototypes(EVALUATION), c.images(True), c.texts(True), EVALUATION
     )
-    parsed = metrics.parse_documents(docs).withColumn("benchmark_run_at", F.lit(""))
+    parsed = with_metrics(docs).withColumn("benchmark_run_at", F.lit(""))
     return _rounded(metrics.merged_metrics(parsed).drop("benchmark_run_at"))
