@@ -12,7 +12,7 @@ from gridledger.runtime import row_bound
 
 
 def _block_counts(df: DataFrame, keys: list[str], rows: int, name: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.ceil(F.count("*") / rows).alias(name))
+    return df.groupBy(*keys).agg(F.greatest(F.lit(1), F.ceil(F.count("*") / rows)).alias(name))
 
 
 def _attach(df: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
@@ -33,12 +33,13 @@ def pair_blocks(
 ):
     """Cogroup of the blocks of both sides, by ``keys`` and block numbers.
 
-    A key with many rows gets many blocks, so no key is one task's work.
+    A key with many rows gets many blocks, so no key is one task's work. Left rows whose key the
+    right side lacks meet an empty block; right rows without a left side are not wanted.
     """
     lefts = _block_counts(left, keys, left_rows, "_lefts")
     rights = _block_counts(right, keys, right_rows, "_rights")
     if keys:
-        sizes = lefts.join(rights, keys)
+        sizes = lefts.join(rights, keys, "left").fillna(1, "_rights")
         left, right = _attach(left, sizes, keys), _attach(right, sizes, keys)
     else:
         left, right = [_attach(_attach(df, lefts, []), rights, []) for df in (left, right)]

@@ -108,7 +108,7 @@ def count_above(items: pa.Table, classes: pa.Table, keys: list[str]) -> pa.Table
     ends = np.cumsum(lengths)
     positives = np.zeros(len(levels), dtype=np.int64)
     everything = np.zeros(len(levels), dtype=np.int64)
-    if len(units):
+    if len(units) and len(prototypes):
         scores = np.round(units @ prototypes.T, SCORE_DIGITS)
         for c, label in enumerate(labels):
             part = slice(ends[c] - lengths[c], ends[c])

@@ -26,31 +26,36 @@ def orphan_results(results: DataFrame, ledger: DataFrame) -> DataFrame:
     return results.join(ledger, KEYS, "left_anti")
 
 
-def cells_by_name(ledger: DataFrame) -> DataFrame:
-    """Ledger keys by the file name each expects; fails if two cells expect the same name.
+def named_cells(ledger: DataFrame) -> DataFrame:
+    """Ledger keys with the file name each expects."""
+    return ledger.select(expected_name().alias("file_name"), *KEYS)
 
-    The check shares its shuffle with the join that follows it.
+
+def ambiguous_names(ledger: DataFrame) -> DataFrame:
+    """File names that more than one ledger row expects; `match_by_name` needs that there are none.
+
+    Names depend on the grid alone, so this is checked when the grid changes.
     """
-    cells = ledger.groupBy(expected_name().alias("file_name")).agg(
-        F.count("*").alias("cells"), F.min(F.struct(*KEYS)).alias("key")
-    )
-    message = F.concat(F.lit("more than one ledger row expects "), "file_name")
-    checked = F.when(F.col("cells") > 1, F.raise_error(message)).otherwise(F.col("key"))
-    return cells.select("file_name", checked.alias("key")).select("file_name", "key.*")
+    cells = named_cells(ledger).groupBy("file_name").agg(F.count("*").alias("cells"))
+    return cells.where(F.col("cells") > 1)
+
+
+def latest_by_name(listing: DataFrame) -> DataFrame:
+    """The latest file of each name. Partial maxima are taken before the shuffle."""
+    latest = F.max(F.struct("mtime", "result_file")).alias("latest")
+    return listing.groupBy("file_name").agg(latest).select("file_name", "latest.*")
 
 
 def match_by_name(ledger: DataFrame, listing: DataFrame) -> DataFrame:
     """Results whose file name is the one a ledger cell expects. Exact for every name."""
     return (
-        cells_by_name(ledger).join(listing, "file_name").select(*KEYS, "result_file", "mtime")
+        listing.join(named_cells(ledger), "file_name").select(*KEYS, "result_file", "mtime")
     )
 
 
 def unexpected_files(ledger: DataFrame, listing: DataFrame) -> DataFrame:
     """Files that no ledger cell expects."""
-    return listing.join(
-        ledger.select(expected_name().alias("file_name")), "file_name", "left_anti"
-    )
+    return listing.join(named_cells(ledger), "file_name", "left_anti")
 
 
 def report(rows: DataFrame, *order: str, limit: int = 5) -> DataFrame:

@@ -9,7 +9,7 @@ from gridledger.operators import matching, metrics
 from gridledger.operators.catalog import pair_grid
 from gridledger.sinks.ledger import write_ledger
 from gridledger.sinks.metrics import write_metrics
-from gridledger.sources.ledger import read_ledger
+from gridledger.sources.ledger import read_ledger, read_ledger_csv
 from gridledger.sources.results import list_results, read_documents
 from gridledger.streaming.ingest import ingest_new_files, ledger_from_facts, read_facts
 from gridledger.versions import latest_version
@@ -23,6 +23,20 @@ class Update:
     unexpected: DataFrame
 
 
+def _write_checked(ledger: DataFrame, root: str) -> DataFrame:
+    """Write a ledger with a new grid, if every row expects a file name of its own."""
+    shared = matching.ambiguous_names(ledger).take(5)
+    if shared:
+        raise ValueError(f"several ledger rows expect the same file: {[r.file_name for r in shared]}")
+    write_ledger(ledger, root)
+    return read_ledger(ledger.sparkSession, root)
+
+
+def import_ledger(spark: SparkSession, root: str, csv: str) -> DataFrame:
+    """Make a CSV ledger the current one."""
+    return _write_checked(read_ledger_csv(spark, csv), root)
+
+
 def init_tracking(
     spark: SparkSession, root: str, models: DataFrame, benchmarks: DataFrame, force_reset=False
 ) -> DataFrame:
@@ -32,8 +46,7 @@ def init_tracking(
         rows = L.new_ledger(grid)
     else:
         rows = L.merge_ledger(grid, read_ledger(spark, root))
-    write_ledger(rows, root)
-    return read_ledger(spark, root)
+    return _write_checked(rows, root)
 
 
 def update_tracking(spark: SparkSession, root: str, results: str, by_parsing=False) -> Update:
@@ -46,7 +59,7 @@ def update_tracking(spark: SparkSession, root: str, results: str, by_parsing=Fal
         found = matching.match_by_parsing(listing)
         unexpected = matching.unmatched_files(listing)
     else:
-        found = matching.match_by_name(ledger, listing)
+        found = matching.match_by_name(ledger, matching.latest_by_name(listing))
         unexpected = matching.unexpected_files(ledger, listing)
     write_ledger(L.upsert(ledger, found), root)
     return Update(read_ledger(spark, root), unexpected)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridledger.operators.ledger import upsert
-from gridledger.operators.matching import match_by_name
+from gridledger.operators.matching import latest_by_name, match_by_name
 from gridledger.runtime import session_setting
 from gridledger.schemas import FACTS_SCHEMA
 from gridledger.sources.results import GLOB, parse_files
@@ -65,4 +65,4 @@ def read_facts(spark: SparkSession, facts: str) -> DataFrame:
 
 
 def ledger_from_facts(ledger: DataFrame, facts: DataFrame) -> DataFrame:
-    return upsert(ledger, match_by_name(ledger, facts))
+    return upsert(ledger, match_by_name(ledger, latest_by_name(facts)))

@@ -318,6 +318,14 @@ SELECTS = {
     "unmatched_files": """
         SELECT file_name, (SELECT count(*) FROM listing WHERE starts_with(file_name, 'log_')) AS total
         FROM listing WHERE starts_with(file_name, 'log_') ORDER BY file_name LIMIT 5""",
+    "latest_by_name": """
+        SELECT file_name, 'results/' || file_name AS result_file,
+               strftime(max(mtime), '%Y-%m-%dT%H:%M:%S') AS timestamp
+        FROM listing GROUP BY file_name""",
+    "ambiguous_names": """
+        SELECT benchmark || '_' || pretrained || '_' || model || '_en_' || task_type || '.json' AS file_name,
+               count(*) AS cells
+        FROM items GROUP BY 1 HAVING count(*) > 1""",
     "orphan_results": f"""
         SELECT {KEYS}, 'results/' || file_name AS result_file FROM parsed
         WHERE ({KEYS}) NOT IN (SELECT ({KEYS}) FROM grid)""",
@@ -346,7 +354,7 @@ SELECTS = {
     "group_plan": _requirement("pending_group").replace("SELECT *,", "SELECT model, pretrained, num_benchmarks,"),
     "plan_summary": """
         SELECT count(*) AS groups, CAST(sum(num_benchmarks) AS BIGINT) AS total_benchmarks,
-               CAST(sum(2 * least(num_benchmarks, 5)) AS BIGINT) AS total_minutes,
+               CAST(sum(2 * num_benchmarks) AS BIGINT) AS total_minutes,
                CAST(trunc(8 / 0.125) AS INTEGER) AS max_concurrent_jobs
         FROM pending_group""",
     "first_n_per_group": f"""

@@ -186,6 +186,18 @@ def unmatched_files(c):
     return matching.report(matching.unmatched_files(c.listing()).select("file_name"), "file_name")
 
 
+@query
+def latest_by_name(c):
+    latest = matching.latest_by_name(c.listing())
+    return latest.select("file_name", "result_file", iso_timestamp("mtime").alias("timestamp"))
+
+
+@query
+def ambiguous_names(c):
+    """File names that several lineitem rows share, of those a run may have."""
+    return matching.ambiguous_names(c.items())
+
+
 @query
 def orphan_results(c):
     found = matching.match_by_parsing(c.listing())
@@ -267,7 +279,7 @@ def group_plan(c):
 
 @query
 def plan_summary(c):
-    plan = planning.group_plan(planning.pending_groups(c.ledger()), max_benchmarks=5)
+    plan = planning.group_plan(planning.pending_groups(c.ledger()))
     return planning.plan_summary(plan)
 
 
