@@ -5,21 +5,18 @@ rows themselves are not paired: each side is cut into blocks of bounded size, bl
 one task, and only what the task finds leaves it.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridledger.runtime import row_bound
 
 
-def _block_counts(df: DataFrame, keys: list[str], rows: int, name: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.greatest(F.lit(1), F.ceil(F.count("*") / rows)).alias(name))
+def _number(ids: list[str], count) -> Column:
+    return F.pmod(F.xxhash64(*ids), count)
 
 
-def _attach(df: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
-    if not keys:
-        row = sizes.first()
-        return df.withColumns({name: F.lit(row[name]) for name in sizes.columns})
-    return df.join(F.broadcast(sizes) if row_bound(sizes) else sizes, keys)
+def _every(count: str) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
 
 
 def pair_blocks(
@@ -30,28 +27,36 @@ def pair_blocks(
     right_id: list[str],
     left_rows: int,
     right_rows: int,
+    counted: DataFrame | None = None,
 ):
     """Cogroup of the blocks of both sides, by ``keys`` and block numbers.
 
     A key with many rows gets many blocks, so no key is one task's work. Left rows whose key the
     right side lacks meet an empty block; right rows without a left side are not wanted.
+
+    ``counted`` has as many rows per key as ``left``, and is cheaper to count.
     """
-    lefts = _block_counts(left, keys, left_rows, "_lefts")
-    rights = _block_counts(right, keys, right_rows, "_rights")
-    if keys:
-        sizes = lefts.join(rights, keys, "left").fillna(1, "_rights")
-        left, right = _attach(left, sizes, keys), _attach(right, sizes, keys)
-    else:
-        left, right = [_attach(_attach(df, lefts, []), rights, []) for df in (left, right)]
-
-    def number(ids, count):
-        return F.pmod(F.xxhash64(*ids), F.col(count))
-
-    def every(count):
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
-
-    left = left.withColumn("_left", number(left_id, "_lefts")).withColumn("_right", every("_rights"))
-    right = right.withColumn("_right", number(right_id, "_rights")).withColumn("_left", every("_lefts"))
+    counted = left if counted is None else counted
+    one_key = not keys
+    if one_key:
+        keys = ["_key"]
+        left, counted = [df.withColumn("_key", _number(left_id, F.lit(1))) for df in (left, counted)]
+        right = right.withColumn("_key", _number(right_id, F.lit(1)))
+
+    def blocks(df, rows, name):
+        return df.groupBy(*keys).agg(F.greatest(F.lit(1), F.ceil(F.count("*") / rows)).alias(name))
+
+    sizes = blocks(counted, left_rows, "_lefts")
+    sizes = sizes.join(blocks(right, right_rows, "_rights"), keys, "left").fillna(1, "_rights")
+    # One row per key of the left side.
+    if one_key or row_bound(counted.select(*keys).distinct()):
+        sizes = F.broadcast(sizes)
+    left = left.join(sizes, keys).withColumns(
+        {"_left": _number(left_id, F.col("_lefts")), "_right": _every("_rights")}
+    )
+    right = right.join(sizes, keys).withColumns(
+        {"_right": _number(right_id, F.col("_rights")), "_left": _every("_lefts")}
+    )
     by = [*keys, "_left", "_right"]
     left, right = left.drop("_lefts", "_rights"), right.drop("_lefts", "_rights")
     # New names for the columns of one side: both may come from the same table.

@@ -10,6 +10,7 @@ from gridledger.runtime import row_bound
 from gridledger.schemas import (
     CLASSIFICATION,
     DATASET_MAPPING,
+    GROUP,
     KEYS,
     RETRIEVAL,
     SECTION_OF_CLASSIFICATION,
@@ -67,8 +68,9 @@ def pair_grid(models: DataFrame, benchmarks: DataFrame) -> DataFrame:
     """Every (model, pretrained) with every (task_type, benchmark).
 
     The result is as large as it must be; what costs is how the catalog reaches the models. A
-    catalog of checked size is one block, sent whole, and models are not moved. A larger one is
-    cut into blocks, and each model meets every block by its number.
+    catalog of checked size is one block, sent whole. A larger one is cut into blocks, and each
+    model meets every block by its number. Models are few bytes in few partitions, but each makes
+    many rows, so they are spread over as many tasks as a shuffle has.
     """
     benchmarks = benchmarks.select("task_type", "benchmark")
     small = row_bound(benchmarks)
@@ -76,7 +78,9 @@ def pair_grid(models: DataFrame, benchmarks: DataFrame) -> DataFrame:
     number = F.pmod(F.xxhash64("task_type", "benchmark"), F.lit(blocks))
     numbered = benchmarks.withColumn("block", number)
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    met = models.select("model", "pretrained", every.alias("block")).join(
+    tasks = int(models.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = models.select(GROUP).repartition(tasks, *GROUP)
+    met = spread.select(*GROUP, every.alias("block")).join(
         F.broadcast(numbered) if small else numbered, "block"
     )
     return met.select(KEYS)

@@ -172,7 +172,7 @@ def class_average_precision(items: DataFrame, classes: DataFrame, keys=()) -> Da
         .join(classes.select(*by_class, "vector"), by_class)
     )
     pairs = pair_blocks(
-        everyone, chunks, keys, ["id"], ["label", "chunk"], BLOCK_ROWS, CLASS_ROWS
+        everyone, chunks, keys, ["id"], ["label", "chunk"], BLOCK_ROWS, CLASS_ROWS, counted=items
     )
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -35,7 +35,8 @@ def ingest_new_files(
     def keep(batch: DataFrame, number: int) -> None:
         run = next(q.id for q in spark.streams.active if q.name == name)
         rows = parse_files(batch).select(FACTS_SCHEMA.fieldNames())
-        rows.write.mode("overwrite").parquet(f"{facts.rstrip('/')}/run={run}/batch={number}")
+        # A task reads few small files; their rows are gathered into larger ones.
+        rows.repartition("file_name").write.mode("overwrite").parquet(f"{facts.rstrip('/')}/run={run}/batch={number}")
 
     reader = spark.readStream.format("binaryFile").schema(FILES_SCHEMA)
     if max_files:
