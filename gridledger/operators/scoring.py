@@ -81,6 +81,9 @@ def _nearest_by_blocks(queries, candidates, k, keys, schema) -> DataFrame:
     schema_names = schema.fieldNames()
     pairs = pair_blocks(queries, candidates, keys, ["id"], ["id"], BLOCK_ROWS, BLOCK_ROWS)
     partial = pairs.applyInArrow(search, schema)
+    widest = candidates.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if widest <= BLOCK_ROWS:
+        return partial  # every query met all its candidates in one block
     query = [*keys, "id", "label"]
     each = partial.select(*query, F.explode_outer("matches").alias("match"))
     best = Window.partitionBy(*query).orderBy(F.desc("match.score"), "match.id")

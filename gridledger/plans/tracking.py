@@ -23,30 +23,35 @@ class Update:
     unexpected: DataFrame
 
 
-def _write_checked(ledger: DataFrame, root: str) -> DataFrame:
-    """Write a ledger with a new grid, if every row expects a file name of its own."""
-    shared = matching.ambiguous_names(ledger).take(5)
+def _check_names(cells: DataFrame) -> None:
+    shared = [row.file_name for row in matching.ambiguous_names(cells).take(5)]
     if shared:
-        raise ValueError(f"several ledger rows expect the same file: {[r.file_name for r in shared]}")
-    write_ledger(ledger, root)
-    return read_ledger(ledger.sparkSession, root)
+        raise ValueError(f"several ledger rows expect the same file: {shared}")
 
 
 def import_ledger(spark: SparkSession, root: str, csv: str) -> DataFrame:
     """Make a CSV ledger the current one."""
-    return _write_checked(read_ledger_csv(spark, csv), root)
+    rows = read_ledger_csv(spark, csv)
+    _check_names(rows)
+    write_ledger(rows, root)
+    return read_ledger(spark, root)
 
 
 def init_tracking(
     spark: SparkSession, root: str, models: DataFrame, benchmarks: DataFrame, force_reset=False
 ) -> DataFrame:
-    """Make the ledger of the grid, or bring an existing one in line with it."""
+    """Make the ledger of the grid, or bring an existing one in line with it.
+
+    Every cell must expect a file name of its own, or results could not be told apart.
+    """
     grid = pair_grid(models, benchmarks)
+    _check_names(grid)
     if force_reset or latest_version(spark, root) is None:
         rows = L.new_ledger(grid)
     else:
         rows = L.merge_ledger(grid, read_ledger(spark, root))
-    return _write_checked(rows, root)
+    write_ledger(rows, root)
+    return read_ledger(spark, root)
 
 
 def update_tracking(spark: SparkSession, root: str, results: str, by_parsing=False) -> Update:

@@ -35,3 +35,15 @@ def next_version(spark: SparkSession, root: str) -> str:
     """Path for the next write; numbers of failed writes are not used again."""
     versions = _versions(spark, root)
     return _path(root, versions[-1][0] + 1 if versions else 1)
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int = 3) -> None:
+    """Delete all but the newest ``keep`` complete versions, and failed ones older than those."""
+    versions = _versions(spark, root)
+    complete = [number for number, done in versions if done]
+    oldest = complete[-keep] if len(complete) >= keep else 0
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for number, _ in versions:
+        if number < oldest:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(_path(root, number)), True)

@@ -9,6 +9,7 @@ from gridledger.operators import ledger as L
 from gridledger.schemas import KEYS, LEDGER_SCHEMA
 from gridledger.sinks.ledger import write_ledger, write_ledger_csv
 from gridledger.sources.ledger import read_ledger, read_ledger_csv
+from gridledger.versions import expire_versions
 
 KEY = "model string, pretrained string, task_type string, benchmark string"
 RESULT = KEY + ", result_file string, mtime timestamp"
@@ -112,3 +113,13 @@ def test_filters_reach_the_scan(spark, tmp_path):
     assert "EqualTo(status,pending)" in text and "EqualTo(model,a)" in text and "EqualTo(pretrained,w)" in text
     assert "PartitionFilters: [isnotnull(task_type" in text
     assert "ReadSchema: struct<model:string,pretrained:string,benchmark:string,status:string>" in text
+
+
+def test_old_versions_are_deleted_on_request(spark, tmp_path):
+    root = str(tmp_path / "ledger")
+    for _ in range(4):
+        write_ledger(L.new_ledger(grid(spark)), root)
+    expire_versions(spark, root, keep=2)
+    assert sorted(p.name for p in (tmp_path / "ledger").iterdir()) == ["v00000003", "v00000004"]
+    expire_versions(spark, root, keep=5)
+    assert read_ledger(spark, root).count() == 6
