@@ -26,9 +26,15 @@ def unit_rows(vectors) -> np.ndarray:
     return rows / np.where(norms == 0.0, 1.0, norms)[:, None]
 
 
-def row_scores(left, right) -> np.ndarray:
-    """Cosine of the n-th left with the n-th right vector."""
-    return np.round(np.einsum("nd,nd->n", unit_rows(left), unit_rows(right)), SCORE_DIGITS)
+def row_scores(left: pa.Array, right: pa.Array) -> pa.Array:
+    """Cosine of the n-th left with the n-th right vector; null where there is no right one."""
+    there = right.is_valid()
+    rows = np.flatnonzero(there.to_numpy(zero_copy_only=False))
+    scores = np.zeros(len(right))
+    if len(rows):
+        pairs = unit_rows(left.filter(there)), unit_rows(right.filter(there))
+        scores[rows] = np.round(np.einsum("nd,nd->n", *pairs), SCORE_DIGITS)
+    return pa.array(scores, mask=~there.to_numpy(zero_copy_only=False))
 
 
 def best_columns(scores: np.ndarray, k: int) -> np.ndarray:
@@ -98,6 +104,7 @@ def count_above(items: pa.Table, classes: pa.Table, keys: list[str]) -> pa.Table
     label, vector and own_score, their score for the class they belong to.
     """
     units, prototypes = unit_rows(items["vector"]), unit_rows(classes["vector"])
+    # Items without a score of their own are of no class here.
     own = items["own_score"].to_numpy()
     member = items["label"].to_numpy()
     labels = classes["label"].to_numpy()

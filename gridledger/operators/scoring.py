@@ -142,23 +142,24 @@ def class_average_precision(items: DataFrame, classes: DataFrame, keys=()) -> Da
     """
     keys = list(keys)
     by_class = [*keys, "label"]
-    items = items.select(*keys, "id", "label", "vector")
-    prototypes = classes.select(*by_class, F.col("vector").alias("prototype"))
-    rated = items.join(prototypes, by_class)
     names = [*by_class, "id", "vector"]
+    items = items.select(names)
+    prototypes = classes.select(*by_class, F.col("vector").alias("prototype"))
+    if _fits_in_broadcast(classes):
+        prototypes = F.broadcast(prototypes)
+    # Items of a class without a prototype have no score of their own, but compete with others.
+    together = items.join(prototypes, by_class, "left").select(*names, "prototype")
 
     def rate(batches):
         for batch in batches:
-            scores = pa.array(row_scores(batch["vector"], batch["prototype"]))
+            scores = row_scores(batch["vector"], batch["prototype"])
             yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), scores], [*names, "own_score"])
 
-    fields = [rated.schema[n] for n in names]
-    rated = rated.mapInArrow(
+    fields = [items.schema[n] for n in names]
+    everyone = together.mapInArrow(
         rate, T.StructType([*fields, T.StructField("own_score", T.DoubleType())])
     )
-    # Items of a class without a prototype compete with the others all the same.
-    alone = items.join(prototypes, by_class, "left_anti")
-    everyone = rated.unionByName(alone.withColumn("own_score", F.lit(None).cast("double")))
+    rated = everyone.where(F.col("own_score").isNotNull())
 
     thresholds = rated.groupBy(*by_class, F.col("own_score").alias("score")).agg(
         F.count("*").alias("positives")

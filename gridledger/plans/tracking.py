@@ -80,10 +80,18 @@ def update_tracking_incrementally(
 
 
 def parse_results(
-    spark: SparkSession, root: str, results: str, out: str, output_format: str = "separate"
+    spark: SparkSession,
+    root: str,
+    results: str,
+    out: str,
+    output_format: str = "separate",
+    facts: str | None = None,
 ) -> DataFrame:
-    """Write the metric tables of all completed runs and return the files that gave none."""
-    documents = read_documents(spark, results)
+    """Write the metric tables of all completed runs and return the files that gave none.
+
+    Documents are read from the result files, or from the facts of the ingest if given.
+    """
+    documents = read_facts(spark, facts) if facts else read_documents(spark, results)
     completed = metrics.completed_documents(read_ledger(spark, root), documents)
     write_metrics(completed, out, output_format)
     return metrics.parse_errors(completed)

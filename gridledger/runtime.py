@@ -25,6 +25,11 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def row_bound(df: DataFrame, bound: int = BROADCAST_ROWS) -> bool:
     """True if ``df`` has at most ``bound`` rows.
 

@@ -11,12 +11,9 @@ from pyspark.sql import functions as F
 
 from gridledger.operators.ledger import upsert
 from gridledger.operators.matching import latest_by_name, match_by_name
-from gridledger.runtime import session_setting
+from gridledger.runtime import path_exists, session_setting
 from gridledger.schemas import FACTS_SCHEMA
-from gridledger.sources.results import GLOB, parse_files
-
-FILES_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
-
+from gridledger.sources.results import FILES_SCHEMA, GLOB, parse_files
 
 def ingest_new_files(
     spark: SparkSession,
@@ -56,7 +53,9 @@ def ingest_new_files(
 
 
 def read_facts(spark: SparkSession, facts: str) -> DataFrame:
-    """One row per result file: the latest one read."""
+    """One row per result file: the latest one read. None before the first ingest."""
+    if not path_exists(spark, facts):
+        return spark.createDataFrame([], FACTS_SCHEMA)
     rows = spark.read.schema(FACTS_SCHEMA).parquet(f"{facts.rstrip('/')}/run=*/batch=*")
     others = [c for c in FACTS_SCHEMA.fieldNames() if c not in ("result_file", "mtime")]
     latest = F.max_by(F.struct(*others), "mtime").alias("latest")

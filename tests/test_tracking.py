@@ -45,8 +45,23 @@ def test_campaign(spark, catalogs, result_file, tmp_path):
     changed = spark.createDataFrame([("RN50", "openai"), ("RN101", "openai")], "model string, pretrained string")
     assert rows(L.status_counts(init_tracking(spark, root, changed, benchmarks))) == [(6, 1, 5)]
     assert rows(L.status_counts(init_tracking(spark, root, changed, benchmarks, force_reset=True))) == [(6, 0, 6)]
-    found = update_tracking_incrementally(spark, root, results, str(tmp_path / "facts"), str(tmp_path / "checkpoint"))
+    facts = str(tmp_path / "facts")
+    found = update_tracking_incrementally(spark, root, results, facts, str(tmp_path / "checkpoint"))
     assert rows(L.status_counts(found)) == [(6, 1, 5)]
+    errors = parse_results(spark, root, results, out, facts=facts)
+    assert rows(errors) == rows(parse_results(spark, root, results, out)) and errors.count() == 1
+
+
+def test_before_any_result(spark, catalogs, tmp_path):
+    root, results, out = [str(tmp_path / n) for n in ("ledger", "results", "out")]
+    init_tracking(spark, root, *catalogs)
+    update = update_tracking(spark, root, results)
+    assert rows(L.status_counts(update.ledger)) == [(6, 0, 6)] and update.unexpected.isEmpty()
+    (tmp_path / "results").mkdir()
+    found = update_tracking_incrementally(spark, root, results, str(tmp_path / "facts"), str(tmp_path / "checkpoint"))
+    assert rows(L.status_counts(found)) == [(6, 0, 6)]
+    assert parse_results(spark, root, results, out).isEmpty()
+    assert not (tmp_path / "out").exists()
 
 
 def test_update_by_parsing(spark, catalogs, result_file, tmp_path):
