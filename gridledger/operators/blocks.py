@@ -19,42 +19,39 @@ def _every(count: str) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
 
 
+def one_key(df: DataFrame, id: str) -> DataFrame:
+    """Give all rows the same value of ``_key``, for tables without keys of their own.
+
+    It is computed from a column, or the optimizer would make a product of a join on it.
+    """
+    return df.withColumn("_key", _number([id], F.lit(1)))
+
+
 def pair_blocks(
     left: DataFrame,
     right: DataFrame,
     keys: list[str],
     left_id: list[str],
     right_id: list[str],
-    left_rows: int,
-    right_rows: int,
-    counted: DataFrame | None = None,
+    left_blocks: DataFrame,
+    right_blocks: DataFrame,
 ):
     """Cogroup of the blocks of both sides, by ``keys`` and block numbers.
 
-    A key with many rows gets many blocks, so no key is one task's work. Left rows whose key the
-    right side lacks meet an empty block; right rows without a left side are not wanted.
-
-    ``counted`` has as many rows per key as ``left``, and is cheaper to count.
+    ``left_blocks`` and ``right_blocks`` say how many ``blocks`` each key's rows make. A key with
+    many rows gets many, so no key is one task's work. Left rows whose key the right side lacks
+    meet an empty block; right rows without a left side are not wanted.
     """
-    counted = left if counted is None else counted
-    one_key = not keys
-    if one_key:
-        keys = ["_key"]
-        left, counted = [df.withColumn("_key", _number(left_id, F.lit(1))) for df in (left, counted)]
-        right = right.withColumn("_key", _number(right_id, F.lit(1)))
-
-    def blocks(df, rows, name):
-        return df.groupBy(*keys).agg(F.greatest(F.lit(1), F.ceil(F.count("*") / rows)).alias(name))
-
-    sizes = blocks(counted, left_rows, "_lefts")
-    sizes = sizes.join(blocks(right, right_rows, "_rights"), keys, "left").fillna(1, "_rights")
-    # One row per key of the left side.
-    if one_key or row_bound(counted.select(*keys).distinct()):
-        sizes = F.broadcast(sizes)
-    left = left.join(sizes, keys).withColumns(
+    blocks = left_blocks.select(*keys, F.col("blocks").alias("_lefts")).join(
+        right_blocks.select(*keys, F.col("blocks").alias("_rights")), keys, "left"
+    )
+    blocks = blocks.fillna(1, "_rights")
+    if keys == ["_key"] or row_bound(left_blocks):
+        blocks = F.broadcast(blocks)
+    left = left.join(blocks, keys).withColumns(
         {"_left": _number(left_id, F.col("_lefts")), "_right": _every("_rights")}
     )
-    right = right.join(sizes, keys).withColumns(
+    right = right.join(blocks, keys).withColumns(
         {"_right": _number(right_id, F.col("_rights")), "_left": _every("_lefts")}
     )
     by = [*keys, "_left", "_right"]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridledger.operators.blocks import pair_blocks
+from gridledger.operators.blocks import one_key, pair_blocks
 from gridledger.operators.kernels import (
     count_above,
     find_matches,
@@ -54,11 +54,13 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, keys=(), bloc
     keys = list(keys)
     columns = [*keys, "id", "label", "vector"]
     queries, candidates = queries.select(columns), candidates.select(columns)
-    schema = _matches_schema(queries, candidates, keys)
     if blocked is None:
         blocked = not _fits_in_broadcast(candidates)
+    if blocked and keys:
+        return _nearest_by_blocks(queries, candidates, k, keys)
     if blocked:
-        return _nearest_by_blocks(queries, candidates, k, keys, schema)
+        queries, candidates = one_key(queries, "id"), one_key(candidates, "id")
+        return _nearest_by_blocks(queries, candidates, k, ["_key"]).drop("_key")
 
     sides = {key: search_side(part) for key, part in split_by_key(candidates.toArrow(), keys)}
     none = search_side(candidates.limit(0).toArrow())
@@ -70,20 +72,26 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, keys=(), bloc
             for key, part in split_by_key(pa.Table.from_batches([batch]), keys):
                 yield from find_matches(part, sides.get(key, none), k).to_batches()
 
-    return queries.mapInArrow(search, schema)
+    return queries.mapInArrow(search, _matches_schema(queries, candidates, keys))
+
+
+def _blocks(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    return df.groupBy(*keys).agg(F.ceil(F.count("*") / rows).alias("blocks"))
 
 
-def _nearest_by_blocks(queries, candidates, k, keys, schema) -> DataFrame:
+def _nearest_by_blocks(queries, candidates, k, keys) -> DataFrame:
+    schema = _matches_schema(queries, candidates, keys)
+    names = schema.fieldNames()
+
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = find_matches(left, search_side(right), k)
-        return found.select(schema_names)
-
-    schema_names = schema.fieldNames()
-    pairs = pair_blocks(queries, candidates, keys, ["id"], ["id"], BLOCK_ROWS, BLOCK_ROWS)
-    partial = pairs.applyInArrow(search, schema)
-    widest = candidates.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if widest <= BLOCK_ROWS:
-        return partial  # every query met all its candidates in one block
+        return find_matches(left, search_side(right), k).select(names)
+
+    candidate_blocks = _blocks(candidates, keys, BLOCK_ROWS)
+    partial = pair_blocks(
+        queries, candidates, keys, ["id"], ["id"], _blocks(queries, keys, BLOCK_ROWS), candidate_blocks
+    ).applyInArrow(search, schema)
+    if (candidate_blocks.agg(F.max("blocks")).first()[0] or 0) <= 1:
+        return partial  # every query met all its candidates at once
     query = [*keys, "id", "label"]
     each = partial.select(*query, F.explode_outer("matches").alias("match"))
     best = Window.partitionBy(*query).orderBy(F.desc("match.score"), "match.id")
@@ -140,6 +148,9 @@ def class_average_precision(items: DataFrame, classes: DataFrame, keys=()) -> Da
     is made: every block of items counts how many of it reach each threshold, and the counts
     add up. Equal scores share one threshold.
     """
+    if not keys:
+        items, classes = one_key(items, "id"), one_key(classes, "label")
+        return class_average_precision(items, classes, ["_key"]).drop("_key")
     keys = list(keys)
     by_class = [*keys, "label"]
     names = [*by_class, "id", "vector"]
@@ -161,22 +172,27 @@ def class_average_precision(items: DataFrame, classes: DataFrame, keys=()) -> Da
     )
     rated = everyone.where(F.col("own_score").isNotNull())
 
-    thresholds = rated.groupBy(*by_class, F.col("own_score").alias("score")).agg(
-        F.count("*").alias("positives")
-    )
-    chunk_count = thresholds.groupBy(*by_class).agg(
-        F.ceil(F.count("*") / THRESHOLD_ROWS).alias("chunks"),
-        F.sum("positives").alias("class_items"),
+    # A class has at most as many thresholds as items, which are quicker to count.
+    chunk_count = items.groupBy(*by_class).agg(
+        F.ceil(F.count("*") / THRESHOLD_ROWS).alias("chunks")
     )
     chunk = F.pmod(F.xxhash64("score"), F.col("chunks")).alias("chunk")
     chunks = (
-        thresholds.join(chunk_count, by_class)
+        rated.groupBy(*by_class, F.col("own_score").alias("score"))
+        .agg(F.count("*").alias("positives"))
+        .join(chunk_count, by_class)
         .groupBy(*by_class, chunk)
         .agg(F.collect_list(F.struct("score", "positives")).alias("thresholds"))
         .join(classes.select(*by_class, "vector"), by_class)
     )
     pairs = pair_blocks(
-        everyone, chunks, keys, ["id"], ["label", "chunk"], BLOCK_ROWS, CLASS_ROWS, counted=items
+        everyone,
+        chunks,
+        keys,
+        ["id"],
+        ["label", "chunk"],
+        _blocks(items, keys, BLOCK_ROWS),
+        chunk_count.groupBy(*keys).agg(F.ceil(F.sum("chunks") / CLASS_ROWS).alias("blocks")),
     )
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
