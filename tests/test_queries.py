@@ -4,6 +4,7 @@ import math
 
 import duckdb
 import pytest
+from conftest import plan
 
 import __spark_entry__ as entry
 
@@ -36,6 +37,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, FOLDER)
+    executed = plan(df)
+    assert "CartesianProduct" not in executed and "NestedLoop" not in executed
     columns = sorted(df.columns)
     found = sorted((tuple(value(r[c]) for c in columns) for r in df.collect()), key=repr)
     answer = duck.sql(entry.oracle_sql()[name])

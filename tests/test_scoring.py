@@ -144,3 +144,10 @@ def test_best_columns_takes_ties_by_column():
     scores = np.array([[1.0, 3.0, 3.0, 3.0, 2.0], [0.0, 0.0, 0.0, 0.0, 0.0]])
     assert best_columns(scores, 2).tolist() == [[1, 2], [0, 1]]
     assert best_columns(scores, 9).tolist() == [[1, 2, 3, 4, 0], [0, 1, 2, 3, 4]]
+
+
+def test_best_columns_of_many():
+    scores = np.random.default_rng(1).integers(0, 9, size=(40, 60)).astype(float)
+    brute = [sorted(range(60), key=lambda c: (-row[c], c)) for row in scores]
+    for k in (1, 5, 33, 60, 70):
+        assert best_columns(scores, k).tolist() == [b[:k] for b in brute]

@@ -312,7 +312,7 @@ SELECTS = {
         SELECT file_name, NULL AS model, NULL AS pretrained, NULL AS task_type, NULL AS benchmark
         FROM listing WHERE starts_with(file_name, 'log_')
         UNION ALL SELECT file_name, model, pretrained, task_type, benchmark FROM parsed""",
-    "expected_names": f"""
+    "expected_name": f"""
         SELECT {KEYS}, benchmark || '_' || pretrained || '_' || model || '_en_' || task_type || '.json' AS file_name
         FROM grid""",
     "unmatched_files": """
@@ -361,7 +361,7 @@ SELECTS = {
         SELECT {KEYS} FROM (SELECT *, row_number() OVER (PARTITION BY model, pretrained
                                        ORDER BY task_type, benchmark) AS n
                             FROM ledger WHERE status = 'pending') WHERE n <= 3""",
-    "group_labels": """
+    "group_label": """
         SELECT model, pretrained, replace('eval/group-' || model || '-' || pretrained, '/', '-') AS label
         FROM parts""",
     "run_summary": """

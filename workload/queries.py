@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridledger.functions import models as model_functions
+from gridledger.functions import names
 from gridledger.functions.documents import with_metrics
-from gridledger.functions.names import expected_name, file_name, group_label
 from gridledger.functions.times import iso_timestamp
 from gridledger.operators import catalog, matching, metrics, planning, scoring
 from gridledger.operators import ledger as L
@@ -65,7 +65,7 @@ def _latest_documents(c) -> DataFrame:
     latest = c.documents().groupBy(KEYS).agg(
         F.max(F.struct("mtime", "result_file", "doc")).alias("latest")
     )
-    return latest.select("task_type", expected_name().alias("file_name"), "latest.doc")
+    return latest.select("task_type", names.expected_name().alias("file_name"), "latest.doc")
 
 
 @query
@@ -177,8 +177,8 @@ def filename_parse(c):
 
 
 @query
-def expected_names(c):
-    return c.grid().select(*KEYS, expected_name().alias("file_name"))
+def expected_name(c):
+    return c.grid().select(*KEYS, names.expected_name().alias("file_name"))
 
 
 @query
@@ -289,8 +289,8 @@ def first_n_per_group(c):
 
 
 @query
-def group_labels(c):
-    return c.models().select("model", "pretrained", group_label("eval/group").alias("label"))
+def group_label(c):
+    return c.models().select("model", "pretrained", names.group_label("eval/group").alias("label"))
 
 
 @query
@@ -335,8 +335,8 @@ def incremental_ingest(c):
         write_documents(arrived, f"{work}/store")
         ingest_new_files(c.spark, f"{work}/store", f"{work}/facts", f"{work}/checkpoint")
     facts = read_facts(c.spark, f"{work}/facts")
-    name = file_name("result_file").alias("file_name")
-    return ledger_from_facts(L.new_ledger(c.grid()), facts).select(*KEYS, name, "status")
+    file_name = names.file_name("result_file").alias("file_name")
+    return ledger_from_facts(L.new_ledger(c.grid()), facts).select(*KEYS, file_name, "status")
 
 
 # --- evaluation -----------------------------------------------------------------------
