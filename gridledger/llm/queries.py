@@ -6,16 +6,82 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridledger.llm import minhash
+from gridledger.llm import chat, embeddings, minhash, mixing, sharding
 from gridledger.llm.common import table
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(chat.with_example(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sharding": op1_sharding,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op5_source_mixing": op5_source_mixing,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_chat_formatting": op7_chat_formatting,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+
+def _mixing_sql() -> str:
+    """The same takes by running sums in the order of the hash."""
+    passes = ""
+    for k in range(mixing.PASSES):
+        before = f"p{k - 1}" if k else "start"
+        room = f"room{k}"
+        opened = "NOT taken" + (f" AND size <= {room}" if k else "")
+        passes += f""",
+o{k} AS (SELECT *, sum(CASE WHEN {opened} THEN size ELSE 0 END)
+                   OVER (PARTITION BY source ORDER BY digits RANGE UNBOUNDED PRECEDING) AS t{k} FROM {before}),
+p{k} AS (SELECT * REPLACE (taken OR ({opened} AND t{k} <= {room}) AS taken),
+                {room} - coalesce(max(CASE WHEN {opened} AND t{k} <= {room} THEN t{k} END)
+                                  OVER (PARTITION BY source), 0) AS room{k + 1} FROM o{k})"""
+    weights = "[" + ", ".join(map(str, mixing.WEIGHTS)) + "]"
+    return f"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+         substr(md5(coalesce(CAST(doc_id AS VARCHAR), '-') || '|' || coalesce(md5(text), '-')), 1, {mixing.DIGITS}) AS digits
+  FROM documents),
+sources AS (SELECT source, sum(size) AS source_size FROM sized GROUP BY source),
+ranked AS (
+  SELECT source, source_size, {mixing.EPOCHS} * source_size AS bound,
+         {weights}[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)}] AS weight
+  FROM sources),
+levels AS (
+  SELECT *, (sum(source_size) OVER () * {mixing.SHARE / 100}::DOUBLE - coalesce(sum(bound) OVER before, 0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM ranked
+  WINDOW before AS (ORDER BY bound::DOUBLE / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+lowest AS (
+  SELECT *, first_value(CASE WHEN level * weight <= bound THEN level END IGNORE NULLS) OVER (
+            ORDER BY bound::DOUBLE / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cut
+  FROM levels),
+targets AS (
+  SELECT source, source_size, CASE WHEN cut IS NULL THEN bound::DOUBLE ELSE least(cut * weight, bound::DOUBLE) END AS target
+  FROM lowest),
+start AS (
+  SELECT s.*, t.source_size, t.target, false AS taken,
+         CASE WHEN t.target >= t.source_size THEN t.target - t.source_size ELSE t.target END AS room0
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source){passes}
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
+       CAST(size * (CAST(taken AS INT) + CAST(target >= source_size AS INT)) AS BIGINT) AS taken
+FROM p{mixing.PASSES - 1}"""
+
+
+ORACLE_SQL: dict[str, str] = {"op5_source_mixing": _mixing_sql()}
