@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridledger.llm import chat, embeddings, minhash, mixing, sharding
+from gridledger.llm import chat, embeddings, language, minhash, mixing, quality, sharding
 from gridledger.llm.common import table
 
 
@@ -30,12 +30,22 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.with_example(table(spark, sf_dir, "conversations")))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predicted(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op5_source_mixing": op5_source_mixing,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_chat_formatting": op7_chat_formatting,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op10_language_id": op10_language_id,
 }
 
 
