@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridledger.llm import chat, embeddings, language, minhash, mixing, quality, sharding
+from gridledger.llm import chat, embeddings, language, minhash, mixing, packing, quality, sharding
 from gridledger.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predicted(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_packing": op9_packing,
     "op10_language_id": op10_language_id,
 }
 
