@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridledger.llm import chat, embeddings, language, minhash, mixing, packing, quality, sharding
+from gridledger.llm import chat, embeddings, language, minhash, mixing, packing, quality, sharding, spotsigs
 from gridledger.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -44,6 +48,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op5_source_mixing": op5_source_mixing,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
