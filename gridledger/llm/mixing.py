@@ -76,6 +76,11 @@ def source_targets(rows: DataFrame) -> DataFrame:
     return ranked.select("source", "source_size", target.alias("target"))
 
 
+def _once() -> Column:
+    """True for sources all of whose rows are taken once, and some a second time."""
+    return F.col("target") >= F.col("source_size")
+
+
 def _with(df: DataFrame, facts: DataFrame, few: bool) -> DataFrame:
     """``df`` joined with facts of each source, sent to all tasks only if they are few; null is a source."""
     facts = facts.withColumnRenamed("source", "_source")
@@ -107,38 +112,57 @@ def _threshold(rows: DataFrame, budgets: DataFrame, few: bool) -> DataFrame:
     return state
 
 
+class Mix:
+    """The takes of a mix: which rows of ``sized`` are taken, and how often."""
+
+    def __init__(self, rows: DataFrame) -> None:
+        self.targets = saved(source_targets(rows), "targets")
+        self.few = row_bound(self.targets)
+        room = F.when(_once(), F.col("target") - F.col("source_size")).otherwise(F.col("target"))
+        budgets, open_rows = self.targets.select("source", room.alias("room")), rows
+        self.cuts: list[DataFrame] = []
+        for number in range(PASSES):
+            if number:
+                # Rows above the cut that still fit are open for what the pass before has left.
+                cut = self.cuts[-1]
+                budgets = cut.select("source", (F.col("room") - F.col("used")).alias("room"))
+                kept = (F.col("digits") >= F.col("cut")) & (F.col("size") <= F.col("room") - F.col("used"))
+                open_rows = _with(open_rows, cut, self.few).filter(kept).select("source", "size", "digits")
+                open_rows = saved(open_rows, "open")
+            self.cuts.append(_threshold(open_rows, budgets, self.few))
+
+    def with_copies(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (source, size, digits and others) with source_size, target and copies."""
+        taken, names = F.lit(False), []
+        for number, cut in enumerate(self.cuts):
+            names = f"_room{number}", f"_cut{number}"
+            cut = cut.select("source", F.col("room").alias(names[0]), F.col("cut").alias(names[1]))
+            rows = _with(rows, cut, self.few)
+            # A row is taken by the first pass that it fits into and whose cut it lies below.
+            fits = F.col("size") <= F.col(names[0]) if number else F.lit(True)
+            taken = taken | (fits & (F.col(names[1]).isNull() | (F.col("digits") < F.col(names[1]))))
+        rows = _with(rows.withColumn("_taken", taken), self.targets, self.few)
+        rows = rows.withColumn("copies", F.col("_taken").cast("int") + _once().cast("int"))
+        return rows.drop("_taken", *(f"_{kind}{k}" for k in range(PASSES) for kind in ("room", "cut")))
+
+
 def mix(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, source, digits, copies) for each row of ``docs``."""
+    """(doc_id, size, source_size, target, taken) for each row of ``docs``."""
     rows = saved(sized(docs), "sized")
-    targets = saved(source_targets(rows), "targets")
-    few = row_bound(targets)
-    once = F.col("target") >= F.col("source_size")
-    room = F.when(once, F.col("target") - F.col("source_size")).otherwise(F.col("target"))
-    budgets, open_rows, cuts = targets.select("source", room.alias("room")), rows, []
-    for number in range(PASSES):
-        if number:
-            # Rows above the cut that still fit are open for what the pass before has left.
-            cut = cuts[-1]
-            budgets = cut.select("source", (F.col("room") - F.col("used")).alias("room"))
-            kept = (F.col("digits") >= F.col("cut")) & (F.col("size") <= F.col("room") - F.col("used"))
-            open_rows = saved(_with(open_rows, cut, few).filter(kept).select(*rows.columns), "open")
-        cuts.append(_threshold(open_rows, budgets, few))
-    # A row is taken by the first pass that it fits into and whose cut it lies below.
-    out, taken = rows, F.lit(False)
-    for number, cut in enumerate(cuts):
-        names = f"room{number}", f"cut{number}"
-        out = _with(out, cut.select("source", F.col("room").alias(names[0]), F.col("cut").alias(names[1])), few)
-        fits = F.col("size") <= F.col(names[0]) if number else F.lit(True)
-        taken = taken | (fits & (F.col(names[1]).isNull() | (F.col("digits") < F.col(names[1]))))
-    out = _with(out, targets, few)
-    copies = taken.cast("int") + once.cast("int")
+    out = Mix(rows).with_copies(rows)
     return out.select(
-        "doc_id",
-        "size",
-        "source_size",
-        "target",
-        (F.col("size") * copies).cast("long").alias("taken"),
-        "source",
-        "digits",
-        copies.alias("copies"),
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken")
+    )
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it; all columns stay."""
+    rows = saved(sized(docs).select("source", "size", "digits"), "sized")
+    whole = docs.select(
+        F.struct("*").alias("row"),
+        F.col("source").cast("string").alias("source"),
+        words(F.col("text")).alias("size"),
+        own_hash(F.col("doc_id"), F.col("text")).alias("digits"),
     )
+    out = Mix(rows).with_copies(whole).filter("copies > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridledger.llm import chat, embeddings, language, minhash, mixing, packing, quality, sharding, spotsigs
+from gridledger.llm import chat, embeddings, language, lines, minhash, mixing, packing, quality, sharding, spotsigs
 from gridledger.llm.common import table
 
 
@@ -22,8 +22,12 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicated_lines(table(spark, sf_dir, "documents"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_document_fingerprints": op2_document_fingerprints,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_line_dedup": op4_line_dedup,
     "op5_source_mixing": op5_source_mixing,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_chat_formatting": op7_chat_formatting,
