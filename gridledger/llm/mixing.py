@@ -4,7 +4,8 @@ Every source has a budget of words. Rows are taken by a hash of their own: all r
 threshold. The threshold is found without sorting: words are summed by source and by the hash's
 first digits, the budget falls into one of these buckets, and only that boundary bucket is summed
 again by the next digits, until all digits are used. What is then left of the budget is smaller
-than the row at the threshold, so that a further pass over the rows that still fit fills it up.
+than the row at the threshold, so that further passes over the rows that still fit fill it up. In
+the end, one row more is taken if that brings the sum nearer to the budget than leaving it.
 
 Budgets are nested: a target up to the source's size takes rows once; beyond it, all rows are taken
 once and the rest of the target takes rows a second time.
@@ -81,11 +82,11 @@ def _once() -> Column:
     return F.col("target") >= F.col("source_size")
 
 
-def _with(df: DataFrame, facts: DataFrame, few: bool) -> DataFrame:
+def _with(df: DataFrame, facts: DataFrame, few: bool, how: str = "inner") -> DataFrame:
     """``df`` joined with facts of each source, sent to all tasks only if they are few; null is a source."""
     facts = facts.withColumnRenamed("source", "_source")
     facts = F.broadcast(facts) if few else facts
-    return df.join(facts, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    return df.join(facts, F.col("source").eqNullSafe(F.col("_source")), how).drop("_source")
 
 
 def _threshold(rows: DataFrame, budgets: DataFrame, few: bool) -> DataFrame:
@@ -130,20 +131,35 @@ class Mix:
                 open_rows = _with(open_rows, cut, self.few).filter(kept).select("source", "size", "digits")
                 open_rows = saved(open_rows, "open")
             self.cuts.append(_threshold(open_rows, budgets, self.few))
-
-    def with_copies(self, rows: DataFrame) -> DataFrame:
-        """``rows`` (source, size, digits and others) with source_size, target and copies."""
-        taken, names = F.lit(False), []
+        left = self.cuts[-1].select("source", (F.col("room") - F.col("used")).alias("left"))
+        rest = _with(self._with_taken(rows).filter("not _taken"), left, self.few)
+        rest = rest.filter("size > 0 and size < 2 * left").groupBy("source", "digits")
+        rest = rest.agg(F.sum("size").alias("size"), F.first("left").alias("left")).filter("size < 2 * left")
+        last = F.min(F.struct(F.abs(F.col("size") - F.col("left")).alias("off"), "digits"))
+        last = rest.groupBy("source").agg(last.alias("last"))
+        self.last = saved(last.select("source", F.col("last.digits").alias("_last")), "last")
+
+    def _with_taken(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with whether the passes take them.
+
+        A row is taken by the first pass that it fits into and whose cut it lies below.
+        """
+        taken = F.lit(False)
         for number, cut in enumerate(self.cuts):
             names = f"_room{number}", f"_cut{number}"
             cut = cut.select("source", F.col("room").alias(names[0]), F.col("cut").alias(names[1]))
             rows = _with(rows, cut, self.few)
-            # A row is taken by the first pass that it fits into and whose cut it lies below.
             fits = F.col("size") <= F.col(names[0]) if number else F.lit(True)
             taken = taken | (fits & (F.col(names[1]).isNull() | (F.col("digits") < F.col(names[1]))))
-        rows = _with(rows.withColumn("_taken", taken), self.targets, self.few)
-        rows = rows.withColumn("copies", F.col("_taken").cast("int") + _once().cast("int"))
-        return rows.drop("_taken", *(f"_{kind}{k}" for k in range(PASSES) for kind in ("room", "cut")))
+        names = [f"_{kind}{k}" for k in range(PASSES) for kind in ("room", "cut")]
+        return rows.withColumn("_taken", taken).drop(*names)
+
+    def with_copies(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (source, size, digits and others) with source_size, target and copies."""
+        rows = _with(self._with_taken(rows), self.targets, self.few)
+        rows = _with(rows, self.last, self.few, "left")
+        taken = F.col("_taken") | F.coalesce(F.col("digits") == F.col("_last"), F.lit(False))
+        return rows.withColumn("copies", taken.cast("int") + _once().cast("int")).drop("_taken", "_last")
 
 
 def mix(docs: DataFrame) -> DataFrame:

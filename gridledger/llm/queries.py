@@ -77,6 +77,7 @@ o{k} AS (SELECT *, sum(CASE WHEN {opened} THEN size ELSE 0 END)
 p{k} AS (SELECT * REPLACE (taken OR ({opened} AND t{k} <= {room}) AS taken),
                 {room} - coalesce(max(CASE WHEN {opened} AND t{k} <= {room} THEN t{k} END)
                                   OVER (PARTITION BY source), 0) AS room{k + 1} FROM o{k})"""
+    end, room = f"p{mixing.PASSES - 1}", f"room{mixing.PASSES}"
     weights = "[" + ", ".join(map(str, mixing.WEIGHTS)) + "]"
     return f"""
 WITH sized AS (
@@ -103,10 +104,18 @@ targets AS (
 start AS (
   SELECT s.*, t.source_size, t.target, false AS taken,
          CASE WHEN t.target >= t.source_size THEN t.target - t.source_size ELSE t.target END AS room0
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source){passes}
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source){passes},
+cells AS (
+  SELECT source, digits, sum(size) AS cell, any_value({room}) AS room
+  FROM {end} WHERE NOT taken AND size > 0 AND size < 2 * {room} GROUP BY source, digits),
+last AS (
+  SELECT source, arg_min(digits, (abs(cell - room), digits)) AS digits FROM cells WHERE cell < 2 * room GROUP BY source),
+done AS (
+  SELECT e.* REPLACE (e.taken OR coalesce(e.digits = l.digits, false) AS taken)
+  FROM {end} e LEFT JOIN last l ON e.source IS NOT DISTINCT FROM l.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
        CAST(size * (CAST(taken AS INT) + CAST(target >= source_size AS INT)) AS BIGINT) AS taken
-FROM p{mixing.PASSES - 1}"""
+FROM done"""
 
 
 ORACLE_SQL: dict[str, str] = {"op5_source_mixing": _mixing_sql()}

@@ -1,0 +1,201 @@
+"""Near-duplicate documents, lines and vectors against brute force, and components."""
+
+import random
+
+import numpy as np
+import pytest
+from conftest import rows
+
+from brute import FOLDER, ROWS, first_lines, groups, roots, word_set
+from gridledger.llm import embeddings, lines, linking, minhash
+from gridledger.llm.components import components
+
+
+def test_components(spark):
+    random.seed(5)
+    links = [(i, i + 1) for i in range(60)] + [(random.randrange(100, 200), random.randrange(100, 200)) for _ in range(70)]
+    links += [(500, 500), (None, 4), (701, 700), (700, 701)]
+    found = components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()
+    real = [(a, b) for a, b in links if a is not None and a != b]
+    expected = roots({x for link in real for x in link}, real)
+    assert {r.node: r.component for r in found} == expected and len(found) == len(expected)
+    assert rows(components(spark.createDataFrame([], "a long, b long"), "a", "b")) == []
+
+
+def test_signature_estimates_and_bands():
+    rng = np.random.default_rng(1)
+    close = []
+    for _ in range(40):
+        shared, a, b = rng.integers(0, 1 << 32, 300), rng.integers(0, 1 << 32, 50), rng.integers(0, 1 << 32, 50)
+        x, y = (np.unique(np.concatenate([shared, z])).astype(np.uint32) for z in (a, b))
+        found = linking.minima(np.concatenate([x, y]), np.array([0, len(x)]), 128)
+        close.append((found[0] == found[1]).mean())
+        keys = linking.bands(found, 4)
+        assert (keys[0] == keys[1]).any()
+        alone = linking.minima(y, np.array([0]), 128)
+        assert (alone[0] == found[1]).all()
+    assert abs(np.mean(close) - 300 / 400) < 0.02
+
+
+def test_exact_pairs_across_blocks():
+    sets = [np.array(x, np.uint64) for x in ([1, 2, 3, 4], [1, 2, 3, 4, 5], [9], [], [1, 2, 3])]
+    block = np.array([0, 1, 0, 1, 0])
+    assert list(zip(*linking.exact_pairs(sets, block, False, 75))) == [(0, 1), (0, 4)]
+    assert list(zip(*linking.exact_pairs(sets, block, True, 75))) == [(0, 1)]
+
+
+EDGES = [
+    (1, None),
+    (2, ""),
+    (3, " \n\t "),
+    (4, "few words"),
+    (9, "FEW  words\n"),
+    (5, "w " * 30_000),
+    (6, " ".join(f"x{i}" for i in range(100))),
+    (7, " ".join(f"x{i}" for i in range(98)) + " y z"),
+    (8, " ".join(f"x{i}" for i in range(50))),
+    (10, "few words"),  # not ASCII white space: one word
+    (11, "É é"),
+    (12, "é é"),  # other letters keep their case
+    (9, "FEW  words\n"),
+    (None, "few words"),
+]
+
+
+def test_documents(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    own = {r.doc_id + 100: r.text for r in docs.collect()}
+    table = spark.createDataFrame([*EDGES, *own.items()], "doc_id long, text string")
+    sets = {d: word_set(t) for d, t in [*EDGES, *own.items()] if d is not None}
+    expected = groups(sets)
+    found = minhash.near_documents(table.withColumnsRenamed({"doc_id": "doc_id"}).selectExpr("*", "1 AS size", "2 AS id", "3 AS component_id")).collect()
+    assert len(found) == len(EDGES) + len(own)
+    for r in found:
+        if r.doc_id is None:
+            assert (r.n_shingles, r.component_id, r.kept) == (1, None, True)
+        else:
+            assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), expected[r.doc_id])
+            assert r.kept == (r.doc_id == r.component_id)
+    assert expected[9] == 4 and expected[7] == 6 and expected[8] == 8 and expected[12] == 12
+
+
+def test_one_document_of_each_group_stays(spark):
+    a, b = " ".join(map(str, range(40))), " ".join(map(str, range(40, 80)))
+    data = [(3, a, "en", "s", 1), (1, a, None, None, None), (2, b, "en", "s", 1), (2, a, "en", "s", 1), (None, a, "x", "y", 2), (7, "", "", "", 0), (8, None, "", "", 0)]
+    # The two texts of document 2 are one document, which so is near 1 with both.
+    kept = minhash.keep_one(spark.createDataFrame(data, ROWS).selectExpr("*", "0 AS gone", "'x' AS digest"))
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 7, 8]
+    assert kept.columns == [*(c.split()[0] for c in ROWS.split(", ")), "gone", "digest"]
+
+
+def test_blocks_of_a_large_group(spark, monkeypatch):
+    """Many near copies, in several blocks, which no single document is near to."""
+    monkeypatch.setattr(linking, "SET_BLOCK", 16)
+    monkeypatch.setattr(linking, "SIGNATURE_BLOCK", 8)
+    rng = random.Random(2)
+    base = [f"w{i}" for i in range(120)]
+    docs = []
+    for d in range(70):
+        words = list(base)
+        for k in rng.sample(range(120), 3):
+            words[k] = f"v{rng.randrange(10**6)}"
+        docs.append((d, " ".join(words)))
+    found = minhash.near_documents(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in found.collect()} == groups({d: word_set(t) for d, t in docs})
+
+
+def test_no_documents(spark):
+    empty = spark.createDataFrame([], ROWS)
+    assert rows(minhash.near_documents(empty)) == [] and rows(lines.deduplicated_lines(empty)) == []
+    assert rows(lines.drop_lines(empty)) == []
+
+
+def test_lines(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    docs += [
+        (1001, "One line that is here and in the next document.\n\n  \nshort\nabc"),
+        (1002, "one line that is here and in the  next document!\nSHORT\n\nabd\nown line of this document"),
+        (1003, "short\nabc"),
+        (1004, ""),
+        (1005, "\n"),
+        (1006, "long " * 20_000 + "\nlong " * 3),
+    ]
+    others = [(None, "short\nabc"), (1007, None)]
+    table = spark.createDataFrame([*docs, *others], "doc_id long, text string")
+    found = lines.deduplicated_lines(table.selectExpr("*", "5 AS line", "6 AS id", "7 AS done")).collect()
+    expected = first_lines(docs)
+    assert len(found) == len(docs) + 2
+    for r in found:
+        if r.doc_id is None or r.doc_id == 1007:
+            assert r.text == (None if r.doc_id else "short\nabc") and r.n_lines == r.n_kept
+        else:
+            assert r.text == expected[r.doc_id] and r.n_kept <= r.n_lines
+    assert expected[1002] == "\nabd\nown line of this document" and expected[1003] == ""
+    # As a stage: documents that have nothing left go, blank ones stay, other columns too.
+    stage = lines.drop_lines(table.selectExpr("*", "length(text) AS n_chars", "'k' AS row"))
+    left = {r.doc_id: r for r in stage.collect()}
+    gone = {d for d, t in docs if t.strip() and not expected[d].strip()}
+    assert 1003 in gone and set(left) == {d for d, _ in [*docs, *others]} - gone
+    assert stage.columns == ["doc_id", "text", "n_chars", "row"]
+    assert left[1002].n_chars == len(expected[1002]) and left[1002].row == "k" and left[1007].text is None
+
+
+def test_repeated_rows_of_lines(spark):
+    text = "a line of some length\nand another one of them"
+    found = lines.deduplicated_lines(spark.createDataFrame([(1, text), (1, text), (2, text)], "doc_id long, text string"))
+    assert sorted((r.doc_id, r.n_kept) for r in found.collect()) == [(1, 2), (1, 2), (2, 0)]
+
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def brute_vectors(data, threshold=0.98):
+    good = {}
+    for n, (vec_id, v, label) in enumerate(data):
+        if vec_id is not None and label is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            x = np.array(v, np.float32).astype(float)
+            good[n] = (label, x / np.sqrt((x * x).sum()))
+    links = [
+        (a, b)
+        for a in good
+        for b in good
+        if a < b and good[a][0] == good[b][0] and len(good[a][1]) == len(good[b][1]) and good[a][1] @ good[b][1] >= threshold
+    ]
+    found = roots(range(len(data)), links)
+    least = {}
+    for n, root in found.items():
+        if data[n][0] is not None:
+            least[root] = min(least.get(root, data[n][0]), data[n][0])
+    count = np.bincount(np.array(links, int).ravel(), minlength=len(data))
+    return sorted(
+        ((d[0], int(count[n]), least[found[n]] if d[0] is not None else None, d[0] is None or least[found[n]] == d[0]) for n, d in enumerate(data)),
+        key=repr,
+    )
+
+
+def test_vectors(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "TILE", 16)
+    rng = np.random.default_rng(3)
+    data = []
+    for label in range(3):
+        centres = rng.normal(size=(6, 16))
+        for n in range(60):
+            v = centres[n % 6] + rng.normal(size=16) * rng.choice([0.02, 0.13, 0.2])
+            data.append((1000 * label + 3 * n, [float(x) for x in v.astype(np.float32)], label))
+    data += [(5000 + n, [1.0, 2.0], 1) for n in range(20)]  # copies, of another dimension
+    data += [(6000, [2e30, 4e30], 1), (6001, [1e-30, 2e-30], 1), (6002, [-0.0, 1.0], 1), (6003, [0.0, 1.0], 1)]
+    data += [(6010, None, 1), (6011, [], 1), (6012, [0.0, 0.0], 1), (6013, [1.0, None], 1), (6014, [float("nan"), 1.0], 1)]
+    data += [(6015, [float("inf"), 1.0], 1), (6016, [1.0, 2.0], None), (None, [1.0, 2.0], 1), (6003, [0.0, 1.0], 1)]
+    table = spark.createDataFrame(data, VECTORS).selectExpr("*", "1 AS n", "'x' AS digest", "0 AS id")
+    assert rows(embeddings.near_vectors(table)) == brute_vectors(data)
+    assert rows(embeddings.near_vectors(spark.createDataFrame([], VECTORS))) == []
+
+
+@pytest.mark.parametrize("width", [3, 64, 1500])
+def test_error_bounds_hold(width):
+    rng = np.random.default_rng(width)
+    x = embeddings.unit(rng.normal(size=(60, width)) * rng.choice([1e-3, 1, 50], size=(60, width)))
+    q, scale, rest = embeddings.quantised(x)
+    near = embeddings.whole_products(q, q) * scale[:, None] * scale[None, :]
+    assert (embeddings.whole_products(q, q) == q.astype(np.int64) @ q.astype(np.int64).T).all()
+    assert (np.abs(near - x @ x.T) <= rest[:, None] * (1 + rest[None, :]) + rest[None, :]).all()
