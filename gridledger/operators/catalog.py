@@ -67,23 +67,25 @@ def benchmark_catalog(base: DataFrame, mapping: DataFrame) -> DataFrame:
 def pair_grid(models: DataFrame, benchmarks: DataFrame) -> DataFrame:
     """Every (model, pretrained) with every (task_type, benchmark).
 
-    The result is as large as it must be; what costs is how the catalog reaches the models. A
-    catalog of checked size is one block, sent whole. A larger one is cut into blocks, and each
-    model meets every block by its number. Models are few bytes in few partitions, but each makes
-    many rows, so they are spread over as many tasks as a shuffle has.
+    The result is the product of two tables, and as large as it must be; what costs is how the
+    catalog reaches the models. A catalog of checked size is sent whole. A larger one is cut into
+    blocks, each of which meets the models in as many parts as a shuffle has. Models are few bytes in
+    few partitions, but each makes many rows, so they are spread over as many tasks.
     """
     benchmarks = benchmarks.select("task_type", "benchmark")
-    small = row_bound(benchmarks)
-    blocks = 1 if small else math.ceil(benchmarks.count() / CATALOG_BLOCK)
-    number = F.pmod(F.xxhash64("task_type", "benchmark"), F.lit(blocks))
-    numbered = benchmarks.withColumn("block", number)
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
     tasks = int(models.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = models.select(GROUP).repartition(tasks, *GROUP)
-    met = spread.select(*GROUP, every.alias("block")).join(
-        F.broadcast(numbered) if small else numbered, "block"
-    )
-    return met.select(KEYS)
+    if row_bound(benchmarks):
+        return spread.crossJoin(F.broadcast(benchmarks)).select(KEYS)
+    blocks = math.ceil(benchmarks.count() / CATALOG_BLOCK)
+    part, block = F.pmod(F.xxhash64(*GROUP), F.lit(tasks)), F.pmod(F.xxhash64("task_type", "benchmark"), F.lit(blocks))
+
+    def every(count: int):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
+
+    left = spread.select(*GROUP, part.alias("part")).select("*", every(blocks).alias("block"))
+    right = benchmarks.select("*", block.alias("block")).select("*", every(tasks).alias("part"))
+    return left.join(right, ["block", "part"]).select(KEYS)
 
 
 def with_dataset_config(df: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -102,6 +104,8 @@ def with_dataset_config(df: DataFrame, mapping: DataFrame) -> DataFrame:
         F.col("dataset_root").alias("_root"),
         F.col("task").alias("_task"),
     )
+    # The mapping has a row per named dataset; it goes to the rows unless it has grown beyond that.
+    known = F.broadcast(known) if row_bound(known) else known
     same = (section == F.col("_section")) & (F.col("benchmark") == F.col("_name"))
     return df.join(known, same, "left").select(
         *df.columns,

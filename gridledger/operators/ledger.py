@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridledger.functions.names import expected_name
 from gridledger.functions.times import iso_timestamp
 from gridledger.schemas import COMPLETED, KEYS, LEDGER_COLUMNS, PENDING
 
@@ -41,18 +42,22 @@ def latest_results(results: DataFrame) -> DataFrame:
     return results.groupBy(KEYS).agg(latest).select(*KEYS, "latest.*")
 
 
-def upsert(ledger: DataFrame, results: DataFrame) -> DataFrame:
-    """Mark the cells that have results (key, result_file, mtime) as completed.
+def latest_by_name(listing: DataFrame) -> DataFrame:
+    """The latest file of each name. Partial maxima are taken before the shuffle."""
+    latest = F.max(F.struct("mtime", "result_file")).alias("latest")
+    return listing.groupBy("file_name").agg(latest).select("file_name", "latest.*")
 
-    Results of unknown cells change nothing; completed cells never go back.
-    """
-    found = latest_results(results).select(
-        *KEYS,
+
+def _found() -> list[Column]:
+    return [
         F.col("result_file").alias("_file"),
         iso_timestamp("mtime").alias("_timestamp"),
         F.lit(COMPLETED).alias("_status"),
-    )
-    return ledger.join(found, KEYS, "left").select(
+    ]
+
+
+def _completed(joined: DataFrame) -> DataFrame:
+    return joined.select(
         *KEYS,
         F.coalesce("_file", "result_file").alias("result_file"),
         F.coalesce("_timestamp", "timestamp").alias("timestamp"),
@@ -60,6 +65,23 @@ def upsert(ledger: DataFrame, results: DataFrame) -> DataFrame:
     )
 
 
+def upsert(ledger: DataFrame, results: DataFrame) -> DataFrame:
+    """Mark the cells that have results (key, result_file, mtime) as completed.
+
+    Results of unknown cells change nothing; completed cells never go back.
+    """
+    return _completed(ledger.join(latest_results(results).select(*KEYS, *_found()), KEYS, "left"))
+
+
+def upsert_by_name(ledger: DataFrame, listing: DataFrame) -> DataFrame:
+    """Mark the cells whose expected file is in the listing as completed, by the latest of its name.
+
+    A name belongs to one cell (see `ambiguous_names`), so that one join by name is the upsert.
+    """
+    found = latest_by_name(listing).select(F.col("file_name").alias("_name"), *_found())
+    return _completed(ledger.join(found, expected_name() == F.col("_name"), "left"))
+
+
 def with_status(ledger: DataFrame, status: str) -> DataFrame:
     return ledger.where(F.col("status") == status)
 

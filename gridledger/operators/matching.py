@@ -40,12 +40,6 @@ def ambiguous_names(ledger: DataFrame) -> DataFrame:
     return cells.where(F.col("cells") > 1)
 
 
-def latest_by_name(listing: DataFrame) -> DataFrame:
-    """The latest file of each name. Partial maxima are taken before the shuffle."""
-    latest = F.max(F.struct("mtime", "result_file")).alias("latest")
-    return listing.groupBy("file_name").agg(latest).select("file_name", "latest.*")
-
-
 def match_by_name(ledger: DataFrame, listing: DataFrame) -> DataFrame:
     """Results whose file name is the one a ledger cell expects. Exact for every name."""
     return (

@@ -7,6 +7,7 @@ Documents have the columns result_file, error_class and metrics. They come from
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridledger.functions.names import file_name
 from gridledger.operators.ledger import completed_rows
 from gridledger.schemas import (
     CLASSIFICATION,
@@ -22,18 +23,22 @@ from gridledger.schemas import (
 def completed_documents(ledger: DataFrame, documents: DataFrame) -> DataFrame:
     """Completed ledger rows that name a file, with its metrics or the reason for none.
 
-    Empty files are not read at all, so a row without a document counts as missing.
+    Files are found by their name: a ledger may hold paths that are relative, or of another place or
+    scheme than the store's. Of several documents of one name the latest counts. A row without a
+    document counts as missing.
     """
     named = completed_rows(ledger).where(F.col("result_file") != "")
-    found = documents.select(
-        "result_file", "error_class", "metrics", F.lit(True).alias("_found")
+    latest = F.struct(*[c for c in ("mtime", "result_file") if c in documents.columns])
+    found = documents.groupBy(file_name("result_file").alias("_name")).agg(
+        F.max_by(F.struct("error_class", "metrics"), latest).alias("_found")
     )
-    lost = F.when(F.col("_found").isNull(), MISSING).otherwise(F.col("error_class"))
-    return (
-        named.join(found, "result_file", "left")
-        .withColumn("error_class", lost)
-        .withColumnRenamed("timestamp", "benchmark_run_at")
-        .select(*KEYS, "benchmark_run_at", "result_file", "error_class", "metrics")
+    error = F.when(F.col("_found").isNull(), MISSING).otherwise(F.col("_found.error_class"))
+    return named.join(found, file_name("result_file") == F.col("_name"), "left").select(
+        *KEYS,
+        F.col("timestamp").alias("benchmark_run_at"),
+        "result_file",
+        error.alias("error_class"),
+        F.col("_found.metrics").alias("metrics"),
     )
 
 

@@ -11,16 +11,31 @@ from gridledger.sinks.ledger import write_ledger
 from gridledger.sinks.metrics import write_metrics
 from gridledger.sources.ledger import read_ledger, read_ledger_csv
 from gridledger.sources.results import list_results, read_documents
-from gridledger.streaming.ingest import ingest_new_files, ledger_from_facts, read_facts
-from gridledger.versions import latest_version
+from gridledger.runtime import shared_folder
+from gridledger.schemas import KEYS, LEDGER_SCHEMA
+from gridledger.streaming.ingest import compact_facts, ingest_new_files, ledger_from_facts, read_facts
+from gridledger.versions import expire_versions, latest_version, next_version
+
+# Versions of the ledger that stay readable after a new one.
+KEPT_VERSIONS = 3
 
 
 @dataclass
 class Update:
-    """What an update found: the new ledger, and the files that no cell expects."""
+    """What an update found: the new ledger, the files that no cell expects (or, read by name, that
+    tell no key), and results whose key is not in the ledger."""
 
     ledger: DataFrame
     unexpected: DataFrame
+    orphans: DataFrame
+
+
+@dataclass
+class Change:
+    """What an init changes: cells that are new in the grid, and cells of the ledger that left it."""
+
+    added: DataFrame
+    dropped: DataFrame
 
 
 def _check_names(cells: DataFrame) -> None:
@@ -37,6 +52,14 @@ def import_ledger(spark: SparkSession, root: str, csv: str) -> DataFrame:
     return read_ledger(spark, root)
 
 
+def init_changes(spark: SparkSession, root: str, models: DataFrame, benchmarks: DataFrame) -> Change:
+    """What `init_tracking` with the same catalogs would add to the ledger and drop from it."""
+    grid = pair_grid(models, benchmarks)
+    known = latest_version(spark, root) is not None
+    old = read_ledger(spark, root) if known else spark.createDataFrame([], LEDGER_SCHEMA)
+    return Change(L.added_cells(grid, old), L.added_cells(old.select(KEYS), grid))
+
+
 def init_tracking(
     spark: SparkSession, root: str, models: DataFrame, benchmarks: DataFrame, force_reset=False
 ) -> DataFrame:
@@ -44,13 +67,15 @@ def init_tracking(
 
     Every cell must expect a file name of its own, or results could not be told apart.
     """
+    version = next_version(spark, root)
     grid = pair_grid(models, benchmarks)
     _check_names(grid)
     if force_reset or latest_version(spark, root) is None:
         rows = L.new_ledger(grid)
     else:
         rows = L.merge_ledger(grid, read_ledger(spark, root))
-    write_ledger(rows, root)
+    write_ledger(rows, root, version)
+    expire_versions(spark, root, KEPT_VERSIONS)
     return read_ledger(spark, root)
 
 
@@ -59,23 +84,36 @@ def update_tracking(spark: SparkSession, root: str, results: str, by_parsing=Fal
 
     Files are matched by the name each cell expects, or by reading names if ``by_parsing``.
     """
+    version = next_version(spark, root)
     ledger, listing = read_ledger(spark, root), list_results(spark, results)
+    parsed = matching.match_by_parsing(listing)
     if by_parsing:
-        found = matching.match_by_parsing(listing)
-        unexpected = matching.unmatched_files(listing)
+        updated, unexpected = L.upsert(ledger, parsed), matching.unmatched_files(listing)
     else:
-        found = matching.match_by_name(ledger, matching.latest_by_name(listing))
-        unexpected = matching.unexpected_files(ledger, listing)
-    write_ledger(L.upsert(ledger, found), root)
-    return Update(read_ledger(spark, root), unexpected)
+        updated, unexpected = L.upsert_by_name(ledger, listing), matching.unexpected_files(ledger, listing)
+    write_ledger(updated, root, version)
+    orphans = matching.orphan_results(parsed, ledger)
+    expire_versions(spark, root, KEPT_VERSIONS)
+    return Update(read_ledger(spark, root), unexpected, orphans)
 
 
 def update_tracking_incrementally(
-    spark: SparkSession, root: str, results: str, facts: str, checkpoint: str
+    spark: SparkSession,
+    root: str,
+    results: str,
+    facts: str,
+    checkpoint: str | None = None,
+    max_files: int | None = None,
 ) -> DataFrame:
-    """As `update_tracking`, but reads only the files that are new since the last call."""
-    ingest_new_files(spark, results, facts, checkpoint)
-    write_ledger(ledger_from_facts(read_ledger(spark, root), read_facts(spark, facts)), root)
+    """As `update_tracking`, but reads only the files that are new since the last call.
+
+    ``max_files`` bounds the files of a batch. The facts are kept as one folder.
+    """
+    version = next_version(spark, root)
+    ingest_new_files(spark, results, facts, checkpoint, max_files)
+    compact_facts(spark, facts)
+    write_ledger(ledger_from_facts(read_ledger(spark, root), read_facts(spark, facts)), root, version)
+    expire_versions(spark, root, KEPT_VERSIONS)
     return read_ledger(spark, root)
 
 
@@ -93,5 +131,9 @@ def parse_results(
     """
     documents = read_facts(spark, facts) if facts else read_documents(spark, results)
     completed = metrics.completed_documents(read_ledger(spark, root), documents)
+    # Read and parsed once, for the tables and for the errors that are returned.
+    kept = shared_folder(spark, "completed")
+    completed.write.parquet(kept)
+    completed = spark.read.schema(completed.schema).parquet(kept)
     write_metrics(completed, out, output_format)
     return metrics.parse_errors(completed)

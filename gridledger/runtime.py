@@ -5,6 +5,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark writes it in rows."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.makeQualified(target).toString()
+
+
+def file_store(path: str) -> tuple[fs.FileSystem, str]:
+    """The store of a path and the path within it, for tasks that list, read or write files."""
+    # A local path may be written as file:/path, file:///path or /path; s3a is Hadoop's name of s3.
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1) if path.startswith("s3a:") else path)
+
+
 def row_bound(df: DataFrame, bound: int = BROADCAST_ROWS) -> bool:
     """True if ``df`` has at most ``bound`` rows.
 

@@ -68,13 +68,15 @@ DATASET_MAPPING = T.MapType(T.StringType(), T.MapType(T.StringType(), DATASET_CO
 SECTION_OF_RETRIEVAL = "retrieval_datasets"
 SECTION_OF_CLASSIFICATION = "classification_datasets"
 
-# What streaming ingest stores per result file.
+# What ingest stores per reading of a result file.
 FACTS_SCHEMA = T.StructType(
     [
         T.StructField("result_file", T.StringType()),
         T.StructField("file_name", T.StringType()),
         T.StructField("mtime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
         T.StructField("error_class", T.StringType()),
         T.StructField("metrics", METRICS_SCHEMA),
+        T.StructField("read_at", T.TimestampType()),
     ]
 )

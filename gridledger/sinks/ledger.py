@@ -1,19 +1,25 @@
 from pyspark.sql import DataFrame
 
 from gridledger.schemas import GROUP, LEDGER_COLUMNS
-from gridledger.versions import next_version
+from gridledger.versions import new_folder, next_version, publish
 
 
-def write_ledger(ledger: DataFrame, root: str) -> str:
+def write_ledger(ledger: DataFrame, root: str, version: str | None = None) -> str:
     """Write a new version of the ledger and return its path.
 
-    Rows are kept in ranges of (model, pretrained), so that a reader of one group skips the
-    other row groups by their statistics.
+    ``version`` is the one that this write may become: the next one when the ledger it comes from was
+    read, or when this call began. Rows are kept in ranges of (model, pretrained) and sorted by them
+    within each file, so that a reader of one group skips the other files and row groups by their
+    statistics. The ranges are drawn from a sample, for which the rows are kept until written.
     """
-    path = next_version(ledger.sparkSession, root)
-    ranged = ledger.select(LEDGER_COLUMNS).repartitionByRange(*GROUP).sortWithinPartitions(*GROUP)
-    ranged.write.partitionBy("task_type").parquet(path)
-    return path
+    spark = ledger.sparkSession
+    version, folder = version or next_version(spark, root), new_folder(root)
+    rows = ledger.select(LEDGER_COLUMNS).persist()
+    ranged = rows.repartitionByRange(*GROUP).sortWithinPartitions("task_type", *GROUP)
+    ranged.write.partitionBy("task_type").parquet(folder)
+    rows.unpersist()
+    publish(spark, folder, version)
+    return version
 
 
 def write_ledger_csv(ledger: DataFrame, path: str) -> None:

@@ -1,7 +1,10 @@
-"""Incremental ingest: each result file is read once, and kept as a row of facts.
+"""Incremental ingest: each version of a result file is read once, and kept as a row of facts.
 
-The facts are all the state there is. A ledger is made from them by the same upsert as in
-batch, so late files, repeated files and replayed batches need no special case.
+The facts are all the state there is, and what the folder holds decides what is new: files whose path,
+time and length the facts don't have yet. A stream brings in what has arrived since the last call;
+its memory of files has gaps (files that come with an old time stamp, files that were written anew,
+empty files), so that a full listing is compared with the facts after it. A ledger is made from the
+facts by the same upsert as in batch.
 """
 
 import uuid
@@ -9,37 +12,43 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridledger.operators.ledger import upsert
-from gridledger.operators.matching import latest_by_name, match_by_name
+from gridledger.functions.names import file_name
+from gridledger.operators.ledger import upsert_by_name
 from gridledger.runtime import path_exists, session_setting
 from gridledger.schemas import FACTS_SCHEMA
-from gridledger.sources.results import FILES_SCHEMA, GLOB, parse_files
+from gridledger.sources.results import SUFFIX, list_results, parse_files, with_content
 
-def ingest_new_files(
-    spark: SparkSession,
-    folder: str,
-    facts: str,
-    checkpoint: str,
-    max_files: int | None = None,
-) -> None:
-    """Add the files that are new since the last call to the facts, then return.
+# Older files than this, against the newest one, would be passed over by the stream.
+_ANY_AGE = "36500d"
+_FILES_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
-    Batch n of a query writes ``facts/run=<query>/batch=<n>``. A replayed batch replaces its own
-    folder. A query that lost its checkpoint has a new id and replaces nothing.
-    """
+
+def _write(files: DataFrame, path: str) -> None:
+    rows = parse_files(files).withColumn("read_at", F.current_timestamp()).select(FACTS_SCHEMA.fieldNames())
+    # A task reads few small files; their rows are gathered into larger ones.
+    rows.repartition("file_name").write.mode("overwrite").parquet(path)
+
+
+def _ingest_stream(spark: SparkSession, folder: str, facts: str, checkpoint: str, max_files: int | None) -> None:
+    """Batch n of a query writes ``facts/run=<query>/batch=<n>``; a replayed one replaces its own folder."""
     name = f"ingest-{uuid.uuid4().hex}"
 
     def keep(batch: DataFrame, number: int) -> None:
         run = next(q.id for q in spark.streams.active if q.name == name)
-        rows = parse_files(batch).select(FACTS_SCHEMA.fieldNames())
-        # A task reads few small files; their rows are gathered into larger ones.
-        rows.repartition("file_name").write.mode("overwrite").parquet(f"{facts.rstrip('/')}/run={run}/batch={number}")
+        files = batch.select(
+            F.col("path").alias("result_file"),
+            file_name("path").alias("file_name"),
+            F.col("modificationTime").alias("mtime"),
+            "length",
+            "content",
+        )
+        _write(files, f"{facts.rstrip('/')}/run={run}/batch={number}")
 
-    reader = spark.readStream.format("binaryFile").schema(FILES_SCHEMA)
+    reader = spark.readStream.format("binaryFile").schema(_FILES_SCHEMA).option("maxFileAge", _ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     writer = (
-        reader.option("pathGlobFilter", GLOB)
+        reader.option("pathGlobFilter", f"*{SUFFIX}")
         .load(folder)
         .writeStream.queryName(name)
         .foreachBatch(keep)
@@ -52,17 +61,67 @@ def ingest_new_files(
         writer.start().awaitTermination()
 
 
-def read_facts(spark: SparkSession, facts: str) -> DataFrame:
-    """One row per result file: the latest one read. None before the first ingest."""
+def ingest_missing(spark: SparkSession, folder: str, facts: str, max_files: int | None = None) -> None:
+    """Read the files of the folder whose path, time and length the facts don't have."""
+    while True:
+        known = read_facts(spark, facts).select("result_file", "mtime", "length")
+        missing = list_results(spark, folder).join(known, ["result_file", "mtime", "length"], "left_anti")
+        if max_files:
+            missing = missing.orderBy("mtime", "result_file").limit(max_files)
+        missing = missing.persist()
+        found = missing.count()
+        if found:
+            _write(with_content(missing), f"{facts.rstrip('/')}/run=listing/batch={uuid.uuid4().hex}")
+        missing.unpersist()
+        if not found or not max_files or found < max_files:
+            return
+
+
+def ingest_new_files(
+    spark: SparkSession,
+    folder: str,
+    facts: str,
+    checkpoint: str | None = None,
+    max_files: int | None = None,
+) -> None:
+    """Add what is new in the folder to the facts, then return; nothing if there is no folder yet.
+
+    With a checkpoint, arrivals are read by a stream first. ``max_files`` bounds each batch.
+    """
+    if not path_exists(spark, folder):
+        return
+    if checkpoint:
+        _ingest_stream(spark, folder, facts, checkpoint, max_files)
+    ingest_missing(spark, folder, facts, max_files)
+
+
+def _last_readings(spark: SparkSession, facts: str) -> DataFrame:
     if not path_exists(spark, facts):
         return spark.createDataFrame([], FACTS_SCHEMA)
     rows = spark.read.schema(FACTS_SCHEMA).parquet(f"{facts.rstrip('/')}/run=*/batch=*")
-    others = [c for c in FACTS_SCHEMA.fieldNames() if c not in ("result_file", "mtime")]
-    latest = F.max_by(F.struct(*others), "mtime").alias("latest")
-    return rows.groupBy("result_file").agg(F.max("mtime").alias("mtime"), latest).select(
-        "result_file", "mtime", "latest.*"
-    )
+    others = [c for c in FACTS_SCHEMA.fieldNames() if c != "result_file"]
+    latest = F.max_by(F.struct(*others), F.struct("read_at", "mtime")).alias("latest")
+    return rows.groupBy("result_file").agg(latest).select("result_file", "latest.*")
+
+
+def read_facts(spark: SparkSession, facts: str) -> DataFrame:
+    """One row per result file: its last reading. None before the first ingest."""
+    return _last_readings(spark, facts).drop("read_at")
+
+
+def compact_facts(spark: SparkSession, facts: str) -> None:
+    """Put the last reading of each file into one folder, and drop the folders that it was made from."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(facts)
+    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(root):
+        return
+    old = [run.getPath() for run in store.listStatus(root) if run.getPath().getName().startswith("run=")]
+    new = f"{facts.rstrip('/')}/run=compact-{uuid.uuid4().hex}/batch=0"
+    _last_readings(spark, facts).write.parquet(new)
+    for path in old:
+        store.delete(path, True)
 
 
 def ledger_from_facts(ledger: DataFrame, facts: DataFrame) -> DataFrame:
-    return upsert(ledger, match_by_name(ledger, latest_by_name(facts)))
+    return upsert_by_name(ledger, facts)

@@ -1,24 +1,37 @@
-"""Versioned folders: each write makes a new one, readers take the newest complete one.
+"""Versioned folders: each write makes a new one, readers take the newest.
 
-A table can then be rewritten from itself, and a failed write leaves the old one in place.
+A table can then be rewritten from itself, and a failed write leaves the old one in place. A version
+is written under a name of its own and gets its number last; if another writer has taken that number
+meanwhile, what was written is based on an old version, and the write fails.
 """
 
+import re
+import uuid
+
 from pyspark.sql import SparkSession
 
+_NAME = re.compile(r"v(\d{8})")
+
+
+class VersionTaken(RuntimeError):
+    """Another writer made the next version first."""
+
+
+def _folder(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
 
 def _versions(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
     """(number, complete) of each version under ``root``."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(root)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
+    store, folder = _folder(spark, root)
+    if not store.exists(folder):
         return []
     found = []
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        if name.startswith("v"):
-            marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            found.append((int(name[1:]), fs.exists(marker)))
+    for status in store.listStatus(folder):
+        if name := _NAME.fullmatch(status.getPath().getName()):
+            marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            found.append((int(name[1]), store.exists(marker)))
     return sorted(found)
 
 
@@ -32,18 +45,42 @@ def latest_version(spark: SparkSession, root: str) -> str | None:
 
 
 def next_version(spark: SparkSession, root: str) -> str:
-    """Path for the next write; numbers of failed writes are not used again."""
+    """The version that a write which begins now may become."""
     versions = _versions(spark, root)
     return _path(root, versions[-1][0] + 1 if versions else 1)
 
 
+def new_folder(root: str) -> str:
+    """Where a version is written before it has a number."""
+    return f"{root.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+
+
+def publish(spark: SparkSession, written: str, version: str) -> None:
+    """Make what was written the given version, unless there is one already."""
+    store, target = _folder(spark, version)
+    _, source = _folder(spark, written)
+    claim = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_claim-{target.getName()}")
+    try:
+        store.create(claim, False).close()  # of writers at the same time one succeeds
+    except Exception as error:
+        store.delete(source, True)
+        raise VersionTaken(f"{version} is being made by another writer") from error
+    try:
+        if store.exists(target):
+            store.delete(source, True)
+            raise VersionTaken(f"{version} was made by another writer")
+        if not store.rename(source, target):
+            raise OSError(f"cannot rename {written} to {version}")
+    finally:
+        store.delete(claim, False)
+
+
 def expire_versions(spark: SparkSession, root: str, keep: int = 3) -> None:
-    """Delete all but the newest ``keep`` complete versions, and failed ones older than those."""
+    """Delete all but the newest ``keep`` complete versions, and incomplete ones older than those."""
     versions = _versions(spark, root)
     complete = [number for number, done in versions if done]
     oldest = complete[-keep] if len(complete) >= keep else 0
-    jvm = spark.sparkContext._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store, _ = _folder(spark, root)
     for number, _ in versions:
         if number < oldest:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(_path(root, number)), True)
+            store.delete(_folder(spark, _path(root, number))[1], True)

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from gridledger.operators import ledger as L
 from gridledger.operators import matching
-from gridledger.sources.results import list_results
-from gridledger.streaming.ingest import ingest_new_files, ledger_from_facts, read_facts
+from gridledger.sources.results import list_results, read_documents
+from gridledger.streaming.ingest import compact_facts, ingest_new_files, ledger_from_facts, read_facts
 
 KEY = "model string, pretrained string, task_type string, benchmark string"
 C = "zeroshot_classification"
@@ -71,6 +71,38 @@ def test_the_latest_reading_of_a_file_counts(spark, result_file, tmp_path):
     assert [r.metrics.acc1 for r in read_facts(spark, facts).collect()] == [0.9]
 
 
+def test_files_that_a_stream_passes_over(spark, result_file, tmp_path):
+    """Old time stamps, rewritten and empty files, a lost checkpoint: always the batch ledger."""
+    store, facts, checkpoint = [str(tmp_path / n) for n in ("results", "facts", "checkpoint")]
+
+    def check(checkpoint=checkpoint, max_files=None):
+        ingest_new_files(spark, store, facts, checkpoint, max_files)
+        batch = L.upsert(ledger(spark), matching.match_by_name(ledger(spark), list_results(spark, store)))
+        assert rows(ledger_from_facts(ledger(spark), read_facts(spark, facts))) == rows(batch)
+        read = rows(read_documents(spark, store).select("result_file", "error_class", "metrics"))
+        assert rows(read_facts(spark, facts).select("result_file", "error_class", "metrics")) == read
+        return {r.file_name: (r.error_class, r.metrics and r.metrics.acc1) for r in read_facts(spark, facts).collect()}
+
+    check()  # no folder yet
+    result_file(name("x", 0), '{"metrics": {"acc1": 0.1}}', "2025-06-01T00:00:00")
+    check()
+    result_file(name("x", 1), '{"metrics": {"acc1": 0.2}}', "2025-01-01T00:00:00")
+    result_file(name("x", 2), "", "2025-06-02T00:00:00")
+    found = check()
+    assert found[name("x", 1)] == (None, 0.2) and found[name("x", 2)][0] == "missing_or_empty"
+    result_file(name("x", 0), '{"metrics": {"acc1": 0.9}}', "2025-07-01T00:00:00")
+    assert check()[name("x", 0)] == (None, 0.9)
+    result_file(name("x", 0), '{"metrics": {"acc1": 0.33}}', "2024-01-01T00:00:00")  # an older copy put back
+    assert check()[name("x", 0)] == (None, 0.33)
+    for i in range(4):
+        result_file(name("y", i), "[]", f"2023-01-0{i + 1}T00:00:00")
+    check(checkpoint=None, max_files=2)
+    shutil.rmtree(checkpoint)
+    found = check(max_files=3)
+    compact_facts(spark, facts)
+    assert len(list((tmp_path / "facts").glob("run=*"))) == 1 and check() == found and len(found) == 7
+
+
 def test_session_settings_are_put_back(spark, result_file, tmp_path):
     setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     before = spark.conf.get(setting)

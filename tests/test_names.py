@@ -2,6 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from gridledger.operators.ledger import latest_by_name
 from gridledger.functions.names import expected_name, group_label, with_parsed_name
 from gridledger.operators import matching
 from gridledger.operators.catalog import default_mapping
@@ -87,7 +88,7 @@ def test_latest_by_name_with_one_name_in_a_third_of_the_files(spark):
         F.concat(F.lit("r/"), "id").alias("result_file"),
         F.timestamp_seconds((F.col("id") * 7919) % 5000).alias("mtime"),
     )
-    kept = {r.file_name: (r.mtime, r.result_file) for r in matching.latest_by_name(files).collect()}
+    kept = {r.file_name: (r.mtime, r.result_file) for r in latest_by_name(files).collect()}
     brute = {}
     for r in files.collect():
         brute[r.file_name] = max(brute.get(r.file_name, (r.mtime, r.result_file)), (r.mtime, r.result_file))

@@ -1,3 +1,4 @@
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 
@@ -5,6 +6,7 @@ from gridledger.operators import ledger as L
 from gridledger.plans.planning import load_pending_groups
 from gridledger.plans.tracking import (
     import_ledger,
+    init_changes,
     init_tracking,
     parse_results,
     update_tracking,
@@ -12,8 +14,9 @@ from gridledger.plans.tracking import (
 )
 from gridledger.runtime import shared_folder
 from gridledger.sinks.documents import write_documents
-from gridledger.sinks.ledger import write_ledger_csv
+from gridledger.sinks.ledger import write_ledger, write_ledger_csv
 from gridledger.sources.ledger import read_ledger
+from gridledger.versions import VersionTaken, next_version
 
 C, R = "zeroshot_classification", "zeroshot_retrieval"
 
@@ -57,7 +60,6 @@ def test_before_any_result(spark, catalogs, tmp_path):
     init_tracking(spark, root, *catalogs)
     update = update_tracking(spark, root, results)
     assert rows(L.status_counts(update.ledger)) == [(6, 0, 6)] and update.unexpected.isEmpty()
-    (tmp_path / "results").mkdir()
     found = update_tracking_incrementally(spark, root, results, str(tmp_path / "facts"), str(tmp_path / "checkpoint"))
     assert rows(L.status_counts(found)) == [(6, 0, 6)]
     assert parse_results(spark, root, results, out).isEmpty()
@@ -73,6 +75,57 @@ def test_update_by_parsing(spark, catalogs, result_file, tmp_path):
     update = update_tracking(spark, root, results, by_parsing=True)
     assert rows(L.status_counts(update.ledger)) == [(6, 1, 5)]
     assert [r.file_name for r in update.unexpected.collect()] == ["what.json"]
+    assert [r.benchmark for r in update.orphans.collect()] == ["fgvc"]  # a benchmark with _ is cut short
+
+
+def test_imported_ledgers_find_their_files(spark, result_file, tmp_path):
+    """Paths of a ledger may be relative, or of another place than the store."""
+    name = "pets_openai_RN50_en_zeroshot_classification.json"
+    result_file(name, '{"metrics": {"acc1": 0.5, "acc5": 0.75}}')
+    lines = ["model,pretrained,task_type,benchmark,result_file,timestamp,status"]
+    lines += [f"RN50,openai,{C},pets,results/{name},2025-01-01T00:00:00,completed"]
+    lines += [f"RN50,openai,{C},cars,s3://other/results/none.json,2025-01-01T00:00:00,completed", f"RN50,openai,{C},dtd,,,pending"]
+    (tmp_path / "old.csv").write_text("\n".join(lines) + "\n")
+    root, out = str(tmp_path / "ledger"), str(tmp_path / "out")
+    import_ledger(spark, root, str(tmp_path / "old.csv"))
+    errors = parse_results(spark, root, str(tmp_path / "results"), out)
+    assert rows(errors) == [("s3://other/results/none.json", "missing_or_empty")]
+    table = spark.read.csv(f"{out}/classification_metrics.csv", header=True)
+    assert [(r.benchmark, r.accuracy, r.top5_accuracy) for r in table.collect()] == [("pets", "0.5", "0.75")]
+
+
+def test_changes_of_the_grid(spark, catalogs, tmp_path):
+    models, benchmarks = catalogs
+    root = str(tmp_path / "ledger")
+    first = init_changes(spark, root, models, benchmarks)
+    assert first.added.count() == 6 and first.dropped.isEmpty()
+    init_tracking(spark, root, models, benchmarks)
+    changed = init_changes(spark, root, models.where("model = 'RN50'"), benchmarks)
+    assert changed.added.isEmpty() and {r.model for r in changed.dropped.collect()} == {"ViT-B-32"}
+
+
+def test_two_writers(spark, catalogs, tmp_path):
+    root = str(tmp_path / "ledger")
+    ledger = init_tracking(spark, root, *catalogs)
+    version = next_version(spark, root)
+    write_ledger(ledger, root, version)
+    with pytest.raises(VersionTaken):
+        write_ledger(ledger, root, version)
+    (tmp_path / "ledger" / "view").mkdir()  # other folders are no versions
+    for _ in range(4):
+        init_tracking(spark, root, *catalogs)
+    assert len(list((tmp_path / "ledger").glob("v0*"))) == 3 and read_ledger(spark, root).count() == 6
+
+
+def test_rows_of_a_file_are_sorted(spark, tmp_path):
+    models = spark.createDataFrame([(f"m{i * 7 % 50:02d}", f"w{i % 3}") for i in range(50)], "model string, pretrained string")
+    benchmarks = spark.createDataFrame([(t, f"b{i}") for t in (C, R) for i in range(20)], "task_type string, benchmark string")
+    init_tracking(spark, str(tmp_path / "ledger"), models, benchmarks)
+    files = list((tmp_path / "ledger").glob("v*/task_type=*/*.parquet"))
+    for file in files:
+        keys = [(r["model"], r["pretrained"]) for r in pq.read_table(file, columns=["model", "pretrained"], partitioning=None).to_pylist()]
+        assert keys == sorted(keys)
+    assert len(files) >= 2
 
 
 def test_import(spark, catalogs, tmp_path):

@@ -126,7 +126,7 @@ VIEWS = {
     "stored": """
         SELECT *, benchmark || '_' || pretrained || '_' || model || '_en_' || task_type || '.json'
                   AS file_name
-        FROM completed WHERE doc <> ''""",
+        FROM completed""",
     "requirement": "SELECT *, {fields} FROM grid".format(fields="1 AS one"),
     "prototypes": """
         SELECT label, embedding FROM embeddings

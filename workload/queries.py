@@ -188,7 +188,7 @@ def unmatched_files(c):
 
 @query
 def latest_by_name(c):
-    latest = matching.latest_by_name(c.listing())
+    latest = L.latest_by_name(c.listing())
     return latest.select("file_name", "result_file", iso_timestamp("mtime").alias("timestamp"))
 
 
