@@ -269,10 +269,10 @@ SELECTS = {
                'wds/' || p_name || ' ' || p_partkey AS webdataset_name, 'hub' AS dataset_root,
                'zeroshot_' || s AS task
         FROM part CROSS JOIN (VALUES ('retrieval'), ('classification')) AS v(s)""",
-    "result_listing": "SELECT file_name, CAST(strlen(doc) AS BIGINT) AS length FROM stored",
+    "result_listing": "SELECT substr(result_file, 9) AS file_name, CAST(strlen(doc) AS BIGINT) AS length FROM documents",
     "result_file_status": """
-        SELECT file_name, coalesce(error_class, 'ok') AS status,
-               CASE WHEN error_class IS NULL THEN accuracy END AS acc1 FROM stored""",
+        SELECT substr(result_file, 9) AS file_name, coalesce(error_class, 'ok') AS status,
+               CASE WHEN error_class IS NULL THEN accuracy END AS acc1 FROM parsed_docs""",
     "json_load_status": """
         SELECT result_file, coalesce(error_class, 'ok') AS status,
                CASE WHEN error_class IS NULL THEN accuracy END AS acc1,
@@ -379,7 +379,8 @@ SELECTS = {
         FROM estimates""",
     "incremental_ingest": f"""
         SELECT g.model, g.pretrained, g.task_type, g.benchmark, coalesce(s.file_name, '') AS file_name,
-               CASE WHEN s.model IS NULL THEN 'pending' ELSE 'completed' END AS status
+               CASE WHEN s.model IS NULL THEN 'pending' ELSE 'completed' END AS status,
+               CASE WHEN s.error_class IS NULL THEN s.accuracy END AS acc1
         FROM grid g LEFT JOIN stored s USING ({KEYS})""",
     "zeroshot_accuracy": """
         SELECT count(*) FILTER (n = 1) AS items,

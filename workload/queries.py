@@ -55,19 +55,12 @@ def dataset_mapping(c):
 
 
 def _result_store(c) -> str:
-    """A folder of result files: the latest document of each cell, by its expected name."""
+    """A folder of result files, one for every document."""
     folder = shared_folder(c.spark, "results")
-    write_documents(_latest_documents(c), folder)
+    write_documents(c.documents().select(names.file_name("result_file").alias("file_name"), "doc"), folder)
     return folder
 
 
-def _latest_documents(c) -> DataFrame:
-    latest = c.documents().groupBy(KEYS).agg(
-        F.max(F.struct("mtime", "result_file", "doc")).alias("latest")
-    )
-    return latest.select("task_type", names.expected_name().alias("file_name"), "latest.doc")
-
-
 @query
 def result_listing(c):
     return list_results(c.spark, _result_store(c)).select("file_name", "length")
@@ -328,15 +321,20 @@ def cost_estimate(c):
 
 @query
 def incremental_ingest(c):
-    """The ledger after the files of one task arrived and were read, then those of the other."""
+    """The ledger and facts after the first document of each cell arrived, then the last of each.
+
+    Files of the second arrival are new for no cell: they are rewritten, or written again as they were.
+    """
     work = shared_folder(c.spark, "ingest")
-    for task_type in (CLASSIFICATION, RETRIEVAL):
-        arrived = _latest_documents(c).where(F.col("task_type") == task_type)
-        write_documents(arrived, f"{work}/store")
+    order = F.struct("mtime", "result_file")
+    for pick in (F.min_by, F.max_by):
+        arrived = c.documents().groupBy(KEYS).agg(pick("doc", order).alias("doc"))
+        write_documents(arrived.select(names.expected_name().alias("file_name"), "doc"), f"{work}/store")
         ingest_new_files(c.spark, f"{work}/store", f"{work}/facts", f"{work}/checkpoint")
     facts = read_facts(c.spark, f"{work}/facts")
     file_name = names.file_name("result_file").alias("file_name")
-    return ledger_from_facts(L.new_ledger(c.grid()), facts).select(*KEYS, file_name, "status")
+    ledger = ledger_from_facts(L.new_ledger(c.grid()), facts).select(*KEYS, file_name, "status")
+    return ledger.join(facts.select("file_name", F.col("metrics.acc1").alias("acc1")), "file_name", "left")
 
 
 # --- evaluation -----------------------------------------------------------------------
