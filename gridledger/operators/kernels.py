@@ -18,7 +18,7 @@ _FEW = 32
 
 
 def unit_rows(vectors) -> np.ndarray:
-    """One row per vector, scaled to length 1; a zero vector stays zero."""
+    """One row per vector of one length, scaled to length 1; a zero vector stays zero."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     if len(vectors) == 0:
@@ -28,15 +28,17 @@ def unit_rows(vectors) -> np.ndarray:
     return rows / np.where(norms == 0.0, 1.0, norms)[:, None]
 
 
-def row_scores(left: pa.Array, right: pa.Array) -> pa.Array:
-    """Cosine of the n-th left with the n-th right vector; null where there is no right one."""
-    there = right.is_valid()
-    rows = np.flatnonzero(there.to_numpy(zero_copy_only=False))
-    scores = np.zeros(len(right))
-    if len(rows):
-        pairs = unit_rows(left.filter(there)), unit_rows(right.filter(there))
-        scores[rows] = np.round(np.einsum("nd,nd->n", *pairs), SCORE_DIGITS)
-    return pa.array(scores, mask=~there.to_numpy(zero_copy_only=False))
+def widths(vectors) -> np.ndarray:
+    """The length of each vector that can be compared; 0 if it is null, empty, or holds a null, NaN or infinity."""
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    found = vectors.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    values = vectors.flatten()  # those of null vectors left out
+    bad = ~np.isfinite(values.cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False))
+    if bad.any():
+        owner = np.repeat(np.arange(len(found)), found)
+        found[np.unique(owner[bad])] = 0
+    return found
 
 
 def best_columns(scores: np.ndarray, k: int) -> np.ndarray:
@@ -52,38 +54,72 @@ def best_columns(scores: np.ndarray, k: int) -> np.ndarray:
     return best
 
 
-def search_side(candidates: pa.Table) -> tuple:
-    """Candidates made ready for a search: ids in order, labels, unit vectors."""
+def search_side(candidates: pa.Table) -> dict:
+    """Candidates made ready for a search: by length of vector, ids in order, labels, unit vectors."""
     candidates = candidates.sort_by("id")
-    ids, labels = [candidates[c].combine_chunks() for c in ("id", "label")]
-    return ids, labels, unit_rows(candidates["vector"])
-
-
-def find_matches(queries: pa.Table, side: tuple, k: int) -> pa.Table:
-    """The queries with their k best candidates in place of their vectors."""
-    ids, labels, candidates = side
-    count = min(k, len(ids))
-    columns, scores = [], []
-    if count and len(queries):
-        units = unit_rows(queries["vector"])
+    found = widths(candidates["vector"])
+    out = {}
+    for width in np.unique(found[found > 0]).tolist():
+        part = candidates.take(pa.array(np.flatnonzero(found == width)))
+        out[width] = (part["id"].combine_chunks(), part["label"].combine_chunks(), unit_rows(part["vector"]))
+    return out
+
+
+def best_matches(vectors, side: dict, k: int, schema: pa.Schema) -> pa.Table:
+    """Rows (row, score, id, label): the k best candidates of each vector, by its place."""
+    found = widths(vectors)
+    parts = []
+    for width in np.unique(found).tolist():
+        if width not in side:
+            continue
+        ids, labels, candidates = side[width]
+        rows = np.flatnonzero(found == width)
+        units = unit_rows(vectors.take(pa.array(rows)))
         step = max(1, _CELLS // len(ids))
         for start in range(0, len(units), step):
             block = np.round(units[start : start + step] @ candidates.T, SCORE_DIGITS)
             best = best_columns(block, k)
-            columns.append(best.ravel())
-            scores.append(np.take_along_axis(block, best, axis=1).ravel())
-    taken = pa.array(np.concatenate(columns) if columns else np.zeros(0, dtype=np.int64))
-    found = pa.StructArray.from_arrays(
-        [
-            ids.take(taken),
-            labels.take(taken),
-            pa.array(np.concatenate(scores) if scores else np.zeros(0)),
-        ],
-        names=["id", "label", "score"],
-    )
-    offsets = pa.array(np.arange(len(queries) + 1, dtype=np.int32) * count)
-    matches = pa.ListArray.from_arrays(offsets, found)
-    return queries.drop_columns(["vector"]).append_column("matches", matches)
+            at = pa.array(best.ravel())
+            parts.append(
+                pa.Table.from_arrays(
+                    [
+                        pa.array(np.repeat(rows[start : start + step], best.shape[1])),
+                        pa.array(np.take_along_axis(block, best, axis=1).ravel()),
+                        ids.take(at),
+                        labels.take(at),
+                    ],
+                    schema=schema,
+                )
+            )
+    return pa.concat_tables(parts) if parts else schema.empty_table()
+
+
+def best_of(matches: pa.Table, k: int) -> pa.Table:
+    """The k best of each row, best first; of equal scores the smaller id."""
+    matches = matches.sort_by([("row", "ascending"), ("score", "descending"), ("id", "ascending")])
+    rows = matches["row"].to_numpy()
+    first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1])) if len(rows) else np.zeros(0, np.int64)
+    place = np.arange(len(rows)) - np.repeat(first, np.diff(np.append(first, len(rows))))
+    return matches.filter(pa.array(place < k))
+
+
+def match_lists(matches: pa.Table, count: int) -> pa.ListArray:
+    """The matches of rows 0 to ``count`` - 1, in order, as lists of (id, label, score)."""
+    offsets = np.searchsorted(matches["row"].to_numpy(), np.arange(count + 1)).astype(np.int32)
+    names = ["id", "label", "score"]
+    found = pa.StructArray.from_arrays([matches[n].combine_chunks() for n in names], names=names)
+    return pa.ListArray.from_arrays(pa.array(offsets), found)
+
+
+def packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
 
 
 def split_by_key(table: pa.Table, keys: list[str]):
@@ -98,44 +134,29 @@ def split_by_key(table: pa.Table, keys: list[str]):
         yield tuple(frame.iloc[rows[0]]), table.take(pa.array(rows))
 
 
-def count_above(items: pa.Table, classes: pa.Table, keys: list[str]) -> pa.Table:
-    """For each class threshold, how many of the items score at least that much.
-
-    ``classes`` has label, vector and thresholds (structs of score and positives). Items have
-    label, vector and own_score, their score for the class they belong to.
-    """
-    units, prototypes = unit_rows(items["vector"]), unit_rows(classes["vector"])
-    # Items without a score of their own are of no class here.
-    own = items["own_score"].to_numpy()
-    member = items["label"].to_numpy()
-    labels = classes["label"].to_numpy()
-    thresholds = classes["thresholds"].combine_chunks()
-    lengths = np.diff(thresholds.offsets.to_numpy())
-    flat = thresholds.flatten()
-    levels = flat.field("score").to_numpy()
-    ends = np.cumsum(lengths)
-    positives = np.zeros(len(levels), dtype=np.int64)
-    everything = np.zeros(len(levels), dtype=np.int64)
-    if len(units) and len(prototypes):
-        scores = np.round(units @ prototypes.T, SCORE_DIGITS)
-        for c, label in enumerate(labels):
-            part = slice(ends[c] - lengths[c], ends[c])
-            mine = member == label
-            inside = np.sort(own[mine])
-            outside = np.sort(scores[~mine, c])
-            positives[part] = len(inside) - np.searchsorted(inside, levels[part])
-            everything[part] = (
-                positives[part] + len(outside) - np.searchsorted(outside, levels[part])
-            )
-    owner = pa.array(np.repeat(np.arange(len(labels)), lengths))
-    columns = {name: classes[name].combine_chunks().take(owner) for name in [*keys, "label"]}
-    columns |= {
-        "score": flat.field("score"),
-        "positives": flat.field("positives"),
-        "positives_above": pa.array(positives),
-        "items_above": pa.array(everything),
-    }
-    return pa.table(columns)
+def score_counts(items: pa.Table, classes: pa.Table, names: list[str]) -> pa.Table:
+    """For each class and score: how many of the items have it, and how many of these are of the class."""
+    mine, other = widths(items["vector"]), widths(classes["vector"])
+    labels, own = items["label"].to_pandas().to_numpy(), classes["label"].to_pandas().to_numpy()
+    owner, scores, counts, positives = [], [], [], []
+    for width in np.intersect1d(mine[mine > 0], other):
+        rows, columns = np.flatnonzero(mine == width), np.flatnonzero(other == width)
+        units = unit_rows(items["vector"].take(pa.array(rows)))
+        found = np.round(units @ unit_rows(classes["vector"].take(pa.array(columns))).T, SCORE_DIGITS)
+        for n, c in enumerate(columns):
+            values, place = np.unique(found[:, n], return_inverse=True)
+            owner.append(np.full(len(values), c))
+            scores.append(values)
+            counts.append(np.bincount(place, minlength=len(values)))
+            positives.append(np.bincount(place[labels[rows] == own[c]], minlength=len(values)))
+    if not owner:
+        return classes.select(names[:-3]).slice(0, 0).append_column("score", pa.array([], pa.float64())).append_column(
+            "items", pa.array([], pa.int64())
+        ).append_column("positives", pa.array([], pa.int64()))
+    found = classes.select(names[:-3]).take(pa.array(np.concatenate(owner)))
+    for name, parts in zip(names[-3:], (scores, counts, positives)):
+        found = found.append_column(name, pa.array(np.concatenate(parts)))
+    return found
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

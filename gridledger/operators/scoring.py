@@ -5,100 +5,170 @@ as model, weights and benchmark), then id, label and vector; classes need no id.
 cosines; of equal scores the smaller id comes first.
 """
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridledger.operators.blocks import one_key, pair_blocks
 from gridledger.operators.kernels import (
-    count_above,
-    find_matches,
-    row_scores,
+    best_matches,
+    best_of,
+    match_lists,
+    packed,
+    score_counts,
     search_side,
     split_by_key,
+    unpacked,
 )
-from gridledger.runtime import row_bound
 from gridledger.schemas import CLASSIFICATION, RETRIEVAL
 
 # Largest set of vectors that is sent whole to every executor.
 BROADCAST_BYTES = 64 << 20
-# Rows of one side that meet in one task.
-BLOCK_ROWS = 8_192
-# Class thresholds that travel together, and such rows that meet in one task.
-THRESHOLD_ROWS = 4_096
-CLASS_ROWS = 256
+BROADCAST_ROWS = 100_000
+# Vectors that travel as one row, rows that a task holds while it packs them, and places that the
+# packs of one key are dealt to.
+PACK_ROWS = 4_096
+HELD_ROWS = 65_536
+SPREAD = 16
+# Ranges of scores that a class's items are dealt to.
+SCORE_RANGES = 4_096
 
 
 def _fits_in_broadcast(candidates: DataFrame) -> bool:
-    if not row_bound(candidates, 100_000):
-        return False
-    rows, width = candidates.agg(F.count("*"), F.max(F.size("vector"))).first()
-    return rows * (width or 0) * 8 <= BROADCAST_BYTES
+    """True if the candidates are few and small; looks at so many rows at most."""
+    names = [F.col(c).cast("string") for c in ("id", "label") if c in candidates.columns]
+    text = F.octet_length(F.concat_ws("", *names))
+    size = F.coalesce(F.size("vector"), F.lit(0)) * 8 + text
+    seen = candidates.limit(BROADCAST_ROWS + 1).agg(F.count("*").alias("rows"), F.sum(size).alias("size")).first()
+    return seen["rows"] <= BROADCAST_ROWS and (seen["size"] or 0) <= BROADCAST_BYTES
 
 
-def _matches_schema(queries: DataFrame, candidates: DataFrame, keys: list[str]) -> T.StructType:
-    match = T.StructType(
-        [candidates.schema["id"], candidates.schema["label"], T.StructField("score", T.DoubleType())]
-    )
-    fields = [queries.schema[c] for c in [*keys, "id", "label"]]
-    return T.StructType([*fields, T.StructField("matches", T.ArrayType(match))])
+def _match_type(candidates: DataFrame) -> T.StructType:
+    return T.StructType([candidates.schema["id"], candidates.schema["label"], T.StructField("score", T.DoubleType())])
+
+
+def _arrow_matches(candidates: DataFrame) -> pa.Schema:
+    """Of rows (row, score, id, label)."""
+    empty = candidates.select("id", "label").limit(0).toArrow().schema
+    return pa.schema([("row", pa.int64()), ("score", pa.float64()), ("id", empty.field("id").type), ("label", empty.field("label").type)])
 
 
 def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, keys=(), blocked=None) -> DataFrame:
     """Each query with ``matches``: its k best candidates of the same key, best first.
 
     Exact. A small candidate side goes to the queries, which then need no shuffle. A larger one
-    meets them block by block, and only the k best of each block go on.
+    meets them in packs of many vectors. Both ways give the same rows: one for each row of
+    ``queries``, repeated ones too; a row with a null key has no matches, and so has one whose vector
+    is null, empty, or holds a null, NaN or infinity. Such candidates match nothing, and vectors of
+    different lengths don't match. Candidate ids are not null.
     """
     keys = list(keys)
     columns = [*keys, "id", "label", "vector"]
-    queries, candidates = queries.select(columns), candidates.select(columns)
+    queries, candidates = queries.select(columns), candidates.select(columns).dropna(subset=["id", *keys])
     if blocked is None:
         blocked = not _fits_in_broadcast(candidates)
-    if blocked and keys:
-        return _nearest_by_blocks(queries, candidates, k, keys)
+    fields = [queries.schema[c] for c in [*keys, "id", "label"]]
+    schema = T.StructType([*fields, T.StructField("matches", T.ArrayType(_match_type(candidates)))])
     if blocked:
-        queries, candidates = one_key(queries, "id"), one_key(candidates, "id")
-        return _nearest_by_blocks(queries, candidates, k, ["_key"]).drop("_key")
+        return _nearest_by_packs(queries, candidates, k, keys, schema)
 
+    shape = _arrow_matches(candidates)
     sides = {key: search_side(part) for key, part in split_by_key(candidates.toArrow(), keys)}
-    none = search_side(candidates.limit(0).toArrow())
-    shared = queries.sparkSession.sparkContext.broadcast((sides, none))
+    shared = queries.sparkSession.sparkContext.broadcast(sides)
 
     def search(batches):
-        sides, none = shared.value
         for batch in batches:
             for key, part in split_by_key(pa.Table.from_batches([batch]), keys):
-                yield from find_matches(part, sides.get(key, none), k).to_batches()
+                found = best_matches(part["vector"].combine_chunks(), shared.value.get(key, {}), k, shape)
+                found = best_of(found, k)
+                matches = match_lists(found, len(part))
+                yield from part.drop_columns(["vector"]).append_column("matches", matches).to_batches()
 
-    return queries.mapInArrow(search, _matches_schema(queries, candidates, keys))
+    return queries.mapInArrow(search, schema)
 
 
-def _blocks(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    return df.groupBy(*keys).agg(F.ceil(F.count("*") / rows).alias("blocks"))
+def _packs(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Rows (keys, ``name``_block, ``name``): up to PACK_ROWS rows of one key, packed where they are."""
 
+    def pack(batches):
+        held: dict = {}
+        task, number = TaskContext.get().partitionId() << 33, 0
 
-def _nearest_by_blocks(queries, candidates, k, keys) -> DataFrame:
-    schema = _matches_schema(queries, candidates, keys)
-    names = schema.fieldNames()
+        def flush(key):
+            nonlocal number
+            table = pa.concat_tables(held.pop(key))
+            number += 1
+            columns = [table[c].combine_chunks().slice(0, 1) for c in keys]
+            values = [*columns, pa.array([task + number], pa.int64()), pa.array([packed(table)], pa.binary())]
+            return pa.RecordBatch.from_arrays(values, [*keys, f"{name}_block", name])
 
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        return find_matches(left, search_side(right), k).select(names)
+        for batch in batches:
+            for start in range(0, batch.num_rows, PACK_ROWS):
+                part = pa.Table.from_batches([batch.slice(start, PACK_ROWS)])
+                for key, rows in split_by_key(part, keys):
+                    key = repr(key)  # so that nulls are equal
+                    held.setdefault(key, []).append(rows)
+                    if sum(map(len, held[key])) >= PACK_ROWS:
+                        yield flush(key)
+            while sum(len(t) for tables in held.values() for t in tables) > HELD_ROWS:
+                yield flush(max(held, key=lambda key: sum(map(len, held[key]))))
+        for key in list(held):
+            yield flush(key)
+
+    fields = [df.schema[c] for c in keys]
+    fields += [T.StructField(f"{name}_block", T.LongType()), T.StructField(name, T.BinaryType())]
+    return df.mapInArrow(pack, T.StructType(fields))
+
+
+def _nearest_by_packs(queries, candidates, k, keys, schema) -> DataFrame:
+    """Every pack of queries meets every pack of candidates of its key.
+
+    The packs of a key are dealt to SPREAD places, and the candidates' packs go to all of them, so that
+    what is shuffled grows with the packs, and no key is one task's work. A task merges the best
+    matches of a pack of queries before they leave it.
+    """
+    shape = _arrow_matches(candidates)
+    every = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
+    left = _packs(queries, keys, "asked").withColumn("_place", F.pmod(F.xxhash64("asked_block"), F.lit(SPREAD)).cast("int"))
+    right = _packs(candidates, keys, "given").withColumn("_place", every)
+    pairs = left.join(right.drop("given_block"), [*keys, "_place"], "left").select("asked_block", "asked", "given")
+
+    def search(batches):
+        block = asked = found = None
 
-    candidate_blocks = _blocks(candidates, keys, BLOCK_ROWS)
-    partial = pair_blocks(
-        queries, candidates, keys, ["id"], ["id"], _blocks(queries, keys, BLOCK_ROWS), candidate_blocks
-    ).applyInArrow(search, schema)
-    if (candidate_blocks.agg(F.max("blocks")).first()[0] or 0) <= 1:
-        return partial  # every query met all its candidates at once
-    query = [*keys, "id", "label"]
-    each = partial.select(*query, F.explode_outer("matches").alias("match"))
-    best = Window.partitionBy(*query).orderBy(F.desc("match.score"), "match.id")
-    kept = each.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
-    # Places start at 1, so the sorted structs are in order of place.
-    ordered = F.sort_array(F.collect_list(F.when(F.col("match").isNotNull(), F.struct("place", "match"))))
-    return kept.groupBy(*query).agg(ordered.alias("m")).select(*query, F.col("m.match").alias("matches"))
+        def ready():
+            numbers = pa.array(block * (1 << 14) + np.arange(len(asked)), pa.int64())
+            matches = match_lists(found, len(asked))
+            rows = asked.drop_columns(["vector"]).append_column("matches", matches).append_column("_row", numbers)
+            return rows.combine_chunks().to_batches()
+
+        for batch in batches:
+            for n in range(batch.num_rows):
+                number = batch["asked_block"][n].as_py()
+                if number != block:
+                    if block is not None:
+                        yield from ready()
+                    block, asked = number, unpacked(batch["asked"][n].as_py())
+                    vectors, found = asked["vector"].combine_chunks(), shape.empty_table()
+                given = batch["given"][n].as_py()
+                if given is not None:
+                    new = best_matches(vectors, search_side(unpacked(given)), k, shape)
+                    found = best_of(pa.concat_tables([found, new]), k)
+        if block is not None:
+            yield from ready()
+
+    partial = pairs.mapInArrow(search, T.StructType([*schema.fields, T.StructField("_row", T.LongType())]))
+    # A pack whose candidates were split over tasks comes in parts.
+    query = [*keys, "id", "label", "_row"]
+    order = F.transform("matches", lambda m: F.struct((-m.score).alias("score"), m.id.alias("id"), m.label.alias("label")))
+    merged = partial.groupBy(*query).agg(F.flatten(F.collect_list(order)).alias("all"))
+    best = F.transform(
+        F.slice(F.array_sort("all"), 1, k),
+        lambda m: F.struct(m.id.alias("id"), m.label.alias("label"), (-m.score).alias("score")),
+    )
+    return merged.select(*[c for c in query if c != "_row"], best.alias("matches"))
 
 
 def _hit(k: int | None = None):
@@ -144,80 +214,57 @@ def recall_at_k(matches: DataFrame, keys=(), k: int = 5) -> DataFrame:
 def class_average_precision(items: DataFrame, classes: DataFrame, keys=()) -> DataFrame:
     """Average precision of ranking all items by their score for each class.
 
-    Precision is wanted only at the scores of a class's own items, its thresholds. So no ranking
-    is made: every block of items counts how many of it reach each threshold, and the counts
-    add up. Equal scores share one threshold.
+    Every item is scored for every class, which gives a row for each class and score of a pack of
+    items. These rows are dealt out by class and range of scores; the ranges' sums give each the
+    counts of those above it, and running sums inside the ranges do the rest. So the rows grow with
+    items times classes, and no class is one task's work. Equal scores share one threshold.
+
+    Items whose vector can't be compared with a class (see `nearest`) are not ranked for it, nor are
+    items with a null key. Items of a class without a prototype compete with others.
     """
-    if not keys:
-        items, classes = one_key(items, "id"), one_key(classes, "label")
-        return class_average_precision(items, classes, ["_key"]).drop("_key")
     keys = list(keys)
-    by_class = [*keys, "label"]
-    names = [*by_class, "id", "vector"]
-    items = items.select(names)
-    prototypes = classes.select(*by_class, F.col("vector").alias("prototype"))
-    if _fits_in_broadcast(classes):
-        prototypes = F.broadcast(prototypes)
-    # Items of a class without a prototype have no score of their own, but compete with others.
-    together = items.join(prototypes, by_class, "left").select(*names, "prototype")
+    by, part = [*keys, "label"], [*keys, "label", "range"]
+    items, classes = items.select(*by, "vector"), classes.select(*by, "vector")
+    if keys:
+        items, classes = items.dropna(subset=keys), classes.dropna(subset=keys)
+    small = _fits_in_broadcast(classes)
+    spread = 1 if small else SPREAD
+    left = _packs(items, keys, "asked").withColumn("_place", F.pmod(F.xxhash64("asked_block"), F.lit(spread)).cast("int"))
+    right = _packs(classes, keys, "given").withColumn("_place", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    right = right.drop("given_block")
+    pairs = left.join(F.broadcast(right) if small else right, [*keys, "_place"]).select("asked", "given")
+    names = [*by, "score", "items", "positives"]
 
     def rate(batches):
         for batch in batches:
-            scores = row_scores(batch["vector"], batch["prototype"])
-            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), scores], [*names, "own_score"])
-
-    fields = [items.schema[n] for n in names]
-    everyone = together.mapInArrow(
-        rate, T.StructType([*fields, T.StructField("own_score", T.DoubleType())])
-    )
-    rated = everyone.where(F.col("own_score").isNotNull())
-
-    # A class has at most as many thresholds as items, which are quicker to count.
-    chunk_count = items.groupBy(*by_class).agg(
-        F.ceil(F.count("*") / THRESHOLD_ROWS).alias("chunks")
-    )
-    chunk = F.pmod(F.xxhash64("score"), F.col("chunks")).alias("chunk")
-    chunks = (
-        rated.groupBy(*by_class, F.col("own_score").alias("score"))
-        .agg(F.count("*").alias("positives"))
-        .join(chunk_count, by_class)
-        .groupBy(*by_class, chunk)
-        .agg(F.collect_list(F.struct("score", "positives")).alias("thresholds"))
-        .join(classes.select(*by_class, "vector"), by_class)
-    )
-    pairs = pair_blocks(
-        everyone,
-        chunks,
-        keys,
-        ["id"],
-        ["label", "chunk"],
-        _blocks(items, keys, BLOCK_ROWS),
-        chunk_count.groupBy(*keys).agg(F.ceil(F.sum("chunks") / CLASS_ROWS).alias("blocks")),
-    )
-
-    def count(left: pa.Table, right: pa.Table) -> pa.Table:
-        return count_above(left, right, keys)
-
-    counted = T.StructType(
-        [
-            *[chunks.schema[c] for c in by_class],
-            T.StructField("score", T.DoubleType()),
-            T.StructField("positives", T.LongType()),
-            T.StructField("positives_above", T.LongType()),
-            T.StructField("items_above", T.LongType()),
-        ]
-    )
-    reached = (
-        pairs.applyInArrow(count, counted)
-        .groupBy(*by_class, "score")
-        .agg(
-            F.max("positives").alias("positives"),
-            F.sum("positives_above").alias("positives_above"),
-            F.sum("items_above").alias("items_above"),
-        )
+            for asked, given in zip(batch["asked"].to_pylist(), batch["given"].to_pylist()):
+                yield from score_counts(unpacked(asked), unpacked(given), names).to_batches()
+
+    fields = [classes.schema[c] for c in by]
+    counts = [T.StructField("score", T.DoubleType()), *(T.StructField(c, T.LongType()) for c in ("items", "positives"))]
+    rated = pairs.mapInArrow(rate, T.StructType([*fields, *counts]))
+    # Ranges from the highest scores down; a cosine may exceed 1 by its rounding error.
+    height = F.least(F.greatest(F.col("score"), F.lit(-1.0)), F.lit(1.0))
+    rated = rated.withColumn("range", F.floor((1 - height) * (SCORE_RANGES / 2)).cast("int")).repartition(*part)
+
+    sums = rated.groupBy(*part).agg(F.sum("items").alias("items"), F.sum("positives").alias("positives"))
+    higher = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    above = sums.where(F.col("items") > 0).select(
+        *[F.col(c).alias(f"_{c}") for c in part],
+        F.coalesce(F.sum("items").over(higher), F.lit(0)).alias("items_higher"),
+        F.coalesce(F.sum("positives").over(higher), F.lit(0)).alias("positives_higher"),
     )
-    precision = F.col("positives_above") / F.col("items_above")
-    return reached.groupBy(*by_class).agg(
+    upto = Window.partitionBy(*part).orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = rated.select(
+        *part,
+        "positives",
+        F.sum("items").over(upto).alias("items_here"),
+        F.sum("positives").over(upto).alias("positives_here"),
+    ).where(F.col("positives") > 0)
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in part]
+    together = reached.join(above, same)
+    precision = (F.col("positives_here") + F.col("positives_higher")) / (F.col("items_here") + F.col("items_higher"))
+    return together.groupBy(*by).agg(
         (F.sum(F.col("positives") * precision) / F.sum("positives")).alias("average_precision")
     )
 

@@ -45,7 +45,7 @@ def spark_matches(df):
 
 @pytest.mark.parametrize("copies", [False, True])
 def test_matches_by_broadcast_and_by_blocks(spark, monkeypatch, copies):
-    monkeypatch.setattr(scoring, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(scoring, "PACK_ROWS", 16)
     rng = np.random.default_rng(3)
     # One key holds most rows, one has fewer candidates than k, one has none.
     queries = make(rng, {"big": 90, "small": 7, "few": 5, "none": 3}, copies=copies)
@@ -58,7 +58,7 @@ def test_matches_by_broadcast_and_by_blocks(spark, monkeypatch, copies):
 
 
 def test_blocks_without_keys(spark, monkeypatch):
-    monkeypatch.setattr(scoring, "BLOCK_ROWS", 10)
+    monkeypatch.setattr(scoring, "PACK_ROWS", 10)
     rng = np.random.default_rng(4)
     queries, candidates = make(rng, {"a": 40}), make(rng, {"a": 35}, start=100)
     q, c = table(spark, queries), table(spark, candidates)
@@ -78,7 +78,44 @@ def test_large_side_goes_by_blocks(spark, monkeypatch):
     monkeypatch.setattr(scoring, "BROADCAST_BYTES", 100)
     rng = np.random.default_rng(5)
     c = table(spark, make(rng, {"a": 5}))
-    assert "FlatMapCoGroupsInArrow" in plan(scoring.nearest(c, c, 5, ["key"]))
+    assert "given" in plan(scoring.nearest(c, c, 5, ["key"]))
+
+
+ODD = [
+    ("a", 1, 0, [1.0, 0.0]), ("a", 1, 0, [1.0, 0.0]), ("a", 1, 0, [0.0, 1.0]), (None, 2, 0, [1.0, 0.0]), ("a", 3, 1, None),
+    ("a", 4, 1, []), ("a", 5, 1, [1.0, None]), ("a", 6, 1, [float("nan"), 1.0]), ("a", 7, 1, [1.0, 2.0, 3.0]), ("a", 8, 2, [0.0, 0.0]),
+    ("b", 9, None, [1.0, 1.0]), ("c", 10, 1, [1.0, 0.0]),
+]
+
+
+@pytest.mark.parametrize("size", [1, 3, 1000])
+@pytest.mark.parametrize("k", [2, 40])
+def test_odd_rows_have_the_same_matches_each_way(spark, monkeypatch, size, k):
+    monkeypatch.setattr(scoring, "PACK_ROWS", size)
+    df = spark.createDataFrame(ODD, SCHEMA).repartition(3)
+    candidates = df.where("key <> 'c' OR key IS NULL")
+    found = [
+        sorted(
+            ((r.key, r.id, r.label, [(m.id, m.label, m.score) for m in r.matches]) for r in scoring.nearest(df, candidates, k, ["key"], blocked).collect()),
+            key=repr,
+        )
+        for blocked in (False, True)
+    ]
+    assert found[0] == found[1] and len(found[0]) == len(ODD)
+    by_id = {}
+    for _, i, _, matches in found[0]:
+        by_id.setdefault(i, []).append(matches)
+    assert by_id[2] == by_id[3] == by_id[4] == by_id[5] == by_id[6] == by_id[10] == [[]]
+    assert by_id[7] == [[(7, 1, 1.0)]] and by_id[9] == [[(9, None, 1.0)]]
+    assert sorted(m[0][2] for m in by_id[1]) == [1.0, 1.0, 1.0] and by_id[8][0][0][:1] == (1,)
+
+
+def test_what_is_shuffled_grows_with_the_packs(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "PACK_ROWS", 64)
+    c = table(spark, make(np.random.default_rng(1), {"a": 640}))
+    packs = scoring._packs(c, ["key"], "given")
+    assert packs.count() <= 10 + 5  # full ones, and one for each partition
+    assert sum(r.n for r in packs.groupBy("key").count().withColumnRenamed("count", "n").collect()) == packs.count()
 
 
 def brute_ap(items, protos, key):
@@ -95,9 +132,8 @@ def brute_ap(items, protos, key):
 
 @pytest.mark.parametrize("copies", [False, True])
 def test_average_precision(spark, monkeypatch, copies):
-    monkeypatch.setattr(scoring, "BLOCK_ROWS", 16)
-    monkeypatch.setattr(scoring, "THRESHOLD_ROWS", 4)
-    monkeypatch.setattr(scoring, "CLASS_ROWS", 3)
+    monkeypatch.setattr(scoring, "PACK_ROWS", 16)
+    monkeypatch.setattr(scoring, "BROADCAST_ROWS", 3 if copies else 1000)
     rng = np.random.default_rng(6)
     items = make(rng, {"big": 110, "small": 12}, classes=5, copies=copies)
     protos = [(key, 0, label, rng.normal(size=6)) for key in ("big", "small") for label in range(4)]  # none for class 4
@@ -111,6 +147,36 @@ def test_average_precision(spark, monkeypatch, copies):
         assert (r.classes, r.mean_average_precision) == (len(own), pytest.approx(np.mean(own)))
 
 
+def test_rows_of_average_precision_grow_with_the_items(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "PACK_ROWS", 32)
+    rng = np.random.default_rng(9)
+    protos = table(spark, [("a", 0, label, rng.normal(size=6)) for label in range(4)])
+    rated = []
+    for n in (200, 400):
+        items = table(spark, make(rng, {"a": n}))
+        real = scoring.score_counts
+        counted = spark.sparkContext.accumulator(0)
+
+        def count(asked, given, names, real=real, counted=counted):
+            found = real(asked, given, names)
+            counted.add(len(found))
+            return found
+
+        monkeypatch.setattr(scoring, "score_counts", count)
+        assert scoring.class_average_precision(items, protos, ["key"]).count() == 4
+        monkeypatch.setattr(scoring, "score_counts", real)
+        rated.append(counted.value)
+    assert rated[0] <= 2 * 200 * 4 and rated[1] <= 2 * rated[0] + 8  # at most twice, if no exchange is used again
+
+
+def test_odd_rows_of_average_precision(spark):
+    protos = spark.createDataFrame([("a", 0, 0, [1.0, 0.0]), ("a", 0, 1, None), ("a", 0, 2, [1.0, 1.0, 1.0])], SCHEMA)
+    found = scoring.class_average_precision(spark.createDataFrame(ODD, SCHEMA), protos, ["key"])
+    # Scores 1, 1 and 0 of its own items, and 0 of a zero vector; no other class has an item it can rank.
+    assert rows(found) == [("a", 0, pytest.approx((1 + 1 + 3 / 4) / 3))]
+    assert rows(scoring.class_average_precision(spark.createDataFrame([], SCHEMA), protos, ["key"])) == []
+
+
 def test_accuracy_and_recall(spark):
     match = "array<struct<id:long,label:int,score:double>>"
     data = [(1, 0, [(0, 0, 0.9), (1, 1, 0.8)]), (2, 0, [(1, 1, 0.9), (0, 0, 0.8)]), (3, 1, [(1, 1, 0.9), (0, 0, 0.1)]), (4, 2, [])]

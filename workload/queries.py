@@ -371,9 +371,10 @@ def retrieval_recall_at_5(c):
 
 @query
 def retrieval_recall_by_blocks(c):
-    """As retrieval_recall_at_5 for texts, the way it is done when no side is small."""
-    found = scoring.nearest(c.images(), c.texts(), blocked=True)
-    return _rounded(scoring.recall_at_k(found))
+    """As retrieval_recall_at_5, the way it is done when no side is small."""
+    texts = scoring.recall_at_k(scoring.nearest(c.images(), c.texts(), blocked=True))
+    images = scoring.recall_at_k(scoring.nearest(c.texts(), c.images(), blocked=True))
+    return _rounded(texts.withColumn("found", F.lit("texts")).union(images.withColumn("found", F.lit("images"))))
 
 
 @query
