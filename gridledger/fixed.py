@@ -19,21 +19,53 @@ EXTRA_CLASSIFICATION = [
     "resisc45",
 ]
 
-# Dataset mapping: the web dataset is wds/<name>, or wds/vtab-<name> for the third list.
-RETRIEVAL_DATASETS = ["mscoco_captions", "mscoco_captions2017", "flickr30k", "flickr8k"]
-CLASSIFICATION_DATASETS = [
-    "cars", "country211", "fgvc_aircraft", "gtsrb", "imagenet1k", "imagenet-a", "imagenet-o",
-    "imagenet-r", "imagenet_sketch", "imagenetv2", "mnist", "objectnet", "renderedsst2", "stl10",
-    "sun397", "voc2007", "fer2013", "voc2007_multilabel", "food101", "sun397_official_splits",
+# Dataset mapping: section, name, web dataset, dataset root, task.
+DATASET_MAPPING = [
+    ("retrieval_datasets", "mscoco_captions", "wds/mscoco_captions", "https://huggingface.co/datasets/clip-benchmark/wds_mscoco_captions/tree/main", "zeroshot_retrieval"),
+    ("retrieval_datasets", "mscoco_captions2017", "wds/mscoco_captions2017", "https://huggingface.co/datasets/clip-benchmark/wds_mscoco_captions2017/tree/main", "zeroshot_retrieval"),
+    ("retrieval_datasets", "flickr30k", "wds/flickr30k", "https://huggingface.co/datasets/clip-benchmark/wds_flickr30k/tree/main", "zeroshot_retrieval"),
+    ("retrieval_datasets", "flickr8k", "wds/flickr8k", "https://huggingface.co/datasets/clip-benchmark/wds_flickr8k/tree/main", "zeroshot_retrieval"),
+    ("classification_datasets", "cars", "wds/cars", "https://huggingface.co/datasets/clip-benchmark/wds_cars/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "country211", "wds/country211", "https://huggingface.co/datasets/clip-benchmark/wds_country211/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "fgvc_aircraft", "wds/fgvc_aircraft", "https://huggingface.co/datasets/clip-benchmark/wds_fgvc_aircraft/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "gtsrb", "wds/gtsrb", "https://huggingface.co/datasets/clip-benchmark/wds_gtsrb/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "imagenet1k", "wds/imagenet1k", "https://huggingface.co/datasets/clip-benchmark/wds_imagenet1k/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "imagenet-a", "wds/imagenet-a", "https://huggingface.co/datasets/clip-benchmark/wds_imagenet-a/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "imagenet-o", "wds/imagenet-o", "https://huggingface.co/datasets/clip-benchmark/wds_imagenet-o/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "imagenet-r", "wds/imagenet-r", "https://huggingface.co/datasets/clip-benchmark/wds_imagenet-r/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "imagenet_sketch", "wds/imagenet_sketch", "https://huggingface.co/datasets/clip-benchmark/wds_imagenet_sketch/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "imagenetv2", "wds/imagenetv2", "https://huggingface.co/datasets/clip-benchmark/wds_imagenetv2/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "mnist", "wds/mnist", "https://huggingface.co/datasets/clip-benchmark/wds_mnist/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "objectnet", "wds/objectnet", "https://huggingface.co/datasets/clip-benchmark/wds_objectnet/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "renderedsst2", "wds/renderedsst2", "https://huggingface.co/datasets/clip-benchmark/wds_renderedsst2/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "stl10", "wds/stl10", "https://huggingface.co/datasets/clip-benchmark/wds_stl10/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "sun397", "wds/sun397", "https://huggingface.co/datasets/clip-benchmark/wds_sun397/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "voc2007", "wds/voc2007", "https://huggingface.co/datasets/clip-benchmark/wds_voc2007/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "caltech101", "wds/vtab-caltech101", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-caltech101/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "cifar10", "wds/vtab-cifar10", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-cifar10/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "cifar100", "wds/vtab-cifar100", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-cifar100/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "clevr_closest_object_distance", "wds/vtab-clevr_closest_object_distance", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-clevr_closest_object_distance/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "clevr_count_all", "wds/vtab-clevr_count_all", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-clevr_count_all/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "dmlab", "wds/vtab-dmlab", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-dmlab/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "dsprites_label_orientation", "wds/vtab-dsprites_label_orientation", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-dsprites_label_orientation/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "dsprites_label_x_position", "wds/vtab-dsprites_label_x_position", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-dsprites_label_x_position/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "dsprites_label_y_position", "wds/vtab-dsprites_label_y_position", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-dsprites_label_y_position/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "dtd", "wds/vtab-dtd", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-dtd/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "eurosat", "wds/vtab-eurosat", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-eurosat/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "flowers", "wds/vtab-flowers", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-flowers/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "kitti_closest_vehicle_distance", "wds/vtab-kitti_closest_vehicle_distance", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-kitti_closest_vehicle_distance/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "pcam", "wds/vtab-pcam", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-pcam/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "pets", "wds/vtab-pets", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-pets/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "resisc45", "wds/vtab-resisc45", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-resisc45/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "smallnorb_label_azimuth", "wds/vtab-smallnorb_label_azimuth", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-smallnorb_label_azimuth/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "smallnorb_label_elevation", "wds/vtab-smallnorb_label_elevation", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-smallnorb_label_elevation/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "svhn", "wds/vtab-svhn", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-svhn/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "fer2013", "wds/fer2013", "https://huggingface.co/datasets/clip-benchmark/wds_fer2013/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "diabetic_retinopathy", "wds/vtab-diabetic_retinopathy", "https://huggingface.co/datasets/clip-benchmark/wds_vtab-diabetic_retinopathy/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "voc2007_multilabel", "wds/voc2007_multilabel", "https://huggingface.co/datasets/clip-benchmark/wds_voc2007_multilabel/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "food101", "wds/food101", "https://huggingface.co/datasets/clip-benchmark/wds_food101/tree/main", "zeroshot_classification"),
+    ("classification_datasets", "sun397_official_splits", "wds/sun397_official_splits", "https://huggingface.co/datasets/clip-benchmark/wds_sun397_official_splits/tree/main", "zeroshot_classification"),
 ]
-VTAB_DATASETS = [
-    "caltech101", "cifar10", "cifar100", "clevr_closest_object_distance", "clevr_count_all",
-    "dmlab", "dsprites_label_orientation", "dsprites_label_x_position",
-    "dsprites_label_y_position", "dtd", "eurosat", "flowers", "kitti_closest_vehicle_distance",
-    "pcam", "pets", "resisc45", "smallnorb_label_azimuth", "smallnorb_label_elevation", "svhn",
-    "diabetic_retinopathy",
-]
-DATASET_HUB = "https://huggingface.co/datasets/clip-benchmark/"
 
 # --- result file names ----------------------------------------------------------------
 

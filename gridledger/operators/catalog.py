@@ -34,17 +34,9 @@ def explode_mapping(docs: DataFrame, doc: str = "value") -> DataFrame:
 
 
 def default_mapping(spark: SparkSession) -> DataFrame:
-    """The mapping of the named public datasets, built from its two naming rules."""
-    names = [
-        (SECTION_OF_RETRIEVAL, RETRIEVAL, "wds/", fixed.RETRIEVAL_DATASETS),
-        (SECTION_OF_CLASSIFICATION, CLASSIFICATION, "wds/", fixed.CLASSIFICATION_DATASETS),
-        (SECTION_OF_CLASSIFICATION, CLASSIFICATION, "wds/vtab-", fixed.VTAB_DATASETS),
-    ]
-    rows = [(s, name, prefix + name, task) for s, task, prefix, group in names for name in group]
-    df = spark.createDataFrame(rows, "section string, name string, webdataset_name string, task string")
-    folder = F.replace("webdataset_name", F.lit("/"), F.lit("_"))
-    root = F.concat(F.lit(fixed.DATASET_HUB), folder, F.lit("/tree/main"))
-    return df.select("section", "name", "webdataset_name", root.alias("dataset_root"), "task")
+    """The mapping of the named public datasets."""
+    schema = "section string, name string, webdataset_name string, dataset_root string, task string"
+    return spark.createDataFrame(fixed.DATASET_MAPPING, schema)
 
 
 def benchmark_catalog(base: DataFrame, mapping: DataFrame) -> DataFrame:

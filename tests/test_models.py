@@ -1,12 +1,39 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gridledger import fixed
 from gridledger.functions.models import gpu_cost, one_gpu, runtime_minutes, with_requirement
 
 C, R = "zeroshot_classification", "zeroshot_retrieval"
 
 
+# Model, memory in GB, parameters in millions, GPU, batch size and family of the known models.
+METADATA = """
+ViT-B-32 4 88 T4 512 ViT-Base
+ViT-B-16 6 86 T4 256 ViT-Base
+ViT-L-14 12 304 V100 128 ViT-Large
+ViT-L-14-336 16 304 A100 64 ViT-Large
+ViT-H-14 24 632 A100 32 ViT-Huge
+ViT-g-14 32 1012 A100-80GB 16 ViT-Giant
+ViT-G-14 32 1012 A100-80GB 16 ViT-Giant
+RN50 3 38 T4 512 ResNet
+RN101 4 57 T4 384 ResNet
+RN50x4 8 87 V100 256 ResNet
+RN50x16 16 168 A100 128 ResNet
+RN50x64 32 623 A100-80GB 64 ResNet
+convnext_base 8 89 V100 256 ConvNeXT
+convnext_base_w 8 89 V100 256 ConvNeXT
+convnext_base_w_320 12 89 V100 128 ConvNeXT
+convnext_large_d 16 198 A100 128 ConvNeXT
+convnext_large_d_320 20 198 A100 64 ConvNeXT
+convnext_xxlarge 40 846 A100-80GB 32 ConvNeXT
+EVA01-g-14 32 1012 A100-80GB 16 EVA
+EVA01-g-14-plus 40 1012 A100-80GB 16 EVA
+EVA02-B-16 8 86 V100 256 EVA
+EVA02-L-14 16 304 A100 64 EVA
+EVA02-L-14-336 20 304 A100 32 EVA
+"""
+
+
 def test_requirements(spark):
     expected = {
         "ViT-B-32": (4, 88, "T4", 512, "ViT-Base"),
@@ -18,8 +45,10 @@ def test_requirements(spark):
         "convnext_large": (12, 300, "V100", 128, "Unknown-Large"),
         "EVA02-E-14": (8, 100, "V100", 128, "Unknown"),
         "vit-b-32": (8, 100, "V100", 128, "Unknown"),
-    } | {row[0]: row[1:] for row in fixed.MODEL_METADATA}
-    assert len(fixed.MODEL_METADATA) == 23
+    }
+    known = [line.split() for line in METADATA.strip().split("\n")]
+    assert len(known) == 23
+    expected |= {name: (int(gb), int(size), gpu, int(batch), family) for name, gb, size, gpu, batch, family in known}
     df = spark.createDataFrame([(m,) for m in expected], "model string")
     assert {r[0]: tuple(r[1:]) for r in with_requirement(df).collect()} == expected
 

@@ -237,13 +237,8 @@ VIEWS["keyed_class_ap"] = (
     .replace("GROUP BY class", "GROUP BY m, class")
 )
 
-_MAPPING = (
-    [("retrieval", "zeroshot_retrieval", "wds/", n) for n in fixed.RETRIEVAL_DATASETS]
-    + [("classification", "zeroshot_classification", "wds/", n) for n in fixed.CLASSIFICATION_DATASETS]
-    + [("classification", "zeroshot_classification", "wds/vtab-", n) for n in fixed.VTAB_DATASETS]
-)
-VIEWS["mapping"] = "SELECT * FROM (VALUES {}) AS t(name, task, web)".format(
-    ", ".join(f"('{n}', '{task}', '{prefix}{n}')" for _, task, prefix, n in _MAPPING)
+VIEWS["mapping"] = "SELECT * FROM (VALUES {}) AS t(name, task, web, root)".format(
+    ", ".join(f"('{name}', '{task}', '{web}', '{root}')" for _, name, web, root, task in fixed.DATASET_MAPPING)
 )
 
 METRICS = {
@@ -283,14 +278,14 @@ SELECTS = {
     "benchmark_catalog": "SELECT 'zeroshot_classification' AS task_type, benchmark FROM (SELECT benchmark FROM items"
     " WHERE task_type = 'zeroshot_classification' UNION SELECT unnest({}))"
     " UNION ALL SELECT 'zeroshot_retrieval', unnest({})".format(
-        _list(fixed.EXTRA_CLASSIFICATION), _list(fixed.RETRIEVAL_DATASETS)
+        _list(fixed.EXTRA_CLASSIFICATION),
+        _list(name for section, name, *_ in fixed.DATASET_MAPPING if section == "retrieval_datasets"),
     ),
     "pair_grid": "SELECT * FROM grid",
     "dataset_config": f"""
         SELECT g.model, g.pretrained, g.task_type, g.benchmark,
                coalesce(web, benchmark) AS webdataset_name,
-               CASE WHEN web IS NULL THEN 'root'
-                    ELSE '{fixed.DATASET_HUB}' || replace(web, '/', '_') || '/tree/main' END AS dataset_root,
+               coalesce(root, 'root') AS dataset_root,
                g.task_type AS task
         FROM grid g LEFT JOIN mapping m ON g.benchmark = m.name AND g.task_type = m.task""",
     "ledger_init": "SELECT *, '' AS result_file, '' AS timestamp, 'pending' AS status FROM grid",
