@@ -4,6 +4,7 @@ import os
 import tempfile
 import uuid
 from contextlib import contextmanager
+from functools import lru_cache
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,12 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 20_000
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> tempfile.TemporaryDirectory:
+    """One folder for a process in local mode, which goes when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="gridledger-", ignore_cleanup_errors=True)
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which every node of the cluster sees.
 
@@ -22,7 +29,7 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
-        root = tempfile.mkdtemp(prefix="gridledger-")
+        root = _local_root().name
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
 
 
