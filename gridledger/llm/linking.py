@@ -25,9 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import Scratch, block_pairs, by_group, forest, spread
+from gridledger.llm.common import Scratch, block_pairs, by_group, forest, saved, spread
 from gridledger.llm.components import components
 
+#: What near_rows needs of each row of documents: ``at`` is a hash of the text, ``digest`` one of the set.
+SKETCH = "doc_id long, at long, size long, digest binary, sig binary, keys array<long>"
+
 #: Members of a bucket that meet in one block by their signatures, sets by their full elements,
 #: and elements in a block.
 SIGNATURE_BLOCK, SET_BLOCK, ELEMENT_BLOCK = 4096, 256, 1_000_000
@@ -237,3 +240,55 @@ def sketch_columns(minimum: np.ndarray, rows: int) -> tuple[pa.Array, pa.Array]:
         pa.ListArray.from_arrays(np.arange(0, n * width + 1, width, dtype=np.int32), keys.ravel()),
     )
 
+
+def near_rows(
+    docs: DataFrame,
+    sketches: Callable[[DataFrame], DataFrame],
+    as_sets: Callable[[list[bytes]], list[np.ndarray]],
+    coordinates: int,
+    threshold: float,
+) -> DataFrame:
+    """(doc_id, size of the set, component_id, kept) for each row of ``docs`` (doc_id long, text string).
+
+    ``sketches`` turns (doc_id, at, text) into rows of ``SKETCH``, ``as_sets`` texts into their sets.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("at"), "text")
+    scratch = Scratch()
+    rows = saved(sketches(docs), "sketches")
+    # Equal sets are one class; the text of its first document stands for it.
+    some = rows.filter("size > 0 and doc_id is not null")
+    classes = some.groupBy("digest").agg(
+        F.min(F.struct("doc_id", "at")).alias("first"),
+        F.first("size").alias("size"),
+        F.first("sig").alias("sig"),
+        F.first("keys").alias("keys"),
+    )
+    items = scratch.saved(classes.select("*", F.monotonically_increasing_id().alias("id")), "classes")
+
+    def content(ids: DataFrame) -> DataFrame:
+        wanted = items.join(ids, "id", "left_semi").select("id", "first.doc_id", "first.at")
+        return docs.join(wanted, ["doc_id", "at"]).select("id", F.col("text").cast("binary").alias("content"))
+
+    links = near_links(
+        items.select("id", "size", "sig", "keys"), content, as_sets, coordinates, threshold, scratch
+    )
+    # Sets of one doc_id belong together: each with the smallest of them.
+    ids = items.select("id", "digest")
+    named = some.select("doc_id", "digest")
+    several = named.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    several = named.join(several.filter("low <> high").select("doc_id", "low"), "doc_id").filter("digest <> low")
+    several = several.join(ids.withColumnRenamed("id", "b"), "digest")
+    several = several.join(ids.select(F.col("digest").alias("low"), F.col("id").alias("a")), "low")
+    found = components(links.union(several.select("a", "b")), "a", "b")
+
+    members = items.join(found, items["id"] == found["node"]).select("digest", "first.doc_id", "component")
+    least = members.groupBy("component").agg(F.min("doc_id").alias("least"))
+    near = members.join(least, "component").select("digest", "least")
+    labels = items.select("digest", F.col("first.doc_id").alias("own")).join(near, "digest", "left")
+    labels = saved(labels.select("digest", F.coalesce("least", "own").alias("least")), "labels")
+    scratch.clear()
+    out = rows.select("doc_id", "size", "digest").join(labels, "digest", "left")
+    component = F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("doc_id"))
+    out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), component))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return out.select("doc_id", "size", "component_id", kept.alias("kept"))

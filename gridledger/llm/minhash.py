@@ -18,9 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import Scratch, saved, texts_of
-from gridledger.llm.components import components
-from gridledger.llm.linking import minima, near_links, sketch_columns
+from gridledger.llm.common import texts_of
+from gridledger.llm.linking import SKETCH, minima, near_rows, sketch_columns
 
 WORDS, THRESHOLD = 5, 0.75
 #: 32 bands of 4: sets at the threshold share a band with probability 1 - 5e-6.
@@ -63,7 +62,7 @@ def shingle_sets(texts: list[bytes], known: _Hashes | None = None) -> list[np.nd
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, at, n_shingles, digest of the set, sig, keys) for each row of (doc_id, at, text)."""
+    """(doc_id, at, size, digest of the set, sig, keys) for each row of (doc_id, at, text)."""
 
     def run(batches):
         known = _Hashes()
@@ -86,57 +85,15 @@ def sketches(docs: DataFrame) -> DataFrame:
                         pa.array(digests, pa.binary()),
                         *sketch_columns(found, ROWS),
                     ],
-                    ["doc_id", "at", "n_shingles", "digest", "sig", "keys"],
+                    ["doc_id", "at", "size", "digest", "sig", "keys"],
                 )
 
-    return docs.mapInArrow(
-        run, "doc_id long, at long, n_shingles long, digest binary, sig binary, keys array<long>"
-    )
+    return docs.mapInArrow(run, SKETCH)
 
 
 def near_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs`` (doc_id long, text string)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("at"), "text")
-    scratch = Scratch()
-    sketched = scratch.saved(sketches(docs), "sketches")
-    rows = saved(sketched.select("doc_id", "n_shingles", "digest"), "sets")
-    # Equal sets are one class; the text of its first document stands for it.
-    some = sketched.filter("n_shingles > 0 and doc_id is not null")
-    classes = some.groupBy("digest").agg(
-        F.min(F.struct("doc_id", "at")).alias("first"),
-        F.first("n_shingles").alias("size"),
-        F.first("sig").alias("sig"),
-        F.first("keys").alias("keys"),
-    )
-    items = scratch.saved(classes.select("*", F.monotonically_increasing_id().alias("id")), "classes")
-
-    def content(ids: DataFrame) -> DataFrame:
-        wanted = items.join(ids, "id", "left_semi").select("id", "first.doc_id", "first.at")
-        return docs.join(wanted, ["doc_id", "at"]).select("id", F.col("text").cast("binary").alias("content"))
-
-    links = near_links(
-        items.select("id", "size", "sig", "keys"), content, shingle_sets, COORDINATES, THRESHOLD, scratch
-    )
-    # Sets of one doc_id belong together: each with the smallest of them.
-    ids = items.select("id", "digest")
-    named = some.select("doc_id", "digest")
-    several = named.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
-    several = named.join(several.filter("low <> high").select("doc_id", "low"), "doc_id").filter("digest <> low")
-    several = several.join(ids.withColumnRenamed("id", "b"), "digest")
-    several = several.join(ids.select(F.col("digest").alias("low"), F.col("id").alias("a")), "low")
-    found = components(links.union(several.select("a", "b")), "a", "b")
-
-    members = items.join(found, items["id"] == found["node"]).select("digest", "first.doc_id", "component")
-    least = members.groupBy("component").agg(F.min("doc_id").alias("least"))
-    near = members.join(least, "component").select("digest", "least")
-    labels = items.select("digest", F.col("first.doc_id").alias("own")).join(near, "digest", "left")
-    labels = saved(labels.select("digest", F.coalesce("least", "own").alias("least")), "labels")
-    scratch.clear()
-    out = rows.join(labels, "digest", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), component))
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+    return near_rows(docs, sketches, shingle_sets, COORDINATES, THRESHOLD).withColumnRenamed("size", "n_shingles")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -6,6 +6,10 @@ short for a chain, each word and the two after it are. A text's fingerprint is t
 signatures, written as text. Fingerprints are compared by Jaccard; sets whose sizes alone keep them
 below the wanted likeness aren't compared.
 
+``near_documents`` finds the groups: sets are dealt to parts by their length, meet in their own part
+and the next one where they share one of the signatures that sets at the threshold must share, and
+are compared in full.
+
 ``with_next`` sets each document beside the next one by falling doc_id. Documents are dealt out by
 ranges of (doc_id, hash of the text), and the first one of a range also goes to the range before it,
 so that texts are shuffled once and a frequent doc_id is split over ranges.
@@ -21,6 +25,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +35,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridledger.llm.linking import SKETCH, minima, near_rows, sketch_columns
+
 #: Words without an anchor after which each word is one; bytes of text in a range.
 REACH, RANGE_BYTES = 8, 32 << 20
+#: Keys that are sampled for each range.
+SAMPLED = 5
+#: Coordinates by which likely pairs are told before full sets are compared.
+COORDINATES = 64
 
 #: Frequent function words of four languages, which are the anchors.
 ANCHORS = frozenset(
@@ -128,13 +139,11 @@ def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     keys = rows.select("key", "tie")
     total = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")).first()
     parts = 1 + (total["size"] or 0) // range_bytes
-    # Bounds of ranges, as a range partitioning draws them: from a sample of twenty keys for each.
-    sample = keys.sample(min(1.0, 20 * parts / max(1, total["n"])), seed=5) if parts > 1 else keys.limit(0)
-    sample = sample.toPandas().sort_values(["key", "tie"])
-    cuts = sample.iloc[20::20] if parts > 1 else sample
-    cut_ids, cut_ties = cuts["key"].to_numpy(np.int64), cuts["tie"].to_numpy(np.int64)
+    # Bounds of ranges, as a range partitioning draws them: from a sample of a few keys for each.
+    sample = keys.sample(min(1.0, SAMPLED * parts / max(1, total["n"])), seed=5) if parts > 1 else keys.limit(0)
+    cuts = sample.toPandas().sort_values(["key", "tie"]).iloc[SAMPLED::SAMPLED]
     spark = docs.sparkSession
-    bounds = spark.sparkContext.broadcast((cut_ids, cut_ties))
+    bounds = spark.sparkContext.broadcast((cuts["key"].to_numpy(np.int64), cuts["tie"].to_numpy(np.int64)))
 
     def place(key: pd.Series, tie: pd.Series) -> pd.Series:
         return pd.Series(_place(key.to_numpy(np.int64), tie.to_numpy(np.int64), *bounds.value))
@@ -142,16 +151,20 @@ def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     part_of = F.pandas_udf(place, "long")
     # The first document of each range by falling order: one row for each range.
     firsts = keys.withColumn("part", part_of("key", "tie")).groupBy("part").agg(F.max(F.struct("key", "tie")).alias("top"))
-    tops = sorted((r["part"], r["top"]["key"], r["top"]["tie"]) for r in firsts.collect())
-    # Each range but the last one is the next of the one above it; the top one is that of the last.
-    targets: dict[tuple[int, int], int] = {}
-    for k, (_, key, tie) in enumerate(tops):
-        targets[(key, tie)] = tops[(k + 1) % len(tops)][0]
-    sent = spark.sparkContext.broadcast(targets)
+    tops = firsts.select("part", "top.key", "top.tie").toPandas().sort_values("part")
+    # Each is the next one of the range above, the topmost that of the lowest.
+    target = np.roll(tops["part"].to_numpy(np.int64), -1)
+    sent = spark.sparkContext.broadcast((tops["key"].to_numpy(np.int64), tops["tie"].to_numpy(np.int64), target))
 
     def also(key: pd.Series, tie: pd.Series) -> pd.Series:
-        ends = sent.value
-        found = [ends.get(pair) for pair in zip(key.tolist(), tie.tolist(), strict=True)]
+        top_keys, top_ties, target = sent.value
+        ids, ties = key.to_numpy(np.int64), tie.to_numpy(np.int64)
+        low, high = np.searchsorted(top_keys, ids, "left"), np.searchsorted(top_keys, ids, "right")
+        found: list[int | None] = [None] * len(ids)
+        for n in np.flatnonzero(high > low):
+            at = low[n] + np.searchsorted(top_ties[low[n] : high[n]], ties[n])
+            if at < high[n] and top_ties[at] == ties[n]:
+                found[n] = int(target[at])
         return pd.Series(found, dtype="Int64")
 
     also_in = F.pandas_udf(also, "long")
@@ -218,3 +231,55 @@ def fingerprints(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     placed = with_next(docs, range_bytes).repartition("part")
     placed = placed.sortWithinPartitions("part", "extra", F.col("key").desc(), F.col("tie").desc())
     return placed.mapInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
+
+
+def _length_part(size: int, threshold: float) -> int:
+    """The part of all sets by length: sets whose lengths differ more than the threshold allows are two apart."""
+    return math.floor(math.log(size) / -math.log(threshold) + 1e-9)
+
+
+def sketches(threshold: float):
+    """Rows for ``near_rows``: keys are the signatures that sets of a threshold must share one of.
+
+    In any one order of all signatures, two sets at the threshold share one of the first of each, as
+    many as the threshold lets them differ by, and one more. Sets meet in their own part of lengths
+    and the next one.
+    """
+
+    def run(batches):
+        known = _Words()
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            sets = [signatures(t or "", known) for t in texts]
+            full = [s for s in sets if len(s)]
+            starts = np.cumsum([0, *(len(s) for s in full)])[:-1]
+            found = np.zeros((len(sets), COORDINATES), np.uint32)
+            if full:
+                found[[len(s) > 0 for s in sets]] = minima(np.concatenate(full), starts, COORDINATES)
+            keys = []
+            for s in sets:
+                first = s[: len(s) - math.ceil(threshold * len(s) - 1e-9) + 1].astype(np.int64)
+                part = _length_part(len(s), threshold) if len(s) else 0
+                keys.append(np.concatenate([(first << 20) + part, (first << 20) + part + 1]) if len(s) else first)
+            offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
+            sig, _ = sketch_columns(found, 1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "at")),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
+                    sig,
+                    pa.ListArray.from_arrays(offsets, np.concatenate([*keys, np.zeros(0, np.int64)])),
+                ],
+                ["doc_id", "at", "size", "digest", "sig", "keys"],
+            )
+
+    return lambda docs: docs.mapInArrow(run, SKETCH)
+
+
+def near_documents(docs: DataFrame, threshold: float = 0.75) -> DataFrame:
+    """(doc_id, size, component_id, kept): documents whose signatures' Jaccard reaches the threshold,
+    directly or through others. Texts without signatures are near nothing."""
+    return near_rows(
+        docs, sketches(threshold), lambda texts: [signatures(t.decode()) for t in texts], COORDINATES, threshold
+    )

@@ -1,5 +1,6 @@
 """Near-duplicate documents, lines and vectors against brute force, and components."""
 
+import math
 import random
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from conftest import rows
 
 from brute import FOLDER, ROWS, first_lines, groups, roots, word_set
-from gridledger.llm import embeddings, lines, linking, minhash
+from gridledger.llm import embeddings, lines, linking, minhash, spotsigs
 from gridledger.llm.components import components
 
 
@@ -104,6 +105,23 @@ def test_blocks_of_a_large_group(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in found.collect()} == groups({d: word_set(t) for d, t in docs})
 
 
+def test_documents_by_spot_signatures(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    more = [(1000, None), (1001, ""), (1002, "one"), (1003, "one"), (1004, "the cat and a dog of it"), (1005, "The cat, and a dog of it!")]
+    table = docs.union(spark.createDataFrame(more, "doc_id long, text string"))
+    sets = {r.doc_id: set(spotsigs.signatures(r.text or "").tolist()) for r in table.collect()}
+    found = {r.doc_id: (r.size, r.component_id) for r in spotsigs.near_documents(table).collect()}
+    assert found == {d: (len(sets[d]), root) for d, root in groups(sets).items()}
+    assert found[1003][1] == 1002 and found[1005][1] == 1004 and found[1001][1] == 1001
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.75, 0.9])
+def test_near_sets_meet_in_a_part_of_lengths(threshold):
+    for a in range(1, 300):
+        for b in range(math.ceil(threshold * a - 1e-9), a + 1):
+            assert spotsigs._length_part(a, threshold) - spotsigs._length_part(b, threshold) in (0, 1)
+
+
 def test_no_documents(spark):
     empty = spark.createDataFrame([], ROWS)
     assert rows(minhash.near_documents(empty)) == [] and rows(lines.deduplicated_lines(empty)) == []
