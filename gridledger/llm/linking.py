@@ -76,8 +76,6 @@ def minima(hashes: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray:
             np.right_shift(y, np.uint32(15), out=z)
             np.bitwise_xor(y, z, out=y)
             np.multiply(y, np.uint32(0x85EBCA77), out=y)
-            np.right_shift(y, np.uint32(13), out=z)
-            np.bitwise_xor(y, z, out=y)
             out[at:to, k] = np.minimum.reduceat(y, low)
         at = to
     return out
