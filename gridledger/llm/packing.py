@@ -42,7 +42,7 @@ AFTER_SENTENCE, INSIDE = 2, 16
 #: Positions inside a stretch without ends, the windows solved at a time, and those solved again.
 STEP, WINDOWS, AGAIN = 32, 256, 8
 #: Words whose tokens a worker keeps before it starts anew.
-KEPT = 600_000
+KEPT = 300_000
 
 
 def _byte_signs() -> dict[int, int]:
