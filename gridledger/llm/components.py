@@ -1,12 +1,12 @@
 """Connected components of a table of links, by alternating large and small stars.
 
 Every round sends each node its smallest neighbour (a sum over the links, combined before the
-shuffle) and rewires the links to it, so that the links' number never grows. Rounds end when all
-links are stars; their number grows with the logarithm of the longest chain. A node with very many
-links is split by the skewed join.
+shuffle) and rewires the links to it, so that the links' number never grows. Rounds end when nothing
+changes: all links are stars then. Their number grows with the logarithm of the longest chain. A
+node with very many links is split by the skewed join.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridledger.llm.common import Scratch
@@ -17,33 +17,25 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
 
     Null ends and links of a node to itself count for nothing; links may repeat.
     """
-    edges = (
-        links.select(F.col(left).alias("u"), F.col(right).alias("v"))
-        .filter("u <> v")
-        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .distinct()
-    )
+    ends = links.select(F.col(left).alias("u"), F.col(right).alias("v")).filter("u <> v")
     scratch = Scratch()
-    edges = scratch.saved(edges, "links")
-    while True:
+    edges = scratch.saved(ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "links")
+    changed = True
+    while changed:
+        # Large star: the larger neighbours of a node go to the smallest of it and its neighbours.
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        floor = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(floor, "u")
-        small = (
-            small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(floor.select("u", F.col("m").alias("v")))
-            .distinct()
-        )
+        large = both.filter("v > u").join(least, "u")
+        large = large.select(F.col("v").alias("u"), F.col("m").alias("v"), (F.col("m") < F.col("u")).alias("changed"))
+        # Small star: a node and its smaller neighbours go to the smallest of them.
+        floor = large.groupBy("u").agg(F.min("v").alias("m"), F.max("changed").alias("changed"))
+        small = large.select("u", "v").join(floor.select("u", "m"), "u").filter("v <> m")
+        small = small.select(F.col("v").alias("u"), F.col("m").alias("v"), F.lit(True).alias("changed"))
+        small = small.union(floor.select("u", "m", "changed")).groupBy("u", "v").agg(F.max("changed").alias("changed"))
+        seen = Observation()
         before, scratch = scratch, Scratch()
-        after = scratch.saved(small, "links")
+        edges = scratch.saved(small.observe(seen, F.max("changed").alias("changed")), "links").select("u", "v")
+        changed = seen.get["changed"]
         before.clear()
-        # All links are stars once no node is both an upper and a lower end and each has one root.
-        state = after.agg(F.count("*").alias("n"), F.countDistinct("u").alias("u")).first()
-        mixed = after.select("u").join(after.select(F.col("v").alias("u")), "u", "left_semi").limit(1).count()
-        edges = after
-        if state["n"] == state["u"] and not mixed:
-            break
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    roots = edges.groupBy("v").agg(F.lit(0)).select(F.col("v").alias("node"), F.col("v").alias("component"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -126,15 +126,17 @@ def _signatures_alike(least: int):
 def likely_links(items: DataFrame, least: int, scratch: Scratch) -> DataFrame:
     """(a, b): a forest of likely links in each bucket. ``items``: id, sig, keys."""
     rows = items.select("id", F.explode("keys").alias("key"))
+    # Most keys are of one item only: they go before anything but their number is summed up.
+    shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    rows = scratch.saved(rows.join(shared, "key"), "shared")
     buckets = (
         rows.groupBy("key")
         .agg(F.count("*").alias("n"), F.min("id").alias("leader"), F.bit_xor(F.xxhash64("id")).alias("who"))
-        .filter("n > 1")
         .groupBy("n", "leader", "who")
         .agg(F.min("key").alias("key"))
         .select("key", "leader")
     )
-    members = scratch.saved(rows.join(buckets, "key").filter("id <> leader"), "members")
+    members = rows.join(buckets, "key").filter("id <> leader")
     signs = items.select("id", "sig")
     leaders = signs.select(F.col("id").alias("leader"), F.col("sig").alias("lead"))
 
