@@ -102,20 +102,29 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _picked(texts: DataFrame) -> DataFrame:
-    """(id, content): the wanted lines of (text, wanted: array of line and id), in normal form."""
+    """(id, content): the wanted lines of (doc_id, at, text, wanted: array of line and id), in normal
+    form. Rows that repeat doc_id and text give each line once."""
 
     def run(batches):
+        seen = set()
         for batch in batches:
-            wanted = batch.column(batch.schema.get_field_index("wanted")).to_pylist()
+            doc_id, at, wanted = (
+                batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "at", "wanted")
+            )
             ids, out = [], []
-            for text, lines in zip(texts_of(batch), wanted, strict=True):
+            for key, text, lines in zip(zip(doc_id, at, strict=True), texts_of(batch), wanted, strict=True):
+                if key in seen:
+                    continue
+                seen.add(key)
                 parts = text.split(b"\n")
                 for x in lines:
                     ids.append(x["id"])
                     out.append(normal(parts[x["line"]]))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], ["id", "content"])
 
-    return texts.select("text", "wanted").mapInArrow(run, "id long, content binary")
+    picked = texts.select("doc_id", "at", "text", "wanted").mapInArrow(run, "id long, content binary")
+    # Other tasks may have met the same document.
+    return picked.dropDuplicates(["id"])
 
 
 def first_lines(docs: DataFrame) -> DataFrame:

@@ -204,7 +204,7 @@ def near_links(
     """(a, b): links that join all items whose sets are linked, directly or through others.
 
     ``items``: id (long, distinct), size (of the set), sig (binary, a byte for each coordinate),
-    keys (one for each band). ``content(ids)`` gives (id, content) of the wanted ids, and
+    keys (one for each band). ``content(ids)`` gives (id, content), one row for each wanted id, and
     ``as_sets`` turns contents into sets of hashes, sorted and distinct.
     """
     least, percent = looks_alike(coordinates, threshold), round(threshold * 100)
@@ -267,7 +267,9 @@ def near_rows(
 
     def content(ids: DataFrame) -> DataFrame:
         wanted = items.join(ids, "id", "left_semi").select("id", "first.doc_id", "first.at")
-        return docs.join(wanted, ["doc_id", "at"]).select("id", F.col("text").cast("binary").alias("content"))
+        texts = docs.join(wanted, ["doc_id", "at"]).select("id", F.col("text").cast("binary").alias("content"))
+        # Rows that repeat doc_id and text give one; all but one in a task go before the shuffle.
+        return texts.dropDuplicates(["id"])
 
     links = near_links(
         items.select("id", "size", "sig", "keys"), content, as_sets, coordinates, threshold, scratch

@@ -164,6 +164,29 @@ def test_repeated_rows_of_lines(spark):
     assert sorted((r.doc_id, r.n_kept) for r in found.collect()) == [(1, 2), (1, 2), (2, 0)]
 
 
+def test_many_repeats_of_a_row_are_read_once(spark, monkeypatch):
+    """A row of which there are many, and which has a near copy: one content for its class."""
+    seen = []
+
+    def watched(items, content, *rest):
+        seen.append((items.count(), [r.id for r in content(items.select("id")).collect()]))
+        return linking_links(items, content, *rest)
+
+    linking_links = linking.near_links
+    monkeypatch.setattr(linking, "near_links", watched)
+    monkeypatch.setattr(lines, "near_links", watched)
+    text = " ".join(f"word{i}" for i in range(60))
+    data = [(1, text)] * 400 + [(2, text + " more"), (3, "else")]
+    table = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    documents = {(r.doc_id, r.component_id) for r in minhash.near_documents(table).collect()}
+    assert documents == {(1, 1), (2, 1), (3, 3)}
+    left = lines.deduplicated_lines(table).collect()
+    assert len(left) == 402 and {(r.doc_id, r.n_kept) for r in left} == {(1, 1), (2, 0), (3, 1)}
+    assert len(seen) == 2
+    for n, ids in seen:
+        assert n == len(ids) == len(set(ids)) == 3
+
+
 VECTORS = "vec_id long, embedding array<float>, label int"
 
 
