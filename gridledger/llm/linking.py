@@ -4,8 +4,9 @@ Both near-duplicate operators use it, on documents and on lines. The way from si
 
 1. Each set gives one key per band of its signature; sets that share a key share a bucket. Buckets
    with the same members count once. Every member is compared with its bucket's smallest member by
-   the signatures; those that look unlike it are compared among each other, in blocks. This gives a
-   forest of likely links, with at most one row per member and bucket (and block), never all pairs.
+   the signatures; those that look unlike it are compared among each other, in blocks, and, where
+   sets need not share more than one key, with those that look like it too. This gives a forest of
+   likely links, with at most one row per member and bucket (and block), never all pairs.
 2. The components of the forest are the likely groups. Within a group, the full sets are compared
    in pairs of blocks; each pair of blocks gives a forest of exact links.
 3. The components of the exact links are the result.
@@ -123,8 +124,25 @@ def _signatures_alike(least: int):
     return run
 
 
-def likely_links(items: DataFrame, least: int, scratch: Scratch) -> DataFrame:
-    """(a, b): a forest of likely links in each bucket. ``items``: id, sig, keys."""
+def _unlike_with_alike(least: int):
+    def run(group: pa.Table):
+        alike = group["alike"].to_numpy(zero_copy_only=False)
+        signs, like = _bytes(group["sig"]), np.flatnonzero(alike)
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in np.flatnonzero(~alike):
+            hit = like[(signs[like] == signs[i]).sum(1) >= least]
+            left.append(np.full(len(hit), i))
+            right.append(hit)
+        return _forest_rows(group["id"].to_numpy(), np.concatenate(left), np.concatenate(right))
+
+    return run
+
+
+def likely_links(items: DataFrame, least: int, scratch: Scratch, one_key: bool = False) -> DataFrame:
+    """(a, b): a forest of likely links in each bucket. ``items``: id, sig, keys.
+
+    ``one_key``: linked sets may share one key only, so that their one bucket must find the link.
+    """
     rows = items.select("id", F.explode("keys").alias("key"))
     # Most keys are of one item only: they go before anything but their number is summed up.
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
@@ -164,7 +182,28 @@ def likely_links(items: DataFrame, least: int, scratch: Scratch) -> DataFrame:
     )
     rest = rest.join(sizes, "key").withColumn("block", spread(F.col("id"), parts=F.col("blocks")))
     rest = block_pairs(rest, "block", "blocks").join(signs, "id").select("key", "low", "high", "block", "id", "sig")
-    return stars.union(by_group(rest, ["key", "low", "high"], _signatures_alike(least), "a long, b long"))
+    links = stars.union(by_group(rest, ["key", "low", "high"], _signatures_alike(least), "a long, b long"))
+    if not one_key:
+        return links
+    # Each block of the unlike members meets each block of the others, of which all are linked.
+    n, unlike = F.count_if("alike"), F.count_if(~F.col("alike"))
+    sizes = (
+        compared.groupBy("key")
+        .agg(
+            F.ceil(n / SIGNATURE_BLOCK).cast("int").alias("alike_blocks"),
+            F.ceil(unlike / SIGNATURE_BLOCK).cast("int").alias("unlike_blocks"),
+        )
+        .filter("alike_blocks > 0 and unlike_blocks > 0")
+    )
+    own = F.when(F.col("alike"), F.col("alike_blocks")).otherwise(F.col("unlike_blocks"))
+    others = F.when(F.col("alike"), F.col("unlike_blocks")).otherwise(F.col("alike_blocks"))
+    both = compared.join(sizes, "key").withColumn("block", spread(F.col("id"), parts=own))
+    both = both.withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
+    low = F.when(F.col("alike"), F.col("other")).otherwise(F.col("block"))
+    high = F.when(F.col("alike"), F.col("block")).otherwise(F.col("other"))
+    both = both.withColumns({"low": low, "high": high}).join(signs, "id")
+    both = both.select("key", "low", "high", "id", "alike", "sig")
+    return links.union(by_group(both, ["key", "low", "high"], _unlike_with_alike(least), "a long, b long"))
 
 
 def exact_pairs(sets: list[np.ndarray], block: np.ndarray, across: bool, percent: int):
@@ -200,15 +239,17 @@ def near_links(
     coordinates: int,
     threshold: float,
     scratch: Scratch,
+    one_key: bool = False,
 ) -> DataFrame:
     """(a, b): links that join all items whose sets are linked, directly or through others.
 
     ``items``: id (long, distinct), size (of the set), sig (binary, a byte for each coordinate),
     keys (one for each band). ``content(ids)`` gives (id, content), one row for each wanted id, and
-    ``as_sets`` turns contents into sets of hashes, sorted and distinct.
+    ``as_sets`` turns contents into sets of hashes, sorted and distinct. ``one_key``: as for
+    ``likely_links``.
     """
     least, percent = looks_alike(coordinates, threshold), round(threshold * 100)
-    likely = components(likely_links(items, least, scratch), "a", "b")
+    likely = components(likely_links(items, least, scratch, one_key), "a", "b")
     likely = scratch.saved(likely.join(items.select(F.col("id").alias("node"), "size"), "node"), "likely")
     groups = likely.groupBy("component").agg(
         F.ceil(F.greatest(F.count("*") / SET_BLOCK, F.sum("size") / ELEMENT_BLOCK)).cast("int").alias("blocks")
@@ -247,6 +288,7 @@ def near_rows(
     as_sets: Callable[[list[bytes]], list[np.ndarray]],
     coordinates: int,
     threshold: float,
+    one_key: bool = False,
 ) -> DataFrame:
     """(doc_id, size of the set, component_id, kept) for each row of ``docs`` (doc_id long, text string).
 
@@ -272,7 +314,7 @@ def near_rows(
         return texts.dropDuplicates(["id"])
 
     links = near_links(
-        items.select("id", "size", "sig", "keys"), content, as_sets, coordinates, threshold, scratch
+        items.select("id", "size", "sig", "keys"), content, as_sets, coordinates, threshold, scratch, one_key
     )
     # Sets of one doc_id belong together: each with the smallest of them.
     ids = items.select("id", "digest")

@@ -280,6 +280,8 @@ def sketches(threshold: float):
 def near_documents(docs: DataFrame, threshold: float = 0.75) -> DataFrame:
     """(doc_id, size, component_id, kept): documents whose signatures' Jaccard reaches the threshold,
     directly or through others. Texts without signatures are near nothing."""
-    return near_rows(
-        docs, sketches(threshold), lambda texts: [signatures(t.decode()) for t in texts], COORDINATES, threshold
-    )
+
+    def as_sets(texts: list[bytes]) -> list[np.ndarray]:
+        return [signatures(t.decode()) for t in texts]
+
+    return near_rows(docs, sketches(threshold), as_sets, COORDINATES, threshold, one_key=True)

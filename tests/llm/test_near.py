@@ -115,6 +115,21 @@ def test_documents_by_spot_signatures(spark):
     assert found[1003][1] == 1002 and found[1005][1] == 1004 and found[1001][1] == 1001
 
 
+def test_short_families_by_spot_signatures(spark, monkeypatch):
+    """Sets that share one key only, of which one looks like the bucket's first member and one doesn't."""
+    monkeypatch.setattr(linking, "SIGNATURE_BLOCK", 2)
+    rng = random.Random(7)
+    docs = []
+    for family in range(400):
+        base = list(range(4))
+        for _ in range(6):
+            own = [k for k in base if rng.random() > 0.15] + [9 + rng.randrange(3)] * (rng.random() < 0.2)
+            docs.append((len(docs), " ".join(f"the x{family}n{k} y{family}n{k}" for k in own)))
+    sets = {d: set(spotsigs.signatures(t).tolist()) for d, t in docs}
+    found = spotsigs.near_documents(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in found.collect()} == groups(sets)
+
+
 @pytest.mark.parametrize("threshold", [0.5, 0.75, 0.9])
 def test_near_sets_meet_in_a_part_of_lengths(threshold):
     for a in range(1, 300):
