@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridledger.llm import chat, embeddings, language, lines, minhash, mixing, packing, quality, sharding, spotsigs
+from gridledger.llm import (
+    chat,
+    embeddings,
+    language,
+    lines,
+    merkle,
+    minhash,
+    mixing,
+    oracle,
+    packing,
+    quality,
+    repair,
+    sharding,
+    spotsigs,
+)
 from gridledger.llm.common import table
 
 
@@ -50,6 +64,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predicted(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired_conversations(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -61,6 +83,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_packing": op9_packing,
     "op10_language_id": op10_language_id,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 
@@ -118,4 +142,4 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS sour
 FROM done"""
 
 
-ORACLE_SQL: dict[str, str] = {"op5_source_mixing": _mixing_sql()}
+ORACLE_SQL: dict[str, str] = {"op5_source_mixing": _mixing_sql()} | oracle.ORACLE_SQL
