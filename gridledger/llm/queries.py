@@ -18,6 +18,7 @@ from gridledger.llm import (
     packing,
     quality,
     repair,
+    repeats,
     sharding,
     spotsigs,
 )
@@ -72,6 +73,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed_passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_repeated_passages": op13_repeated_passages,
 }
 
 
