@@ -56,8 +56,9 @@ def _found() -> list[Column]:
     ]
 
 
-def _completed(joined: DataFrame) -> DataFrame:
+def _completed(joined: DataFrame, *kept: str) -> DataFrame:
     return joined.select(
+        *kept,
         *KEYS,
         F.coalesce("_file", "result_file").alias("result_file"),
         F.coalesce("_timestamp", "timestamp").alias("timestamp"),
@@ -73,13 +74,25 @@ def upsert(ledger: DataFrame, results: DataFrame) -> DataFrame:
     return _completed(ledger.join(latest_results(results).select(*KEYS, *_found()), KEYS, "left"))
 
 
-def upsert_by_name(ledger: DataFrame, listing: DataFrame) -> DataFrame:
+def _by_name(ledger: DataFrame, listing: DataFrame, how: str) -> DataFrame:
+    found = latest_by_name(listing).select(F.col("file_name").alias("_name"), *_found())
+    return ledger.join(found, expected_name() == F.col("_name"), how)
+
+
+def upsert_by_name(ledger: DataFrame, listing: DataFrame, *kept: str) -> DataFrame:
     """Mark the cells whose expected file is in the listing as completed, by the latest of its name.
 
     A name belongs to one cell (see `ambiguous_names`), so that one join by name is the upsert.
+    Other columns of the ledger that are ``kept`` come first.
     """
-    found = latest_by_name(listing).select(F.col("file_name").alias("_name"), *_found())
-    return _completed(ledger.join(found, expected_name() == F.col("_name"), "left"))
+    return _completed(_by_name(ledger, listing, "left"), *kept)
+
+
+def changed_cells(ledger: DataFrame, listing: DataFrame) -> DataFrame:
+    """The rows of the ledger, with all their columns, that `upsert_by_name` would change."""
+    joined = _by_name(ledger, listing, "inner")
+    same = [F.col(new).eqNullSafe(F.col(old)) for new, old in (("_file", "result_file"), ("_timestamp", "timestamp"), ("_status", "status"))]
+    return joined.where(~(same[0] & same[1] & same[2])).select(ledger.columns)
 
 
 def with_status(ledger: DataFrame, status: str) -> DataFrame:

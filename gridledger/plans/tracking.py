@@ -7,14 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from gridledger.operators import ledger as L
 from gridledger.operators import matching, metrics
 from gridledger.operators.catalog import pair_grid
-from gridledger.sinks.ledger import write_ledger
+from gridledger.sinks.ledger import expire_ledger, update_ledger, write_ledger
 from gridledger.sinks.metrics import write_metrics
-from gridledger.sources.ledger import read_ledger, read_ledger_csv
+from gridledger.sources.ledger import latest_manifest, read_ledger, read_ledger_csv
 from gridledger.sources.results import list_results, read_documents
 from gridledger.runtime import shared_folder
 from gridledger.schemas import KEYS, LEDGER_SCHEMA
-from gridledger.streaming.ingest import compact_facts, ingest_new_files, ledger_from_facts, read_facts
-from gridledger.versions import expire_versions, latest_version, next_version
+from gridledger.streaming.ingest import (
+    fact_folders,
+    facts_of_names,
+    ingest_new_files,
+    merge_small_facts,
+    new_folders,
+    read_facts,
+)
+from gridledger.versions import latest_version, next_version
 
 # Versions of the ledger that stay readable after a new one.
 KEPT_VERSIONS = 3
@@ -75,7 +82,7 @@ def init_tracking(
     else:
         rows = L.merge_ledger(grid, read_ledger(spark, root))
     write_ledger(rows, root, version)
-    expire_versions(spark, root, KEPT_VERSIONS)
+    expire_ledger(spark, root, KEPT_VERSIONS)
     return read_ledger(spark, root)
 
 
@@ -93,7 +100,7 @@ def update_tracking(spark: SparkSession, root: str, results: str, by_parsing=Fal
         updated, unexpected = L.upsert_by_name(ledger, listing), matching.unexpected_files(ledger, listing)
     write_ledger(updated, root, version)
     orphans = matching.orphan_results(parsed, ledger)
-    expire_versions(spark, root, KEPT_VERSIONS)
+    expire_ledger(spark, root, KEPT_VERSIONS)
     return Update(read_ledger(spark, root), unexpected, orphans)
 
 
@@ -107,13 +114,18 @@ def update_tracking_incrementally(
 ) -> DataFrame:
     """As `update_tracking`, but reads only the files that are new since the last call.
 
-    ``max_files`` bounds the files of a batch. The facts are kept as one folder.
+    ``max_files`` bounds the files of a batch. Cells whose names no new facts have are left as they are,
+    and so are the ledger's files that hold none of the others.
     """
     version = next_version(spark, root)
     ingest_new_files(spark, results, facts, checkpoint, max_files)
-    compact_facts(spark, facts)
-    write_ledger(ledger_from_facts(read_ledger(spark, root), read_facts(spark, facts)), root, version)
-    expire_versions(spark, root, KEPT_VERSIONS)
+    applied = latest_manifest(spark, root).applied
+    folders = list(fact_folders(spark, facts))
+    new = folders if applied is None else new_folders(spark, facts, folders, applied)
+    if applied is None or new:
+        update_ledger(spark, root, facts_of_names(spark, facts, new, folders), version, folders)
+        expire_ledger(spark, root, KEPT_VERSIONS)
+    merge_small_facts(spark, facts, folders)
     return read_ledger(spark, root)
 
 

@@ -4,22 +4,29 @@ The facts are all the state there is, and what the folder holds decides what is
 time and length the facts don't have yet. A stream brings in what has arrived since the last call;
 its memory of files has gaps (files that come with an old time stamp, files that were written anew,
 empty files), so that a full listing is compared with the facts after it. A ledger is made from the
-facts by the same upsert as in batch.
+facts by the same upsert as in batch, of those names only that new facts have: the ledger's manifest
+tells which folders of facts are in it.
 """
 
+import math
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridledger.functions.names import file_name
 from gridledger.operators.ledger import upsert_by_name
-from gridledger.runtime import path_exists, session_setting
+from gridledger.runtime import path_exists, session_setting, shared_folder
 from gridledger.schemas import FACTS_SCHEMA
 from gridledger.sources.results import SUFFIX, list_results, parse_files, with_content
+from gridledger.versions import folder_of, read_text, write_text
 
 # Older files than this, against the newest one, would be passed over by the stream.
 _ANY_AGE = "36500d"
+# Folders of a tier that are merged, the size of the first tier, and bytes of a merged file.
+TIER, _SMALL, _PART = 8, 1 << 20, 128 << 20
+_REPLACED = "_replaced"
 _FILES_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -62,19 +69,22 @@ def _ingest_stream(spark: SparkSession, folder: str, facts: str, checkpoint: str
 
 
 def ingest_missing(spark: SparkSession, folder: str, facts: str, max_files: int | None = None) -> None:
-    """Read the files of the folder whose path, time and length the facts don't have."""
-    while True:
-        known = read_facts(spark, facts).select("result_file", "mtime", "length")
-        missing = list_results(spark, folder).join(known, ["result_file", "mtime", "length"], "left_anti")
-        if max_files:
-            missing = missing.orderBy("mtime", "result_file").limit(max_files)
-        missing = missing.persist()
-        found = missing.count()
-        if found:
-            _write(with_content(missing), f"{facts.rstrip('/')}/run=listing/batch={uuid.uuid4().hex}")
-        missing.unpersist()
-        if not found or not max_files or found < max_files:
-            return
+    """Read the files of the folder whose path, time and length the facts don't have.
+
+    The folder is listed once. ``max_files`` bounds the files that are read before they are kept.
+    """
+    known = read_facts(spark, facts).select("result_file", "mtime", "length")
+    missing = list_results(spark, folder).join(known, ["result_file", "mtime", "length"], "left_anti")
+    kept = shared_folder(spark, "missing")
+    missing.write.parquet(kept)
+    missing = spark.read.schema(missing.schema).parquet(kept)
+    count = missing.count()
+    parts = -(-count // (max_files or max(1, count)))
+    for part in range(parts):
+        rows = missing if parts == 1 else missing.where(F.pmod(F.xxhash64("result_file"), F.lit(parts)) == part)
+        _write(with_content(rows), f"{facts.rstrip('/')}/run=listing/batch={uuid.uuid4().hex}")
+    store, target = folder_of(spark, kept)
+    store.delete(target, True)
 
 
 def ingest_new_files(
@@ -95,32 +105,95 @@ def ingest_new_files(
     ingest_missing(spark, folder, facts, max_files)
 
 
-def _last_readings(spark: SparkSession, facts: str) -> DataFrame:
-    if not path_exists(spark, facts):
-        return spark.createDataFrame([], FACTS_SCHEMA)
-    rows = spark.read.schema(FACTS_SCHEMA).parquet(f"{facts.rstrip('/')}/run=*/batch=*")
+def fact_folders(spark: SparkSession, facts: str) -> dict[str, int]:
+    """The folders that hold facts, by their names under ``facts``, with the bytes of each."""
+    store, root = folder_of(spark, facts)
+    if not store.exists(root):
+        return {}
+    runs = [run.getPath() for run in store.listStatus(root) if run.getPath().getName().startswith("run=")]
+    batches = [batch.getPath() for run in runs for batch in store.listStatus(run)]
+    named = {f"{b.getParent().getName()}/{b.getName()}": b for b in batches if b.getName().startswith("batch=")}
+    return {name: store.getContentSummary(path).getLength() for name, path in sorted(named.items())}
+
+
+def _replaced(spark: SparkSession, facts: str, folder: str) -> list[str] | None:
+    """The folders that a compacted one was made from; None for others."""
+    path = f"{facts.rstrip('/')}/{folder.split('/')[0]}/{_REPLACED}"
+    return read_text(spark, path).splitlines() if path_exists(spark, path) else None
+
+
+def new_folders(spark: SparkSession, facts: str, folders: Iterable[str], applied: Iterable[str]) -> list[str]:
+    """Those of the folders whose facts are not in the applied ones."""
+    applied = set(applied)
+    return [f for f in folders if f not in applied and not set(_replaced(spark, facts, f) or [""]) <= applied]
+
+
+def _readings(spark: SparkSession, facts: str, folders: Iterable[str]) -> DataFrame:
+    paths = [f"{facts.rstrip('/')}/{folder}" for folder in folders]
+    return spark.read.schema(FACTS_SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], FACTS_SCHEMA)
+
+
+def _last(readings: DataFrame) -> DataFrame:
     others = [c for c in FACTS_SCHEMA.fieldNames() if c != "result_file"]
     latest = F.max_by(F.struct(*others), F.struct("read_at", "mtime")).alias("latest")
-    return rows.groupBy("result_file").agg(latest).select("result_file", "latest.*")
+    return readings.groupBy("result_file").agg(latest).select("result_file", "latest.*")
 
 
 def read_facts(spark: SparkSession, facts: str) -> DataFrame:
     """One row per result file: its last reading. None before the first ingest."""
-    return _last_readings(spark, facts).drop("read_at")
+    return _last(_readings(spark, facts, fact_folders(spark, facts))).drop("read_at")
+
+
+def facts_of_names(spark: SparkSession, facts: str, new: Iterable[str], folders: Iterable[str]) -> DataFrame:
+    """The last reading of every result file whose name some of the new folders have.
+
+    All facts are read, of which few columns and, behind a join with the few names, few rows are left.
+    """
+    names = _readings(spark, facts, new).select("file_name").distinct()
+    return _last(_readings(spark, facts, folders).join(names, "file_name", "left_semi")).drop("read_at")
 
 
 def compact_facts(spark: SparkSession, facts: str) -> None:
-    """Put the last reading of each file into one folder, and drop the folders that it was made from."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(facts)
-    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not store.exists(root):
+    """Put the last reading of each file into one folder, and drop the folders that it was made from.
+
+    For a store that nobody else reads meanwhile; `merge_small_facts` goes on beside readers.
+    """
+    folders = fact_folders(spark, facts)
+    if not folders:
         return
-    old = [run.getPath() for run in store.listStatus(root) if run.getPath().getName().startswith("run=")]
-    new = f"{facts.rstrip('/')}/run=compact-{uuid.uuid4().hex}/batch=0"
-    _last_readings(spark, facts).write.parquet(new)
-    for path in old:
-        store.delete(path, True)
+    _last(_readings(spark, facts, folders)).write.parquet(f"{facts.rstrip('/')}/run=compact-{uuid.uuid4().hex}/batch=0")
+    _drop(spark, facts, folders)
+
+
+def _drop(spark: SparkSession, facts: str, folders: Iterable[str]) -> None:
+    for run in {folder.split("/")[0] for folder in folders}:
+        store, target = folder_of(spark, f"{facts.rstrip('/')}/{run}")
+        for folder in folders:
+            if folder.startswith(f"{run}/"):
+                store.delete(folder_of(spark, f"{facts.rstrip('/')}/{folder}")[1], True)
+        if store.exists(target) and not any(x.getPath().getName().startswith("batch=") for x in store.listStatus(target)):
+            store.delete(target, True)
+
+
+def merge_small_facts(spark: SparkSession, facts: str, applied: Iterable[str]) -> None:
+    """Merge folders of a like size, once there are many of them, so that each fact is written anew a
+    few times only, however long the campaign.
+
+    Folders that a merge has replaced stay until the next call, for those who are reading them: a
+    reading that is there twice counts once. Only ``applied`` folders are merged.
+    """
+    folders = fact_folders(spark, facts)
+    gone = {old for folder in folders for old in _replaced(spark, facts, folder) or ()} & set(folders)
+    _drop(spark, facts, gone)
+    tiers: dict[int, list[str]] = {}
+    for folder in sorted(set(folders) & set(applied) - gone):
+        tiers.setdefault(int(math.log(max(folders[folder], _SMALL) / _SMALL, TIER)), []).append(folder)
+    for tier in tiers.values():
+        if len(tier) >= TIER:
+            run = f"{facts.rstrip('/')}/run=compact-{uuid.uuid4().hex}"
+            rows = _last(_readings(spark, facts, tier))
+            rows.repartitionByRange(max(1, sum(folders[f] for f in tier) // _PART), "file_name").write.parquet(f"{run}/batch=0")
+            write_text(spark, f"{run}/{_REPLACED}", "\n".join(tier))
 
 
 def ledger_from_facts(ledger: DataFrame, facts: DataFrame) -> DataFrame:

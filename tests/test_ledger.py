@@ -1,4 +1,8 @@
+import json
+import os
 import random
+import threading
+import time
 from datetime import datetime
 
 import pytest
@@ -6,10 +10,11 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from gridledger.operators import ledger as L
+from gridledger.runtime import session_setting
 from gridledger.schemas import KEYS, LEDGER_SCHEMA
-from gridledger.sinks.ledger import write_ledger, write_ledger_csv
-from gridledger.sources.ledger import read_ledger, read_ledger_csv
-from gridledger.versions import expire_versions
+from gridledger.sinks.ledger import expire_ledger, update_ledger, write_ledger, write_ledger_csv
+from gridledger.sources.ledger import read_ledger, read_ledger_csv, stored_status_counts
+from gridledger.versions import VersionTaken, next_version
 
 KEY = "model string, pretrained string, task_type string, benchmark string"
 RESULT = KEY + ", result_file string, mtime timestamp"
@@ -119,7 +124,143 @@ def test_old_versions_are_deleted_on_request(spark, tmp_path):
     root = str(tmp_path / "ledger")
     for _ in range(4):
         write_ledger(L.new_ledger(grid(spark)), root)
-    expire_versions(spark, root, keep=2)
-    assert sorted(p.name for p in (tmp_path / "ledger").iterdir()) == ["v00000003", "v00000004"]
-    expire_versions(spark, root, keep=5)
+    expire_ledger(spark, root, keep=2)
+    assert sorted(p.name for p in (tmp_path / "ledger").iterdir()) == ["data", "v00000003", "v00000004"]
+    assert len(list((tmp_path / "ledger" / "data").iterdir())) == 2
+    expire_ledger(spark, root, keep=5)
     assert read_ledger(spark, root).count() == 6
+
+
+# --- updates that share files ---
+
+
+def large_ledger(spark, root):
+    rows = spark.range(3000).selectExpr(
+        "concat('m', lpad(id % 60, 2, '0')) AS model", "'w' AS pretrained", "concat('b', id) AS benchmark", f"'{C}' AS task_type"
+    )
+    # In small tables adaptive execution would put all ranges together.
+    with session_setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        write_ledger(L.new_ledger(rows), root)
+
+
+def data_files(tmp_path):
+    return {p for p in (tmp_path / "ledger" / "data").rglob("*.parquet")}
+
+
+def listed(spark, *found):
+    return spark.createDataFrame(
+        [(f"s/{name}", name, when) for name, when in found], "result_file string, file_name string, mtime string"
+    ).withColumn("mtime", F.col("mtime").cast("timestamp"))
+
+
+def test_one_result_rewrites_one_file(spark, tmp_path):
+    root = str(tmp_path / "ledger")
+    large_ledger(spark, root)
+    before, old = data_files(tmp_path), read_ledger(spark, root)
+    assert len(before) > 2
+    listing = listed(spark, (f"b61_w_m01_en_{C}.json", "2025-01-02 00:00:00"), ("stray.json", "2025-01-02 00:00:00"))
+    expected = rows(L.upsert_by_name(old, listing))
+    changed = update_ledger(spark, root, listing)
+    assert len(changed) == 1 and len(data_files(tmp_path) - before) == 1
+    assert rows(read_ledger(spark, root)) == expected
+    assert rows(stored_status_counts(spark, root)) == rows(L.status_counts(read_ledger(spark, root))) == [(3000, 1, 2999)]
+    # What is known already changes no file.
+    assert update_ledger(spark, root, listing) == [] and rows(read_ledger(spark, root)) == expected
+    # Two cells of two files, and the same cell again.
+    listing = listed(spark, (f"b61_w_m01_en_{C}.json", "2025-03-02 00:00:00"), (f"b2939_w_m59_en_{C}.json", "2025-03-02 00:00:00"))
+    expected = rows(L.upsert_by_name(read_ledger(spark, root), listing))
+    assert len(update_ledger(spark, root, listing)) == 2 and rows(read_ledger(spark, root)) == expected
+    # The files that only old versions had go; those that are shared stay.
+    expire_ledger(spark, root, keep=1)
+    assert len(data_files(tmp_path)) == len(before) and rows(read_ledger(spark, root)) == expected
+    assert [p.name for p in (tmp_path / "ledger").iterdir() if p.name.startswith("v")] == ["v00000004"]
+
+
+def test_counts_read_no_rows(spark, tmp_path):
+    root = str(tmp_path / "ledger")
+    large_ledger(spark, root)
+    text = plan(stored_status_counts(spark, root))
+    assert "parquet" not in text.lower() and "FileScan" not in text
+
+
+def test_the_ledger_is_not_shuffled_to_find_changes(spark, tmp_path):
+    root = str(tmp_path / "ledger")
+    large_ledger(spark, root)
+    found = L.changed_cells(read_ledger(spark, root), listed(spark, (f"b61_w_m01_en_{C}.json", "2025-01-02 00:00:00")))
+    found.collect()
+    final = plan(found).split("Initial Plan")[0]
+    assert "BroadcastHashJoin" in final and final.count("FileScan") == 1
+    # The one shuffle by a key is that of the few results.
+    assert final.count("Exchange hashpartitioning") == final.count("Exchange hashpartitioning(file_name") == 1
+
+
+def test_an_empty_ledger(spark, tmp_path):
+    root = str(tmp_path / "ledger")
+    write_ledger(L.new_ledger(grid(spark)).limit(0), root)
+    assert read_ledger(spark, root).count() == 0
+    assert update_ledger(spark, root, listed(spark, ("a.json", "2025-01-02 00:00:00"))) == []
+    assert rows(stored_status_counts(spark, root)) == [(0, 0, 0)]
+
+
+# --- claims ---
+
+
+def test_a_claim_that_ran_out_is_taken_over(spark, tmp_path):
+    root = tmp_path / "ledger"
+    write_ledger(L.new_ledger(grid(spark)), str(root))
+    for content in ('{"writer": "gone", "until": 1.0}', ""):
+        name = next_version(spark, str(root)).rpartition("/")[2]
+        claim = root / f"_claim-{name}"
+        claim.write_text(content)
+        os.utime(claim, (1, 1))
+        write_ledger(L.new_ledger(grid(spark)), str(root))
+        assert not list(root.glob("_claim*")) and not list(root.glob("_writing*"))
+    assert read_ledger(spark, str(root)).count() == 6
+
+
+def test_a_claim_that_is_valid_is_respected(spark, tmp_path):
+    root = tmp_path / "ledger"
+    write_ledger(L.new_ledger(grid(spark)), str(root))
+    before = data_files(tmp_path)
+    for content in (json.dumps({"writer": "other", "until": time.time() + 60}), ""):
+        claim = root / "_claim-v00000002"
+        claim.unlink(missing_ok=True)
+        claim.write_text(content)  # one without content was made just now
+        with pytest.raises(VersionTaken):
+            write_ledger(L.new_ledger(grid(spark)), str(root))
+        assert claim.exists() and not list(root.glob("_writing*")) and data_files(tmp_path) == before
+    claim.unlink()
+    assert write_ledger(L.new_ledger(grid(spark)), str(root)).endswith("v00000002")
+
+
+def test_of_two_writers_one_wins(spark, tmp_path):
+    root = str(tmp_path / "ledger")
+    version, done, failed = next_version(spark, root), [], []
+
+    def write():
+        try:
+            done.append(write_ledger(L.new_ledger(grid(spark)), root, version))
+        except VersionTaken:
+            failed.append(version)
+
+    writers = [threading.Thread(target=write) for _ in range(3)]
+    for writer in writers:
+        writer.start()
+    for writer in writers:
+        writer.join()
+    assert len(done) == 1 and len(failed) == 2 and read_ledger(spark, root).count() == 6
+    assert len(list((tmp_path / "ledger" / "data").iterdir())) == 1
+
+
+def test_what_dead_writers_left_goes_after_a_day(spark, tmp_path):
+    root = tmp_path / "ledger"
+    write_ledger(L.new_ledger(grid(spark)), str(root))
+    for name in ("_writing-a", "data/abandoned"):
+        (root / name).mkdir()
+    expire_ledger(spark, str(root))
+    assert (root / "_writing-a").exists() and (root / "data/abandoned").exists()
+    for name in ("_writing-a", "data/abandoned"):
+        os.utime(root / name, (1, 1))
+    expire_ledger(spark, str(root))
+    assert not (root / "_writing-a").exists() and not (root / "data/abandoned").exists()
+    assert read_ledger(spark, str(root)).count() == 6

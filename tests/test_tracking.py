@@ -121,7 +121,7 @@ def test_rows_of_a_file_are_sorted(spark, tmp_path):
     models = spark.createDataFrame([(f"m{i * 7 % 50:02d}", f"w{i % 3}") for i in range(50)], "model string, pretrained string")
     benchmarks = spark.createDataFrame([(t, f"b{i}") for t in (C, R) for i in range(20)], "task_type string, benchmark string")
     init_tracking(spark, str(tmp_path / "ledger"), models, benchmarks)
-    files = list((tmp_path / "ledger").glob("v*/task_type=*/*.parquet"))
+    files = list((tmp_path / "ledger").glob("data/*/task_type=*/*.parquet"))
     for file in files:
         keys = [(r["model"], r["pretrained"]) for r in pq.read_table(file, columns=["model", "pretrained"], partitioning=None).to_pylist()]
         assert keys == sorted(keys)
