@@ -14,8 +14,9 @@ as one slice of text:
 2. anchors that occur once are of strings that occur once, and go;
 3. equal slices are one class; in classes of two places all strings are repeated;
 4. the slices left, one of each class, are cut out of their texts, come together by anchor, and are
-   sorted in blocks of about a megabyte. Buckets of too many different slices for that are not cut
-   short: their strings are counted by a hash of 128 bits, over any number of tasks.
+   sorted in blocks of about a megabyte. In buckets of too many different slices for that, each is cut
+   in two by the place of the anchor in its strings: the parts share more bytes than the anchor, by
+   which they are dealt to smaller buckets, and steps 3 and 4 go on with them.
 
 Defined results: a null text is empty; texts under 200 bytes keep all; a text that occurs more than
 once, in whichever rows, is one to all steps, and is removed whole in each of them if it has 200 bytes;
@@ -29,6 +30,7 @@ from functools import cache, cmp_to_key
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,9 +60,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 @cache
-def _base(seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _base() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A random number for each byte, and powers of an odd random number and of its inverse."""
-    draw = np.random.default_rng(seed)
+    draw = np.random.default_rng(1)
     table = draw.integers(0, 1 << 64, 256, np.uint64)
     factor = int(draw.integers(0, 1 << 62)) * 4 + 3
     size = CHUNK + 2 * WINDOW + 1
@@ -70,16 +72,16 @@ def _base(seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return table, np.multiply.accumulate(powers), np.multiply.accumulate(inverse)
 
 
-def _sums(data: np.ndarray, seed: int) -> np.ndarray:
+def _sums(data: np.ndarray) -> np.ndarray:
     """Sums of which differences, shifted back, are hashes of the strings between two places."""
-    table, powers, _ = _base(seed)
+    table, powers, _ = _base()
     out = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(table[data] * powers[: len(data)], out=out[1:])
     return out
 
 
-def _hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
-    return _mixed((sums[end] - sums[start]) * _base(seed)[2][start])
+def _hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return _mixed((sums[end] - sums[start]) * _base()[2][start])
 
 
 def runs(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -101,9 +103,9 @@ def runs(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
     while at < last:
         to = min(at + CHUNK, last)
         piece = data[at : to + WINDOW - 1]
-        sums = _sums(piece, 1)
+        sums = _sums(piece)
         grams = len(piece) - GRAM + 1
-        h = _mixed((sums[GRAM:] - sums[:-GRAM]) * _base(1)[2][:grams])
+        h = _mixed((sums[GRAM:] - sums[:-GRAM]) * _base()[2][:grams])
         # The place stands in the low bits: of equal hashes the first counts.
         least = (h & ~_PLACE) | np.arange(grams, dtype=np.uint64)
         width = 1
@@ -121,7 +123,7 @@ def runs(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
         used = anchor[cut] >= 0
         a, b = cut[used], upto[used]
         off = anchor[a] - a
-        s = _hashes(sums, a, b + WINDOW, 1) ^ ((b - a) * 1024 + off).astype(np.uint64)
+        s = _hashes(sums, a, b + WINDOW) ^ ((b - a) * 1024 + off).astype(np.uint64)
         out.append((a + at, b - a, off, h[a + off], _mixed(s)))
         at = to
     if not out:
@@ -349,37 +351,84 @@ def sorted_marks(slices: DataFrame) -> DataFrame:
     return slices.repartition("h").sortWithinPartitions("h", "s").mapInArrow(run, MARK)
 
 
-def counted_marks(slices: DataFrame) -> DataFrame:
-    """``MARK`` for slices of large buckets: strings are counted by two hashes, in any number of tasks."""
+def _split(slices: DataFrame, level: int) -> DataFrame:
+    """The slices cut by the place of the anchor in their strings, in parts of 256 >> ``level`` places.
+
+    All strings of a part hold the bytes around the anchor that the first and the last one share: these
+    are the key of the part's bucket.
+    """
+    size = 256 >> level
 
     def run(batches):
         for batch in batches:
-            h, s, span, content = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("h", "s", "span", "content"))
-            if not h:
-                continue
-            counts, found = np.array(span) + 1, []
-            for seed in (1, 2):
-                parts = []
-                for n, text in zip(counts.tolist(), content, strict=True):
-                    at = np.arange(n)
-                    parts.append(_hashes(_sums(np.frombuffer(text, np.uint8), seed), at, at + WINDOW, seed))
-                found.append(np.concatenate(parts).view(np.int64))
-            own = np.repeat(np.arange(len(h)), counts)
-            at = np.arange(len(own)) - (np.cumsum(counts) - counts)[own]
-            columns = [np.array(h, np.int64)[own], np.array(s, np.int64)[own], at.astype(np.int32), *found]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["h", "s", "at", "x", "y"])
-
-    strings = slices.mapInArrow(run, "h long, s long, at int, x long, y long")
-    # A copy of the slice's text is no other place.
-    place = F.xxhash64("s", "at")
-    twice = strings.groupBy("x", "y").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-    twice = twice.filter("low <> high").select("x", "y")
-    found = strings.join(twice, ["x", "y"]).select("h", "s", "at").distinct()
-    return found.groupBy("h", "s").agg(F.sort_array(F.collect_list("at")).alias("starts")).withColumn("ends", F.col("starts"))
+            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in _WHOLE]
+            out: list[tuple] = []
+            for h0, s0, first, span, off, known, content in zip(*columns, strict=True):
+                for j in range((off - span) // size, off // size + 1):
+                    low, high = j * size, min(j * size + size, CHOICES) - 1
+                    least, most = max(low, off - span), min(high, off)
+                    part = content[off - most : off - least + WINDOW]
+                    key = xxhash.xxh3_64_intdigest(content[off - low : off - high + WINDOW] + bytes([level, j]))
+                    own = xxhash.xxh3_64_intdigest(part + bytes([least, most]))
+                    row = key - (1 << 63), own - (1 << 63), h0, s0, first + off - most, most - least, most, known, part
+                    out.append(row)
+            if out:
+                arrays = [pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, ["h", "s", *_WHOLE])
+
+    kinds = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.bool_(), pa.binary()]
+    return slices.select(*_WHOLE).mapInArrow(
+        run, "h long, s long, h0 long, s0 long, first int, span int, off int, known boolean, content binary"
+    )
+
+
+#: A part of a slice (h0, s0), from its string ``first`` on.
+_WHOLE = ("h0", "s0", "first", "span", "off", "known", "content")
+
+
+def all_marks(slices: DataFrame, scratch: Scratch) -> DataFrame:
+    """``MARK`` for all slices (h, s, span, off, known, many, content).
+
+    The slices of a bucket of ``many`` are cut into parts, which have buckets of their own; equal parts
+    of two slices are repeated, and of them one goes on. This is repeated until buckets fit, or parts
+    are single strings, which are equal or not.
+    """
+    out = sorted_marks(slices.filter("not many"))
+    rest = slices.filter("many").withColumns({"h0": F.col("h"), "s0": F.col("s"), "first": F.lit(0)})
+    level = 0
+    while rest.select(F.lit(1)).take(1):
+        level += 1
+        parts = scratch.saved(_split(rest, level), "parts")
+        owner = F.xxhash64("h0", "s0")
+        classes = parts.groupBy("h", "s").agg(
+            (F.min(owner) < F.max(owner)).alias("again"),
+            F.bool_and("known").alias("known"),
+            F.first(F.struct("h0", "s0", "first", "span", "off", "content")).alias("part"),
+        )
+        classes = classes.select("h", "s", "again", (F.col("again") | F.col("known")).alias("known"), "part.*")
+        classes = scratch.saved(classes, "parts")
+        buckets = _buckets(classes, scratch)
+        equal = parts.filter("not known").join(classes.filter("again").select("h", "s"), ["h", "s"])
+        end = (F.col("first") + F.col("span")).alias("ends")
+        out = out.union(equal.select("h0", "s0", F.array("first"), F.array(end)))
+        left = scratch.saved(classes.join(buckets, "h"), "parts")
+        own = classes.filter("not known").select("h", "s", "h0", "s0", "first")
+        found = sorted_marks(left.filter("not many")).join(own, ["h", "s"])
+        shifted = (F.transform(c, lambda x: x + F.col("first")) for c in ("starts", "ends"))
+        out = out.union(found.select("h0", "s0", *shifted))
+        rest = left.filter("many")
+    return out
+
+
+def _buckets(classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(h, many) of the buckets with a slice that is not known to be repeated, and another slice."""
+    sizes = classes.groupBy("h").agg(F.count("*").alias("n"), F.bool_and("known").alias("known"))
+    sizes = sizes.filter("n > 1 and not known").select("h", (F.col("n") > BUCKET_SLICES).alias("many"))
+    return scratch.saved(sizes, "buckets")
 
 
 def _cut(texts: DataFrame) -> DataFrame:
-    """The slices (h, s, span, off, many, content) that are wanted of each text."""
+    """The slices (h, s, span, off, known, many, content) that are wanted of each text."""
 
     def run(batches):
         seen: set[bytes] = set()
@@ -392,13 +441,13 @@ def _cut(texts: DataFrame) -> DataFrame:
                 seen.add(key)
                 slices = wanted[k].as_py()
                 content = [text[x["a"] : x["a"] + x["span"] + WINDOW] for x in slices]
-                names = ["h", "s", "span", "off", "many"]
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+                names = ["h", "s", "span", "off", "known", "many"]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_()]
                 columns = [pa.array([x[c] for x in slices], kind) for c, kind in zip(names, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(content, pa.binary())], [*names, "content"])
 
     return texts.select("digest", "text", "wanted").mapInArrow(
-        run, "h long, s long, span int, off int, many boolean, content binary"
+        run, "h long, s long, span int, off int, known boolean, many boolean, content binary"
     )
 
 
@@ -417,25 +466,20 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     twice = scratch.saved(twice.filter("low <> high").select("h"), "anchors")
     common = scratch.saved(found.join(twice, "h"), "common")
     classes = common.groupBy("h", "s").agg(
-        (F.min(place) < F.max(place)).alias("repeated"),
+        (F.min(place) < F.max(place)).alias("known"),
         F.first("span").alias("span"),
         F.first("off").alias("off"),
         F.min(F.struct("digest", "a")).alias("home"),
     )
     classes = scratch.saved(classes, "classes")
-    # A bucket is sorted if any of its slices is not known to be repeated, and there is another slice.
-    buckets = classes.groupBy("h").agg(F.count("*").alias("n"), F.bool_and("repeated").alias("known"))
-    buckets = scratch.saved(buckets.filter("n > 1 and not known"), "buckets")
-    many = (F.col("n") > BUCKET_SLICES).alias("many")
-    wanted = classes.join(buckets, "h").select("home.digest", F.struct("h", "s", "home.a", "span", "off", many).alias("x"))
+    wanted = classes.join(_buckets(classes, scratch), "h")
+    wanted = wanted.select("home.digest", F.struct("h", "s", "home.a", "span", "off", "known", "many").alias("x"))
     wanted = wanted.groupBy("digest").agg(F.collect_list("x").alias("wanted"))
     slices = scratch.saved(_cut(texts.join(wanted, "digest")), "slices")
-    marks = sorted_marks(slices.filter("not many"))
-    if slices.filter("many").take(1):
-        marks = marks.union(counted_marks(slices.filter("many")))
+    marks = all_marks(slices, scratch)
     marks = scratch.saved(marks, "marks")
-    known = classes.filter("repeated").select("h", "s", F.array(F.lit(0)).alias("starts"), F.array("span").alias("ends"))
-    marks = known.union(marks.join(classes.filter("not repeated").select("h", "s"), ["h", "s"]).select(known.columns))
+    known = classes.filter("known").select("h", "s", F.array(F.lit(0)).alias("starts"), F.array("span").alias("ends"))
+    marks = known.union(marks.join(classes.filter("not known").select("h", "s"), ["h", "s"]).select(known.columns))
     copied = docs.groupBy(_digest(F.col("text")).alias("digest")).agg(F.count("*").alias("n")).filter("n > 1")
     copied = scratch.saved(copied.select("digest"), "copied")
     own = common.join(copied, "digest", "left_anti").join(marks, ["h", "s"])
