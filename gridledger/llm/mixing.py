@@ -11,9 +11,10 @@ Budgets are nested: a target up to the source's size takes rows once; beyond it,
 once and the rest of the target takes rows a second time.
 
 Defined results: a null text has no words; null sources are one source, the last; rows of no words
-are taken as their hash says and count nothing; rows equal in doc_id and text have one hash and are
-taken together; a null doc_id counts as any other value. Extra columns are passed over. No rows give
-no rows. Reruns agree: the hash is of doc_id and text alone.
+are taken as their hash says and count nothing; rows equal in doc_id and text are told apart by their
+number among these, so that any part of them may be taken, and which of them that is doesn't matter;
+a null doc_id counts as any other value. Extra columns are passed over. No rows give no rows. Reruns
+agree: the hash is of doc_id, text and that number alone.
 """
 
 from __future__ import annotations
@@ -77,20 +78,47 @@ def source_targets(rows: DataFrame) -> DataFrame:
     return ranked.select("source", "source_size", target.alias("target"))
 
 
+def repeated(rows: DataFrame) -> DataFrame:
+    """The digits that several rows have."""
+    return saved(rows.groupBy("digits").agg(F.count("*").alias("n")).filter("n > 1").select("digits"), "repeated")
+
+
+def told_apart(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """``rows`` whose shared digits are replaced by a hash of them and of the row's number among these.
+
+    The rows of each partition are numbered by themselves, on top of those before, so that digits which
+    a third of all rows have are not one task's work. The first row keeps its digits.
+    """
+    if not shared.take(1):
+        return rows
+    some = F.broadcast(shared) if row_bound(shared) else shared
+    again = rows.join(some, "digits", "left_semi").withColumn("_part", F.spark_partition_id())
+    again = saved(again, "again")
+    sums = again.groupBy("digits", "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("digits").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("digits", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("digits", "_part").orderBy("_part")) - 1
+    again = again.withColumn("_own", own).join(sums, ["digits", "_part"])
+    number = F.col("_start") + F.col("_own")
+    of = F.concat_ws("|", "digits", number.cast("string")).cast("binary")
+    again = again.withColumn("digits", F.when(number == 0, F.col("digits")).otherwise(F.substring(F.md5(of), 1, DIGITS)))
+    return rows.join(some, "digits", "left_anti").unionByName(again.drop("_part", "_own", "_start"))
+
+
 def _once() -> Column:
     """True for sources all of whose rows are taken once, and some a second time."""
     return F.col("target") >= F.col("source_size")
 
 
-def _with(df: DataFrame, facts: DataFrame, few: bool, how: str = "inner") -> DataFrame:
+def _with(df: DataFrame, facts: DataFrame, few: bool) -> DataFrame:
     """``df`` joined with facts of each source, sent to all tasks only if they are few; null is a source."""
     facts = facts.withColumnRenamed("source", "_source")
     facts = F.broadcast(facts) if few else facts
-    return df.join(facts, F.col("source").eqNullSafe(F.col("_source")), how).drop("_source")
+    return df.join(facts, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
 
 def _threshold(rows: DataFrame, budgets: DataFrame, few: bool) -> DataFrame:
-    """(source, room, cut, used): rows whose digits sort before ``cut`` sum to ``used``, at most ``room``.
+    """(source, cut, used): rows whose digits sort before ``cut`` sum to ``used``, at most ``room``.
 
     The cut falls into the boundary bucket of each histogram in turn; without a cut, all rows fit.
     """
@@ -110,61 +138,59 @@ def _threshold(rows: DataFrame, budgets: DataFrame, few: bool) -> DataFrame:
         state = state.join(found, F.col("source").eqNullSafe(F.col("_source")), "left")
         new_cut, new_used = F.when(F.col("cut").isNotNull(), F.col("new_cut")), F.coalesce("new_used", "used")
         state = saved(state.select("source", "room", new_cut.alias("cut"), new_used.alias("used")), "cuts")
-    return state
+    return state.select("source", "cut", "used")
 
 
 class Mix:
-    """The takes of a mix: which rows of ``sized`` are taken, and how often."""
+    """The takes of a mix: which rows of ``sized`` are taken, and how often.
+
+    What decides on a row is one row of facts for its source: size, target, the room and the cut of each
+    pass, and the digits taken last.
+    """
 
     def __init__(self, rows: DataFrame) -> None:
-        self.targets = saved(source_targets(rows), "targets")
-        self.few = row_bound(self.targets)
+        targets = saved(source_targets(rows), "targets")
+        self.few = row_bound(targets)
         room = F.when(_once(), F.col("target") - F.col("source_size")).otherwise(F.col("target"))
-        budgets, open_rows = self.targets.select("source", room.alias("room")), rows
-        self.cuts: list[DataFrame] = []
-        for number in range(PASSES):
-            if number:
+        self.facts, open_rows = targets.withColumn("room0", room), rows
+        for k in range(PASSES):
+            if k:
                 # Rows above the cut that still fit are open for what the pass before has left.
-                cut = self.cuts[-1]
-                budgets = cut.select("source", (F.col("room") - F.col("used")).alias("room"))
-                kept = (F.col("digits") >= F.col("cut")) & (F.col("size") <= F.col("room") - F.col("used"))
-                open_rows = _with(open_rows, cut, self.few).filter(kept).select("source", "size", "digits")
+                kept = (F.col("digits") >= F.col(f"cut{k - 1}")) & (F.col("size") <= F.col(f"room{k}"))
+                open_rows = _with(open_rows, self.facts, self.few).filter(kept).select("source", "size", "digits")
                 open_rows = saved(open_rows, "open")
-            self.cuts.append(_threshold(open_rows, budgets, self.few))
-        left = self.cuts[-1].select("source", (F.col("room") - F.col("used")).alias("left"))
-        rest = _with(self._with_taken(rows).filter("not _taken"), left, self.few)
-        rest = rest.filter("size > 0 and size < 2 * left").groupBy("source", "digits")
-        rest = rest.agg(F.sum("size").alias("size"), F.first("left").alias("left")).filter("size < 2 * left")
+            budgets = self.facts.select("source", F.col(f"room{k}").alias("room"))
+            cut = _threshold(open_rows, budgets, self.few).withColumnRenamed("cut", f"cut{k}")
+            facts = _with(self.facts, cut, self.few).withColumn(f"room{k + 1}", F.col(f"room{k}") - F.col("used"))
+            self.facts = saved(facts.drop("used"), "facts")
+        left = f"room{PASSES}"
+        rest = _with(rows, self.facts, self.few).filter(~self._taken())
+        rest = rest.filter(f"size > 0 and size < 2 * {left}").groupBy("source", "digits")
+        rest = rest.agg(F.sum("size").alias("size"), F.first(left).alias("left")).filter("size < 2 * left")
         last = F.min(F.struct(F.abs(F.col("size") - F.col("left")).alias("off"), "digits"))
-        last = rest.groupBy("source").agg(last.alias("last"))
-        self.last = saved(last.select("source", F.col("last.digits").alias("_last")), "last")
-
-    def _with_taken(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with whether the passes take them.
+        last = rest.groupBy(F.col("source").alias("_source")).agg(last.alias("last"))
+        facts = self.facts.join(last, F.col("source").eqNullSafe(F.col("_source")), "left")
+        self.facts = saved(facts.withColumn("last", F.col("last.digits")).drop("_source"), "facts")
 
-        A row is taken by the first pass that it fits into and whose cut it lies below.
-        """
+    def _taken(self) -> Column:
+        """Whether the passes take a row: the first one that it fits into and whose cut it lies below."""
         taken = F.lit(False)
-        for number, cut in enumerate(self.cuts):
-            names = f"_room{number}", f"_cut{number}"
-            cut = cut.select("source", F.col("room").alias(names[0]), F.col("cut").alias(names[1]))
-            rows = _with(rows, cut, self.few)
-            fits = F.col("size") <= F.col(names[0]) if number else F.lit(True)
-            taken = taken | (fits & (F.col(names[1]).isNull() | (F.col("digits") < F.col(names[1]))))
-        names = [f"_{kind}{k}" for k in range(PASSES) for kind in ("room", "cut")]
-        return rows.withColumn("_taken", taken).drop(*names)
+        for k in range(PASSES):
+            fits = F.col("size") <= F.col(f"room{k}") if k else F.lit(True)
+            taken = taken | (fits & (F.col(f"cut{k}").isNull() | (F.col("digits") < F.col(f"cut{k}"))))
+        return taken
 
     def with_copies(self, rows: DataFrame) -> DataFrame:
         """``rows`` (source, size, digits and others) with source_size, target and copies."""
-        rows = _with(self._with_taken(rows), self.targets, self.few)
-        rows = _with(rows, self.last, self.few, "left")
-        taken = F.col("_taken") | F.coalesce(F.col("digits") == F.col("_last"), F.lit(False))
-        return rows.withColumn("copies", taken.cast("int") + _once().cast("int")).drop("_taken", "_last")
+        taken = self._taken() | F.coalesce(F.col("digits") == F.col("last"), F.lit(False))
+        copies = (taken.cast("int") + _once().cast("int")).alias("copies")
+        return _with(rows, self.facts, self.few).select(*rows.columns, "source_size", "target", copies)
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for each row of ``docs``."""
     rows = saved(sized(docs), "sized")
+    rows = told_apart(rows, repeated(rows))
     out = Mix(rows).with_copies(rows)
     return out.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken")
@@ -174,11 +200,13 @@ def mix(docs: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; all columns stay."""
     rows = saved(sized(docs).select("source", "size", "digits"), "sized")
+    shared = repeated(rows)
     whole = docs.select(
         F.struct("*").alias("row"),
         F.col("source").cast("string").alias("source"),
         words(F.col("text")).alias("size"),
         own_hash(F.col("doc_id"), F.col("text")).alias("digits"),
     )
-    out = Mix(rows).with_copies(whole).filter("copies > 0")
+    # Texts stay in their tasks but for rows that are there twice: one join with the facts decides.
+    out = Mix(told_apart(rows, shared)).with_copies(told_apart(whole, shared)).filter("copies > 0")
     return out.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

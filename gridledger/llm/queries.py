@@ -112,7 +112,9 @@ p{k} AS (SELECT * REPLACE (taken OR ({opened} AND t{k} <= {room}) AS taken),
     return f"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
-         substr(md5(coalesce(CAST(doc_id AS VARCHAR), '-') || '|' || coalesce(md5(text), '-')), 1, {mixing.DIGITS}) AS digits
+         substr(md5(coalesce(CAST(doc_id AS VARCHAR), '-') || '|' || coalesce(md5(text), '-')), 1, {mixing.DIGITS}) AS own,
+         row_number() OVER (PARTITION BY own) - 1 AS number,
+         CASE WHEN number = 0 THEN own ELSE substr(md5(own || '|' || number), 1, {mixing.DIGITS}) END AS digits
   FROM documents),
 sources AS (SELECT source, sum(size) AS source_size FROM sized GROUP BY source),
 ranked AS (

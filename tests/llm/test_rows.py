@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -78,10 +79,20 @@ def test_shards(spark, monkeypatch):
 # --- mixing ---
 
 
+def numbered_digits(sized):
+    """The digits of each row: those of equal rows are hashed with their number."""
+    seen, out = Counter(), []
+    for r in sized:
+        k = seen[r.digits]
+        seen[r.digits] += 1
+        out.append(hashlib.md5(f"{r.digits}|{k}".encode()).hexdigest()[:12] if k else r.digits)
+    return out
+
+
 def test_mix(spark):
     found = rows(mixing.mix(edges(spark)))
     sized = mixing.sized(edges(spark)).collect()
-    target, copies = taken([(n, r.source, r.size, r.digits) for n, r in enumerate(sized)])
+    target, copies = taken([(n, r.source, r.size, d) for n, (r, d) in enumerate(zip(sized, numbered_digits(sized), strict=True))])
     sizes = {s: sum(r.size for r in sized if r.source == s) for s in target}
     expected = [(r.doc_id, r.size, sizes[r.source], target[r.source], r.size * copies[n]) for n, r in enumerate(sized)]
     assert [r[:3] + r[4:] for r in found] == [r[:3] + r[4:] for r in sorted(expected, key=repr)]
@@ -111,6 +122,29 @@ def test_mix_by_sql_and_as_rows(spark):
     assert many.columns == [*docs.columns, "copies"]
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_mix_of_rows_that_are_there_often(spark, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr(mixing, "row_bound", lambda df: False)
+    data = [(1, "one two three", "en", "a", 3)] * 1000 + [(k, "w " * (k % 50), "en", "b", 3) for k in range(2000)] + [(9, "x y", "en", None, 3)] * 40
+    table = spark.createDataFrame(data, ROWS).repartition(6)
+    found = mixing.mix(table).collect()
+    assert len(found) == len(data)
+    by_source = {}
+    for r in found:
+        by_source.setdefault(r.source_size, []).append(r)
+    for own in by_source.values():
+        assert 2 * abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own)
+        assert all(r.taken <= 2 * r.size for r in own)
+    assert rows(mixing.mix(table.repartition(3, "source"))) == sorted((tuple(r) for r in found), key=repr)
+    duck = duckdb.connect()
+    duck.register("documents", table.toArrow())
+    answer = duck.sql(f"SELECT doc_id, size, source_size, target, taken FROM ({ORACLE_SQL['op5_source_mixing']})").fetchall()
+    assert sorted(answer, key=repr) == sorted((tuple(r) for r in found), key=repr)
+    many = mixing.mixed(table).groupBy("doc_id", "source", "text").count().collect()
+    assert sum(r["count"] for r in many if r.text and r.text.strip()) == sum(r.taken // r.size for r in found if r.size)
+
+
 def test_sources_beyond_a_broadcast(spark, monkeypatch):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     expected = rows(mixing.mix(docs))
