@@ -102,7 +102,7 @@ def blocks(nodes: DataFrame, tree: str, payload: list[str], scratch: Scratch) ->
         held = held.withColumn(f"level_{k}", F.when(F.col("height") >= k, _parents(F.col(f"level_{k - 1}"))))
     top = F.coalesce(*(F.col(f"level_{k}") for k in range(LEVELS, -1, -1))).cast("string")
     held = scratch.saved(held.withColumn("top", top).drop(f"level_{LEVELS}"), "levels")
-    if not held.filter(F.col("n") > size).take(1):
+    if not held.filter(F.col("n") > size).select(F.lit(1)).take(1):
         nothing = F.expr("cast(array() AS array<struct<left: binary, right: binary>>)")
         return held.withColumns({"above": nothing, "root": F.col("top")})
     roots = held.select(tree, F.col("block").alias("pos"), F.ceil(F.col("n") / size).alias("n"), F.col("top").alias("node"))
