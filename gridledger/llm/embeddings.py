@@ -9,9 +9,10 @@ threshold, and only these are computed again in double precision. The integer pr
 matrix products of small whole numbers in single precision, cut into pieces that can't exceed 2^24.
 
 Vectors are compared within their label, in pairs of tiles. Equal vectors are one class and are
-compared once. A pair of tiles sends on counts of links by vector and a forest of links, never
-pairs. All tiles of a label meet each other: the work within a label is quadratic by nature, the
-tables between the steps are not.
+compared once. All tiles of a label meet each other, so that the work within a label is quadratic by
+nature. Tiles travel in parts of many, as many as keep the cores busy and a part within the bytes that
+a task may hold: each vector is copied once for every part of its label, and a pair of parts sends on
+counts of links by vector and a forest of links, never pairs.
 
 Defined results: vectors that are null or empty, have length zero, or hold null or non-finite
 components, and rows without label or vec_id, are linked with nothing; vectors of different
@@ -33,6 +34,8 @@ from gridledger.llm.components import components
 THRESHOLD = 0.98
 #: Vectors of a tile, and rows of a tile that are multiplied at a time.
 TILE, STRIP = 2048, 256
+#: Bytes of the vectors of a part, and pairs of parts for each core.
+PART_BYTES, TASKS_PER_CORE = 32 << 20, 3
 #: More than the rounding errors of the bound and of the products in double precision.
 SLACK = 1e-9
 
@@ -105,26 +108,33 @@ def linked(x: np.ndarray, threshold: float, first: int) -> tuple[np.ndarray, np.
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))  # type: ignore[return-value]
 
 
-def _tile_links(threshold: float):
-    """For a pair of tiles: links of each class by number of vectors, and a forest of links."""
+def _part_links(threshold: float, tile: int):
+    """For a pair of parts: links of each class by number of vectors, and a forest of links."""
 
     def run(group: pa.Table):
         order = np.argsort(group["block"].to_numpy(), kind="stable")
         group = group.take(pa.array(order))
         ids, weight, block = (group[c].to_numpy() for c in ("id", "n", "block"))
-        first = int((block == block[0]).sum())
-        if group["low"][0].as_py() != group["high"][0].as_py() and first == len(ids):
-            return None  # one tile of the pair is empty
+        same = group["low"][0].as_py() == group["high"][0].as_py()
+        first = len(ids) if same else int((block == group["low"][0].as_py()).sum())
         x = np.frombuffer(b"".join(group["vector"].to_pylist()), np.float64).reshape(len(ids), -1)
-        left, right = linked(x, threshold, first)
-        links = np.bincount(left, weight[right], len(ids)) + np.bincount(right, weight[left], len(ids))
-        edges = np.array(forest(len(ids), left, right), np.int64).reshape(-1, 2)
+        links, joined = np.zeros(len(ids)), np.zeros((0, 2), np.int64)
+        for low in range(0, first, tile):
+            own = np.arange(low, min(low + tile, first))
+            for high in range(low if same else first, len(ids), tile):
+                others = own[:0] if same and high == low else np.arange(high, min(high + tile, len(ids)))
+                both = np.append(own, others)
+                left, right = (both[k] for k in linked(x[both], threshold, len(own)))
+                links += np.bincount(left, weight[right], len(ids)) + np.bincount(right, weight[left], len(ids))
+                # Links that join what is joined already go at once.
+                edges = forest(len(ids), np.append(joined[:, 0], left), np.append(joined[:, 1], right))
+                joined = np.array(edges, np.int64).reshape(-1, 2)
         hit = np.flatnonzero(links)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate([ids[hit], ids[edges[:, 0]]])),
-                pa.array(np.concatenate([links[hit].astype(np.int64), np.zeros(len(edges), np.int64)])),
-                pa.array(np.concatenate([ids[hit], ids[edges[:, 1]]])),
+                pa.array(np.concatenate([ids[hit], ids[joined[:, 0]]])),
+                pa.array(np.concatenate([links[hit].astype(np.int64), np.zeros(len(joined), np.int64)])),
+                pa.array(np.concatenate([ids[hit], ids[joined[:, 1]]])),
             ],
             ["a", "links", "b"],
         )
@@ -132,6 +142,18 @@ def _tile_links(threshold: float):
     return run
 
 
+def parts(classes: DataFrame) -> DataFrame:
+    """(label, width, blocks): how many parts the vectors of each label and width are dealt to."""
+    sizes = classes.groupBy("label", "width").agg(F.count("*").alias("n"))
+    work = F.col("n").cast("double") * F.col("n") * F.col("width")
+    total = sizes.agg(F.sum(work)).first()[0] or 1.0
+    tasks = work / total * TASKS_PER_CORE * classes.sparkSession.sparkContext.defaultParallelism
+    # So many pairs of parts as there should be tasks, but no part below a tile or above its bytes.
+    even = F.least(F.ceil(F.col("n") / TILE), F.ceil(F.sqrt(2 * tasks)))
+    held = F.ceil(F.col("n") * F.col("width") / PART_BYTES)
+    return sizes.select("label", "width", F.greatest(even, held, F.lit(1)).cast("int").alias("blocks"))
+
+
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of ``vectors`` (vec_id, embedding, label)."""
     scratch = Scratch()
@@ -142,10 +164,10 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     classes = classes.withColumn("width", F.octet_length("vector"))
     classes = scratch.saved(classes.select("*", F.monotonically_increasing_id().alias("id")), "classes")
-    tiles = classes.groupBy("label", "width").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
-    placed = classes.select("label", "width", "id", "n", "vector").join(tiles, ["label", "width"])
+    dealt = scratch.saved(parts(classes), "parts")
+    placed = classes.select("label", "width", "id", "n", "vector").join(dealt, ["label", "width"])
     placed = block_pairs(placed.withColumn("block", spread(F.col("id"), parts=F.col("blocks"))), "block", "blocks")
-    found = by_group(placed, ["label", "width", "low", "high"], _tile_links(threshold), "a long, links long, b long")
+    found = by_group(placed, ["label", "width", "low", "high"], _part_links(threshold, TILE), "a long, links long, b long")
     found = scratch.saved(found, "found")
     links = found.groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     near = components(found, "a", "b")
