@@ -65,8 +65,23 @@ def search_side(candidates: pa.Table) -> dict:
     return out
 
 
-def best_matches(vectors, side: dict, k: int, schema: pa.Schema) -> pa.Table:
-    """Rows (row, score, id, label): the k best candidates of each vector, by its place."""
+def least_of(matches: pa.Table, k: int, count: int) -> np.ndarray:
+    """For rows 0 to ``count`` - 1, the score that a further match must reach to be among the k best."""
+    least = np.full(count, -np.inf)
+    rows = matches["row"].to_numpy()
+    if len(rows):
+        full = np.flatnonzero(np.bincount(rows, minlength=count) >= k)
+        lowest = np.full(count, np.inf)
+        np.minimum.at(lowest, rows, matches["score"].to_numpy())
+        least[full] = lowest[full]
+    return least
+
+
+def best_matches(vectors, side: dict, k: int, schema: pa.Schema, least=None) -> pa.Table:
+    """Rows (row, score, id, label): the k best candidates of each vector, by its place.
+
+    With ``least``, vectors none of whose scores reaches theirs are left out.
+    """
     found = widths(vectors)
     parts = []
     for width in np.unique(found).tolist():
@@ -77,13 +92,16 @@ def best_matches(vectors, side: dict, k: int, schema: pa.Schema) -> pa.Table:
         units = unit_rows(vectors.take(pa.array(rows)))
         step = max(1, _CELLS // len(ids))
         for start in range(0, len(units), step):
-            block = np.round(units[start : start + step] @ candidates.T, SCORE_DIGITS)
+            block, own = np.round(units[start : start + step] @ candidates.T, SCORE_DIGITS), rows[start : start + step]
+            if least is not None:
+                reach = block.max(axis=1) >= least[own]
+                block, own = block[reach], own[reach]
             best = best_columns(block, k)
             at = pa.array(best.ravel())
             parts.append(
                 pa.Table.from_arrays(
                     [
-                        pa.array(np.repeat(rows[start : start + step], best.shape[1])),
+                        pa.array(np.repeat(own, best.shape[1])),
                         pa.array(np.take_along_axis(block, best, axis=1).ravel()),
                         ids.take(at),
                         labels.take(at),
@@ -134,15 +152,23 @@ def split_by_key(table: pa.Table, keys: list[str]):
         yield tuple(frame.iloc[rows[0]]), table.take(pa.array(rows))
 
 
-def score_counts(items: pa.Table, classes: pa.Table, names: list[str]) -> pa.Table:
-    """For each class and score: how many of the items have it, and how many of these are of the class."""
+def products(items: pa.Table, classes: pa.Table):
+    """(rows, columns, scores) for each length of vector that items and classes have."""
     mine, other = widths(items["vector"]), widths(classes["vector"])
-    labels, own = items["label"].to_pandas().to_numpy(), classes["label"].to_pandas().to_numpy()
-    owner, scores, counts, positives = [], [], [], []
     for width in np.intersect1d(mine[mine > 0], other):
         rows, columns = np.flatnonzero(mine == width), np.flatnonzero(other == width)
         units = unit_rows(items["vector"].take(pa.array(rows)))
-        found = np.round(units @ unit_rows(classes["vector"].take(pa.array(columns))).T, SCORE_DIGITS)
+        yield rows, columns, np.round(units @ unit_rows(classes["vector"].take(pa.array(columns))).T, SCORE_DIGITS)
+
+
+def score_counts(items: pa.Table, classes: pa.Table, names: list[str], scored=None) -> pa.Table:
+    """For each class and score: how many of the items have it, and how many of these are of the class.
+
+    ``scored``: the products of both, if they are known.
+    """
+    labels, own = items["label"].to_pandas().to_numpy(), classes["label"].to_pandas().to_numpy()
+    owner, scores, counts, positives = [], [], [], []
+    for rows, columns, found in products(items, classes) if scored is None else scored:
         for n, c in enumerate(columns):
             values, place = np.unique(found[:, n], return_inverse=True)
             owner.append(np.full(len(values), c))
@@ -159,4 +185,28 @@ def score_counts(items: pa.Table, classes: pa.Table, names: list[str]) -> pa.Tab
     return found
 
 
+def hit_counts(items: pa.Table, classes: pa.Table | None, k: int, keys: list[str], scored) -> pa.Table:
+    """(keys, label, items, first, among): items by label, and how many find a class of their label as
+    the best match and among the k best. ``scored``: products of items and classes in order of label."""
+    labels = items["label"].combine_chunks()
+    hits = np.zeros((2, len(items)), bool)
+    if classes is not None:
+        own = classes["label"].combine_chunks()
+        known = own.is_valid().to_numpy(zero_copy_only=False)
+        numbers = pa.concat_arrays([own.cast(labels.type), labels]).dictionary_encode().indices.fill_null(-1).to_numpy()
+        of_class, of_item = numbers[: len(own)], numbers[len(own) :]
+        for rows, columns, found in scored:
+            usable = known[columns]
+            if usable.any():
+                best = columns[usable][best_columns(found[:, usable], k)]
+                same = of_class[best] == of_item[rows][:, None]
+                hits[0, rows], hits[1, rows] = same[:, 0], same.any(axis=1)
+    table = items.select([*keys, "label"])
+    for name, values in (("first", hits[0]), ("among", hits[1])):
+        table = table.append_column(name, pa.array(values.astype(np.int64)))
+    counted = table.group_by([*keys, "label"]).aggregate([([], "count_all"), ("first", "sum"), ("among", "sum")])
+    counted = counted.select([*keys, "label", "count_all", "first_sum", "among_sum"])
+    return counted.rename_columns([*keys, "label", "items", "first", "among"])
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -8,10 +8,10 @@ from gridledger.operators import ledger as L
 from gridledger.operators import matching, metrics
 from gridledger.operators.catalog import pair_grid
 from gridledger.sinks.ledger import expire_ledger, update_ledger, write_ledger
-from gridledger.sinks.metrics import write_metrics
+from gridledger.sinks.metrics import write_csv, write_metrics
 from gridledger.sources.ledger import latest_manifest, read_ledger, read_ledger_csv
-from gridledger.sources.results import list_results, read_documents
-from gridledger.runtime import shared_folder
+from gridledger.sources.results import kept_listing, list_results, listing_of, read_documents
+from gridledger.runtime import path_exists, shared_folder
 from gridledger.schemas import KEYS, LEDGER_SCHEMA
 from gridledger.streaming.ingest import (
     fact_folders,
@@ -21,16 +21,17 @@ from gridledger.streaming.ingest import (
     new_folders,
     read_facts,
 )
-from gridledger.versions import latest_version, next_version
+from gridledger.versions import complete_versions, folder_of, latest_version, next_version
 
-# Versions of the ledger that stay readable after a new one.
+# Versions of the ledger that stay readable after a new one, and where reports are kept with them.
 KEPT_VERSIONS = 3
+REPORTS = "reports"
 
 
 @dataclass
 class Update:
     """What an update found: the new ledger, the files that no cell expects (or, read by name, that
-    tell no key), and results whose key is not in the ledger."""
+    tell no key), and results whose key is not in the ledger. The two reports are kept with the version."""
 
     ledger: DataFrame
     unexpected: DataFrame
@@ -45,6 +46,30 @@ class Change:
     dropped: DataFrame
 
 
+def _report(rows: DataFrame, root: str, version: str, name: str) -> DataFrame:
+    """Keep rows with a version of the ledger, and read them from there."""
+    path = f"{root.rstrip('/')}/{REPORTS}/{version.rpartition('/')[2]}/{name}"
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def read_report(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """A report of the newest version, if it has one: ``added`` and ``dropped`` cells of an init,
+    ``unexpected`` files and ``orphans`` of an update."""
+    version = latest_version(spark, root)
+    path = version and f"{root.rstrip('/')}/{REPORTS}/{version.rpartition('/')[2]}/{name}"
+    return spark.read.parquet(path) if path and path_exists(spark, path) else None
+
+
+def _expire(spark: SparkSession, root: str) -> None:
+    expire_ledger(spark, root, KEPT_VERSIONS)
+    store, folder = folder_of(spark, f"{root.rstrip('/')}/{REPORTS}")
+    kept = {version.rpartition("/")[2] for version in complete_versions(spark, root)}
+    for status in store.listStatus(folder) if store.exists(folder) else ():
+        if status.getPath().getName() not in kept:
+            store.delete(status.getPath(), True)
+
+
 def _check_names(cells: DataFrame) -> None:
     shared = [row.file_name for row in matching.ambiguous_names(cells).take(5)]
     if shared:
@@ -59,6 +84,11 @@ def import_ledger(spark: SparkSession, root: str, csv: str) -> DataFrame:
     return read_ledger(spark, root)
 
 
+def export_ledger(spark: SparkSession, root: str, path: str, single_file: bool = False) -> None:
+    """Write the current ledger as CSV: a folder, or one file if it is small."""
+    write_csv(read_ledger(spark, root), path, single_file)
+
+
 def init_changes(spark: SparkSession, root: str, models: DataFrame, benchmarks: DataFrame) -> Change:
     """What `init_tracking` with the same catalogs would add to the ledger and drop from it."""
     grid = pair_grid(models, benchmarks)
@@ -72,35 +102,42 @@ def init_tracking(
 ) -> DataFrame:
     """Make the ledger of the grid, or bring an existing one in line with it.
 
-    Every cell must expect a file name of its own, or results could not be told apart.
+    Every cell must expect a file name of its own, or results could not be told apart. The cells that
+    came and went are kept with the version (see `read_report`).
     """
     version = next_version(spark, root)
     grid = pair_grid(models, benchmarks)
     _check_names(grid)
+    changes = init_changes(spark, root, models, benchmarks)
+    _report(changes.added, root, version, "added")
+    _report(changes.dropped, root, version, "dropped")
     if force_reset or latest_version(spark, root) is None:
         rows = L.new_ledger(grid)
     else:
         rows = L.merge_ledger(grid, read_ledger(spark, root))
     write_ledger(rows, root, version)
-    expire_ledger(spark, root, KEPT_VERSIONS)
+    _expire(spark, root)
     return read_ledger(spark, root)
 
 
-def update_tracking(spark: SparkSession, root: str, results: str, by_parsing=False) -> Update:
+def update_tracking(spark: SparkSession, root: str, results: str | DataFrame, by_parsing=False) -> Update:
     """Mark the cells that have a result file as completed.
 
-    Files are matched by the name each cell expects, or by reading names if ``by_parsing``.
+    ``results`` is a folder, or a table of files (see `listing_of`). Files are matched by the name each
+    cell expects, or by reading names if ``by_parsing``.
     """
     version = next_version(spark, root)
-    ledger, listing = read_ledger(spark, root), list_results(spark, results)
+    ledger = read_ledger(spark, root)
+    listing = kept_listing(list_results(spark, results) if isinstance(results, str) else listing_of(results))
     parsed = matching.match_by_parsing(listing)
     if by_parsing:
         updated, unexpected = L.upsert(ledger, parsed), matching.unmatched_files(listing)
     else:
         updated, unexpected = L.upsert_by_name(ledger, listing), matching.unexpected_files(ledger, listing)
+    unexpected = _report(unexpected, root, version, "unexpected")
+    orphans = _report(matching.orphan_results(parsed, ledger), root, version, "orphans")
     write_ledger(updated, root, version)
-    orphans = matching.orphan_results(parsed, ledger)
-    expire_ledger(spark, root, KEPT_VERSIONS)
+    _expire(spark, root)
     return Update(read_ledger(spark, root), unexpected, orphans)
 
 
@@ -124,7 +161,7 @@ def update_tracking_incrementally(
     new = folders if applied is None else new_folders(spark, facts, folders, applied)
     if applied is None or new:
         update_ledger(spark, root, facts_of_names(spark, facts, new, folders), version, folders)
-        expire_ledger(spark, root, KEPT_VERSIONS)
+        _expire(spark, root)
     merge_small_facts(spark, facts, folders)
     return read_ledger(spark, root)
 
@@ -136,9 +173,12 @@ def parse_results(
     out: str,
     output_format: str = "separate",
     facts: str | None = None,
+    single_files: bool = False,
 ) -> DataFrame:
     """Write the metric tables of all completed runs and return the files that gave none.
 
+    Tables are folders of CSV files, or with ``single_files`` one file each if they are small.
+
     Documents are read from the result files, or from the facts of the ingest if given.
     """
     documents = read_facts(spark, facts) if facts else read_documents(spark, results)
@@ -147,5 +187,5 @@ def parse_results(
     kept = shared_folder(spark, "completed")
     completed.write.parquet(kept)
     completed = spark.read.schema(completed.schema).parquet(kept)
-    write_metrics(completed, out, output_format)
+    write_metrics(completed, out, output_format, single_files)
     return metrics.parse_errors(completed)

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from gridledger.functions.names import file_name
 from gridledger.operators.ledger import upsert_by_name
-from gridledger.runtime import path_exists, session_setting, shared_folder
+from gridledger.runtime import path_exists, session_setting
 from gridledger.schemas import FACTS_SCHEMA
-from gridledger.sources.results import SUFFIX, list_results, parse_files, with_content
+from gridledger.sources.results import SUFFIX, kept_listing, list_results, parse_files, with_content
 from gridledger.versions import folder_of, read_text, write_text
 
 # Older files than this, against the newest one, would be passed over by the stream.
@@ -75,16 +75,12 @@ def ingest_missing(spark: SparkSession, folder: str, facts: str, max_files: int
     """
     known = read_facts(spark, facts).select("result_file", "mtime", "length")
     missing = list_results(spark, folder).join(known, ["result_file", "mtime", "length"], "left_anti")
-    kept = shared_folder(spark, "missing")
-    missing.write.parquet(kept)
-    missing = spark.read.schema(missing.schema).parquet(kept)
+    missing = kept_listing(missing.select("result_file", "file_name", "mtime", "length"))
     count = missing.count()
     parts = -(-count // (max_files or max(1, count)))
     for part in range(parts):
         rows = missing if parts == 1 else missing.where(F.pmod(F.xxhash64("result_file"), F.lit(parts)) == part)
         _write(with_content(rows), f"{facts.rstrip('/')}/run=listing/batch={uuid.uuid4().hex}")
-    store, target = folder_of(spark, kept)
-    store.delete(target, True)
 
 
 def ingest_new_files(

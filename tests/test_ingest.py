@@ -1,11 +1,12 @@
 import shutil
 
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from gridledger.operators import ledger as L
 from gridledger.operators import matching
-from gridledger.sources.results import list_results, read_documents
+from gridledger.sources import results
+from gridledger.sources.results import kept_listing, list_results, listing_of, read_documents, with_content
 from gridledger.streaming.ingest import compact_facts, ingest_new_files, ledger_from_facts, read_facts
 
 KEY = "model string, pretrained string, task_type string, benchmark string"
@@ -117,3 +118,34 @@ def test_facts_of_two_paths_for_one_cell(spark):
     ).withColumn("mtime", F.timestamp_seconds("t"))
     done = L.completed_rows(ledger_from_facts(ledger(spark), facts)).collect()
     assert [r.result_file for r in done] == ["r2/" + name("x", 0)]
+
+
+def test_a_flat_folder_is_listed_by_several_tasks(spark, result_file, tmp_path):
+    for i in range(300):
+        result_file(f"f{i}.json", "x" * (i % 7), "2025-01-01T00:00:00")
+    (tmp_path / "results" / "notes.txt").write_text("no result")
+    (tmp_path / "results" / "folder.json").mkdir()
+    listing = list_results(spark, str(tmp_path / "results"))
+    tasks = listing.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert len(tasks) >= 2 and max(r["count"] for r in tasks) < 200
+    assert sorted((r.file_name, r.length) for r in listing.collect()) == sorted((f"f{i}.json", i % 7) for i in range(300))
+
+
+def test_a_table_of_files_is_a_listing(spark, result_file, tmp_path):
+    for i in range(9):
+        result_file(f"f{i}.json", "{}", f"2025-01-0{i + 1}T00:00:00")
+    listing = list_results(spark, str(tmp_path / "results"))
+    table = listing.select(F.col("result_file").alias("path"), "mtime", "length", F.lit(1).alias("file_name"))
+    assert rows(listing_of(table)) == rows(listing)
+    read = with_content(kept_listing(listing_of(table)))
+    assert read.count() == 9 and read.where("content = CAST('{}' AS BINARY)").count() == 9
+
+
+def test_tasks_that_read_grow_with_the_files(spark, result_file, tmp_path, monkeypatch):
+    for i in range(40):
+        result_file(f"f{i}.json", "{}")
+    listing = kept_listing(list_results(spark, str(tmp_path / "results")))
+    assert with_content(listing).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(results, "TASK_FILES", 4)
+    monkeypatch.setattr(results, "TASK_BYTES", 1 << 20)
+    assert "10" in plan(with_content(listing)).split("hashpartitioning(result_file")[1][:12]

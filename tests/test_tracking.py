@@ -5,17 +5,20 @@ from conftest import rows
 from gridledger.operators import ledger as L
 from gridledger.plans.planning import load_pending_groups
 from gridledger.plans.tracking import (
+    export_ledger,
     import_ledger,
     init_changes,
     init_tracking,
     parse_results,
+    read_report,
     update_tracking,
     update_tracking_incrementally,
 )
-from gridledger.runtime import shared_folder
+from gridledger.runtime import session_setting, shared_folder
 from gridledger.sinks.documents import write_documents
 from gridledger.sinks.ledger import write_ledger, write_ledger_csv
-from gridledger.sources.ledger import read_ledger
+from gridledger.sources.ledger import read_ledger, stored_status_counts
+from gridledger.streaming import ingest
 from gridledger.versions import VersionTaken, next_version
 
 C, R = "zeroshot_classification", "zeroshot_retrieval"
@@ -150,3 +153,141 @@ def test_written_documents(spark, tmp_path):
 
 def test_shared_folder_is_under_the_checkpoint_folder(spark):
     assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+# --- incremental updates, reports, files ---
+
+
+def campaign(spark, tmp_path, models=40):
+    root = str(tmp_path / "ledger")
+    rows_ = spark.createDataFrame([(f"m{i:02d}", "w") for i in range(models)], "model string, pretrained string")
+    benchmarks = spark.createDataFrame([(C, f"b{i}") for i in range(20)], "task_type string, benchmark string")
+    with session_setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        init_tracking(spark, root, rows_, benchmarks)
+    return root, str(tmp_path / "results"), str(tmp_path / "facts")
+
+
+def name_of(model, i):
+    return f"b{i}_w_m{model:02d}_en_{C}.json"
+
+
+def data_files(tmp_path):
+    return set((tmp_path / "ledger" / "data").rglob("*.parquet"))
+
+
+def test_one_new_result_rewrites_one_range(spark, result_file, tmp_path):
+    root, results, facts = campaign(spark, tmp_path)
+    for i in range(20):
+        result_file(name_of(3, i), '{"metrics": {"acc1": 0.5}}')
+    first = data_files(tmp_path)
+    assert len(first) > 2
+    update_tracking_incrementally(spark, root, results, facts)
+    second = data_files(tmp_path)
+    assert 1 <= len(second - first) < len(first)
+    result_file(name_of(30, 1), "{}", "2024-01-01T00:00:00")  # late, with an old time stamp
+    result_file("stray.json", "{}")
+    found = update_tracking_incrementally(spark, root, results, facts)
+    assert len(data_files(tmp_path) - second) == 1
+    # The same ledger as a batch update of a new one gives.
+    other = str(tmp_path / "batch")
+    write_ledger(L.new_ledger(read_ledger(spark, root)), other)
+    assert rows(found) == rows(update_tracking(spark, other, results).ledger)
+    assert rows(stored_status_counts(spark, root)) == rows(L.status_counts(found)) == [(800, 21, 779)]
+    # Nothing new: nothing is written.
+    versions = sorted(p.name for p in (tmp_path / "ledger").glob("v0*"))
+    update_tracking_incrementally(spark, root, results, facts)
+    assert sorted(p.name for p in (tmp_path / "ledger").glob("v0*")) == versions
+
+
+def test_a_file_that_is_put_back_older(spark, result_file, tmp_path):
+    root, results, facts = campaign(spark, tmp_path, 4)
+    times = []
+    for when in ("2025-05-01T00:00:00", "2025-06-01T00:00:00", "2025-01-01T00:00:00"):
+        result_file(name_of(1, 1), "{}", when)
+        found = update_tracking_incrementally(spark, root, results, facts)
+        times += [r.timestamp for r in L.completed_rows(found).collect()]
+    assert times == ["2025-05-01T00:00:00", "2025-06-01T00:00:00", "2025-01-01T00:00:00"]
+
+
+def test_cells_that_come_later_find_old_results(spark, result_file, tmp_path):
+    root, results, facts = campaign(spark, tmp_path, 2)
+    result_file(name_of(3, 1), "{}")
+    assert L.completed_rows(update_tracking_incrementally(spark, root, results, facts)).isEmpty()
+    models = spark.createDataFrame([(f"m{i:02d}", "w") for i in range(5)], "model string, pretrained string")
+    benchmarks = spark.createDataFrame([(C, f"b{i}") for i in range(20)], "task_type string, benchmark string")
+    init_tracking(spark, root, models, benchmarks)
+    found = update_tracking_incrementally(spark, root, results, facts)
+    assert [(r.model, r.benchmark) for r in L.completed_rows(found).collect()] == [("m03", "b1")]
+
+
+def test_facts_are_merged_by_size(spark, result_file, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "TIER", 3)
+    root, results, facts = campaign(spark, tmp_path, 6)
+    for n in range(8):
+        result_file(name_of(n % 6, n), '{"metrics": {"acc1": 0.%d}}' % n)
+        found = update_tracking_incrementally(spark, root, results, facts)
+        assert rows(L.status_counts(found)) == [(120, n + 1, 119 - n)]
+        assert ingest.read_facts(spark, facts).count() == n + 1
+        folders = ingest.fact_folders(spark, facts)
+        assert len(folders) <= 7
+    merged = [f for f in folders if f.startswith("run=compact")]
+    assert merged and ingest.new_folders(spark, facts, folders, folders) == []
+    # What a merge is made of counts as applied with it.
+    assert ingest.new_folders(spark, facts, merged, [x for f in merged for x in ingest._replaced(spark, facts, f)]) == []
+
+
+def test_the_store_is_listed_once_a_call(spark, result_file, tmp_path, monkeypatch):
+    listed = []
+    monkeypatch.setattr(ingest, "list_results", lambda *a, real=ingest.list_results: listed.append(a) or real(*a))
+    for i in range(12):
+        result_file(f"f{i}.json", "{}")
+    ingest.ingest_new_files(spark, str(tmp_path / "results"), str(tmp_path / "facts"), max_files=3)
+    assert len(listed) == 1 and ingest.read_facts(spark, str(tmp_path / "facts")).count() == 12
+    assert len(ingest.fact_folders(spark, str(tmp_path / "facts"))) >= 4
+
+
+def test_reports_stay_true(spark, catalogs, result_file, tmp_path):
+    models, benchmarks = catalogs
+    root, results = str(tmp_path / "ledger"), str(tmp_path / "results")
+    init_tracking(spark, root, models, benchmarks)
+    assert read_report(spark, root, "added").count() == 6 and read_report(spark, root, "dropped").isEmpty()
+    init_tracking(spark, root, models.where("model = 'RN50'"), benchmarks)
+    assert {r.model for r in read_report(spark, root, "dropped").collect()} == {"ViT-B-32"}
+    result_file("what.json", "{}")
+    update = update_tracking(spark, root, results)
+    result_file("more.json", "{}")  # after the update
+    for _ in range(3):
+        init_tracking(spark, root, models, benchmarks)
+    assert read_report(spark, root, "unexpected") is None
+    kept = {p.name for p in (tmp_path / "ledger" / "reports").iterdir()}
+    assert kept == {p.name for p in (tmp_path / "ledger").glob("v0*")}
+    update = update_tracking(spark, root, results)
+    assert {r.file_name for r in update.unexpected.collect()} == {"what.json", "more.json"}
+    assert rows(read_report(spark, root, "unexpected")) == rows(update.unexpected)
+
+
+def test_an_update_from_a_table_of_files(spark, catalogs, tmp_path):
+    root = str(tmp_path / "ledger")
+    init_tracking(spark, root, *catalogs)
+    name = "pets_openai_RN50_en_zeroshot_classification.json"
+    files = [(f"s3a://b/results/{name}", "2025-02-03 04:05:06.789012", 10, "x"), ("s3a://b/results/notes.txt", "2025-02-03 04:05:06", 1, "y")]
+    table = spark.createDataFrame(files, "path string, mtime string, length int, etag string")
+    update = update_tracking(spark, root, table)
+    assert [(r.result_file, r.timestamp) for r in L.completed_rows(update.ledger).collect()] == [(files[0][0], "2025-02-03T04:05:06.789000")]
+    assert update.unexpected.isEmpty()
+
+
+def test_tables_as_single_files(spark, catalogs, result_file, tmp_path):
+    root, results, out = [str(tmp_path / n) for n in ("ledger", "results", "out")]
+    init_tracking(spark, root, *catalogs)
+    result_file("pets_openai_RN50_en_zeroshot_classification.json", '{"metrics": {"acc1": 0.5}}')
+    update_tracking(spark, root, results)
+    for _ in range(2):  # an older file is replaced
+        parse_results(spark, root, results, out, single_files=True)
+        lines = (tmp_path / "out" / "classification_metrics.csv").read_text().splitlines()
+        assert lines[0].startswith("model,pretrained,benchmark") and lines[1].startswith("RN50,openai,pets") and len(lines) == 2
+    assert [p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")] == ["classification_metrics.csv"]
+    export_ledger(spark, root, str(tmp_path / "ledger.csv"), single_file=True)
+    assert len((tmp_path / "ledger.csv").read_text().splitlines()) == 7
+    export_ledger(spark, root, str(tmp_path / "folder.csv"))
+    assert (tmp_path / "folder.csv").is_dir()

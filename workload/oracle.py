@@ -375,8 +375,10 @@ SELECTS = {
     "incremental_ingest": f"""
         SELECT g.model, g.pretrained, g.task_type, g.benchmark, coalesce(s.file_name, '') AS file_name,
                CASE WHEN s.model IS NULL THEN 'pending' ELSE 'completed' END AS status,
-               CASE WHEN s.error_class IS NULL THEN s.accuracy END AS acc1
-        FROM grid g LEFT JOIN stored s USING ({KEYS})""",
+               CASE WHEN s.error_class IS NULL THEN s.accuracy END AS acc1,
+               CASE WHEN n.n IS NULL THEN 0 ELSE greatest(n.n - 1, 1) END AS files
+        FROM grid g LEFT JOIN stored s USING ({KEYS})
+        LEFT JOIN (SELECT {KEYS}, count(*) AS n FROM documents GROUP BY {KEYS}) n USING ({KEYS})""",
     "zeroshot_accuracy": """
         SELECT count(*) FILTER (n = 1) AS items,
                round(sum(CASE WHEN n = 1 AND class = label THEN 1 ELSE 0 END)::DOUBLE / count(*) FILTER (n = 1), 6) AS acc1,

@@ -1,6 +1,6 @@
 """One query per operator, over the whole of the tables it reads."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridledger.functions import models as model_functions
@@ -9,6 +9,7 @@ from gridledger.functions.documents import with_metrics
 from gridledger.functions.times import iso_timestamp
 from gridledger.operators import catalog, matching, metrics, planning, scoring
 from gridledger.operators import ledger as L
+from gridledger.plans.tracking import update_tracking_incrementally
 from gridledger.runtime import shared_folder
 from gridledger.schemas import CLASSIFICATION, KEYS, RETRIEVAL
 from gridledger.sinks.documents import write_documents
@@ -16,7 +17,7 @@ from gridledger.sinks.ledger import write_ledger, write_ledger_csv
 from gridledger.sinks.metrics import write_metrics
 from gridledger.sources.ledger import read_ledger, read_ledger_csv
 from gridledger.sources.results import list_results, read_documents
-from gridledger.streaming.ingest import ingest_new_files, ledger_from_facts, read_facts
+from gridledger.streaming.ingest import read_facts
 from workload.tables import Campaign
 
 QUERIES = {}
@@ -321,20 +322,31 @@ def cost_estimate(c):
 
 @query
 def incremental_ingest(c):
-    """The ledger and facts after the first document of each cell arrived, then the last of each.
+    """Ledger and facts after all documents of each cell arrived in three waves.
 
-    Files of the second arrival are new for no cell: they are rewritten, or written again as they were.
+    The first of a cell comes under its expected name; those between under names of their own; the last
+    one, which only the listing finds, is written in the place of the first.
     """
     work = shared_folder(c.spark, "ingest")
-    order = F.struct("mtime", "result_file")
-    for pick in (F.min_by, F.max_by):
-        arrived = c.documents().groupBy(KEYS).agg(pick("doc", order).alias("doc"))
-        write_documents(arrived.select(names.expected_name().alias("file_name"), "doc"), f"{work}/store")
-        ingest_new_files(c.spark, f"{work}/store", f"{work}/facts", f"{work}/checkpoint")
-    facts = read_facts(c.spark, f"{work}/facts")
-    file_name = names.file_name("result_file").alias("file_name")
-    ledger = ledger_from_facts(L.new_ledger(c.grid()), facts).select(*KEYS, file_name, "status")
-    return ledger.join(facts.select("file_name", F.col("metrics.acc1").alias("acc1")), "file_name", "left")
+    root, store, facts = (f"{work}/{name}" for name in ("ledger", "store", "facts"))
+    write_ledger(L.new_ledger(c.grid()), root)
+    cell = Window.partitionBy(*KEYS)
+    place, count = F.row_number().over(cell.orderBy("mtime", "result_file")), F.count("*").over(cell)
+    own_name = names.file_name("result_file").alias("own_name")
+    docs = c.documents().select(*KEYS, own_name, "doc", place.alias("place"), count.alias("count"))
+    wave = F.when(F.col("place") == 1, 1).when(F.col("place") == F.col("count"), 3).otherwise(2)
+    docs.withColumn("wave", wave).write.parquet(f"{work}/docs")
+    docs = c.spark.read.parquet(f"{work}/docs")
+    file_name = F.when(F.col("wave") == 2, F.col("own_name")).otherwise(names.expected_name()).alias("file_name")
+    for number in (1, 2, 3):
+        write_documents(docs.where(F.col("wave") == number).select(file_name, "doc"), store)
+        update_tracking_incrementally(c.spark, root, store, facts, f"{work}/checkpoint" if number < 3 else None)
+    found = read_facts(c.spark, facts).select("file_name", "metrics.acc1")
+    arrived = docs.where("wave < 3").select(*KEYS, file_name).join(found, "file_name", "left_semi")
+    ledger = read_ledger(c.spark, root).join(arrived.groupBy(*KEYS).agg(F.count("*").alias("files")), KEYS, "left")
+    name = names.file_name("result_file").alias("file_name")
+    ledger = ledger.select(*KEYS, name, "status", F.coalesce("files", F.lit(0)).alias("files"))
+    return ledger.join(found, "file_name", "left")
 
 
 # --- evaluation -----------------------------------------------------------------------
