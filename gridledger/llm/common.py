@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridledger.runtime import session_setting, shared_folder
+from gridledger.runtime import row_bound, session_setting, shared_folder
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,9 +44,41 @@ class Scratch:
         self._held.clear()
 
 
+_owner: ContextVar[Scratch | None] = ContextVar("owner", default=None)
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
-    """As ``Scratch.saved``, for a table that a result goes on reading."""
-    return Scratch().saved(df, label)
+    """As ``Scratch.saved``, for a table that a result goes on reading. Within ``owned`` it belongs to
+    that block's scratch; else it stays until the folder is cleaned."""
+    return (_owner.get() or Scratch()).saved(df, label)
+
+
+@contextmanager
+def owned() -> Iterator[Scratch]:
+    """A scratch that the tables saved in the block belong to, for who has written what they were for."""
+    scratch = Scratch()
+    token = _owner.set(scratch)
+    try:
+        yield scratch
+    finally:
+        _owner.reset(token)
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row for each doc_id and text; rows without doc_id all stay.
+
+    Only rows that are there more than once are shuffled, if there are any.
+    """
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key"), F.xxhash64("text").alias("at")
+    )
+    shared = rows.filter("key is not null").groupBy("key", "at").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = saved(shared.select("key", "at"), "shared")
+    if not shared.take(1):
+        return docs
+    some = F.broadcast(shared) if row_bound(shared) else shared
+    again = rows.join(some, ["key", "at"], "left_semi").dropDuplicates(["key", "at"])
+    return rows.join(some, ["key", "at"], "left_anti").unionByName(again).select("row.*")
 
 
 def remainder(key: Column, of: int) -> Column:
@@ -98,6 +132,41 @@ def grouped(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
+def whole_groups(
+    batches: Iterable[pa.RecordBatch], keys: list[str], rows: int = 512
+) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Pieces of a stream sorted by ``keys`` (numbers) that have whole groups and, if groups allow, no
+    more than about ``rows`` rows; with each, the first row of its groups and the row after the last."""
+    held: list[pa.RecordBatch] = []
+
+    def pieces(last: bool):
+        nonlocal held
+        table = pa.Table.from_batches(held).combine_chunks()
+        new = np.zeros(table.num_rows, bool)
+        new[0] = True
+        for key in keys:
+            values = table[key].to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        starts = np.flatnonzero(new)
+        # Without more batches to come the last group is whole.
+        end = table.num_rows if last else int(starts[-1])
+        starts = np.append(starts[starts < end], end)
+        at = 0
+        while at < len(starts) - 1:
+            to = max(at + 1, int(np.searchsorted(starts, starts[at] + rows, "right")) - 1)
+            yield table.slice(starts[at], starts[to] - starts[at]), starts[at : to + 1] - starts[at]
+            at = to
+        held = table.slice(end).to_batches()
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= rows:
+                yield from pieces(False)
+    if held:
+        yield from pieces(True)
+
+
 def by_group(
     df: DataFrame, keys: list[str], function: Callable[[pa.Table], pa.RecordBatch | None], schema: str
 ) -> DataFrame:

@@ -3,7 +3,9 @@
 Lines are compared in lower case (ASCII letters) with each run of white space as one blank. Signatures
 of their shingles of eight characters find candidates in bands, full sets decide (see ``linking``),
 and of all lines that are linked, directly or through others, the first one stays: that of the
-smallest doc_id, and the first in its document.
+smallest doc_id, and the first in its document. Of lines that differ in one inner character, those of
+63 characters or more reach the threshold: shorter shingles would link shorter lines, but in text of few
+syllables chance pairs then share so many that bands of three have more false candidates than lines.
 
 Defined results: blank lines always stay; a line shorter than a shingle is one shingle; null texts
 and rows without doc_id stay as they are, and their lines count for nothing; rows that repeat doc_id
@@ -14,21 +16,21 @@ and text are one document, which other texts of the same doc_id follow by a hash
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import Scratch, saved, texts_of
+from gridledger.llm.common import Scratch, one_of_each, saved, texts_of
 from gridledger.llm.components import components
-from gridledger.llm.linking import minima, near_links, sketch_columns
+from gridledger.llm.linking import near_links, scattered, sketch_columns
 
 CHARACTERS, THRESHOLD = 8, 0.75
 #: 12 bands of 3: lines at the threshold share a band with probability 0.9986, at 0.85 with 0.99999.
 COORDINATES, ROWS = 36, 3
 
 _STEP = 0x9E3779B97F4A7C15
+_FACTORS = np.random.default_rng(7).integers(0, 1 << 31, COORDINATES).astype(np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def normal(line: bytes) -> bytes:
@@ -65,6 +67,73 @@ def shingle_sets(lines: list[bytes]) -> list[np.ndarray]:
     return [np.unique(x) for x in np.split(h, np.cumsum(counts)[:-1])]
 
 
+def lines_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, at, line, digest) of each line of (doc_id, at, text) that isn't blank; in a task, a row
+    that is there again gives none."""
+
+    def run(batches):
+        seen = set()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                row, number, digests = [], [], []
+                keys = (part.column(part.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "at"))
+                for k, (key, text) in enumerate(zip(zip(*keys, strict=True), texts_of(part), strict=True)):
+                    if key in seen:
+                        continue
+                    seen.add(key)
+                    for n, line in enumerate(text.split(b"\n")):
+                        if plain := normal(line):
+                            row.append(k)
+                            number.append(n)
+                            digests.append(xxhash.xxh3_128_digest(plain))
+                at = pa.array(row, pa.int32())
+                columns = [part.column(part.schema.get_field_index(c)).take(at) for c in ("doc_id", "at")]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(number, pa.int32()), pa.array(digests, pa.binary())], ["doc_id", "at", "line", "digest"]
+                )
+
+    return docs.mapInArrow(run, "doc_id long, at long, line int, digest binary")
+
+
+def sketch(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of (normal, not empty) lines, and the number of shingles of each.
+
+    Hashes of 32 bits do here, as full sets decide. Coordinate k is the least product of a shingle's
+    hash, which is scattered, with an odd number of its own.
+    """
+    points = np.frombuffer(b"\n".join([*lines, b""]).decode().encode("utf-32-le"), np.uint32)
+    ends = np.flatnonzero(points == 10)
+    starts = np.append(0, ends[:-1] + 1)
+    lengths = ends - starts
+    h, width = scattered(points), 1
+    while width < CHARACTERS:  # twice as wide each time
+        wider = h[:-width] * np.uint32(pow(_STEP, width, 1 << 32))
+        wider += h[width:]
+        h[:-width] = wider
+        width *= 2
+    # Shingles that would go beyond their line are left out; a line shorter than one is one.
+    whole = np.ones(len(h), bool)
+    for k in range(CHARACTERS):
+        whole[np.maximum(ends - k, starts)] = False
+    short = lengths < CHARACTERS
+    whole[starts] = True
+    h[starts[short]] = [xxhash.xxh3_64_intdigest(lines[k]) & 0xFFFFFFFF for k in np.flatnonzero(short)]
+    counts = np.maximum(lengths - CHARACTERS + 1, 1)
+    h, low = scattered(h[whole]), np.append(0, np.cumsum(counts))
+    out, at = np.empty((len(lines), COORDINATES), np.uint32), 0
+    # Slices of whole lines that fit a core's cache.
+    while at < len(lines):
+        to = max(at + 1, int(np.searchsorted(low, low[at] + (1 << 14), "right")) - 1)
+        x, own = h[low[at] : low[to]], low[at:to] - low[at]
+        y = np.empty_like(x)
+        for k in range(COORDINATES):
+            np.multiply(x, _FACTORS[k], out=y)
+            out[at:to, k] = np.minimum.reduceat(y, own)
+        at = to
+    return out, counts
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """(doc_id, at, line, digest, size, sig, keys) for each line of (doc_id, at, text) that isn't blank."""
 
@@ -81,9 +150,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                             lines.append(plain)
                 if not lines:
                     continue
-                h, counts = shingles(lines)
-                low = np.append(0, np.cumsum(counts)[:-1])
-                found = minima((h >> np.uint64(32)).astype(np.uint32), low, COORDINATES)
+                found, counts = sketch(lines)
                 at = pa.array(row, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -108,27 +175,28 @@ def _picked(texts: DataFrame) -> DataFrame:
     def run(batches):
         seen = set()
         for batch in batches:
-            doc_id, at, wanted = (
-                batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "at", "wanted")
-            )
-            ids, out = [], []
-            for key, text, lines in zip(zip(doc_id, at, strict=True), texts_of(batch), wanted, strict=True):
-                if key in seen:
-                    continue
-                seen.add(key)
-                parts = text.split(b"\n")
-                for x in lines:
-                    ids.append(x["id"])
-                    out.append(normal(parts[x["line"]]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], ["id", "content"])
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                doc_id, at, wanted = (part.column(part.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "at", "wanted"))
+                ids, out = [], []
+                for key, text, lines in zip(zip(doc_id, at, strict=True), texts_of(part), wanted, strict=True):
+                    if key in seen:
+                        continue
+                    seen.add(key)
+                    parts = text.split(b"\n")
+                    for x in lines:
+                        ids.append(x["id"])
+                        out.append(normal(parts[x["line"]]))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], ["id", "content"])
 
     picked = texts.select("doc_id", "at", "text", "wanted").mapInArrow(run, "id long, content binary")
     # Other tasks may have met the same document.
     return picked.dropDuplicates(["id"])
 
 
-def first_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, at, lines): the numbers of the lines of each document that stay, blank ones apart."""
+def dropped_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, at, dropped) for the documents that lose lines: the number of each such line, and which
+    line (kept_doc_id, kept_line) is the one that is kept of those linked with it."""
     own = docs.filter("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("at"), "text"
     )
@@ -140,50 +208,69 @@ def first_lines(docs: DataFrame) -> DataFrame:
         F.first("sig").alias("sig"),
         F.first("keys").alias("keys"),
     )
-    items = scratch.saved(classes.drop("digest").select("*", F.monotonically_increasing_id().alias("id")), "lines")
+    items = scratch.saved(classes.select("*", F.monotonically_increasing_id().alias("id")), "lines")
+    contents: list[DataFrame] = []
 
     def content(ids: DataFrame) -> DataFrame:
-        wanted = items.join(ids, "id", "left_semi").groupBy("first.doc_id", "first.at")
-        wanted = wanted.agg(F.collect_list(F.struct("first.line", "id")).alias("wanted"))
-        return _picked(own.join(wanted, ["doc_id", "at"]))
+        if not contents:  # the lines of all likely groups, read once
+            wanted = items.join(ids, "id", "left_semi").groupBy("first.doc_id", "first.at")
+            wanted = wanted.agg(F.collect_list(F.struct("first.line", "id")).alias("wanted"))
+            contents.append(scratch.saved(_picked(own.join(wanted, ["doc_id", "at"])), "contents"))
+        return contents[0]
 
     links = near_links(
         items.select("id", "size", "sig", "keys"), content, shingle_sets, COORDINATES, THRESHOLD, scratch
     )
     found = components(links, "a", "b")
-    near = items.select("id", "first").join(found, F.col("id") == F.col("node"))
-    roots = near.groupBy("component").agg(F.min("first").alias("first")).select("first")
-    alone = items.select("id", "first").join(found.select(F.col("node").alias("id")), "id", "left_anti").select("first")
-    staying = roots.union(alone).groupBy("first.doc_id", "first.at")
-    staying = saved(staying.agg(F.collect_list("first.line").alias("lines")), "staying")
+    firsts = items.select("id", "digest", "first")
+    near = scratch.saved(firsts.join(found, F.col("id") == F.col("node")).select("digest", "first", "component"), "near")
+    roots = scratch.saved(near.groupBy("component").agg(F.min("first").alias("kept")), "roots")
+    near = near.join(roots, "component").select("digest", "kept")
+    classes = firsts.join(near, "digest", "left").select("digest", F.coalesce("kept", "first").alias("kept"))
+    classes = scratch.saved(classes, "classes")
+    occurrences = lines_of(own)
+    itself = (F.col("doc_id") == F.col("kept.doc_id")) & (F.col("at") == F.col("kept.at")) & (F.col("line") == F.col("kept.line"))
+    gone = occurrences.join(classes, "digest").filter(~itself)
+    line = F.struct("line", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.line").alias("kept_line"))
+    dropped = saved(gone.groupBy("doc_id", "at").agg(F.sort_array(F.collect_set(line)).alias("dropped")), "dropped")
     scratch.clear()
-    return staying
+    return dropped
+
+
+_DONE = "struct<text: string, n_lines: bigint, n_kept: bigint>"
 
 
-def _rebuilt(texts: pd.Series, lines: pd.Series) -> pd.DataFrame:
+def _rebuilt(texts: pa.Array, lines: pa.Array) -> pa.Array:
+    """Each text without its dropped lines, with the number of its lines and of those that stay."""
     out = []
-    for text, kept in zip(texts, lines, strict=True):
-        parts = text.split("\n")
-        stay = set(() if kept is None else kept)
-        left = [p for n, p in enumerate(parts) if n in stay or not normal(p.encode())]
-        out.append(("\n".join(left), len(parts), len(left)))
-    return pd.DataFrame(out, columns=["text", "n_lines", "n_kept"])
+    for start in range(0, len(texts), 256):
+        left, total, kept = [], [], []
+        for text, gone in zip(texts.slice(start, 256).to_pylist(), lines.slice(start, 256).to_pylist(), strict=True):
+            parts = text.split("\n")
+            total.append(len(parts))
+            gone = set(gone or ())
+            left.append("\n".join(p for n, p in enumerate(parts) if n not in gone) if gone else text)
+            kept.append(len(parts) - len(gone))
+        arrays = [pa.array(left, pa.string()), pa.array(total, pa.int64()), pa.array(kept, pa.int64())]
+        out.append(pa.StructArray.from_arrays(arrays, ["text", "n_lines", "n_kept"]))
+    return pa.concat_arrays(out) if out else pa.array([], pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("n_kept", pa.int64())]))
 
 
 def _cleaned(docs: DataFrame) -> DataFrame:
-    """(row: all columns, done: text, n_lines, n_kept): ``done`` is null for rows that stay as they are."""
+    """(row: all columns, done: text, n_lines, n_kept, dropped): ``done`` is null for rows that stay as
+    they are."""
     rows = docs.select(F.struct("*").alias("row"))
     key = F.when(F.col("row.text").isNotNull(), F.col("row.doc_id").cast("long"))
     rows = rows.select("row", key.alias("doc_id"), F.xxhash64("row.text").alias("at"))
-    rows = rows.join(first_lines(docs), ["doc_id", "at"], "left")
-    rebuilt = F.pandas_udf(_rebuilt, "text string, n_lines long, n_kept long")
-    done = rebuilt(F.coalesce("row.text", F.lit("")), "lines")
-    rows = rows.withColumn("done", done)
-    return rows.select("row", F.when(F.col("doc_id").isNotNull(), F.col("done")).alias("done"))
+    rows = rows.join(dropped_lines(docs), ["doc_id", "at"], "left")
+    rebuilt = F.arrow_udf(_rebuilt, _DONE)
+    rows = rows.withColumn("done", rebuilt(F.coalesce("row.text", F.lit("")), "dropped.line"))
+    return rows.select("row", F.when(F.col("doc_id").isNotNull(), F.col("done")).alias("done"), "dropped")
 
 
 def deduplicated_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_lines, n_kept, text) for each row of ``docs``: its lines, those that stay, and these."""
+    """(doc_id, n_lines, n_kept, text, dropped) for each row of ``docs``: its lines, those that stay, the
+    text of these, and for each of the others (line) the one that is kept of its class."""
     rows = _cleaned(docs)
     lines = F.coalesce(F.size(F.split("row.text", "\n")), F.lit(0)).cast("long")
     return rows.select(
@@ -191,11 +278,14 @@ def deduplicated_lines(docs: DataFrame) -> DataFrame:
         F.coalesce("done.n_lines", lines).alias("n_lines"),
         F.coalesce("done.n_kept", lines).alias("n_kept"),
         F.coalesce("done.text", "row.text").alias("text"),
+        "dropped",
     )
 
 
 def drop_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with the texts that are left. Documents all of whose lines occurred before are gone."""
+    """``docs`` with the texts that are left, in one row for each doc_id and text. Documents all of whose
+    lines occurred before are gone."""
+    docs = one_of_each(docs)
     rows = _cleaned(docs)
     blank = r"^[\x20\x09-\x0D]*$"
     emptied = F.col("done").isNotNull() & F.col("done.text").rlike(blank) & ~F.col("row.text").rlike(blank)

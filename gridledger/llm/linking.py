@@ -7,13 +7,15 @@ Both near-duplicate operators use it, on documents and on lines. The way from si
    the signatures; those that look unlike it are compared among each other, in blocks, and, where
    sets need not share more than one key, with those that look like it too. This gives a forest of
    likely links, with at most one row per member and bucket (and block), never all pairs.
-2. The components of the forest are the likely groups. Within a group, the full sets are compared
-   in pairs of blocks; each pair of blocks gives a forest of exact links.
-3. The components of the exact links are the result.
-
-The signature bound of step 1 lies five standard deviations below the threshold, so a true link
-passes it; step 2 alone decides. A hot group costs its own size in rows; only the comparisons
-within blocks grow faster.
+2. The components of the forest are the likely groups. A group is dealt to blocks, each of which gets
+   its first set too, and the full sets of a block give a forest of exact links.
+3. In groups of several blocks, the largest part that is linked by now needs no comparing within
+   itself; the sets outside of it are compared with all others of the group, block by block.
+4. The components of the exact links are the result.
+
+The signature bound of step 1 lies four standard deviations below the threshold, so that it passes all
+but one in 30,000 links at the threshold; steps 2 and 3 alone decide. A group of near-equal sets costs its own size in rows, however
+large; only sets apart from the largest part are copied more than once.
 """
 
 from __future__ import annotations
@@ -26,20 +28,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import Scratch, block_pairs, by_group, forest, saved, spread
+from gridledger.llm.common import Scratch, block_pairs, by_group, forest, saved, spread, whole_groups
 from gridledger.llm.components import components
 
 #: What near_rows needs of each row of documents: ``at`` is a hash of the text, ``digest`` one of the set.
 SKETCH = "doc_id long, at long, size long, digest binary, sig binary, keys array<long>"
 
 #: Members of a bucket that meet in one block by their signatures, sets by their full elements,
-#: and elements in a block.
-SIGNATURE_BLOCK, SET_BLOCK, ELEMENT_BLOCK = 4096, 256, 1_000_000
+#: and elements in a block. Sets that are compared one by one with the others of a block, before all
+#: are by products of matrices.
+SIGNATURE_BLOCK, SET_BLOCK, ELEMENT_BLOCK, SEARCHES = 4096, 256, 1_000_000, 16
+#: Standard deviations below the threshold at which signatures still look alike.
+DEVIATIONS = 4
 
 
 def looks_alike(coordinates: int, threshold: float) -> int:
     """The least number of equal coordinates (of one byte) that sets at the threshold may have."""
-    return math.floor(coordinates * threshold - 5 * math.sqrt(coordinates * threshold * (1 - threshold)))
+    return math.floor(coordinates * threshold - DEVIATIONS * math.sqrt(coordinates * threshold * (1 - threshold)))
 
 
 def bands(minima: np.ndarray, rows: int) -> np.ndarray:
@@ -155,7 +160,8 @@ def likely_links(items: DataFrame, least: int, scratch: Scratch, one_key: bool =
         .select("key", "leader")
     )
     members = rows.join(buckets, "key").filter("id <> leader")
-    signs = items.select("id", "sig")
+    # The signatures of those that share a bucket, which are few of all.
+    signs = scratch.saved(items.select("id", "sig").join(rows.select("id").distinct(), "id", "left_semi"), "signs")
     leaders = signs.select(F.col("id").alias("leader"), F.col("sig").alias("lead"))
 
     def compare(batches):
@@ -232,6 +238,41 @@ def exact_pairs(sets: list[np.ndarray], block: np.ndarray, across: bool, percent
     return np.nonzero(linked)
 
 
+def spanning_links(sets: list[np.ndarray], side: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
+    """Links that join all linked sets of a block; with ``side``, of those between sets of two sides.
+
+    The links of a few sets are followed from one to the next. If that leaves any apart that may be
+    linked still, all pairs are compared.
+    """
+    sizes = np.array([len(s) for s in sets])
+    unseen, found, reached = sizes > 0, [], []
+    for _ in range(SEARCHES):
+        if reached:
+            at = reached.pop()
+        else:
+            left = np.flatnonzero(unseen)
+            if not len(left):
+                break
+            at = int(left[0])
+            unseen[at] = False
+        may = unseen & (100 * np.minimum(sizes, sizes[at]) >= percent * np.maximum(sizes, sizes[at]))
+        others = np.flatnonzero(may if side is None else may & (side != side[at]))
+        if len(others):
+            own, rest = sets[at], np.concatenate([sets[k] for k in others])
+            place = np.searchsorted(own, rest)
+            place[place == len(own)] = 0
+            ends = np.cumsum(sizes[others])
+            common = np.diff(np.append(0, np.cumsum(own[place] == rest)[ends - 1]))
+            linked = others[100 * common >= percent * (sizes[at] + sizes[others] - common)]
+            unseen[linked] = False
+            found += [(at, int(k)) for k in linked]
+            reached += linked.tolist()
+    if not unseen.any():
+        return found
+    block = np.zeros(len(sets), int) if side is None else side
+    return forest(len(sets), *exact_pairs(sets, block, side is not None, percent))
+
+
 def near_links(
     items: DataFrame,
     content: Callable[[DataFrame], DataFrame],
@@ -249,25 +290,71 @@ def near_links(
     ``likely_links``.
     """
     least, percent = looks_alike(coordinates, threshold), round(threshold * 100)
+
+    def blocks(number):
+        return F.ceil(F.greatest(number / SET_BLOCK, F.sum("size") / ELEMENT_BLOCK)).cast("int")
+
+    def exact(placed: DataFrame, keys: list[str], two_sides: bool) -> DataFrame:
+        """(a, b, several): a forest of links for each block of (keys, id, side, several)."""
+
+        def run(batches):
+            for piece, bounds in whole_groups(batches, keys):
+                sets = as_sets([x or b"" for x in piece["content"].to_pylist()])
+                ids, side = piece["id"].to_numpy(), piece["side"].to_numpy()
+                several = piece["several"].to_numpy(zero_copy_only=False)
+                out: list[tuple[int, int, bool]] = []
+                for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    own = spanning_links(sets[first:last], side[first:last] if two_sides else None, percent)
+                    out += [(ids[first + a], ids[first + b], several[first]) for a, b in own]
+                if out:
+                    a, b, more = zip(*out, strict=True)
+                    columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(more, pa.bool_())]
+                    yield pa.RecordBatch.from_arrays(columns, ["a", "b", "several"])
+
+        rows = placed.join(content(placed.select("id")), "id").select(*keys, "id", "side", "several", "content")
+        return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long, several boolean")
+
     likely = components(likely_links(items, least, scratch, one_key), "a", "b")
     likely = scratch.saved(likely.join(items.select(F.col("id").alias("node"), "size"), "node"), "likely")
-    groups = likely.groupBy("component").agg(
-        F.ceil(F.greatest(F.count("*") / SET_BLOCK, F.sum("size") / ELEMENT_BLOCK)).cast("int").alias("blocks")
+    groups = scratch.saved(likely.groupBy("component").agg(blocks(F.count("*")).alias("blocks")), "groups")
+    placed = likely.join(groups, "component").select(
+        "component",
+        spread(F.col("node"), parts=F.col("blocks")).alias("block"),
+        F.col("node").alias("id"),
+        "size",
+        F.lit(0).alias("side"),
+        (F.col("blocks") > 1).alias("several"),
+        "blocks",
     )
-    placed = likely.join(groups, "component").withColumn("block", spread(F.col("node"), parts=F.col("blocks")))
-    placed = block_pairs(placed.select("component", F.col("node").alias("id"), "block", "blocks"), "block", "blocks")
-    texts = content(likely.select(F.col("node").alias("id")))
-    placed = placed.join(texts, "id").select("component", "low", "high", "block", "id", "content")
-
-    def run(group: pa.Table):
-        if group.num_rows < 2:
-            return None
-        across = group["low"][0].as_py() != group["high"][0].as_py()
-        sets = as_sets([x or b"" for x in group["content"].to_pylist()])
-        left, right = exact_pairs(sets, group["block"].to_numpy(), across, percent)
-        return _forest_rows(group["id"].to_numpy(), left, right)
-
-    return by_group(placed, ["component", "low", "high"], run, "a long, b long")
+    # A group's first set goes to all of its blocks.
+    roots = groups.filter("blocks > 1").select(
+        "component", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("component").alias("id")
+    )
+    roots = roots.select("*", F.lit(0).alias("side"), F.lit(True).alias("several"))
+    every = placed.select(roots.columns).filter("not several or id <> component").union(roots)
+    links = exact(every, ["component", "block"], False)
+    if not groups.filter("blocks > 1").take(1):
+        return links.select("a", "b")
+    links = scratch.saved(links, "links")
+    parts = components(links.filter("several"), "a", "b").withColumnRenamed("component", "part")
+    members = placed.filter("several").join(parts, F.col("id") == F.col("node"), "left")
+    members = scratch.saved(members.withColumn("part", F.coalesce("part", "id")).drop("node"), "members")
+    counted = members.groupBy("component", "part").agg(F.count("*").alias("n"))
+    largest = counted.groupBy("component").agg(F.max(F.struct("n", "part"))["part"].alias("largest"))
+    largest = scratch.saved(largest, "largest")
+    rest = scratch.saved(members.join(largest, "component").filter("part <> largest").drop("largest", "part"), "rest")
+    apart = rest.groupBy("component").agg(blocks(F.count("*")).alias("apart"))
+    apart = scratch.saved(apart, "apart")
+    # Every block of the sets apart meets every block of the group.
+    low, high = F.sequence(F.lit(0), F.col("apart") - 1), F.sequence(F.lit(0), F.col("blocks") - 1)
+    own = rest.join(apart, "component").select(
+        "component", spread(F.col("id"), parts=F.col("apart")).alias("low"), F.explode(high).alias("high"), "id", F.lit(0).alias("side")
+    )
+    others = members.join(apart, "component").select(
+        "component", F.explode(low).alias("low"), F.col("block").alias("high"), "id", F.lit(1).alias("side")
+    )
+    across = exact(own.union(others).withColumn("several", F.lit(True)), ["component", "low", "high"], True)
+    return links.union(across).select("a", "b")
 
 
 def sketch_columns(minimum: np.ndarray, rows: int) -> tuple[pa.Array, pa.Array]:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import texts_of
+from gridledger.llm.common import one_of_each, texts_of
 from gridledger.llm.linking import SKETCH, minima, near_rows, sketch_columns
 
 WORDS, THRESHOLD = 5, 0.75
@@ -97,6 +97,8 @@ def near_documents(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that are near one with a smaller doc_id; all columns stay."""
+    """``docs`` without the documents that are near one with a smaller doc_id, and with one row for each
+    doc_id and text; all columns stay."""
+    docs = one_of_each(docs)
     gone = near_documents(docs).filter("not kept").select(F.col("doc_id").alias("gone")).distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")

@@ -1,8 +1,11 @@
 """Plain forms of the operators, for small tables."""
 
+import math
 import re
 from collections import defaultdict
 
+import xxhash
+
 ROWS = "doc_id long, text string, lang string, source string, n_chars long"
 FOLDER = "/root/testdata/sf0.001"
 
@@ -113,3 +116,66 @@ def taken(rows):
             if t == s:
                 out[key] = out.get(key, 0) + once
     return target, out
+
+
+def spot_signatures(text, anchors, reach):
+    """Chains (word, next content word, the one after) at anchors and where none was for long, hashed."""
+    whole = 1 << 64
+    words = re.findall(rb"[a-z0-9\x80-\xff]+", bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode()))
+    if not words:
+        return [xxhash.xxh32_intdigest(text.encode())] if text else []
+
+    def number(word):
+        return xxhash.xxh3_64_intdigest(word) // 2 * 2 + (word.decode(errors="replace") in anchors)
+
+    def chain(a, b, c, kind):
+        h = (a + kind) * 0x9E3779B97F4A7C15 % whole
+        h = (h ^ (h >> 31) ^ b) * 0xC2B2AE3D27D4EB4F % whole
+        return ((h ^ (h >> 29) ^ c) * 0x165667B19E3779F9 % whole) >> 32
+
+    numbers, out, last = [number(w) for w in words], set(), -reach
+    for at, n in enumerate(numbers):
+        if n % 2:
+            last = at
+        if n % 2 or at - last >= reach:
+            follow = [m for m in numbers[at + 1 :] if not m % 2][:2]
+            if len(follow) == 2:
+                out.add(chain(n, *follow, 0))
+    if not out:
+        padded = numbers + [0, 0]
+        out = {chain(*padded[k : k + 3], 1) for k in range(max(1, len(numbers) - 2))}
+    return sorted(out)
+
+
+def rule_score(intercept, rules, numbers):
+    """The probability that rules (bounds, weight) give for the numbers of a text."""
+    total = intercept
+    for bounds, weight in rules:
+        if all(numbers[at] > value if above else numbers[at] <= value for at, above, value in bounds):
+            total += weight
+    return 1 / (1 + math.exp(-total))
+
+
+def decoded(languages, code, weights, trust, buckets):
+    """(language, share) of the codeword with the least weighed loss for the n-grams of a text."""
+    losses = []
+    for row, own in zip(code, trust, strict=True):
+        loss = 0.0
+        for bit, (side, sure) in enumerate(zip(row, own, strict=True)):
+            margin = sum(float(weights[b][bit]) for b in buckets) / max(1, len(buckets)) * math.sqrt(min(len(buckets), 400))
+            loss += sure * math.log1p(math.exp(-side * margin))
+        losses.append(loss)
+    shares = [math.exp(-(x - min(losses)) * len(code[0])) for x in losses]
+    best = max(range(len(shares)), key=lambda k: (shares[k], -k))
+    return languages[best], shares[best] / sum(shares)
+
+
+def byte_grams(text, multipliers, bits):
+    """Buckets of the byte n-grams of a text's words, set apart by blanks."""
+    letters = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or 97 <= b <= 122 else 32 for b in text.encode())
+    data = b" " + b" ".join(letters.split()) + b" "
+    return [
+        int.from_bytes(data[k : k + n]) * factor % (1 << 32) >> (32 - bits)
+        for n, factor in multipliers.items()
+        for k in range(len(data) - n + 1)
+    ]

@@ -1,13 +1,16 @@
 """Quality and language: held-out accuracy, and defined results on odd rows. The pipeline."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from brute import FOLDER, ROWS, first_lines, groups, taken, word_set
+from brute import FOLDER, ROWS, byte_grams, decoded, first_lines, groups, rule_score, taken, word_set
 from gridledger.llm import language, mixing, packing, quality
+from gridledger.runtime import session_setting
 
 SF = "/root/testdata/sf0.01"
 EDGES = [(1, None), (2, ""), (3, " \n "), (4, "?!"), (5, "12 34"), (6, "the " * 30_000), (7, "É"), (None, "the of and"), (7, "É")]
@@ -46,6 +49,29 @@ def test_quality_of_held_out_documents(spark, docs, labels):
     assert edges[10001] == edges[10002]
 
 
+def test_scores_are_those_of_the_rules(spark, docs, labels):
+    """The compiled column against a walk of the rules, one text at a time."""
+    model = quality.fit(docs, labels)
+    assert len(model.rules) > 5
+    rules = [(r.bounds, r.weight) for r in model.rules]
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = {r.doc_id: r.score for r in quality.scored(docs, labels).collect()}
+    for doc_id, text in texts.items():
+        numbers = quality.statistics((text or "").encode())
+        assert found[doc_id] == pytest.approx(rule_score(model.intercept, rules, numbers), abs=1e-9)
+
+
+def test_statistics_of_a_text():
+    text = "The cat | the CAT!\n\nThe cat | the CAT!\nA dog, 12 dogs."
+    found = dict(zip(quality.STATISTICS, quality.statistics(text.encode()), strict=True))
+    words = text.split()
+    assert found["words"] == pytest.approx(np.log1p(len(words))) and found["pipes"] == 2 / len(words)
+    assert found["distinct"] == len({w.lower() for w in words}) / len(words)
+    assert found["commonest"] == 4 / len(words) and found["distinct_lines"] == 2 / 3
+    assert found["digits"] == 2 / len(text) and found["lines"] == pytest.approx(np.log1p(3))
+    assert found["function_words"] == 5 / len(words) and found["upper_words"] == 3 / len(words)
+
+
 def test_held_out_labels_teach_nothing(spark, docs, labels):
     other = labels.withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
     a, b = (rows(quality.training_rows(docs, x).select("doc_id", "label")) for x in (labels, other))
@@ -80,6 +106,23 @@ def test_language_of_held_out_documents(spark, docs):
     assert rows(language.predicted(other)) == rows(language.predicted(docs))
 
 
+def test_decoding_bit_by_bit(spark, docs):
+    model = language.fit(docs)
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.predicted(docs).collect()}
+    for r in docs.orderBy("doc_id").limit(60).collect():
+        buckets = byte_grams(r.text, language._MULTIPLIERS, 14)
+        assert sorted(buckets) == sorted(language.grams(r.text.encode()).tolist())
+        name, share = decoded(model.languages, model.code, model.weights, model.trust, buckets)
+        assert found[r.doc_id] == (name, pytest.approx(share, abs=1e-3))
+
+
+def test_counts_of_n_grams(spark, docs):
+    some = docs.orderBy("doc_id").limit(40).select("text", "lang")
+    expected = Counter((r.lang, b) for r in some.collect() for b in byte_grams(r.text, language._MULTIPLIERS, 14))
+    found = {(r.lang, r.bucket): r.n for r in language.gram_counts(some.repartition(3)).collect()}
+    assert found == dict(expected)
+
+
 def test_languages_of_odd_texts(spark, docs):
     edge = spark.createDataFrame(EDGES, "doc_id long, text string").selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")
     found = language.predicted(edge.union(docs.selectExpr("doc_id + 1000", "text", "lang"))).collect()
@@ -132,7 +175,30 @@ def test_pipeline(spark):
             assert set(whole) == set(before) and sum(r.start == 0 for r in found) == size
         path = spark.createDataFrame(found, after.schema) if found else after
         kept = path.repartition(3)
-    assert sorted((r.doc_id, r.length) for r in corpus_pipeline.run(spark, FOLDER).collect())
+
+
+def test_the_pipeline_leaves_what_its_result_reads(spark, tmp_path):
+    with session_setting(spark, "spark.checkpoint.dir", str(tmp_path)):
+        result = corpus_pipeline.run(spark, FOLDER)
+        assert [p.name.split("-")[0] for p in tmp_path.iterdir() if p.name.split("-")[0] in ("quality", "lines", "near_dedup", "mixing")] == ["mixing"]
+        assert len(list(tmp_path.iterdir())) <= 2  # and what packing has saved
+        assert sorted((r.doc_id, r.length) for r in result.collect())
+
+
+def test_the_pipeline_on_odd_rows(spark, tmp_path):
+    text = "\n".join(f"line {n} of a text that is there more than once, with words of its own {n * n}." for n in range(12))
+    data = [(1, text, "en", "a", 9)] * 30 + [(2, text + " more", "en", None, 9), (None, text, None, "b", None), (3, None, "en", "b", 0), (4, "", None, None, None), (5, "w " * 30_000, "de", "b", 1)]
+    spark.createDataFrame(data, ROWS).selectExpr("*", "1 AS size", "2 AS row", "'x' AS digits").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1, 0), (1, 1, 0), (5, 1, 0), (None, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "size", "row", "digits"]
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    left = sorted((r.doc_id or 0) for r in docs.collect())
+    assert left == [0, 1, 3, 4, 5]
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in found} <= {None, 1, 3, 4, 5} and found
 
 
 def test_pipeline_without_documents(spark, tmp_path):

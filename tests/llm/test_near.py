@@ -1,15 +1,19 @@
 """Near-duplicate documents, lines and vectors against brute force, and components."""
 
+import contextlib
 import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from conftest import rows
+from conftest import plan, rows
 
-from brute import FOLDER, ROWS, first_lines, groups, roots, word_set
-from gridledger.llm import embeddings, lines, linking, minhash, spotsigs
+from brute import FOLDER, ROWS, first_lines, groups, line_form, roots, word_set
+from gridledger.llm import common, embeddings, lines, linking, minhash, spotsigs
+from gridledger.llm import components as module
 from gridledger.llm.components import components
+from gridledger.runtime import session_setting
 
 
 def test_components(spark):
@@ -45,6 +49,34 @@ def test_exact_pairs_across_blocks():
     assert list(zip(*linking.exact_pairs(sets, block, True, 75))) == [(0, 1)]
 
 
+def test_spanning_links_join_what_all_pairs_join():
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 5, 40):
+        for spread in (2, 8, 20):
+            base = rng.integers(0, 400, 60)
+            sets = [np.unique(np.append(base, rng.integers(0, 4000, rng.integers(0, spread)))).astype(np.uint64) for _ in range(n)]
+            sets += [np.zeros(0, np.uint64), np.unique(rng.integers(5000, 6000, 30)).astype(np.uint64)]
+            for side in (None, rng.integers(0, 2, len(sets))):
+                block = np.zeros(len(sets), int) if side is None else side
+                pairs = list(zip(*linking.exact_pairs(sets, block, side is not None, 75)))
+                found = linking.spanning_links(sets, side, 75)
+                assert roots(range(len(sets)), found) == roots(range(len(sets)), pairs)
+                assert len(found) < len(sets) and (side is None or all(side[a] != side[b] for a, b in found))
+
+
+def test_groups_of_a_stream_are_whole():
+    rows = sorted((a, b) for a in range(30) for b in range(3) for _ in range(1 + (7 * a + b) % 11))
+    table = pa.table({"a": [a for a, _ in rows], "b": [b for _, b in rows]})
+    for size in (1, 4, 1000):
+        found = list(common.whole_groups(table.to_batches(max_chunksize=7), ["a", "b"], size))
+        assert [x for piece, _ in found for x in zip(piece["a"].to_pylist(), piece["b"].to_pylist(), strict=True)] == rows
+        for piece, bounds in found:
+            keys = [piece.slice(i, j - i).to_pylist() for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
+            assert all(len({tuple(x.values()) for x in own}) == 1 for own in keys)
+            assert len({tuple(own[0].values()) for own in keys}) == len(keys)
+    assert list(common.whole_groups([], ["a"])) == []
+
+
 EDGES = [
     (1, None),
     (2, ""),
@@ -105,6 +137,61 @@ def test_blocks_of_a_large_group(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in found.collect()} == groups({d: word_set(t) for d, t in docs})
 
 
+def test_texts_of_a_large_group_are_copied_once(spark, monkeypatch):
+    """Near copies in many blocks: one copy of each text, and the group's first one for each block."""
+    monkeypatch.setattr(linking, "SET_BLOCK", 16)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(120)]
+    docs = [(d, " ".join(base[:-1] + [f"v{d}"])) for d in range(300)]
+    for d in range(300, 330):  # a few that differ more
+        words = list(base)
+        for k in rng.sample(range(120), 3):
+            words[k] = f"u{rng.randrange(10**6)}"
+        docs.append((d, " ".join(words)))
+    copied = spark.sparkContext.accumulator(0)
+
+    def counted(texts, known=None, real=minhash.shingle_sets):
+        copied.add(len(texts))
+        return real(texts, known)
+
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = linking.near_rows(table, minhash.sketches, counted, minhash.COORDINATES, minhash.THRESHOLD)
+    assert {r.doc_id: r.component_id for r in found.collect()} == groups({d: word_set(t) for d, t in docs})
+    # Pairs of blocks would read each text some twenty times.
+    assert copied.value <= 2.5 * len(docs)
+
+
+def test_a_hub_is_split(spark, monkeypatch):
+    """Two thirds of the links have one end: its rows are dealt to several tasks in the joins."""
+    monkeypatch.setattr(module, "MANY_LINKS", 1000)
+    links = [(0, k) for k in range(1, 40_000)] + [(100_000 + 2 * k, 100_001 + 2 * k) for k in range(20_000)]
+    plans = []
+
+    class Watched(common.Scratch):
+        def saved(self, df, label):
+            out = super().saved(df, label)
+            if label in ("large", "links"):
+                df.collect()
+                plans.append(plan(df))
+            return out
+
+    monkeypatch.setattr(module, "Scratch", Watched)
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    with contextlib.ExitStack() as stack:
+        for name, value in settings.items():
+            stack.enter_context(session_setting(spark, name, value))
+        found = components(spark.createDataFrame(links, "a long, b long"), "a", "b")
+        sizes = found.groupBy("component").count().collect()
+    assert {r.component: r["count"] for r in sizes}[0] == 40_000 and len(sizes) == 20_001
+    assert any("skew=true" in text for text in plans)
+
+
 def test_documents_by_spot_signatures(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
     more = [(1000, None), (1001, ""), (1002, "one"), (1003, "one"), (1004, "the cat and a dog of it"), (1005, "The cat, and a dog of it!")]
@@ -164,6 +251,16 @@ def test_lines(spark):
         else:
             assert r.text == expected[r.doc_id] and r.n_kept <= r.n_lines
     assert expected[1002] == "\nabd\nown line of this document" and expected[1003] == ""
+    texts = dict(docs)
+    for r in found:
+        if r.doc_id in texts and r.dropped:
+            assert len(r.dropped) == r.n_lines - r.n_kept
+            for x in r.dropped:  # the line that is kept stays where it is
+                kept = next(f for f in found if f.doc_id == x.kept_doc_id)
+                assert x.kept_line not in {y.line for y in kept.dropped or ()} and (x.kept_doc_id, x.kept_line) < (r.doc_id, x.line)
+                assert line_form(texts[x.kept_doc_id].split("\n")[x.kept_line])
+    by_id = {r.doc_id: [tuple(x) for x in r.dropped or ()] for r in found}
+    assert by_id[1002] == [(0, 1001, 0), (1, 1001, 3)] and by_id[1003] == [(0, 1001, 3), (1, 1001, 4)]
     # As a stage: documents that have nothing left go, blank ones stay, other columns too.
     stage = lines.drop_lines(table.selectExpr("*", "length(text) AS n_chars", "'k' AS row"))
     left = {r.doc_id: r for r in stage.collect()}
@@ -179,6 +276,18 @@ def test_repeated_rows_of_lines(spark):
     assert sorted((r.doc_id, r.n_kept) for r in found.collect()) == [(1, 2), (1, 2), (2, 0)]
 
 
+def test_repeated_rows_in_the_stages(spark):
+    text = "a line of some length\nand another one of them"
+    data = [(1, text, "en", "s", 1)] * 50 + [(2, "one of its own", "en", "s", 1)] * 2 + [(3, "alone", "de", None, 5), (None, "x y", None, None, 1), (None, "x y", None, None, 1)]
+    table = spark.createDataFrame(data, ROWS).repartition(7).selectExpr("*", "'k' AS key", "1 AS at")
+    expected = sorted([1, 2, 3, 0, 0])
+    for stage in (lines.drop_lines, minhash.keep_one):
+        left = stage(table)
+        assert sorted(r.doc_id or 0 for r in left.collect()) == expected and left.columns == table.columns
+    alone = table.filter("doc_id = 3")
+    assert common.one_of_each(alone) is alone
+
+
 def test_many_repeats_of_a_row_are_read_once(spark, monkeypatch):
     """A row of which there are many, and which has a near copy: one content for its class."""
     seen = []
@@ -229,8 +338,21 @@ def brute_vectors(data, threshold=0.98):
     )
 
 
-def test_vectors(spark, monkeypatch):
+def test_parts_of_vectors(spark, monkeypatch):
+    """Parts are as many as tasks need, or as bound their bytes; copies of a vector are as many."""
+    monkeypatch.setattr(embeddings, "TILE", 10)
+    table = spark.range(1000).selectExpr("id", "cast(id >= 900 as int) AS label", "80 AS width")
+    cores = spark.sparkContext.defaultParallelism
+    found = {r.label: r.blocks for r in embeddings.parts(table).collect()}
+    assert found[0] == math.ceil(math.sqrt(2 * 3 * cores * 900**2 / (900**2 + 100**2))) and found[1] == 1
+    monkeypatch.setattr(embeddings, "PART_BYTES", 8000)
+    assert {r.label: r.blocks for r in embeddings.parts(table).collect()} == {0: 9, 1: 1}
+
+
+@pytest.mark.parametrize("bytes_", [32 << 20, 2000])
+def test_vectors(spark, monkeypatch, bytes_):
     monkeypatch.setattr(embeddings, "TILE", 16)
+    monkeypatch.setattr(embeddings, "PART_BYTES", bytes_)
     rng = np.random.default_rng(3)
     data = []
     for label in range(3):

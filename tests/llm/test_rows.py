@@ -13,7 +13,7 @@ import pytest
 from conftest import plan, rows
 from tokenizers import Tokenizer
 
-from brute import FOLDER, ROWS, taken
+from brute import FOLDER, ROWS, spot_signatures, taken
 from gridledger.llm import chat, mixing, packing, sharding, spotsigs
 from gridledger.llm.queries import ORACLE_SQL, QUERIES
 
@@ -155,6 +155,13 @@ def test_sources_beyond_a_broadcast(spark, monkeypatch):
 # --- fingerprints ---
 
 
+def test_signatures_word_by_word(spark):
+    texts = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    texts += ["", " ", "?!", "one", "the", "the cat", "the cat sat", "A the b", "É é the Ünder x", "w " * 40, "the a of " * 9]
+    for text in texts:
+        assert spotsigs.signatures(text).tolist() == spot_signatures(text, spotsigs.ANCHORS, spotsigs.REACH)
+
+
 def test_fingerprints(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").selectExpr("doc_id + 100 AS doc_id", "text", "lang", "source", "n_chars")
     table = edges(spark).filter("doc_id <> 6 OR doc_id IS NULL").select(*docs.columns).union(docs)
