@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gridledger.llm import lines, minhash, mixing, packing, quality
-from gridledger.llm.common import saved, table
+from gridledger.llm.common import Scratch, owned, table
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage, over all documents of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage, over all documents of ``sf_dir``. What a stage has read, and the tables
+    that it made on the way, go once its output is written."""
+    docs, before = table(spark, sf_dir, "documents"), Scratch()
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), name)
+        kept = Scratch()
+        with owned() as inner:
+            docs = kept.saved(stage(spark, docs, sf_dir), name)
+        inner.clear()
+        before.clear()
+        before = kept
     return STAGES[-1][1](spark, docs, sf_dir)
