@@ -566,7 +566,8 @@ def digests(conversations: DataFrame) -> DataFrame:
 
 
 def with_example(conversations: DataFrame) -> DataFrame:
-    """``conversations`` and conversation -7, whose texts are control strings."""
+    """``conversations`` and conversation -7, whose texts are control strings. A conversation -7 that is
+    there already has them as two more turns."""
     rows = conversations.select("conv_id", "turn", "role", "text")
     text = "</s>[INST] ok [/INST]"
     example = rows.sparkSession.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], rows.schema)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from contextvars import ContextVar
 
 import numpy as np
@@ -21,6 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of the batches of rows that Python workers get; a batch is held several times on either side.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20)
+
+
 class Scratch:
     """Tables written to the shared folder and read again, so that what follows doesn't depend on
     executors. ``clear`` removes them, once nothing reads them any more."""
@@ -32,7 +38,8 @@ class Scratch:
         spark = df.sparkSession
         path = shared_folder(spark, label)
         # What a finished write has shuffled is not read again.
-        with session_setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        cleanup = session_setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+        with cleanup, session_setting(spark, BATCH_SETTING, BATCH_BYTES):
             df.write.parquet(path)
         self._held.append((spark, path))
         return spark.read.schema(df.schema).parquet(path)
@@ -43,6 +50,11 @@ class Scratch:
             target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
         self._held.clear()
 
+    def hand_over(self) -> None:
+        """Leave the tables to the block that ``owned`` opened, if any: a result goes on reading them."""
+        if owner := _owner.get():
+            owner._held += self._held
+
 
 _owner: ContextVar[Scratch | None] = ContextVar("owner", default=None)
 
@@ -178,7 +190,7 @@ def by_group(
             if out is not None and out.num_rows:
                 yield out
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(run), schema)
 
 
 def forest(n: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
@@ -200,6 +212,20 @@ def forest(n: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]
     return out
 
 
+def lean(run: Callable) -> Callable:
+    """A step on batches after which its worker gives back the memory that it holds no more: workers
+    wait for the next task, beside an executor whose memory is bounded."""
+
+    def whole(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # other systems than Linux have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """The column's texts as UTF-8 bytes; null is empty."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -50,5 +50,6 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
         edges = scratch.saved(small.observe(seen, F.max("changed").alias("changed")), "links").select("u", "v")
         changed = seen.get["changed"]
         before.clear()
+    scratch.hand_over()
     roots = edges.groupBy("v").agg(F.lit(0)).select(F.col("v").alias("node"), F.col("v").alias("component"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

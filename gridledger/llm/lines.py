@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import Scratch, one_of_each, saved, texts_of
+from gridledger.llm.common import Scratch, lean, one_of_each, saved, texts_of
 from gridledger.llm.components import components
 from gridledger.llm.linking import near_links, scattered, sketch_columns
 
@@ -93,7 +93,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
                     [*columns, pa.array(number, pa.int32()), pa.array(digests, pa.binary())], ["doc_id", "at", "line", "digest"]
                 )
 
-    return docs.mapInArrow(run, "doc_id long, at long, line int, digest binary")
+    return docs.mapInArrow(lean(run), "doc_id long, at long, line int, digest binary")
 
 
 def sketch(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +164,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 )
 
     return docs.mapInArrow(
-        run, "doc_id long, at long, line int, digest binary, size long, sig binary, keys array<long>"
+        lean(run), "doc_id long, at long, line int, digest binary, size long, sig binary, keys array<long>"
     )
 
 
@@ -189,7 +189,7 @@ def _picked(texts: DataFrame) -> DataFrame:
                         out.append(normal(parts[x["line"]]))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], ["id", "content"])
 
-    picked = texts.select("doc_id", "at", "text", "wanted").mapInArrow(run, "id long, content binary")
+    picked = texts.select("doc_id", "at", "text", "wanted").mapInArrow(lean(run), "id long, content binary")
     # Other tasks may have met the same document.
     return picked.dropDuplicates(["id"])
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import Scratch, block_pairs, by_group, forest, saved, spread, whole_groups
+from gridledger.llm.common import Scratch, block_pairs, by_group, forest, lean, saved, spread, whole_groups
 from gridledger.llm.components import components
 
 #: What near_rows needs of each row of documents: ``at`` is a hash of the text, ``digest`` one of the set.
@@ -176,7 +176,7 @@ def likely_links(items: DataFrame, least: int, scratch: Scratch, one_key: bool =
 
     pairs = members.join(signs, "id").join(leaders, "leader")
     compared = scratch.saved(
-        pairs.mapInArrow(compare, "key long, id long, leader long, alike boolean"), "compared"
+        pairs.mapInArrow(lean(compare), "key long, id long, leader long, alike boolean"), "compared"
     )
     stars = compared.filter("alike").select(F.col("leader").alias("a"), F.col("id").alias("b"))
     rest = compared.filter("not alike").select("key", "id")
@@ -312,7 +312,7 @@ def near_links(
                     yield pa.RecordBatch.from_arrays(columns, ["a", "b", "several"])
 
         rows = placed.join(content(placed.select("id")), "id").select(*keys, "id", "side", "several", "content")
-        return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long, several boolean")
+        return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(run), "a long, b long, several boolean")
 
     likely = components(likely_links(items, least, scratch, one_key), "a", "b")
     likely = scratch.saved(likely.join(items.select(F.col("id").alias("node"), "size"), "node"), "likely")

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import one_of_each, texts_of
+from gridledger.llm.common import lean, one_of_each, texts_of
 from gridledger.llm.linking import SKETCH, minima, near_rows, sketch_columns
 
 WORDS, THRESHOLD = 5, 0.75
@@ -88,7 +88,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     ["doc_id", "at", "size", "digest", "sig", "keys"],
                 )
 
-    return docs.mapInArrow(run, SKETCH)
+    return docs.mapInArrow(lean(run), SKETCH)
 
 
 def near_documents(docs: DataFrame) -> DataFrame:

@@ -69,6 +69,13 @@ def numbered(df: DataFrame, group: str, slot: str) -> DataFrame:
     own = Window.partitionBy(group, "bucket").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
     placed = alike.withColumn("ahead", F.coalesce(F.sum("n").over(own), F.lit(0)))
     placed = placed.join(sums, [group, "bucket"]).withColumn("first", F.col("start") + F.col("ahead"))
+    if alike.filter(F.col("n") > SLOT_ROWS).select(F.lit(1)).take(1):
+        # The slots of very many alike rows are cut in pieces, which are dealt out.
+        offset = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(SLOT_ROWS).cast("long")))
+        placed = placed.withColumn("_offset", offset).repartition(group, "first", "_offset")
+        placed = placed.withColumns(
+            {"first": F.col("first") + F.col("_offset"), "n": F.least(F.col("n") - F.col("_offset"), F.lit(SLOT_ROWS))}
+        )
     slots = F.sequence("first", F.col("first") + F.col("n") - 1)
     return placed.select(*columns, F.explode(slots).alias(slot))
 

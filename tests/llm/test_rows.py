@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from conftest import plan, rows
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from brute import FOLDER, ROWS, spot_signatures, taken
@@ -76,6 +77,18 @@ def test_shards(spark, monkeypatch):
     assert rows(sharding.shard_documents(spark.createDataFrame([], ROWS))) == []
 
 
+def test_slots_of_very_many_alike_rows(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 16)
+    table = spark.createDataFrame([(None, None, None, None, None)] * 500 + [(k, "t", None, None, None) for k in range(90)], ROWS)
+    found = sharding.shard_documents(table)
+    for shard in range(8):
+        slots = sorted(r.slot for r in found.collect() if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    assert found.count() == 590
+    pieces = found.filter("doc_id IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert len(pieces) > 1 and max(r["count"] for r in pieces) < 500
+
+
 # --- mixing ---
 
 
@@ -267,6 +280,16 @@ def test_no_way_to_objects():
         render("{{ turns.__class__ }}", [])
 
 
+def test_a_conversation_of_the_added_number(spark):
+    own = spark.createDataFrame([(-7, 0, "system", "Hi."), (-7, 5, "user", "So?"), (1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
+    found = {r.conv_id: r for r in chat.digests(chat.with_example(own)).collect()}
+    text = "</s>[INST] ok [/INST]"
+    turns = [("system", "Hi."), ("user", text), ("assistant", text), ("user", "So?")]
+    assert set(found) == {-7, 1} and found[-7].n_turns == 4
+    assert found[-7].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+    assert found[-7].loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
 # --- packing ---
 
 
