@@ -6,6 +6,9 @@
     mixing       sources are taken to their target weights, in whole documents, up to twice
     packing      what is left becomes sequences of tokens
 
+Stages set the bytes of a batch that Python workers get, for the session: with batches of the usual
+10,000 rows, texts alone would take some hundred megabytes on each side of every task.
+
 All stages but the last return the columns of documents; texts that lose lines change, and with them
 ``n_chars``. Null and empty texts pass (if the classifier lets them), tables without rows give none.
 """
@@ -15,26 +18,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gridledger.llm import lines, minhash, mixing, packing, quality
-from gridledger.llm.common import Scratch, owned, table
+from gridledger.llm.common import BATCH_BYTES, BATCH_SETTING, Scratch, owned, table
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     return lines.drop_lines(docs)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     return minhash.keep_one(docs)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     return mixing.mixed(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     return packing.packed(docs)
 
 
