@@ -72,7 +72,9 @@ def numbered(df: DataFrame, group: str, slot: str) -> DataFrame:
     if alike.filter(F.col("n") > SLOT_ROWS).select(F.lit(1)).take(1):
         # The slots of very many alike rows are cut in pieces, which are dealt out.
         offset = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(SLOT_ROWS).cast("long")))
-        placed = placed.withColumn("_offset", offset).repartition(group, "first", "_offset")
+        # A number of tasks is given, as adaptive execution would put the small pieces together again.
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        placed = placed.withColumn("_offset", offset).repartition(tasks, group, "first", "_offset")
         placed = placed.withColumns(
             {"first": F.col("first") + F.col("_offset"), "n": F.least(F.col("n") - F.col("_offset"), F.lit(SLOT_ROWS))}
         )
