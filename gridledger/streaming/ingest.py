@@ -1,11 +1,13 @@
 """Incremental ingest: each version of a result file is read once, and kept as a row of facts.
 
 The facts are all the state there is, and what the folder holds decides what is new: files whose path,
-time and length the facts don't have yet. A stream brings in what has arrived since the last call;
-its memory of files has gaps (files that come with an old time stamp, files that were written anew,
-empty files), so that a full listing is compared with the facts after it. A ledger is made from the
-facts by the same upsert as in batch, of those names only that new facts have: the ledger's manifest
-tells which folders of facts are in it.
+time and length the facts don't have yet. A call lists the folder once, by many tasks. A stream brings in
+what has arrived since the last call: the listed files that its table of arrivals, beside its checkpoint,
+doesn't have are added to that table, which is the stream's source, so that the driver knows the few files
+of the table and not those of the store. What the facts lack after that (facts that are gone, a call
+without a checkpoint) is found by comparing the same listing with them. A ledger is made from the facts by
+the same upsert as in batch, of those names only that new facts have: the ledger's manifest tells which
+folders of facts are in it.
 """
 
 import math
@@ -17,17 +19,18 @@ from pyspark.sql import functions as F
 
 from gridledger.functions.names import file_name
 from gridledger.operators.ledger import upsert_by_name
-from gridledger.runtime import path_exists, session_setting
+from gridledger.runtime import path_exists
 from gridledger.schemas import FACTS_SCHEMA
-from gridledger.sources.results import SUFFIX, kept_listing, list_results, parse_files, with_content
+from gridledger.sources.results import LISTING_SCHEMA, kept_listing, list_results, parse_files, with_content
 from gridledger.versions import folder_of, read_text, write_text
 
-# Older files than this, against the newest one, would be passed over by the stream.
+# What tells a file's versions apart, and files of the store that one file of arrivals names.
+_VERSION, _ARRIVED = ["result_file", "mtime", "length"], 100_000
+# Older arrivals than this, against the newest ones, would be passed over by the stream.
 _ANY_AGE = "36500d"
 # Folders of a tier that are merged, the size of the first tier, and bytes of a merged file.
 TIER, _SMALL, _PART = 8, 1 << 20, 128 << 20
 _REPLACED = "_replaced"
-_FILES_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def _write(files: DataFrame, path: str) -> None:
@@ -36,45 +39,50 @@ def _write(files: DataFrame, path: str) -> None:
     rows.repartition("file_name").write.mode("overwrite").parquet(path)
 
 
-def _ingest_stream(spark: SparkSession, folder: str, facts: str, checkpoint: str, max_files: int | None) -> None:
+def _add_arrivals(listing: DataFrame, arrivals: str, max_files: int | None) -> None:
+    """Add the files of the listing that the table of arrivals doesn't have."""
+    spark = listing.sparkSession
+    if path_exists(spark, arrivals):
+        listing = listing.join(spark.read.schema(LISTING_SCHEMA).parquet(arrivals), _VERSION, "left_anti")
+    new = kept_listing(listing.select("result_file", "file_name", "mtime", "length"))
+    if count := new.count():
+        most = max_files or _ARRIVED
+        spread = new.repartition(-(-count // most), "result_file")
+        spread.write.mode("append").option("maxRecordsPerFile", most).parquet(arrivals)
+
+
+def _ingest_stream(listing: DataFrame, facts: str, checkpoint: str, max_files: int | None) -> None:
     """Batch n of a query writes ``facts/run=<query>/batch=<n>``; a replayed one replaces its own folder."""
-    name = f"ingest-{uuid.uuid4().hex}"
+    spark, name = listing.sparkSession, f"ingest-{uuid.uuid4().hex}"
+    arrivals = f"{checkpoint.rstrip('/')}/arrivals"
+    _add_arrivals(listing, arrivals, max_files)
+    if not path_exists(spark, arrivals):
+        return
 
     def keep(batch: DataFrame, number: int) -> None:
         run = next(q.id for q in spark.streams.active if q.name == name)
-        files = batch.select(
-            F.col("path").alias("result_file"),
-            file_name("path").alias("file_name"),
-            F.col("modificationTime").alias("mtime"),
-            "length",
-            "content",
-        )
-        _write(files, f"{facts.rstrip('/')}/run={run}/batch={number}")
-
-    reader = spark.readStream.format("binaryFile").schema(_FILES_SCHEMA).option("maxFileAge", _ANY_AGE)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+        _write(with_content(batch), f"{facts.rstrip('/')}/run={run}/batch={number}")
+
+    reader = spark.readStream.schema(LISTING_SCHEMA).option("maxFileAge", _ANY_AGE)
+    if max_files:  # no file of arrivals names more
+        reader = reader.option("maxFilesPerTrigger", 1)
     writer = (
-        reader.option("pathGlobFilter", f"*{SUFFIX}")
-        .load(folder)
+        reader.parquet(arrivals)
         .writeStream.queryName(name)
         .foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    # Each batch looks up its files in a job with a task per file, unless told otherwise.
-    lookups = 4 * spark.sparkContext.defaultParallelism
-    with session_setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", lookups):
-        writer.start().awaitTermination()
+    writer.start().awaitTermination()
 
 
-def ingest_missing(spark: SparkSession, folder: str, facts: str, max_files: int | None = None) -> None:
-    """Read the files of the folder whose path, time and length the facts don't have.
+def ingest_missing(listing: DataFrame, facts: str, max_files: int | None = None) -> None:
+    """Read the files of the listing whose path, time and length the facts don't have.
 
-    The folder is listed once. ``max_files`` bounds the files that are read before they are kept.
+    ``max_files`` bounds the files that are read before they are kept.
     """
-    known = read_facts(spark, facts).select("result_file", "mtime", "length")
-    missing = list_results(spark, folder).join(known, ["result_file", "mtime", "length"], "left_anti")
+    known = read_facts(listing.sparkSession, facts).select(_VERSION)
+    missing = listing.join(known, _VERSION, "left_anti")
     missing = kept_listing(missing.select("result_file", "file_name", "mtime", "length"))
     count = missing.count()
     parts = -(-count // (max_files or max(1, count)))
@@ -96,9 +104,10 @@ def ingest_new_files(
     """
     if not path_exists(spark, folder):
         return
+    listing = kept_listing(list_results(spark, folder))
     if checkpoint:
-        _ingest_stream(spark, folder, facts, checkpoint, max_files)
-    ingest_missing(spark, folder, facts, max_files)
+        _ingest_stream(listing, facts, checkpoint, max_files)
+    ingest_missing(listing, facts, max_files)
 
 
 def fact_folders(spark: SparkSession, facts: str) -> dict[str, int]:

@@ -104,6 +104,29 @@ def test_files_that_a_stream_passes_over(spark, result_file, tmp_path):
     assert len(list((tmp_path / "facts").glob("run=*"))) == 1 and check() == found and len(found) == 7
 
 
+def test_the_driver_of_a_stream_knows_arrivals_and_not_the_files_of_the_store(spark, result_file, tmp_path):
+    store, facts, checkpoint = [str(tmp_path / n) for n in ("results", "facts", "checkpoint")]
+    for i in range(60):
+        result_file(f"f{i}.json", "" if i == 7 else "{}")
+    ingest_new_files(spark, store, facts, checkpoint)
+    result_file("g.json", "[]", "2020-01-01T00:00:00")
+    ingest_new_files(spark, store, facts, checkpoint)
+    # The log of a file source has a line for each file that it has seen, and the driver holds them all.
+    seen = [line for log in (tmp_path / "checkpoint" / "sources" / "0").glob("[0-9]*") for line in log.read_text().splitlines()[1:]]
+    assert 1 <= len(seen) <= 4 and not any("/results/" in line for line in seen)
+    found = read_facts(spark, facts)
+    assert found.count() == 61 and found.where("error_class = 'missing_or_empty'").count() == 1
+
+
+def test_a_batch_of_a_stream_is_bounded(spark, result_file, tmp_path):
+    facts, checkpoint = str(tmp_path / "facts"), str(tmp_path / "checkpoint")
+    for i in range(25):
+        result_file(f"f{i}.json", "{}")
+    ingest_new_files(spark, str(tmp_path / "results"), facts, checkpoint, 10)
+    sizes = [spark.read.parquet(str(batch)).count() for batch in (tmp_path / "facts").glob("run=*/batch=*")]
+    assert sum(sizes) == 25 and len(sizes) >= 3 and max(sizes) <= 10
+
+
 def test_session_settings_are_put_back(spark, result_file, tmp_path):
     setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     before = spark.conf.get(setting)
