@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from gridledger.operators import ledger as L
 from gridledger.operators import matching
+from gridledger.sinks import documents
 from gridledger.sources import results
 from gridledger.sources.results import kept_listing, list_results, listing_of, read_documents, with_content
 from gridledger.streaming.ingest import compact_facts, ingest_new_files, ledger_from_facts, read_facts
@@ -154,6 +155,21 @@ def test_a_flat_folder_is_listed_by_several_tasks(spark, result_file, tmp_path):
     assert sorted((r.file_name, r.length) for r in listing.collect()) == sorted((f"f{i}.json", i % 7) for i in range(300))
 
 
+def test_many_documents_are_in_folders_that_are_dealt_to_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(documents, "FOLDER_FILES", 10)
+    docs = spark.range(400).selectExpr("concat('f', id, '.json') AS file_name", "repeat('x', cast(id % 7 AS int)) AS doc")
+    folders = documents.write_document_folders(docs, f"file:{tmp_path}/store")
+    sizes = [len(list(folder.iterdir())) for folder in (tmp_path / "store").iterdir()]
+    assert sum(sizes) == 400 and len(sizes) >= 30 and max(sizes) <= 40
+    listing = list_results(spark, *folders)
+    # A task reads the names of its own folders only.
+    assert listing.rdd.getNumPartitions() == len(sizes)
+    assert sorted((r.file_name, r.length) for r in listing.collect()) == sorted((f"f{i}.json", i % 7) for i in range(400))
+    read = with_content(kept_listing(listing)).selectExpr("file_name", "cast(content AS string) AS doc")
+    assert rows(read) == rows(docs)
+    assert documents.write_document_folders(docs.limit(0), f"{tmp_path}/none") and list_results(spark, f"{tmp_path}/none/00000").isEmpty()
+
+
 def test_a_table_of_files_is_a_listing(spark, result_file, tmp_path):
     for i in range(9):
         result_file(f"f{i}.json", "{}", f"2025-01-0{i + 1}T00:00:00")
