@@ -11,8 +11,8 @@ from pyspark import cloudpickle
 
 # Scores that agree to this many digits are ties.
 SCORE_DIGITS = 12
-# Scores held in memory at once.
-_CELLS = 1 << 22
+# Scores held in memory at once, of which a search makes several copies in each of an executor's workers.
+_CELLS = 1 << 20
 # Up to this many best ones are picked one by one, which is quicker than sorting.
 _FEW = 32
 

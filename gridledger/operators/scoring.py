@@ -25,7 +25,7 @@ from gridledger.operators.kernels import (
     split_by_key,
     unpacked,
 )
-from gridledger.runtime import row_bound, shared_folder
+from gridledger.runtime import row_bound, session_setting, shared_folder
 from gridledger.schemas import CLASSIFICATION, RETRIEVAL
 
 # Largest set of vectors that is sent whole to every executor.
@@ -36,6 +36,8 @@ BROADCAST_ROWS = 100_000
 PACK_ROWS = 4_096
 HELD_ROWS = 65_536
 SPREAD = 16
+# Bytes of packs that go to a worker at a time; else these are as many as a batch may have rows.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20)
 # Bytes of candidates that a task of a search holds, and tasks for each core that a search is cut into.
 CELL_BYTES = 64 << 20
 TASKS_PER_CORE = 3
@@ -193,7 +195,8 @@ def _nearest_by_packs(queries, candidates, k, keys, schema) -> DataFrame:
 
     A task holds its part of the candidates, bounded in bytes, and takes the packs of its queries one
     by one; what a query has found is the bound that the next candidates have to pass. The best matches
-    of a pack are merged once more only if candidates are in several parts.
+    of a pack are merged once more only if candidates are in several parts. What tasks find is written
+    first, with few packs at a time on the way to their workers.
     """
     shape = _arrow_matches(candidates)
     if keys:
@@ -230,6 +233,10 @@ def _nearest_by_packs(queries, candidates, k, keys, schema) -> DataFrame:
 
     own = ["_task", "_number", "_row"]
     partial = met.mapInArrow(search, T.StructType([*schema.fields, *(T.StructField(c, T.LongType()) for c in own)]))
+    matches = shared_folder(queries.sparkSession, "matches")
+    with session_setting(queries.sparkSession, BATCH_SETTING, BATCH_BYTES):
+        partial.write.parquet(matches)
+    partial = queries.sparkSession.read.schema(partial.schema).parquet(matches)
     if grid.agg(F.max("high")).first()[0] in (None, 1):
         return partial.drop(*own)
     query = [*keys, "id", "label", *own]

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -147,6 +149,27 @@ def test_a_grid_without_parts_is_not_merged(spark, monkeypatch):
     assert "Aggregate" not in text.split("_low")[0]
 
 
+def test_packs_go_to_workers_under_a_bound(spark):
+    c = table(spark, make(np.random.default_rng(5), {"a": 50}))
+    before = spark.conf.get(scoring.BATCH_SETTING, None)
+    found = scoring.nearest(c, c, 5, ["key"], blocked=True)
+    # The bound holds while matches are written, whatever the session has when they are read.
+    assert "InArrow" not in plan(found) and spark.conf.get(scoring.BATCH_SETTING, None) == before
+    assert found.count() == 50
+
+
+def test_scores_in_memory_are_few_whatever_the_candidates():
+    rng, peaks = np.random.default_rng(3), []
+    for n in (2_000, 8_000):
+        rows = pa.table({"id": np.arange(n), "label": np.zeros(n, np.int64), "vector": list(rng.normal(size=(n, 8)))})
+        side, shape = kernels.search_side(rows), pa.schema([("row", pa.int64()), ("score", pa.float64()), ("id", pa.int64()), ("label", pa.int64())])
+        tracemalloc.start()
+        kernels.best_matches(rows["vector"].slice(0, 2_000).combine_chunks(), side, 5, shape)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert max(peaks) < 48 << 20
+
+
 def test_numbers_of_many_partitions(spark, monkeypatch):
     """A pack of partition 10^6 has a place of its own."""
 
