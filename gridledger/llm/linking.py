@@ -311,11 +311,13 @@ def near_links(
                     columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(more, pa.bool_())]
                     yield pa.RecordBatch.from_arrays(columns, ["a", "b", "several"])
 
-        rows = placed.join(content(placed.select("id")), "id").select(*keys, "id", "side", "several", "content")
+        rows = placed.join(contents, "id").select(*keys, "id", "side", "several", "content")
         return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(run), "a long, b long, several boolean")
 
     likely = components(likely_links(items, least, scratch, one_key), "a", "b")
     likely = scratch.saved(likely.join(items.select(F.col("id").alias("node"), "size"), "node"), "likely")
+    # The contents of all likely groups are read once, whatever the number of comparisons.
+    contents = scratch.saved(content(likely.select(F.col("node").alias("id"))), "contents")
     groups = scratch.saved(likely.groupBy("component").agg(blocks(F.count("*")).alias("blocks")), "groups")
     placed = likely.join(groups, "component").select(
         "component",

@@ -161,6 +161,30 @@ def test_texts_of_a_large_group_are_copied_once(spark, monkeypatch):
     assert copied.value <= 2.5 * len(docs)
 
 
+def test_texts_of_several_blocks_are_read_once(spark, monkeypatch):
+    """Groups of several blocks are compared twice: their texts come from one read of the documents."""
+    monkeypatch.setattr(linking, "SET_BLOCK", 16)
+    rng = random.Random(2)
+    docs = []
+    for d in range(70):
+        words = [f"w{i}" for i in range(120)]
+        for k in rng.sample(range(120), 3):
+            words[k] = f"v{rng.randrange(10**6)}"
+        docs.append((d, " ".join(words)))
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    table = spark.createDataFrame(docs, "doc_id long, text string").mapInArrow(counted, "doc_id long, text string")
+    found = minhash.near_documents(table).collect()
+    assert {r.doc_id: r.component_id for r in found} == groups({d: word_set(t) for d, t in docs})
+    # Once for the sketches, once for the texts.
+    assert seen.value == 2 * len(docs)
+
+
 def test_a_hub_is_split(spark, monkeypatch):
     """Two thirds of the links have one end: its rows are dealt to several tasks in the joins."""
     monkeypatch.setattr(module, "MANY_LINKS", 1000)
