@@ -64,7 +64,13 @@ def shingle_sets(lines: list[bytes]) -> list[np.ndarray]:
     if not lines:
         return []
     h, counts = shingles(lines)
-    return [np.unique(x) for x in np.split(h, np.cumsum(counts)[:-1])]
+    owner = np.repeat(np.arange(len(lines)), counts)
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    new = np.append(True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1]))
+    ends = np.cumsum(np.bincount(owner[new], minlength=len(lines))).tolist()
+    h = h[new]
+    return [h[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -207,8 +213,10 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
         F.first("size").alias("size"),
         F.first("sig").alias("sig"),
         F.first("keys").alias("keys"),
+        F.count("*").alias("n"),
     )
     items = scratch.saved(classes.select("*", F.monotonically_increasing_id().alias("id")), "lines")
+
     def content(ids: DataFrame) -> DataFrame:
         wanted = items.join(ids, "id", "left_semi").groupBy("first.doc_id", "first.at")
         wanted = wanted.agg(F.collect_list(F.struct("first.line", "id")).alias("wanted"))
@@ -218,11 +226,12 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
         items.select("id", "size", "sig", "keys"), content, shingle_sets, COORDINATES, THRESHOLD, scratch
     )
     found = components(links, "a", "b")
-    firsts = items.select("id", "digest", "first")
-    near = scratch.saved(firsts.join(found, F.col("id") == F.col("node")).select("digest", "first", "component"), "near")
-    roots = scratch.saved(near.groupBy("component").agg(F.min("first").alias("kept")), "roots")
-    near = near.join(roots, "component").select("digest", "kept")
-    classes = firsts.join(near, "digest", "left").select("digest", F.coalesce("kept", "first").alias("kept"))
+    # A line that is there once and is linked with no other one loses nothing.
+    firsts = items.select("id", "digest", "first", "n").join(found, F.col("id") == F.col("node"), "left")
+    firsts = firsts.filter("n > 1 or component is not null").select("digest", "first", "component")
+    firsts = scratch.saved(firsts, "firsts")
+    roots = firsts.filter("component is not null").groupBy("component").agg(F.min("first").alias("kept"))
+    classes = firsts.join(roots, "component", "left").select("digest", F.coalesce("kept", "first").alias("kept"))
     classes = scratch.saved(classes, "classes")
     occurrences = lines_of(own)
     itself = (F.col("doc_id") == F.col("kept.doc_id")) & (F.col("at") == F.col("kept.at")) & (F.col("line") == F.col("kept.line"))

@@ -25,6 +25,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,10 @@ SKETCH = "doc_id long, at long, size long, digest binary, sig binary, keys array
 #: and elements in a block. Sets that are compared one by one with the others of a block, before all
 #: are by products of matrices.
 SIGNATURE_BLOCK, SET_BLOCK, ELEMENT_BLOCK, SEARCHES = 4096, 256, 1_000_000, 16
+#: Elements of small blocks that are compared at once.
+ELEMENTS_AT_ONCE = 200_000
+#: Keys that a task sorts at once, items for each pack of keys, and keys in a row of those known to be shared.
+KEYS_AT_ONCE, PACK_ITEMS, ROW_KEYS = 1 << 19, 1 << 14, 1 << 12
 #: Standard deviations below the threshold at which signatures still look alike.
 DEVIATIONS = 4
 
@@ -143,15 +148,87 @@ def _unlike_with_alike(least: int):
     return run
 
 
+def _longs(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Binary values that hold the longs of ``values`` from each of ``starts`` to the next."""
+    offsets = pa.py_buffer((np.append(starts, len(values)) * 8).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, offsets, pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _packed(keys: np.ndarray, ids: np.ndarray, packs: int):
+    """Rows of (pack, kind, keys, ids): the first item of each key in the pack of its key, with kind 1 if
+    the key has more items here, else 0; the other items, whose keys are shared, in any pack, with kind 2."""
+    mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    order = np.argsort(mixed, kind="stable")
+    mixed, keys, ids = mixed[order], keys[order], ids[order]
+    new = np.append(True, mixed[1:] != mixed[:-1])
+    more = np.append(mixed[1:] == mixed[:-1], False)
+    # Packs are ranges of the mixed keys.
+    pack = ((mixed >> np.uint64(32)) * np.uint64(packs) >> np.uint64(32)).astype(np.int32)
+    for kind, chosen in ((0, new & ~more), (1, new & more), (2, ~new)):
+        k, i, to = keys[chosen], ids[chosen], pack[chosen]
+        if not len(k):
+            continue
+        if kind < 2:
+            starts = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
+            to = to[starts]
+        else:
+            starts = np.arange(0, len(k), ROW_KEYS)
+            to = ((np.arange(len(starts)) + i[0]) % packs).astype(np.int32)
+        columns = [pa.array(to), pa.array(np.full(len(to), kind, np.int32)), _longs(k, starts), _longs(i, starts)]
+        yield pa.RecordBatch.from_arrays(columns, ["pack", "kind", "keys", "ids"])
+
+
+def _shared_of_pack(group: pa.Table):
+    lengths = pc.binary_length(group["keys"]).to_numpy() // 8
+    kind = np.repeat(group["kind"].to_numpy(), lengths)
+    keys, ids = (np.frombuffer(b"".join(group[c].to_pylist()), np.int64) for c in ("keys", "ids"))
+    known = kind == 2
+    rest = np.flatnonzero(~known)
+    rest = rest[np.argsort(keys[rest], kind="stable")]
+    out = [np.flatnonzero(known)]
+    if len(rest):
+        k = keys[rest]
+        starts = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+        counts = np.diff(np.append(starts, len(k)))
+        shared = (counts > 1) | np.logical_or.reduceat(kind[rest] == 1, starts)
+        out.append(rest[np.repeat(shared, counts)])
+    at = np.concatenate(out)
+    return pa.RecordBatch.from_arrays([pa.array(keys[at]), pa.array(ids[at])], ["key", "id"])
+
+
+def shared_keys(items: DataFrame) -> DataFrame:
+    """(key, id) for the keys that several items have. ``items``: id, keys.
+
+    Most keys are of one item only, and rows of their own would cost more than all else. Tasks therefore
+    send keys as packs of numbers, by ranges of a hash, with one item for each key that a task has sorted;
+    a key of very many items so loads no pack.
+    """
+    packs = max(1, math.ceil(items.count() / PACK_ITEMS))
+
+    def run(batches):
+        held, number = [], 0
+        for batch in batches:
+            keys = batch.column(batch.schema.get_field_index("keys"))
+            lengths = pc.fill_null(pc.list_value_length(keys), 0).to_numpy(zero_copy_only=False)
+            ids = batch.column(batch.schema.get_field_index("id")).to_numpy()
+            held.append((keys.flatten().to_numpy(), np.repeat(ids, lengths)))
+            number += len(held[-1][0])
+            if number >= KEYS_AT_ONCE:
+                yield from _packed(*map(np.concatenate, zip(*held, strict=True)), packs)
+                held, number = [], 0
+        if number:
+            yield from _packed(*map(np.concatenate, zip(*held, strict=True)), packs)
+
+    sent = items.select("id", "keys").mapInArrow(lean(run), "pack int, kind int, keys binary, ids binary")
+    return by_group(sent, ["pack"], _shared_of_pack, "key long, id long")
+
+
 def likely_links(items: DataFrame, least: int, scratch: Scratch, one_key: bool = False) -> DataFrame:
     """(a, b): a forest of likely links in each bucket. ``items``: id, sig, keys.
 
     ``one_key``: linked sets may share one key only, so that their one bucket must find the link.
     """
-    rows = items.select("id", F.explode("keys").alias("key"))
-    # Most keys are of one item only: they go before anything but their number is summed up.
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    rows = scratch.saved(rows.join(shared, "key"), "shared")
+    rows = scratch.saved(shared_keys(items), "shared")
     buckets = (
         rows.groupBy("key")
         .agg(F.count("*").alias("n"), F.min("id").alias("leader"), F.bit_xor(F.xxhash64("id")).alias("who"))
@@ -273,6 +350,70 @@ def spanning_links(sets: list[np.ndarray], side: np.ndarray | None, percent: int
     return forest(len(sets), *exact_pairs(sets, block, side is not None, percent))
 
 
+def joint_links(
+    sets: list[np.ndarray], bounds: np.ndarray, side: np.ndarray | None, percent: int
+) -> list[tuple[int, int]]:
+    """``spanning_links`` of all blocks (from each of ``bounds`` to the next) at once, for small blocks."""
+    sizes = np.array([len(s) for s in sets])
+    ends = np.cumsum(sizes)
+    block = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    # A number for each element of each block.
+    flat, of = np.concatenate(sets), block[owner]
+    order = np.lexsort((flat, of))
+    new = np.append(True, (flat[order][1:] != flat[order][:-1]) | (of[order][1:] != of[order][:-1]))[: len(flat)]
+    code = np.empty(len(flat), np.int64)
+    code[order] = np.cumsum(new) - 1
+    unseen = sizes > 0
+    found: list[list[tuple[int, int]]] = [[] for _ in bounds[1:]]
+    reached: list[list[int]] = [[] for _ in bounds[1:]]
+    for _ in range(SEARCHES):
+        left = np.flatnonzero(unseen)
+        if not len(left):
+            break
+        blocks, at = np.unique(block[left], return_index=True)
+        source = left[at]
+        for n, b in enumerate(blocks.tolist()):
+            if reached[b]:
+                source[n] = reached[b].pop()
+        unseen[source] = False
+        chosen = np.zeros(len(sets), bool)
+        chosen[source] = True
+        mark = np.zeros(len(flat), bool)
+        mark[code[chosen[owner]]] = True
+        upto = np.append(0, np.cumsum(mark[code]))
+        common = upto[ends] - upto[ends - sizes]
+        lead = np.full(len(found), -1)
+        lead[blocks] = source
+        others = np.flatnonzero(unseen)
+        first = lead[block[others]]
+        linked = 100 * common[others] >= percent * (sizes[first] + sizes[others] - common[others])
+        linked &= first >= 0
+        if side is not None:
+            linked &= side[first] != side[others]
+        others, first = others[linked], first[linked]
+        unseen[others] = False
+        for a, b, n in zip(first.tolist(), others.tolist(), block[others].tolist(), strict=True):
+            found[n].append((a, b))
+            reached[n].append(b)
+    for n in np.unique(block[unseen]).tolist():
+        low, high = int(bounds[n]), int(bounds[n + 1])
+        own = np.zeros(high - low, int) if side is None else side[low:high]
+        pairs = forest(high - low, *exact_pairs(sets[low:high], own, side is not None, percent))
+        found[n] = [(low + a, low + b) for a, b in pairs]
+    return [link for own in found for link in own]
+
+
+def _slices(sets: list[np.ndarray], bounds: np.ndarray):
+    """Ranges of blocks, of several ones only if they have no more elements than are compared at once."""
+    upto = np.append(0, np.cumsum([len(s) for s in sets]))[bounds]
+    at = 0
+    while at < len(bounds) - 1:
+        to = max(at + 1, int(np.searchsorted(upto, upto[at] + ELEMENTS_AT_ONCE, "right")) - 1)
+        yield at, to
+        at = to
+
+
 def near_links(
     items: DataFrame,
     content: Callable[[DataFrame], DataFrame],
@@ -303,9 +444,14 @@ def near_links(
                 ids, side = piece["id"].to_numpy(), piece["side"].to_numpy()
                 several = piece["several"].to_numpy(zero_copy_only=False)
                 out: list[tuple[int, int, bool]] = []
-                for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                    own = spanning_links(sets[first:last], side[first:last] if two_sides else None, percent)
-                    out += [(ids[first + a], ids[first + b], several[first]) for a, b in own]
+                for at, to in _slices(sets, bounds):
+                    first, last = int(bounds[at]), int(bounds[to])
+                    own, sides = sets[first:last], side[first:last] if two_sides else None
+                    if to - at > 1:
+                        pairs = joint_links(own, bounds[at : to + 1] - first, sides, percent)
+                    else:
+                        pairs = spanning_links(own, sides, percent)
+                    out += [(ids[first + a], ids[first + b], several[first + a]) for a, b in pairs]
                 if out:
                     a, b, more = zip(*out, strict=True)
                     columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(more, pa.bool_())]

@@ -185,6 +185,55 @@ def test_texts_of_several_blocks_are_read_once(spark, monkeypatch):
     assert seen.value == 2 * len(docs)
 
 
+def test_joint_links_join_what_all_pairs_join():
+    rng = np.random.default_rng(9)
+    for _ in range(6):
+        sets, bounds = [], [0]
+        for n in rng.integers(1, 30, 20):
+            base = rng.integers(0, 400, 60)
+            sets += [np.unique(np.append(base, rng.integers(0, 4000, rng.integers(0, 26)))).astype(np.uint64) for _ in range(n)]
+            sets += [np.zeros(0, np.uint64)] * int(rng.integers(0, 2)) + [np.unique(rng.integers(0, 400, 30)).astype(np.uint64)]
+            bounds.append(len(sets))
+        for side in (None, rng.integers(0, 2, len(sets))):
+            expected = []
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                own = np.zeros(b - a, int) if side is None else side[a:b]
+                expected += [(a + x, a + y) for x, y in zip(*linking.exact_pairs(sets[a:b], own, side is not None, 75), strict=True)]
+            found = linking.joint_links(sets, np.array(bounds), side, 75)
+            assert roots(range(len(sets)), found) == roots(range(len(sets)), expected)
+            assert len(found) < len(sets) and (side is None or all(side[a] != side[b] for a, b in found))
+    assert linking.joint_links([np.zeros(0, np.uint64)] * 3, np.array([0, 1, 3]), None, 75) == []
+
+
+def test_shared_keys_come_from_packs(spark, monkeypatch):
+    """Keys of one item, of several tasks, of most items and repeated ones, in many packs."""
+    monkeypatch.setattr(linking, "KEYS_AT_ONCE", 100)
+    monkeypatch.setattr(linking, "PACK_ITEMS", 16)
+    monkeypatch.setattr(linking, "ROW_KEYS", 8)
+    rng = random.Random(3)
+    data = [(k << 33, [rng.randrange(-(1 << 63), 1 << 63), rng.randrange(60), rng.randrange(300) - 700, 7 if k % 4 else k]) for k in range(500)]
+    data += [(1, []), (2, [8000, 8000]), (3, None), (4, [9000]), (5, [9000]), (6, [-1]), (9, [-1, 9000])]
+    has = {}
+    for item, keys in data:
+        for key in keys or ():
+            has.setdefault(key, []).append(item)
+    expected = sorted((key, item) for key, own in has.items() if len(own) > 1 for item in own)
+    for parts in (1, 3, 40):
+        items = spark.createDataFrame(data, "id long, keys array<long>").repartition(parts)
+        found = linking.shared_keys(items)
+        assert sorted((r.key, r.id) for r in found.collect()) == expected
+        assert items.count() == len(data) and "Generate" not in plan(found)
+    assert rows(linking.shared_keys(spark.createDataFrame([], "id long, keys array<long>"))) == []
+
+
+def test_shingle_sets_of_lines():
+    own = [b"a", b"abcdefgh", b"abcdefghabcdefgh abcdefgh", b"x" * 40, "éé öö üü ßß ää".encode(), b"abcdefgh"]
+    sets = lines.shingle_sets(own)
+    h, counts = lines.shingles(own)
+    assert [s.tolist() for s in sets] == [np.unique(x).tolist() for x in np.split(h, np.cumsum(counts)[:-1])]
+    assert lines.shingle_sets([]) == []
+
+
 def test_a_hub_is_split(spark, monkeypatch):
     """Two thirds of the links have one end: its rows are dealt to several tasks in the joins."""
     monkeypatch.setattr(module, "MANY_LINKS", 1000)
