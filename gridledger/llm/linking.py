@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -158,7 +159,7 @@ def _packed(keys: np.ndarray, ids: np.ndarray, packs: int):
     """Rows of (pack, kind, keys, ids): the first item of each key in the pack of its key, with kind 1 if
     the key has more items here, else 0; the other items, whose keys are shared, in any pack, with kind 2."""
     mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    order = np.argsort(mixed, kind="stable")
+    order = np.argsort(mixed)
     mixed, keys, ids = mixed[order], keys[order], ids[order]
     new = np.append(True, mixed[1:] != mixed[:-1])
     more = np.append(mixed[1:] == mixed[:-1], False)
@@ -184,7 +185,7 @@ def _shared_of_pack(group: pa.Table):
     keys, ids = (np.frombuffer(b"".join(group[c].to_pylist()), np.int64) for c in ("keys", "ids"))
     known = kind == 2
     rest = np.flatnonzero(~known)
-    rest = rest[np.argsort(keys[rest], kind="stable")]
+    rest = rest[np.argsort(keys[rest])]
     out = [np.flatnonzero(known)]
     if len(rest):
         k = keys[rest]
@@ -197,21 +198,30 @@ def _shared_of_pack(group: pa.Table):
 
 
 def shared_keys(items: DataFrame) -> DataFrame:
-    """(key, id) for the keys that several items have. ``items``: id, keys.
+    """(key, id) for the keys that several items have. ``items``: id, keys; or as in ``Packed``.
 
     Most keys are of one item only, and rows of their own would cost more than all else. Tasks therefore
     send keys as packs of numbers, by ranges of a hash, with one item for each key that a task has sorted;
     a key of very many items so loads no pack.
     """
-    packs = max(1, math.ceil(items.count() / PACK_ITEMS))
+    packed = "lines" in items.columns
+    number_of = items.agg(F.sum("lines")).first()[0] or 0 if packed else items.count()
+    packs = max(1, math.ceil(number_of / PACK_ITEMS))
 
     def run(batches):
         held, number = [], 0
         for batch in batches:
             keys = batch.column(batch.schema.get_field_index("keys"))
-            lengths = pc.fill_null(pc.list_value_length(keys), 0).to_numpy(zero_copy_only=False)
             ids = batch.column(batch.schema.get_field_index("id")).to_numpy()
-            held.append((keys.flatten().to_numpy(), np.repeat(ids, lengths)))
+            if packed:
+                lines = batch.column(batch.schema.get_field_index("lines")).to_numpy()
+                own = np.frombuffer(b"".join(keys.to_pylist()), np.int64)
+                ids = np.repeat(ids, lines) + np.arange(lines.sum()) - np.repeat(np.cumsum(lines) - lines, lines)
+                lengths = np.full(len(ids), len(own) // max(1, len(ids)))
+            else:
+                own = keys.flatten().to_numpy()
+                lengths = pc.fill_null(pc.list_value_length(keys), 0).to_numpy(zero_copy_only=False)
+            held.append((own, np.repeat(ids, lengths)))
             number += len(held[-1][0])
             if number >= KEYS_AT_ONCE:
                 yield from _packed(*map(np.concatenate, zip(*held, strict=True)), packs)
@@ -219,16 +229,29 @@ def shared_keys(items: DataFrame) -> DataFrame:
         if number:
             yield from _packed(*map(np.concatenate, zip(*held, strict=True)), packs)
 
-    sent = items.select("id", "keys").mapInArrow(lean(run), "pack int, kind int, keys binary, ids binary")
+    columns = ("id", "lines", "keys") if packed else ("id", "keys")
+    sent = items.select(*columns).mapInArrow(lean(run), "pack int, kind int, keys binary, ids binary")
     return by_group(sent, ["pack"], _shared_of_pack, "key long, id long")
 
 
-def likely_links(items: DataFrame, least: int, scratch: Scratch, one_key: bool = False) -> DataFrame:
-    """(a, b): a forest of likely links in each bucket. ``items``: id, sig, keys.
+@dataclass
+class Packed:
+    """Items that are held as packs. ``keys``: a row for each pack, with the ids of its items (id, id + 1, ...;
+    ``lines`` of them) and the bytes of their keys, as many for each. ``chosen(ids)`` gives the items."""
+
+    keys: DataFrame
+    chosen: Callable[[DataFrame], DataFrame]
+
+
+def likely_links(
+    items: DataFrame, least: int, scratch: Scratch, one_key: bool = False, packed: Packed | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(a, b): a forest of likely links in each bucket; and the items that share a bucket, without their
+    keys. ``items``: id, sig, keys, and any other columns.
 
     ``one_key``: linked sets may share one key only, so that their one bucket must find the link.
     """
-    rows = scratch.saved(shared_keys(items), "shared")
+    rows = scratch.saved(shared_keys(packed.keys if packed else items), "shared")
     buckets = (
         rows.groupBy("key")
         .agg(F.count("*").alias("n"), F.min("id").alias("leader"), F.bit_xor(F.xxhash64("id")).alias("who"))
@@ -237,8 +260,11 @@ def likely_links(items: DataFrame, least: int, scratch: Scratch, one_key: bool =
         .select("key", "leader")
     )
     members = rows.join(buckets, "key").filter("id <> leader")
-    # The signatures of those that share a bucket, which are few of all.
-    signs = scratch.saved(items.select("id", "sig").join(rows.select("id").distinct(), "id", "left_semi"), "signs")
+    # Those that share a bucket, which are few of all.
+    ids = rows.select("id").distinct()
+    some = packed.chosen(ids) if packed else items.drop("keys").join(ids, "id", "left_semi")
+    some = scratch.saved(some, "some")
+    signs = some.select("id", "sig")
     leaders = signs.select(F.col("id").alias("leader"), F.col("sig").alias("lead"))
 
     def compare(batches):
@@ -267,7 +293,7 @@ def likely_links(items: DataFrame, least: int, scratch: Scratch, one_key: bool =
     rest = block_pairs(rest, "block", "blocks").join(signs, "id").select("key", "low", "high", "block", "id", "sig")
     links = stars.union(by_group(rest, ["key", "low", "high"], _signatures_alike(least), "a long, b long"))
     if not one_key:
-        return links
+        return links, some
     # Each block of the unlike members meets each block of the others, of which all are linked.
     n, unlike = F.count_if("alike"), F.count_if(~F.col("alike"))
     sizes = (
@@ -286,7 +312,7 @@ def likely_links(items: DataFrame, least: int, scratch: Scratch, one_key: bool =
     high = F.when(F.col("alike"), F.col("block")).otherwise(F.col("other"))
     both = both.withColumns({"low": low, "high": high}).join(signs, "id")
     both = both.select("key", "low", "high", "id", "alike", "sig")
-    return links.union(by_group(both, ["key", "low", "high"], _unlike_with_alike(least), "a long, b long"))
+    return links.union(by_group(both, ["key", "low", "high"], _unlike_with_alike(least), "a long, b long")), some
 
 
 def exact_pairs(sets: list[np.ndarray], block: np.ndarray, across: bool, percent: int):
@@ -355,16 +381,21 @@ def joint_links(
 ) -> list[tuple[int, int]]:
     """``spanning_links`` of all blocks (from each of ``bounds`` to the next) at once, for small blocks."""
     sizes = np.array([len(s) for s in sets])
-    ends = np.cumsum(sizes)
     block = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     owner = np.repeat(np.arange(len(sets)), sizes)
     # A number for each element of each block.
-    flat, of = np.concatenate(sets), block[owner]
-    order = np.lexsort((flat, of))
-    new = np.append(True, (flat[order][1:] != flat[order][:-1]) | (of[order][1:] != of[order][:-1]))[: len(flat)]
+    flat = np.concatenate(sets).astype(np.uint64, copy=False) + block[owner].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    # Places are sorted with the upper bits of the elements, which tell nearly all elements apart.
+    low = np.uint64((1 << len(flat).bit_length()) - 1)
+    order = np.sort(flat & ~low | np.arange(len(flat), dtype=np.uint64)) & low
+    if ((flat[order][1:] ^ flat[order][:-1]) - np.uint64(1) < low).any():
+        order = np.argsort(flat)
+    flat = flat[order]
+    new = np.append(True, flat[1:] != flat[:-1])[: len(flat)]
     code = np.empty(len(flat), np.int64)
     code[order] = np.cumsum(new) - 1
-    unseen = sizes > 0
+    mark = np.zeros(int(new.sum()), bool)
+    unseen, waiting = sizes > 0, np.zeros(len(sets), bool)
     found: list[list[tuple[int, int]]] = [[] for _ in bounds[1:]]
     reached: list[list[int]] = [[] for _ in bounds[1:]]
     for _ in range(SEARCHES):
@@ -376,13 +407,12 @@ def joint_links(
         for n, b in enumerate(blocks.tolist()):
             if reached[b]:
                 source[n] = reached[b].pop()
-        unseen[source] = False
+        unseen[source] = waiting[source] = False
         chosen = np.zeros(len(sets), bool)
         chosen[source] = True
-        mark = np.zeros(len(flat), bool)
+        mark[:] = False
         mark[code[chosen[owner]]] = True
-        upto = np.append(0, np.cumsum(mark[code]))
-        common = upto[ends] - upto[ends - sizes]
+        common = np.bincount(owner[mark[code]], minlength=len(sets))
         lead = np.full(len(found), -1)
         lead[blocks] = source
         others = np.flatnonzero(unseen)
@@ -392,10 +422,15 @@ def joint_links(
         if side is not None:
             linked &= side[first] != side[others]
         others, first = others[linked], first[linked]
-        unseen[others] = False
+        unseen[others], waiting[others] = False, True
         for a, b, n in zip(first.tolist(), others.tolist(), block[others].tolist(), strict=True):
             found[n].append((a, b))
             reached[n].append(b)
+        # The elements of blocks that are done, and of sets that were compared with all others, go.
+        busy = np.zeros(len(found), bool)
+        busy[block[unseen]] = True
+        needed = ((unseen | waiting) & busy[block])[owner]
+        code, owner = code[needed], owner[needed]
     for n in np.unique(block[unseen]).tolist():
         low, high = int(bounds[n]), int(bounds[n + 1])
         own = np.zeros(high - low, int) if side is None else side[low:high]
@@ -422,13 +457,14 @@ def near_links(
     threshold: float,
     scratch: Scratch,
     one_key: bool = False,
+    packed: Packed | None = None,
 ) -> DataFrame:
     """(a, b): links that join all items whose sets are linked, directly or through others.
 
     ``items``: id (long, distinct), size (of the set), sig (binary, a byte for each coordinate),
-    keys (one for each band). ``content(ids)`` gives (id, content), one row for each wanted id, and
-    ``as_sets`` turns contents into sets of hashes, sorted and distinct. ``one_key``: as for
-    ``likely_links``.
+    keys (one for each band). ``content(ids)`` gives (id, content), one row for each wanted id; it gets the
+    other columns of ``items`` with the ids, if there are any. ``as_sets`` turns contents into sets of hashes, sorted and distinct. ``one_key``: as for
+    ``likely_links``. ``packed`` are the same items, to be read from packs.
     """
     least, percent = looks_alike(coordinates, threshold), round(threshold * 100)
 
@@ -460,10 +496,12 @@ def near_links(
         rows = placed.join(contents, "id").select(*keys, "id", "side", "several", "content")
         return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(run), "a long, b long, several boolean")
 
-    likely = components(likely_links(items, least, scratch, one_key), "a", "b")
-    likely = scratch.saved(likely.join(items.select(F.col("id").alias("node"), "size"), "node"), "likely")
+    links, some = likely_links(items, least, scratch, one_key, packed)
+    likely = components(links, "a", "b").join(some.drop("sig").withColumnRenamed("id", "node"), "node")
+    likely = scratch.saved(likely, "likely")
     # The contents of all likely groups are read once, whatever the number of comparisons.
-    contents = scratch.saved(content(likely.select(F.col("node").alias("id"))), "contents")
+    ids = likely.drop("component", "size").withColumnRenamed("node", "id")
+    contents = scratch.saved(content(ids), "contents")
     groups = scratch.saved(likely.groupBy("component").agg(blocks(F.count("*")).alias("blocks")), "groups")
     placed = likely.join(groups, "component").select(
         "component",
@@ -505,11 +543,15 @@ def near_links(
     return links.union(across).select("a", "b")
 
 
+def signatures(minimum: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """A byte for each coordinate, and a key for each band."""
+    return (minimum >> np.uint32(3)).astype(np.uint8), bands(minimum, rows).view(np.int64)
+
+
 def sketch_columns(minimum: np.ndarray, rows: int) -> tuple[pa.Array, pa.Array]:
     """The columns sig (a byte for each coordinate) and keys (one for each band)."""
     n = len(minimum)
-    sig = (minimum >> np.uint32(3)).astype(np.uint8)
-    keys = bands(minimum, rows).view(np.int64)
+    sig, keys = signatures(minimum, rows)
     width = keys.shape[1] if n else 1
     return (
         pa.array([x.tobytes() for x in sig], pa.binary()),
@@ -543,13 +585,14 @@ def near_rows(
     items = scratch.saved(classes.select("*", F.monotonically_increasing_id().alias("id")), "classes")
 
     def content(ids: DataFrame) -> DataFrame:
-        wanted = items.join(ids, "id", "left_semi").select("id", "first.doc_id", "first.at")
+        wanted = ids if "first" in ids.columns else items.join(ids, "id", "left_semi")
+        wanted = wanted.select("id", "first.doc_id", "first.at")
         texts = docs.join(wanted, ["doc_id", "at"]).select("id", F.col("text").cast("binary").alias("content"))
         # Rows that repeat doc_id and text give one; all but one in a task go before the shuffle.
         return texts.dropDuplicates(["id"])
 
     links = near_links(
-        items.select("id", "size", "sig", "keys"), content, as_sets, coordinates, threshold, scratch, one_key
+        items.select("id", "first", "size", "sig", "keys"), content, as_sets, coordinates, threshold, scratch, one_key
     )
     # Sets of one doc_id belong together: each with the smallest of them.
     ids = items.select("id", "digest")

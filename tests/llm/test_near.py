@@ -343,6 +343,32 @@ def test_lines(spark):
     assert left[1002].n_chars == len(expected[1002]) and left[1002].row == "k" and left[1007].text is None
 
 
+def test_lines_travel_in_packs(spark, monkeypatch):
+    """Lines of one document, of several tasks, of nearly all documents and near ones, in many packs: no
+    rows of single lines, and the lines that all documents together would leave."""
+    rng = random.Random(5)
+    words = [f"word{k}" for k in range(400)]
+    base = [" ".join(rng.choices(words, k=14)) for _ in range(60)]
+    docs = []
+    for d in range(200):
+        own = ["Very  common line\t", *rng.choices(base, k=2), " ".join(rng.choices(words, k=9)), rng.choice(base) + "x", ""]
+        rng.shuffle(own)
+        docs.append((d, "\n".join(own + own[:1])))
+    table = spark.createDataFrame(docs + docs[:20], "doc_id long, text string")
+    rows_of = table.selectExpr("doc_id", "xxhash64(text) AS at", "text")
+    packs = lines.classed_lines(rows_of).collect()
+    assert len(packs) <= 2 and sum(p["lines"] for p in packs) >= 1000
+    monkeypatch.setattr(lines, "PACK_BYTES", 1000)
+    monkeypatch.setattr(lines, "LINES_AT_ONCE", 70)
+    packs = lines.classed_lines(rows_of.repartition(5)).collect()
+    heads = [p for p in packs if p["sig"] is not None]
+    assert len({p["pack"] for p in packs}) > 20 and len(heads) == len({p["pack"] for p in heads})
+    assert sum(p["lines"] for p in heads) == len({line_form(x) for _, t in docs for x in t.split("\n")} - {line_form("")})
+    found = lines.deduplicated_lines(table.repartition(5)).collect()
+    expected = first_lines(docs)
+    assert len(found) == 220 and all(r.text == expected[r.doc_id] for r in found)
+
+
 def test_repeated_rows_of_lines(spark):
     text = "a line of some length\nand another one of them"
     found = lines.deduplicated_lines(spark.createDataFrame([(1, text), (1, text), (2, text)], "doc_id long, text string"))
