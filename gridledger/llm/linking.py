@@ -5,17 +5,19 @@ Both near-duplicate operators use it, on documents and on lines. The way from si
 1. Each set gives one key per band of its signature; sets that share a key share a bucket. Buckets
    with the same members count once. Every member is compared with its bucket's smallest member by
    the signatures; those that look unlike it are compared among each other, in blocks, and, where
-   sets need not share more than one key, with those that look like it too. This gives a forest of
+   sets need not share more than one key, with those that look like it too. This gives stars of
    likely links, with at most one row per member and bucket (and block), never all pairs.
-2. The components of the forest are the likely groups. A group is dealt to blocks, each of which gets
-   its first set too, and the full sets of a block give a forest of exact links.
+2. The components of the stars are the likely groups. A group is dealt to blocks, each of which gets
+   its first set too, and the full sets of a block give a forest of exact links. Chance links join groups to
+   ever larger ones as a table grows; a group of more than GROUP_BLOCKS blocks is therefore not compared as
+   a whole, but by its stars, to which those of each bucket's unlike members with the others are added.
 3. In groups of several blocks, the largest part that is linked by now needs no comparing within
    itself; the sets outside of it are compared with all others of the group, block by block.
 4. The components of the exact links are the result.
 
 The signature bound of step 1 lies four standard deviations below the threshold, so that it passes all
 but one in 30,000 links at the threshold; steps 2 and 3 alone decide. A group of near-equal sets costs its own size in rows, however
-large; only sets apart from the largest part are copied more than once.
+large; only sets apart from the largest part, and those of several stars, are copied more than once.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ SKETCH = "doc_id long, at long, size long, digest binary, sig binary, keys array
 #: and elements in a block. Sets that are compared one by one with the others of a block, before all
 #: are by products of matrices.
 SIGNATURE_BLOCK, SET_BLOCK, ELEMENT_BLOCK, SEARCHES = 4096, 256, 1_000_000, 16
+#: Blocks of a group that is compared as a whole, and searches of a block without a link before it is given up.
+GROUP_BLOCKS, FRUITLESS = 16, 4
 #: Elements of small blocks that are compared at once.
 ELEMENTS_AT_ONCE = 200_000
 #: Keys that a task sorts at once, items for each pack of keys, and keys in a row of those known to be shared.
@@ -110,9 +114,17 @@ def _bytes(column) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
 
 
-def _forest_rows(ids: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch | None:
-    kept = np.array(forest(len(ids), left, right), np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(ids[kept[:, 0]]), pa.array(ids[kept[:, 1]])], ["a", "b"])
+def _star_rows(ids: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch | None:
+    """Of the items that the links join, the first one with each of the others."""
+    first, before = np.arange(len(ids)), None
+    while before is None or (first != before).any():
+        before = first.copy()
+        low = np.minimum(first[left], first[right])
+        np.minimum.at(first, left, low)
+        np.minimum.at(first, right, low)
+        first = first[first]
+    others = np.flatnonzero(first != np.arange(len(ids)))
+    return pa.RecordBatch.from_arrays([pa.array(ids[first[others]]), pa.array(ids[others])], ["a", "b"])
 
 
 def _signatures_alike(least: int):
@@ -130,7 +142,7 @@ def _signatures_alike(least: int):
             hit = np.flatnonzero(same)
             left.append(np.full(len(hit), i))
             right.append(hit + i + 1)
-        return _forest_rows(group["id"].to_numpy(), np.concatenate(left), np.concatenate(right))
+        return _star_rows(group["id"].to_numpy(), np.concatenate(left), np.concatenate(right))
 
     return run
 
@@ -144,7 +156,7 @@ def _unlike_with_alike(least: int):
             hit = like[(signs[like] == signs[i]).sum(1) >= least]
             left.append(np.full(len(hit), i))
             right.append(hit)
-        return _forest_rows(group["id"].to_numpy(), np.concatenate(left), np.concatenate(right))
+        return _star_rows(group["id"].to_numpy(), np.concatenate(left), np.concatenate(right))
 
     return run
 
@@ -245,9 +257,10 @@ class Packed:
 
 def likely_links(
     items: DataFrame, least: int, scratch: Scratch, one_key: bool = False, packed: Packed | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(a, b): a forest of likely links in each bucket; and the items that share a bucket, without their
-    keys. ``items``: id, sig, keys, and any other columns.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(a, b): stars of likely links in each bucket; those that take a bucket's unlike members to the others,
+    which the first has only with ``one_key``; and the items that share a bucket, without their keys.
+    ``items``: id, sig, keys, and any other columns.
 
     ``one_key``: linked sets may share one key only, so that their one bucket must find the link.
     """
@@ -292,8 +305,6 @@ def likely_links(
     rest = rest.join(sizes, "key").withColumn("block", spread(F.col("id"), parts=F.col("blocks")))
     rest = block_pairs(rest, "block", "blocks").join(signs, "id").select("key", "low", "high", "block", "id", "sig")
     links = stars.union(by_group(rest, ["key", "low", "high"], _signatures_alike(least), "a long, b long"))
-    if not one_key:
-        return links, some
     # Each block of the unlike members meets each block of the others, of which all are linked.
     n, unlike = F.count_if("alike"), F.count_if(~F.col("alike"))
     sizes = (
@@ -312,33 +323,50 @@ def likely_links(
     high = F.when(F.col("alike"), F.col("block")).otherwise(F.col("other"))
     both = both.withColumns({"low": low, "high": high}).join(signs, "id")
     both = both.select("key", "low", "high", "id", "alike", "sig")
-    return links.union(by_group(both, ["key", "low", "high"], _unlike_with_alike(least), "a long, b long")), some
+    mixed = by_group(both, ["key", "low", "high"], _unlike_with_alike(least), "a long, b long")
+    return links.union(mixed) if one_key else links, mixed, some
 
 
 def exact_pairs(sets: list[np.ndarray], block: np.ndarray, across: bool, percent: int):
     """Index pairs of sets (sorted, distinct elements) with intersection >= percent/100 of the union."""
     n = len(sets)
     sizes = np.array([len(s) for s in sets])
-    values, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # Rows and columns of the products: all sets, or those of two sides.
+    sides = np.unique(block) if across else []
+    if len(sides) == 2:
+        rows, cols = (np.flatnonzero(block == side) for side in sides)
+    else:
+        rows = cols = np.arange(n)
+    _, inverse = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(n), sizes)
-    shared = counts[inverse] > 1
+    if len(sides) == 2:
+        own = (block == sides[0])[owner]
+        shared = (np.bincount(inverse[own], minlength=len(inverse)) > 0) & (np.bincount(inverse[~own], minlength=len(inverse)) > 0)
+    else:
+        shared = np.bincount(inverse, minlength=len(inverse)) > 1
+    shared = shared[inverse]
     column, owner = inverse[shared], owner[shared]
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
     column = np.cumsum(np.append(0, np.diff(column) != 0)) if len(column) else column
-    common = np.zeros((n, n), np.float64)
+    common = np.zeros((len(rows), len(cols)), np.float64)
     width = 8192
     for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         at, to = np.searchsorted(column, (start, start + width))
-        dense = np.zeros((n, width), np.float32)
+        dense = np.zeros((n, min(width, int(column[-1]) + 1 - start)), np.float32)
         dense[owner[at:to], column[at:to] - start] = 1
-        common += dense @ dense.T
-    union = sizes[:, None] + sizes[None, :] - common
-    linked = np.triu(100 * common >= percent * union, 1)
-    linked &= (sizes > 0)[:, None] & (sizes > 0)[None, :]
+        common += dense[rows] @ dense[cols].T if len(sides) == 2 else dense @ dense.T
+    union = sizes[rows][:, None] + sizes[cols][None, :] - common
+    linked = 100 * common >= percent * union
+    linked &= (sizes > 0)[rows][:, None] & (sizes > 0)[cols][None, :]
     if across:
-        linked &= block[:, None] != block[None, :]
-    return np.nonzero(linked)
+        linked &= block[rows][:, None] != block[cols][None, :]
+    if len(sides) != 2:
+        linked = np.triu(linked, 1)
+    i, j = np.nonzero(linked)
+    i, j = np.minimum(rows[i], cols[j]), np.maximum(rows[i], cols[j])
+    order = np.lexsort((j, i))
+    return i[order], j[order]
 
 
 def spanning_links(sets: list[np.ndarray], side: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
@@ -348,8 +376,10 @@ def spanning_links(sets: list[np.ndarray], side: np.ndarray | None, percent: int
     linked still, all pairs are compared.
     """
     sizes = np.array([len(s) for s in sets])
-    unseen, found, reached = sizes > 0, [], []
+    unseen, found, reached, fruitless = sizes > 0, [], [], 0
     for _ in range(SEARCHES):
+        if fruitless == FRUITLESS:
+            break
         if reached:
             at = reached.pop()
         else:
@@ -368,6 +398,7 @@ def spanning_links(sets: list[np.ndarray], side: np.ndarray | None, percent: int
             common = np.diff(np.append(0, np.cumsum(own[place] == rest)[ends - 1]))
             linked = others[100 * common >= percent * (sizes[at] + sizes[others] - common)]
             unseen[linked] = False
+            fruitless = 0 if len(linked) else fruitless + 1
             found += [(at, int(k)) for k in linked]
             reached += linked.tolist()
     if not unseen.any():
@@ -449,6 +480,15 @@ def _slices(sets: list[np.ndarray], bounds: np.ndarray):
         at = to
 
 
+def _with_stars(sets: DataFrame, large: DataFrame, links: DataFrame) -> DataFrame:
+    """(component, node, size) with the stars of the links in the place of the large groups."""
+    stars = links.select("a", "b").filter("a <> b").distinct()
+    stars = stars.union(stars.select("a", F.col("a").alias("b")).distinct())
+    members = sets.join(large, "component").select(F.col("node").alias("b"), "size")
+    stars = stars.join(members, "b").select(F.col("a").alias("component"), F.col("b").alias("node"), "size")
+    return sets.join(large, "component", "left_anti").select("component", "node", "size").union(stars)
+
+
 def near_links(
     items: DataFrame,
     content: Callable[[DataFrame], DataFrame],
@@ -496,14 +536,20 @@ def near_links(
         rows = placed.join(contents, "id").select(*keys, "id", "side", "several", "content")
         return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(run), "a long, b long, several boolean")
 
-    links, some = likely_links(items, least, scratch, one_key, packed)
+    links, mixed, some = likely_links(items, least, scratch, one_key, packed)
     likely = components(links, "a", "b").join(some.drop("sig").withColumnRenamed("id", "node"), "node")
     likely = scratch.saved(likely, "likely")
     # The contents of all likely groups are read once, whatever the number of comparisons.
     ids = likely.drop("component", "size").withColumnRenamed("node", "id")
     contents = scratch.saved(content(ids), "contents")
     groups = scratch.saved(likely.groupBy("component").agg(blocks(F.count("*")).alias("blocks")), "groups")
-    placed = likely.join(groups, "component").select(
+    sets = likely.select("component", "node", "size")
+    large = groups.filter(F.col("blocks") > GROUP_BLOCKS).select("component")
+    by_stars = bool(large.take(1))
+    if by_stars:
+        sets = scratch.saved(_with_stars(sets, large, links if one_key else links.union(mixed)), "stars")
+        groups = scratch.saved(sets.groupBy("component").agg(blocks(F.count("*")).alias("blocks")), "groups")
+    placed = sets.join(groups, "component").select(
         "component",
         spread(F.col("node"), parts=F.col("blocks")).alias("block"),
         F.col("node").alias("id"),
@@ -522,7 +568,9 @@ def near_links(
     if not groups.filter("blocks > 1").take(1):
         return links.select("a", "b")
     links = scratch.saved(links, "links")
-    parts = components(links.filter("several"), "a", "b").withColumnRenamed("component", "part")
+    # Stars of one block may join the sets of others.
+    joined = links if by_stars else links.filter("several")
+    parts = components(joined, "a", "b").withColumnRenamed("component", "part")
     members = placed.filter("several").join(parts, F.col("id") == F.col("node"), "left")
     members = scratch.saved(members.withColumn("part", F.coalesce("part", "id")).drop("node"), "members")
     counted = members.groupBy("component", "part").agg(F.count("*").alias("n"))

@@ -226,6 +226,30 @@ def test_shared_keys_come_from_packs(spark, monkeypatch):
     assert rows(linking.shared_keys(spark.createDataFrame([], "id long, keys array<long>"))) == []
 
 
+def test_a_chain_of_likely_links_is_not_compared_as_a_whole(spark, monkeypatch):
+    """Sets that are like the next ones, but not linked with them, make one group, however long."""
+    monkeypatch.setattr(linking, "SET_BLOCK", 8)
+    monkeypatch.setattr(linking, "GROUP_BLOCKS", 2, raising=False)
+    blocks, saved = [], common.Scratch.saved
+
+    def watched(self, df, label):
+        out = saved(self, df, label)
+        if label == "groups":
+            blocks.append(max(r.blocks for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(common.Scratch, "saved", watched)
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(650)]
+    data = []
+    for k in range(150):
+        text = " ".join(words[4 * k : 4 * k + 24])
+        data += [(2 * k, text), (2 * k + 1, text + " more")]
+    found = lines.deduplicated_lines(spark.createDataFrame(data, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.n_kept) for r in found.collect()) == [(n, 1 - n % 2) for n in range(300)]
+    assert blocks[0] > 16 and blocks[-1] <= 4
+
+
 def test_shingle_sets_of_lines():
     own = [b"a", b"abcdefgh", b"abcdefghabcdefgh abcdefgh", b"x" * 40, "éé öö üü ßß ää".encode(), b"abcdefgh"]
     sets = lines.shingle_sets(own)
