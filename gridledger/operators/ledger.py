@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from gridledger.functions.names import expected_name
 from gridledger.functions.times import iso_timestamp
+from gridledger.runtime import by_shuffle, few_or_by_shuffle
 from gridledger.schemas import COMPLETED, KEYS, LEDGER_COLUMNS, PENDING
 
 
@@ -19,7 +20,7 @@ def new_ledger(grid: DataFrame) -> DataFrame:
 
 def merge_ledger(grid: DataFrame, old: DataFrame) -> DataFrame:
     """The grid with what ``old`` knows of it. Cells that left the grid are dropped."""
-    return grid.join(old.select(LEDGER_COLUMNS), KEYS, "left").select(
+    return grid.join(by_shuffle(old.select(LEDGER_COLUMNS)), KEYS, "left").select(
         *KEYS,
         F.coalesce("result_file", F.lit("")).alias("result_file"),
         F.coalesce("timestamp", F.lit("")).alias("timestamp"),
@@ -29,7 +30,7 @@ def merge_ledger(grid: DataFrame, old: DataFrame) -> DataFrame:
 
 def added_cells(grid: DataFrame, old: DataFrame) -> DataFrame:
     """Cells of the grid that ``old`` does not hold."""
-    return grid.join(old, KEYS, "left_anti")
+    return grid.join(by_shuffle(old), KEYS, "left_anti")
 
 
 def latest_results(results: DataFrame) -> DataFrame:
@@ -74,9 +75,8 @@ def upsert(ledger: DataFrame, results: DataFrame) -> DataFrame:
     return _completed(ledger.join(latest_results(results).select(*KEYS, *_found()), KEYS, "left"))
 
 
-def _by_name(ledger: DataFrame, listing: DataFrame, how: str) -> DataFrame:
-    found = latest_by_name(listing).select(F.col("file_name").alias("_name"), *_found())
-    return ledger.join(found, expected_name() == F.col("_name"), how)
+def _named(listing: DataFrame) -> DataFrame:
+    return latest_by_name(listing).select(F.col("file_name").alias("_name"), *_found())
 
 
 def upsert_by_name(ledger: DataFrame, listing: DataFrame, *kept: str) -> DataFrame:
@@ -85,12 +85,15 @@ def upsert_by_name(ledger: DataFrame, listing: DataFrame, *kept: str) -> DataFra
     A name belongs to one cell (see `ambiguous_names`), so that one join by name is the upsert.
     Other columns of the ledger that are ``kept`` come first.
     """
-    return _completed(_by_name(ledger, listing, "left"), *kept)
+    return _completed(ledger.join(by_shuffle(_named(listing)), expected_name() == F.col("_name"), "left"), *kept)
 
 
 def changed_cells(ledger: DataFrame, listing: DataFrame) -> DataFrame:
-    """The rows of the ledger, with all their columns, that `upsert_by_name` would change."""
-    joined = _by_name(ledger, listing, "inner")
+    """The rows of the ledger, with all their columns, that `upsert_by_name` would change.
+
+    Few results go to the ledger; many, which are counted for that, meet it by a shuffle.
+    """
+    joined = ledger.join(few_or_by_shuffle(_named(listing)), expected_name() == F.col("_name"))
     same = [F.col(new).eqNullSafe(F.col(old)) for new, old in (("_file", "result_file"), ("_timestamp", "timestamp"), ("_status", "status"))]
     return joined.where(~(same[0] & same[1] & same[2])).select(ledger.columns)
 

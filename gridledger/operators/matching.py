@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridledger.functions.names import expected_name, with_parsed_name
+from gridledger.runtime import by_shuffle
 from gridledger.schemas import KEYS
 
 
@@ -23,7 +24,7 @@ def unmatched_files(listing: DataFrame) -> DataFrame:
 
 def orphan_results(results: DataFrame, ledger: DataFrame) -> DataFrame:
     """Results whose key is not in the ledger."""
-    return results.join(ledger, KEYS, "left_anti")
+    return results.join(by_shuffle(ledger), KEYS, "left_anti")
 
 
 def named_cells(ledger: DataFrame) -> DataFrame:
@@ -43,13 +44,13 @@ def ambiguous_names(ledger: DataFrame) -> DataFrame:
 def match_by_name(ledger: DataFrame, listing: DataFrame) -> DataFrame:
     """Results whose file name is the one a ledger cell expects. Exact for every name."""
     return (
-        listing.join(named_cells(ledger), "file_name").select(*KEYS, "result_file", "mtime")
+        listing.join(by_shuffle(named_cells(ledger)), "file_name").select(*KEYS, "result_file", "mtime")
     )
 
 
 def unexpected_files(ledger: DataFrame, listing: DataFrame) -> DataFrame:
     """Files that no ledger cell expects."""
-    return listing.join(named_cells(ledger), "file_name", "left_anti")
+    return listing.join(by_shuffle(named_cells(ledger)), "file_name", "left_anti")
 
 
 def report(rows: DataFrame, *order: str, limit: int = 5) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from gridledger.functions.names import file_name
 from gridledger.operators.ledger import upsert_by_name
-from gridledger.runtime import path_exists
+from gridledger.runtime import by_shuffle, few_or_by_shuffle, path_exists
 from gridledger.schemas import FACTS_SCHEMA
 from gridledger.sources.results import LISTING_SCHEMA, kept_listing, list_results, parse_files, with_content
 from gridledger.versions import folder_of, read_text, write_text
@@ -43,7 +43,8 @@ def _add_arrivals(listing: DataFrame, arrivals: str, max_files: int | None) -> N
     """Add the files of the listing that the table of arrivals doesn't have."""
     spark = listing.sparkSession
     if path_exists(spark, arrivals):
-        listing = listing.join(spark.read.schema(LISTING_SCHEMA).parquet(arrivals), _VERSION, "left_anti")
+        known = spark.read.schema(LISTING_SCHEMA).parquet(arrivals)
+        listing = listing.join(by_shuffle(known), _VERSION, "left_anti")
     new = kept_listing(listing.select("result_file", "file_name", "mtime", "length"))
     if count := new.count():
         most = max_files or _ARRIVED
@@ -82,7 +83,7 @@ def ingest_missing(listing: DataFrame, facts: str, max_files: int | None = None)
     ``max_files`` bounds the files that are read before they are kept.
     """
     known = read_facts(listing.sparkSession, facts).select(_VERSION)
-    missing = listing.join(known, _VERSION, "left_anti")
+    missing = listing.join(by_shuffle(known), _VERSION, "left_anti")
     missing = kept_listing(missing.select("result_file", "file_name", "mtime", "length"))
     count = missing.count()
     parts = -(-count // (max_files or max(1, count)))
@@ -155,7 +156,7 @@ def facts_of_names(spark: SparkSession, facts: str, new: Iterable[str], folders:
     All facts are read, of which few columns and, behind a join with the few names, few rows are left.
     """
     names = _readings(spark, facts, new).select("file_name").distinct()
-    return _last(_readings(spark, facts, folders).join(names, "file_name", "left_semi")).drop("read_at")
+    return _last(_readings(spark, facts, folders).join(few_or_by_shuffle(names), "file_name", "left_semi")).drop("read_at")
 
 
 def compact_facts(spark: SparkSession, facts: str) -> None:

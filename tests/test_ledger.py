@@ -194,6 +194,19 @@ def test_the_ledger_is_not_shuffled_to_find_changes(spark, tmp_path):
     assert final.count("Exchange hashpartitioning") == final.count("Exchange hashpartitioning(file_name") == 1
 
 
+def test_a_ledger_of_few_bytes_is_not_sent_whole(spark, tmp_path):
+    """Many rows may be few bytes in files; with as many results no side goes to the driver."""
+    root = str(tmp_path / "ledger")
+    large_ledger(spark, root)
+    name = F.concat(F.lit("b"), "id", F.lit(f"_w_m01_en_{C}.json"))
+    listing = spark.range(25_000).select(name.alias("file_name"), name.alias("result_file"), F.timestamp_seconds("id").alias("mtime"))
+    expected = L.changed_cells(read_ledger(spark, root), listing.where("id < 100")).count()
+    for found in (L.changed_cells(read_ledger(spark, root), listing), L.upsert_by_name(read_ledger(spark, root), listing)):
+        found.collect()
+        assert "Broadcast" not in plan(found).split("Initial Plan")[0]
+    assert 0 < expected <= L.changed_cells(read_ledger(spark, root), listing).count()
+
+
 def test_an_empty_ledger(spark, tmp_path):
     root = str(tmp_path / "ledger")
     write_ledger(L.new_ledger(grid(spark)).limit(0), root)

@@ -10,7 +10,7 @@ from gridledger.functions.times import iso_timestamp
 from gridledger.operators import catalog, matching, metrics, planning, scoring
 from gridledger.operators import ledger as L
 from gridledger.plans.tracking import update_tracking_incrementally
-from gridledger.runtime import shared_folder
+from gridledger.runtime import by_shuffle, shared_folder
 from gridledger.schemas import CLASSIFICATION, KEYS, RETRIEVAL
 from gridledger.sinks.documents import write_document_folders, write_documents
 from gridledger.sinks.ledger import write_ledger, write_ledger_csv
@@ -341,11 +341,12 @@ def incremental_ingest(c):
         write_documents(docs.where(F.col("wave") == number).select(file_name, "doc"), store)
         update_tracking_incrementally(c.spark, root, store, facts, f"{work}/checkpoint" if number < 3 else None)
     found = read_facts(c.spark, facts).select("file_name", "metrics.acc1")
-    arrived = docs.where("wave < 3").select(*KEYS, file_name).join(found, "file_name", "left_semi")
-    ledger = read_ledger(c.spark, root).join(arrived.groupBy(*KEYS).agg(F.count("*").alias("files")), KEYS, "left")
+    arrived = docs.where("wave < 3").select(*KEYS, file_name).join(by_shuffle(found), "file_name", "left_semi")
+    files = arrived.groupBy(*KEYS).agg(F.count("*").alias("files"))
+    ledger = read_ledger(c.spark, root).join(by_shuffle(files), KEYS, "left")
     name = names.file_name("result_file").alias("file_name")
     ledger = ledger.select(*KEYS, name, "status", F.coalesce("files", F.lit(0)).alias("files"))
-    return ledger.join(found, "file_name", "left")
+    return ledger.join(by_shuffle(found), "file_name", "left")
 
 
 # --- evaluation -----------------------------------------------------------------------
