@@ -1,4 +1,5 @@
 import shutil
+from pathlib import Path
 
 from conftest import plan, rows
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from gridledger.sinks import documents
 from gridledger.sources import results
 from gridledger.sources.results import kept_listing, list_results, listing_of, read_documents, with_content
 from gridledger.streaming.ingest import compact_facts, ingest_new_files, ledger_from_facts, read_facts
+from workload import queries
 
 KEY = "model string, pretrained string, task_type string, benchmark string"
 C = "zeroshot_classification"
@@ -170,6 +172,36 @@ def test_many_documents_are_in_folders_that_are_dealt_to_tasks(spark, tmp_path,
     assert documents.write_document_folders(docs.limit(0), f"{tmp_path}/none") and list_results(spark, f"{tmp_path}/none/00000").isEmpty()
 
 
+def test_result_files_come_and_go_in_waves(spark, tmp_path, monkeypatch):
+    kind = "element_at(array('click', 'view', 'error'), cast(id % 3 + 1 AS int)) AS event_type"
+    props = "cast(id AS double) AS value, concat('{k: ', id, '}') AS props, current_timestamp() AS ts"
+    spark.sql(f"SELECT id AS event_id, id % 4 AS user_id, {kind}, {props} FROM range(60)").write.parquet(f"{tmp_path}/events.parquet")
+    spark.sql("SELECT id AS p_partkey, 'TYPE' AS p_type FROM range(4)").write.parquet(f"{tmp_path}/part.parquet")
+    nation = "SELECT cast(id AS int) AS n_nationkey, concat('N', id) AS n_name, cast(id % 5 AS int) AS n_regionkey FROM range(25)"
+    spark.sql(nation).write.parquet(f"{tmp_path}/nation.parquet")
+    root, on_disk, write = Path(spark.conf.get("spark.checkpoint.dir")), [], queries.write_document_folders
+
+    def files():
+        return len(list(root.glob("results-*/**/*.json")))
+
+    def watched(docs, folder):
+        folders = write(docs, folder)
+        on_disk.append(files() - before)
+        return folders
+
+    before = files()
+    monkeypatch.setattr(queries, "write_document_folders", watched)
+    for query in ("result_listing", "result_file_status"):
+        whole = rows(queries.QUERIES[query](spark, str(tmp_path)))
+        assert len(whole) == len({r[0] for r in whole}) == 60 and on_disk.pop() == 60 and files() == before
+        monkeypatch.setattr(queries, "WAVE_FILES", 15, raising=False)
+        assert rows(queries.QUERIES[query](spark, str(tmp_path))) == whole
+        assert len(on_disk) == 4 and sum(on_disk) == 60 and max(on_disk) < 30 and files() == before
+        monkeypatch.undo()
+        monkeypatch.setattr(queries, "write_document_folders", watched)
+        on_disk.clear()
+
+
 def test_a_table_of_files_is_a_listing(spark, result_file, tmp_path):
     for i in range(9):
         result_file(f"f{i}.json", "{}", f"2025-01-0{i + 1}T00:00:00")
