@@ -43,7 +43,7 @@ SKETCH = "doc_id long, at long, size long, digest binary, sig binary, keys array
 #: are by products of matrices.
 SIGNATURE_BLOCK, SET_BLOCK, ELEMENT_BLOCK, SEARCHES = 4096, 256, 1_000_000, 16
 #: Blocks of a group that is compared as a whole, and searches of a block without a link before it is given up.
-GROUP_BLOCKS, FRUITLESS = 16, 4
+GROUP_BLOCKS, FRUITLESS = 32, 4
 #: Elements of small blocks that are compared at once.
 ELEMENTS_AT_ONCE = 200_000
 #: Keys that a task sorts at once, items for each pack of keys, and keys in a row of those known to be shared.
